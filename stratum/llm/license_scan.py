@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -95,20 +95,25 @@ def scan_licenses(docs: DataFrame, phrases: Sequence[Template] = BASE_PHRASES, t
         side = _template_grams(spark, templates, k).select(F.col("h").alias(h), F.col("hits").alias(f"{name}_hits"))
         each = each.join(F.broadcast(side), h, "left")
     each = each.where("end OR phrase_hits IS NOT NULL OR text_hits IS NOT NULL")
-    true_hits = [F.transform(F.filter(F.coalesce(f"{name}_hits", F.array().cast("array<struct<template:int,pos:int,gram:array<string>>>")), lambda x, k=k: x["gram"] == F.slice("words", F.col("at") + 1, k)), lambda x, flag=flag: F.struct(F.lit(flag).alias("phrase"), x["template"].alias("template"), x["pos"].alias("pos"))) for k, name, flag in ((PHRASE_K, "phrase", True), (TEXT_K, "text", False))]
-    found = scratch.keep(each.select("row", "doc_id", "at", "end", F.concat(*true_hits).alias("hits")), "hits")
+    def true_hits(k: int, name: str) -> Column:
+        """Those of the hits whose words are equal."""
+        own = F.slice("words", F.col("at") + 1, k)
+        hits = F.filter(F.coalesce(f"{name}_hits", F.array().cast("array<struct<template:int,pos:int,gram:array<string>>>")), lambda x: x["gram"] == own)
+        return F.transform(hits, lambda x: F.struct(F.lit(name == "phrase").alias("is_phrase"), x["template"].alias("template"), x["pos"].alias("pos")))
+
+    found = scratch.keep(each.select("row", "doc_id", "at", "end", F.concat(true_hits(PHRASE_K, "phrase"), true_hits(TEXT_K, "text")).alias("hits")), "hits")
 
     rows = found.where("end").select("row", "doc_id", F.col("at").cast("long").alias("n_words"))
     votes = found.where("NOT end").select("row", "at", F.explode("hits").alias("hit")).select("row", "at", "hit.*", (F.col("at") - F.col("hit.pos")).alias("diagonal"))
 
     size = F.create_map(*(F.lit(x) for i, t in enumerate(phrases) for x in (i, len(t.text.split()) - PHRASE_K + 1)))
     label = F.create_map(*(F.lit(x) for i, t in enumerate(phrases) for x in (i, t.label)))
-    whole = votes.where("phrase").groupBy("row", "template", "diagonal").agg(F.count_distinct("pos").alias("n")).where(F.col("n") == size[F.col("template")])
+    whole = votes.where("is_phrase").groupBy("row", "template", "diagonal").agg(F.count_distinct("pos").alias("n")).where(F.col("n") == size[F.col("template")])
     starts = whole.groupBy("row").agg(F.sort_array(F.collect_list(F.struct(F.col("diagonal").cast("long").alias("start"), label[F.col("template")].alias("label")))).alias("phrase_starts"))
 
     text_size = F.create_map(*(F.lit(x) for i, t in enumerate(texts) for x in (i, len(t.text.split()) - TEXT_K + 1)))
     text_label = F.create_map(*(F.lit(x) for i, t in enumerate(texts) for x in (i, t.label)))
-    diagonals = votes.where("NOT phrase").groupBy("row", "template", "diagonal").agg(F.min("at").alias("low"), F.max("at").alias("high"), F.collect_set("pos").alias("covered"))
+    diagonals = votes.where("NOT is_phrase").groupBy("row", "template", "diagonal").agg(F.min("at").alias("low"), F.max("at").alias("high"), F.collect_set("pos").alias("covered"))
     in_order = Window.partitionBy("row", "template").orderBy("diagonal", "low")
     far = (F.col("diagonal") - F.lag("diagonal").over(in_order) > SHIFT) | (F.col("low") - F.lag("high").over(in_order) > text_size[F.col("template")] + SHIFT)
     merged = diagonals.withColumn("span", F.sum(F.coalesce(far, F.lit(True)).cast("int")).over(in_order))

@@ -1,34 +1,43 @@
 """Line dedup by content-defined chunks of lines.
 
-A rolling hash over the hashes of the last lines decides after which line a
-chunk ends, so that lines inserted before a repeated passage don't shift the
-chunks inside it.  Chunks of two lines or more that stand at several places
-of the corpus are removed everywhere but at the first place, the one with
-the smallest (document id, chunk number), after their bytes have been
-compared with the first place's.
+A rolling hash over the hashes of the last WINDOW lines chooses after which
+lines a boundary stands; the chunk of a boundary is the WINDOW lines before
+it.  Both depend on these lines only, so lines that are inserted before a
+passage shift nothing inside it, and a longer passage is a run of chunks that
+overlap.  A line of more than LONG_WORDS words is a passage, and so a chunk,
+of its own.
+
+Chunks that stand at several places of the corpus are removed everywhere but
+at the first place, the one with the smallest (document id, line number),
+after their bytes have been compared with the first place's.  The first place
+of each chunk comes before the places that lose it, so every line that goes
+is still held by an earlier one.
 
 Only chunk hashes are shuffled for the search, and texts only for the first
 places and for the final rewrite.  A very frequent chunk is counted by
-partial sums, and its places are compared one by one with a copy of the text.
+partial sums.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .support import Scratch
-from .textarrays import mix, text_blocks, token_hashes
+from .textarrays import SPACES, mix, text_blocks, token_hashes, token_ranges
 
-#: Lines that the rolling hash covers.
+#: Lines that the rolling hash covers, and that a chunk has.
 WINDOW = 2
-#: A chunk ends where the rolling hash is 0 modulo this, after MIN_LINES or more.
-MODULUS = 2
-MIN_LINES = 2
+#: A boundary stands where the rolling hash is 0 modulo this.  A passage of two lines has one
+#: place for a boundary, so every place counts; larger values look for long passages only.
+MODULUS = 1
+#: A line of more words is a chunk of its own.
+LONG_WORDS = 50
 #: Ids of documents with first places that may be broadcast (8 bytes each).
 BROADCAST_IDS = 1_000_000
 
@@ -43,129 +52,125 @@ def line_ranges(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def chunk_bounds(hashes: np.ndarray) -> list[int]:
-    """Line numbers at which the chunks of one document start and end."""
-    n = len(hashes)
-    rolled = hashes.copy()
-    for back in range(1, WINDOW):
-        rolled[back:] += hashes[:-back] * _U(2 * back + 1)
-    ends = np.flatnonzero(mix(rolled) % _U(MODULUS) == 0) + 1
-    bounds = [0]
-    for end in ends.tolist():
-        if end - bounds[-1] >= MIN_LINES:
-            bounds.append(end)
-    if bounds[-1] != n:
-        bounds.append(n)
-    return bounds
-
-
 def _bare(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Ends without the newline: a last line equals the same line elsewhere."""
     return ends - (data[np.maximum(ends - 1, 0)] == 10) * (ends > starts)
 
 
-def document_chunks(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, list[int], np.ndarray]]:
-    """(row, block bytes, line starts, bare line ends, chunk bounds, line hashes) of each text with lines."""
-    for first, _, data, offsets in text_blocks(texts):
-        starts, ends, rows = line_ranges(data, offsets)
-        bare = _bare(data, starts, ends)
-        hashes = token_hashes(data, starts, bare, lower=False)
-        for i in range(len(rows) - 1):
-            at = slice(rows[i], rows[i + 1])
-            if rows[i + 1] > rows[i]:
-                yield first + i, data, starts[at], bare[at], chunk_bounds(hashes[at]), hashes[at]
+def block_chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(row, first line, number of lines, k1, k2, start, end) of all chunks of a block of texts.
 
-
-_CHUNKS = "doc_id long, chunk int, k1 long, k2 long, n_lines int, body binary"
+    Lines count from 0 in each text.  k1 and k2 are two hashes of the chunk's
+    lines, start and end its byte range without the last newline.
+    """
+    starts, ends, rows = line_ranges(data, offsets)
+    bare = _bare(data, starts, ends)
+    hashes = token_hashes(data, starts, bare, lower=False)
+    row = np.repeat(np.arange(len(rows) - 1), np.diff(rows))
+    number = np.arange(len(starts)) - rows[row]
+    # Chunks of WINDOW lines: the rolling hash of the lines that end at each line.
+    one, two = hashes.copy(), mix(hashes)
+    for back in range(1, WINDOW):
+        earlier = np.zeros_like(hashes)
+        earlier[back:] = hashes[:-back]
+        one = one * _U(0x9E3779B97F4A7C15) + earlier
+        two = mix(two * _U(0xD6E8FEB86659FD93) ^ earlier)
+    at = np.flatnonzero((number >= WINDOW - 1) & (mix(one) % _U(MODULUS) == 0))
+    # Long lines.
+    word_starts, _, _ = token_ranges(data, offsets, SPACES)
+    n_words = np.searchsorted(word_starts, bare) - np.searchsorted(word_starts, starts)
+    long = np.flatnonzero(n_words > LONG_WORDS)
+    last = np.concatenate((at, long))
+    n_lines = np.concatenate((np.full(len(at), WINDOW), np.ones(len(long), dtype=np.int64)))
+    k1 = np.concatenate((one[at], hashes[long]))
+    k2 = np.concatenate((two[at], mix(hashes[long] ^ _U(WINDOW))))
+    first = last - n_lines + 1
+    return row[last], number[first], n_lines, k1.view(np.int64), k2.view(np.int64), starts[first], bare[last]
+
+
+_CHUNKS = "doc_id long, line int, n_lines int, k1 long, k2 long, body binary"
 
 
 def _chunker(with_text: bool):
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
-            out: tuple[list, ...] = ([], [], [], [], [], [])
-            for row, data, starts, ends, bounds, hashes in document_chunks(batch.column("text")):
-                for number, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
-                    if b - a < MIN_LINES:
-                        continue
-                    weights = np.arange(1, b - a + 1, dtype=_U)
-                    one = np.add.reduce(mix(hashes[a:b] + weights))
-                    two = np.bitwise_xor.reduce(mix(hashes[a:b] * (weights + weights + _U(1))))
-                    body = data[starts[a] : ends[b - 1]].tobytes() if with_text else None
-                    for column, value in zip(out, (ids[row], number, int(one.view(np.int64)), int(two.view(np.int64)), b - a, body), strict=True):
-                        column.append(value)
-            types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=["doc_id", "chunk", "k1", "k2", "n_lines", "body"])
+            ids = np.asarray(batch.column("doc_id"))
+            for first, _, data, offsets in text_blocks(batch.column("text")):
+                row, line, n_lines, k1, k2, start, end = block_chunks(data, offsets)
+                # Chunks of a place that occur twice in one text are told apart by their line.
+                body = [data[a:b].tobytes() for a, b in zip(start.tolist(), end.tolist(), strict=True)] if with_text else pa.nulls(len(row))
+                columns = [pa.array(ids[first + row]), pa.array(line.astype(np.int32)), pa.array(n_lines.astype(np.int32)), pa.array(k1), pa.array(k2), pa.array(body, pa.binary()) if with_text else body.cast(pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "line", "n_lines", "k1", "k2", "body"])
 
     return chunks
 
 
+def _removed(text: bytes, doubtful: list[dict]) -> tuple[bytes, int, int]:
+    """(new text, lines removed, chunks removed): chunks go whose bytes equal the given ones."""
+    lines = text.split(b"\n")
+    tail = lines[-1] == b"" and len(lines) > 1  # a newline at the end, not an empty line
+    if tail:
+        lines.pop()
+    gone: set[int] = set()
+    chunks = 0
+    for given in doubtful:
+        a, b = given["line"], given["line"] + given["n_lines"]
+        if b"\n".join(lines[a:b]) == given["body"]:
+            gone.update(range(a, b))
+            chunks += 1
+    kept = [line for i, line in enumerate(lines) if i not in gone]
+    return b"\n".join(kept) + b"\n" * (tail and bool(kept)), len(gone), chunks
+
+
 def _rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Drop the chunks whose bytes equal the given ones; other texts pass as they are."""
+    """Drop the doubtful chunks; other texts pass as they are."""
     for batch in batches:
         texts = batch.column("text")
         n_lines, removed_lines, removed_chunks = (np.zeros(len(texts), dtype=np.int64) for _ in range(3))
-        new: dict[int, str] = {}
-        doubtful = batch.column("doubtful")
-        has = np.asarray(doubtful.is_valid())
         for first, _, data, offsets in text_blocks(texts):
             size = np.diff(offsets)
             newlines = np.concatenate(([0], np.cumsum(data == 10)))
             whole = newlines[offsets[1:]] - newlines[offsets[:-1]]
             n_lines[first : first + len(size)] = whole + ((size > 0) & (data[np.maximum(offsets[1:] - 1, 0)] != 10) if len(data) else 0)
-        rows = np.flatnonzero(has)
-        for at, row_data in zip(rows.tolist(), doubtful.take(pa.array(rows)).to_pylist(), strict=True):
-            given = {x["chunk"]: x["body"] for x in row_data}
-            for _, data, starts, ends, bounds, _ in document_chunks(texts.slice(at, 1)):
-                kept = []
-                stops = np.append(starts[1:], len(data))
-                for number, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
-                    if given.get(number) == data[starts[a] : ends[b - 1]].tobytes():
-                        removed_lines[at] += b - a
-                        removed_chunks[at] += 1
-                    else:
-                        kept.append(data[starts[a] : stops[b - 1]].tobytes())
-                if removed_chunks[at]:
-                    body = b"".join(kept)
-                    if kept and ends[-1] == stops[-1] and body.endswith(b"\n"):
-                        body = body[:-1]  # as before, no newline at the end
-                    new[at] = body.decode("utf-8")
+        doubtful = batch.column("doubtful")
+        rows = np.flatnonzero(np.asarray(doubtful.is_valid()))
+        new: dict[int, str] = {}
+        for at in rows.tolist():
+            body, removed_lines[at], removed_chunks[at] = _removed(texts[at].as_py().encode(), doubtful[at].as_py())
+            if removed_chunks[at]:
+                new[at] = body.decode("utf-8")
         if new:
             values = texts.to_pylist()
             for at, value in new.items():
                 values[at] = value
             texts = pa.array(values, texts.type)
-        yield pa.RecordBatch.from_arrays(
-            [*(batch.column(i) for i in range(batch.num_columns - 2)), texts, pa.array(n_lines), pa.array(removed_lines), pa.array(removed_chunks)],
-            names=[*batch.schema.names[:-2], "text", "n_lines", "n_removed_lines", "n_removed_chunks"],
-        )
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-2], texts, pa.array(n_lines), pa.array(removed_lines), pa.array(removed_chunks)], names=[*batch.schema.names[:-2], "text", "n_lines", "n_removed_lines", "n_removed_chunks"])
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text, n_lines, n_removed_lines, n_removed_chunks), one row per input row.
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, *carry, text, n_lines, n_removed_lines, n_removed_chunks), one row per input row.
 
     Null texts stay null and empty ones empty, with no lines.  A document of
     repeated chunks only ends as an empty text.  Rows with a null id keep
     their text.  Rows that repeat an id count as one document: a chunk whose
-    first place is in that id stays in all of them.  Other columns of `docs`
-    are ignored whatever their names.
+    first place is at a line of that id stays there in all of them.  Columns of
+    `docs` that `carry` doesn't name are ignored.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "linededup")
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    known = docs.where("doc_id IS NOT NULL")
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), *carry, F.col(text_col).cast("string").alias("text"))
+    known = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
     key = ["k1", "k2", "n_lines"]
     places = scratch.keep(known.mapInArrow(_chunker(False), _CHUNKS).drop("body"), "places")
-    first = places.groupBy(*key).agg(F.count("*").alias("places"), F.min(F.struct("doc_id", "chunk")).alias("first")).where("places > 1")
-    first = scratch.keep(first.select(*key, F.col("first.doc_id").alias("first_doc"), F.col("first.chunk").alias("first_chunk")), "first")
-    again = places.join(first, key).where("doc_id <> first_doc OR chunk <> first_chunk")
-    again = again.select(*key, "doc_id", "chunk")
+    first = places.groupBy(*key).agg(F.count("*").alias("places"), F.min(F.struct("doc_id", "line")).alias("first")).where("places > 1")
+    first = scratch.keep(first.select(*key, F.col("first.doc_id").alias("first_doc"), F.col("first.line").alias("first_line")), "first")
+    again = places.join(first, key).where("doc_id <> first_doc OR line <> first_line").select(*key, "doc_id", "line")
     owners = first.select(F.col("first_doc").alias("doc_id")).distinct()
     if first.count() <= BROADCAST_IDS:
         owners = F.broadcast(owners)
     bodies = known.join(owners, "doc_id", "left_semi").mapInArrow(_chunker(True), _CHUNKS)
-    bodies = bodies.join(first.withColumnsRenamed({"first_doc": "doc_id", "first_chunk": "chunk"}), [*key, "doc_id", "chunk"], "left_semi").dropDuplicates(key)
+    bodies = bodies.join(first.withColumnsRenamed({"first_doc": "doc_id", "first_line": "line"}), [*key, "doc_id", "line"], "left_semi").dropDuplicates(key)
     bodies = scratch.keep(bodies.select(*key, "body"), "bodies")
-    doubtful = again.join(bodies, key).groupBy("doc_id").agg(F.collect_list(F.struct("chunk", "body")).alias("doubtful"))
-    fields = "doc_id long, text string, n_lines long, n_removed_lines long, n_removed_chunks long"
-    return docs.join(doubtful, "doc_id", "left").select("doc_id", "text", "doubtful").mapInArrow(_rewrite, fields)
+    doubtful = again.join(bodies, key).groupBy("doc_id").agg(F.collect_set(F.struct("line", "n_lines", "body")).alias("doubtful"))
+    schema = T.StructType([*docs.schema.fields, *(T.StructField(n, T.LongType()) for n in ("n_lines", "n_removed_lines", "n_removed_chunks"))])
+    return docs.join(doubtful, "doc_id", "left").select(*docs.columns, "doubtful").mapInArrow(_rewrite, schema)

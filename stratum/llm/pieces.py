@@ -309,7 +309,7 @@ def encode_texts(docs: DataFrame, model_path: str = DEFAULT_MODEL, id_col: str =
 
 
 def decode_tokens(tokens: DataFrame, model_path: str = DEFAULT_MODEL) -> DataFrame:
-    """(doc_id, text) of rows (doc_id, ids): null ids give a null text."""
+    """Rows (doc_id, n_tokens, ids) with the decoded `text` added: null ids give a null text."""
     shared = _Shared(tokens.sparkSession, Vocabulary.load(model_path))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -322,6 +322,6 @@ def decode_tokens(tokens: DataFrame, model_path: str = DEFAULT_MODEL) -> DataFra
             missing = np.asarray(lists.is_null())
             texts = pa.LargeStringArray.from_buffers(len(lists), pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data)))
             texts = pa.array([None if m else t for m, t in zip(missing, texts.to_pylist(), strict=True)], pa.string()) if missing.any() else texts.cast(pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), texts], names=["doc_id", "text"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=["doc_id", "n_tokens", "ids", "text"])
 
-    return tokens.select("doc_id", "ids").mapInArrow(decode, "doc_id long, text string")
+    return tokens.select("doc_id", "n_tokens", "ids").mapInArrow(decode, "doc_id long, n_tokens long, ids array<int>, text string")

@@ -9,13 +9,14 @@ ridge score into a probability.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .line_dedup import line_ranges
 from .support import Scratch
@@ -203,29 +204,39 @@ def fit(train: DataFrame) -> Model | None:
     return Model(mean, scale, weights, score_at, np.clip(probability, 0, 1))
 
 
-def classify(docs: DataFrame, labels: DataFrame, may_learn, label_col: str = "quality") -> DataFrame:
-    """(doc_id, score, predicted) for each row of docs (doc_id, text).
+def classify(docs: DataFrame, labels: DataFrame, may_learn: Column, label_col: str = "quality", carry: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, *carry, text, score, predicted) for each row of docs (doc_id, text).
 
     `may_learn` is a condition on doc_id; labels of other rows are never read.
-    A null text is scored as an empty one, and a null id like any other row,
-    but without a label.  Null labels are left out of the fit, and an id with
-    several labels counts with each.  Without any label to learn from, every
-    score is 0.5.  Other columns of either table are ignored.
+    At most about MAX_TRAIN_ROWS labelled rows are learned from, which bounds
+    the broadcast of their ids.  A null text is scored as an empty one, and a
+    null id like any other row, but without a label.  Null labels are left out
+    of the fit, and an id with several labels counts with each.  Without any
+    label to learn from, every score is 0.5.  Columns of either table that are
+    not named in `carry` are ignored.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "quality")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    stats = scratch.keep(document_statistics(texts), "stats")
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y")).where(may_learn & F.col("y").isin(0, 1))
     total = known.count()
     if total > MAX_TRAIN_ROWS:
         known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.lit(int((1 << 20) * MAX_TRAIN_ROWS / total)))
-    train = scratch.keep(stats.join(known, "doc_id").select("stats", "y"), "train")
+    known = scratch.keep(known, "labels")
+    labelled = document_statistics(texts.join(F.broadcast(known.select("doc_id").distinct()), "doc_id", "left_semi"))
+    train = scratch.keep(labelled.join(F.broadcast(known), "doc_id").select("stats", "y"), "train")
     model = fit(train)
+    names = ["doc_id", *carry, "text"]
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            score = model.score(_matrix(batch.column("stats"))) if model and len(batch) else np.full(len(batch), 0.5)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score, pa.float64()), pa.array((score >= KEEP_AT).astype(np.int32))], names=["doc_id", "score", "predicted"])
-
-    return stats.mapInArrow(scored, "doc_id long, score double, predicted int")
+            for first, end, data, offsets in text_blocks(batch.column("text")):
+                score = model.score(statistics(data, offsets)) if model else np.full(end - first, 0.5)
+                rows = batch.slice(first, end - first)
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(score, pa.float64()), pa.array((score >= KEEP_AT).astype(np.int32))], names=[*names, "score", "predicted"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *carry, F.col("text").cast("string").alias("text"))
+    schema = T.StructType([*rows.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
+    if "text" in carry:
+        raise ValueError("the text is always carried")
+    return rows.mapInArrow(scored, schema)

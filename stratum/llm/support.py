@@ -98,3 +98,8 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     if labels is None:
         return edges.select(F.col("a").alias("node"), F.col("a").alias("label")).limit(0)
     return labels
+
+
+def crc32_mod(id_col: str, modulus: int) -> Column:
+    """crc32 of an id written as decimal text, modulo `modulus`; null for a null id."""
+    return F.crc32(F.col(id_col).cast("long").cast("string").cast("binary")) % modulus
