@@ -15,6 +15,7 @@ from .decontamination import contained_items
 from .jaccard_join import near_duplicate_components
 from .license_scan import scan_licenses
 from .line_dedup import dedup_lines
+from .lm_scoring import score_texts
 from .pieces import decode_tokens, encode_texts
 from .pii import pseudonymize
 from .quality_classifier import classify
@@ -28,6 +29,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)."""
+    scored = score_texts(_table(spark, sf_dir, "documents"), crc32_mod("doc_id", 5) != 1)
+    held_out = F.coalesce(crc32_mod("doc_id", 5) == 1, F.lit(False)).alias("held_out")
+    return scored.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded_md5): token ids of each text, and the digest of their decoding."""
     tokens = encode_texts(_table(spark, sf_dir, "documents"))
@@ -82,6 +90,6 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(_table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed_lines", "n_removed_chunks", "text")
 
 
-QUERIES = {f.__name__: f for f in (op3_sentencepiece, op4_jaccard_join, op5_quality, op7_decontamination, op8_licenses, op9_pii, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op2_lm_scoring, op3_sentencepiece, op4_jaccard_join, op5_quality, op7_decontamination, op8_licenses, op9_pii, op10_line_dedup)}
 
 ORACLES: dict[str, str] = {}
