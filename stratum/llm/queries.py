@@ -20,6 +20,7 @@ from .pieces import decode_tokens, encode_texts
 from .pii import pseudonymize
 from .quality_classifier import classify
 from .support import crc32_mod
+from .topk import top_k
 
 #: Key of the registered query only; callers of the operator bring their own.
 DEMO_KEY = b"registered query, not a secret"
@@ -53,6 +54,11 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (crc32_mod("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
 
 
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(query_id, rank, vec_id, score)."""
+    return top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, item_id, n_shingles, n_common, containment) of each contained item."""
     return contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -90,6 +96,16 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(_table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed_lines", "n_removed_chunks", "text")
 
 
-QUERIES = {f.__name__: f for f in (op2_lm_scoring, op3_sentencepiece, op4_jaccard_join, op5_quality, op7_decontamination, op8_licenses, op9_pii, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op2_lm_scoring, op3_sentencepiece, op4_jaccard_join, op5_quality, op6_topk, op7_decontamination, op8_licenses, op9_pii, op10_line_dedup)}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_topk": """
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x AS double)) AS bigint)) AS e FROM embeddings
+                   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+                     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT q.vec_id AS query_id, c.vec_id, cast(list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i])) AS bigint) AS score
+              FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id AND len(q.e) = len(c.e)),
+        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rn FROM s)
+        SELECT query_id, cast(rn AS int) AS rank, vec_id, score FROM r WHERE rn <= 20
+    """,
+}
