@@ -19,7 +19,8 @@ from .lm_scoring import score_texts
 from .pieces import decode_tokens, encode_texts
 from .pii import pseudonymize
 from .quality_classifier import classify
-from .support import crc32_mod
+from .sharding import ShardStore
+from .support import Scratch, crc32_mod
 from .topk import top_k
 
 #: Key of the registered query only; callers of the operator bring their own.
@@ -30,6 +31,21 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as read back from a compacted store.
+
+    They arrive as one large delivery and 32 small ones (a hash of the id
+    tells them apart), each a run of small shards before the compaction.
+    """
+    docs = _table(spark, sf_dir, "documents")
+    store = ShardStore(spark, Scratch(spark, "shards").root, docs.schema)
+    dealt = F.pmod(F.xxhash64("doc_id"), F.lit(64))
+    store.append_each(docs, F.when(dealt < 32, F.lit(0)).otherwise(dealt))
+    store.compact()
+    store.vacuum()
+    return store.read()
+
+
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)."""
     scored = score_texts(_table(spark, sf_dir, "documents"), crc32_mod("doc_id", 5) != 1)
@@ -96,9 +112,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(_table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed_lines", "n_removed_chunks", "text")
 
 
-QUERIES = {f.__name__: f for f in (op2_lm_scoring, op3_sentencepiece, op4_jaccard_join, op5_quality, op6_topk, op7_decontamination, op8_licenses, op9_pii, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_lm_scoring, op3_sentencepiece, op4_jaccard_join, op5_quality, op6_topk, op7_decontamination, op8_licenses, op9_pii, op10_line_dedup)}
 
 ORACLES: dict[str, str] = {
+    "op1_sharding": "SELECT * FROM documents",
     "op6_topk": """
         WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x AS double)) AS bigint)) AS e FROM embeddings
                    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
