@@ -1,0 +1 @@
+"""Layered batch pipelines (bronze, silver, gold, serving) on Spark DataFrames."""
