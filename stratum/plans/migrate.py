@@ -75,7 +75,7 @@ def import_documents(state: State, silver: str, gold: str, run_ts: dt.datetime)
         table = state.table("silver_posts")
         rows = latest_per_key(rows, ["post_id"], [F.desc_nulls_last("timestamp"), F.desc_nulls_last("source_dataset")])
         table.upsert(rows)
-        posts = found.count()
+        posts = found.agg(F.count("id")).first()[0]
         done = spark.createDataFrame([("migration_phase2", posts)], "source_dataset string, post_count int").withColumn("completed_at", F.lit(run_ts).cast("timestamp_ntz"))
         state.table("silver_progress").upsert(done)
     if exists(spark, gold):
@@ -86,7 +86,7 @@ def import_documents(state: State, silver: str, gold: str, run_ts: dt.datetime)
         )
         rows = latest_per_key(fit_schema(rows, OLD_GOLD), ["post_id"], [F.desc_nulls_last("analysed_at")])
         state.table("gold_analyses").upsert(rows)
-        analyses = found.count()
+        analyses = found.agg(F.count(F.coalesce("post_id", "stem"))).first()[0]
     return posts, analyses
 
 

@@ -59,7 +59,7 @@ def ingest(spark: SparkSession, source: ScrapeSource, config: ScrapeConfig, bron
     path = f"{bronze.rstrip('/')}/{dataset_id}.parquet"
     if exists(spark, path):
         return spark.read.parquet(path)
-    raw = f"{bronze.rstrip('/')}/.{dataset_id}.jsonl"
+    raw = f"{bronze.rstrip('/')}/{dataset_id}.jsonl"
     count = source.download(dataset_id, raw, token)
     df = scan_ndjson(spark, raw) if count else None
     if df is None or not df.columns:
