@@ -1,0 +1,64 @@
+import re
+
+import pytest
+
+from stratum.llm.pii import Feistel, Pseudonymizer, luhn_digit, pseudonymize
+
+from .common import documents, edge_cases
+
+KEY = b"test key"
+VALUES = {
+    "card": ["4111111111111111", "5500-0000-0000-0004", "4111 1111 1111 1111"],
+    "phone": ["+1 (743) 555-3824", "(212) 555-0123", "212-555-0123", "+44 20 7946 0958"],
+    "ssn": ["123-45-6789"],
+    "ip": ["152.143.123.131", "70.23.22.57"],
+    "iban": ["DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"],
+    "email": ["jane.doe+x@example.com"],
+    "date": ["2024-02-29", "31.12.1999", "12/25/1990", "1.2.2003"],
+}
+INVALID = ["4111111111111112", "2024-02-30", "300.1.2.3", "000-12-3456", "DE00 3704 0044 0532 0130 00", "version 1.2.3", "12345"]
+
+
+@pytest.mark.parametrize("kind, value", [(k, v) for k, values in VALUES.items() for v in values])
+def test_values_are_replaced_within_their_format_and_back(kind, value):
+    p = Pseudonymizer(KEY)
+    text = f"see {value}, or {value}."
+    new, spans = p(text)
+    first, second = (new[a:b] for _, a, b in spans)
+    assert [k for k, *_ in spans] == [kind] * 2 and first == second != value
+    shape = lambda s: re.sub(r"[a-z]", "a", re.sub(r"[A-Z]", "A", re.sub(r"\d", "9", s)))
+    if kind not in ("ip", "date"):
+        assert shape(first) == shape(value)
+    if kind == "card":
+        digits = re.sub(r"\D", "", first)
+        assert luhn_digit(digits[:-1]) == int(digits[-1])
+    assert p(new, back=True)[0] == text
+    assert Pseudonymizer(b"other")(text)[0] != new
+
+
+def test_invalid_values_stay():
+    p = Pseudonymizer(KEY)
+    for value in INVALID:
+        assert p(f"a {value} b") == (f"a {value} b", [])
+
+
+def test_feistel_is_a_permutation():
+    f = Feistel(KEY)
+    for size in (1, 2, 7, 100, 1000):
+        images = [f.permute("t", x, size) for x in range(size)]
+        assert sorted(images) == list(range(size)) and [f.permute("t", y, size, back=True) for y in images] == list(range(size))
+    even = lambda x: x % 2 == 0
+    assert sorted(f.permute("e", x, 50, even) for x in range(0, 50, 2)) == list(range(0, 50, 2))
+
+
+def test_documents(spark):
+    rows = edge_cases() + [(50, "card 4111111111111111 é at 2024-02-29"), (51, "card 4111111111111111")]
+    out = pseudonymize(documents(spark, rows), KEY).collect()
+    assert len(out) == len(rows)
+    plain = sorted(((r.doc_id, r.text) for r in out if not r.spans), key=str)
+    assert plain == sorted((r for r in rows if r[0] not in (50, 51)), key=str)
+    by_id = {r.doc_id: r for r in out}
+    a, b = by_id[50], by_id[51]
+    cut = lambda r, i: r.text[r.spans[i].start : r.spans[i].end]
+    assert cut(a, 0) == cut(b, 0) != "4111111111111111" and [s.kind for s in a.spans] == ["card", "date"]
+    assert pseudonymize(documents(spark, []), KEY).isEmpty()

@@ -1,0 +1,67 @@
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from stratum.llm import quality_classifier as quality
+
+from .common import documents, edge_cases, prose
+
+
+def labelled(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, quality int, toxic int, text string, score double")
+
+
+def corpus(n=400):
+    rng = random.Random(1)
+    rows, labels = [], []
+    for i in range(n):
+        good = i % 2 == 0
+        text = prose(rng, rng.randrange(20, 200)).capitalize() + "." if good else " ".join(f"{w.upper()}!!" for w in prose(rng, rng.randrange(20, 200), 5).split())
+        rows.append((i, text))
+        labels.append((i, int(good), 0, None, None))
+    return rows, labels
+
+
+def test_held_out_accuracy_and_monotone_scores(spark):
+    rows, labels = corpus()
+    df = quality.classify(documents(spark, rows), labelled(spark, labels), F.col("doc_id") % 4 != 2)
+    out = {r.doc_id: r for r in df.collect()}
+    held = [(out[i].predicted, y) for i, y, *_ in labels if i % 4 == 2]
+    assert np.mean([p == y for p, y in held]) > 0.95
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in out.values())
+
+
+def test_labels_of_held_out_rows_are_not_read(spark):
+    rows, labels = corpus(120)
+    flipped = [(i, 1 - y if i % 4 == 2 else y, *more) for i, y, *more in labels]
+    scores = [{r.doc_id: r.score for r in quality.classify(documents(spark, rows), labelled(spark, x), F.col("doc_id") % 4 != 2).collect()} for x in (labels, flipped)]
+    assert scores[0] == scores[1]
+
+
+def test_edge_cases(spark):
+    rows, labels = corpus(60)
+    rows += edge_cases()
+    labels += [(None, 1, 0, None, None), (3, None, None, None, None), (10, 7, 0, None, None), (4, 1, 0, None, None), (4, 1, 0, None, None)]
+    docs = documents(spark, rows)
+    out = quality.classify(docs, labelled(spark, labels), F.col("doc_id") % 4 != 2, carry=("lang", "source")).collect()
+    assert len(out) == len(rows) and all(r.score is not None and r.lang is None for r in out)
+    assert sorted((str(r.doc_id), str(r.text)) for r in out) == sorted((str(i), str(t)) for i, t in rows)
+
+
+@pytest.mark.parametrize("labels", [[], [(1, None, None, None, None)]])
+def test_without_labels_scores_are_even(spark, labels):
+    out = quality.classify(documents(spark, [(1, "a"), (2, None)]), labelled(spark, labels), F.lit(True)).collect()
+    assert [(r.score, r.predicted) for r in out] == [(0.5, 0)] * 2
+    assert quality.classify(documents(spark, []), labelled(spark, labels), F.lit(True)).isEmpty()
+
+
+def test_pool_adjacent_is_isotonic_regression():
+    rng = np.random.default_rng(3)
+    y, w = rng.random(30), rng.integers(1, 5, 30).astype(float)
+    fit = quality.pool_adjacent(y, w)
+    assert (np.diff(fit) >= 0).all() and np.isclose((fit * w).sum(), (y * w).sum())
+    for _ in range(200):  # no other monotone sequence is nearer
+        other = np.sort(fit + rng.normal(0, 0.05, 30))
+        assert (w * (fit - y) ** 2).sum() <= (w * (other - y) ** 2).sum() + 1e-12
