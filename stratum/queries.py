@@ -79,9 +79,11 @@ def _ts(text: str) -> F.Column:
 _REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
 
-def _register(oracle: str | None = None):
+def _register(oracle: str | None = None, name: str | None = None):
+    """Register a query under its function's name or another, with its oracle."""
+
     def keep(f):
-        _REGISTRY[f.__name__] = (f, oracle)
+        _REGISTRY[name or f.__name__] = (f, oracle)
         return f
 
     return keep
@@ -95,9 +97,9 @@ def scan_parquet(spark, sf_dir):
     return _table(spark, sf_dir, "nation")
 
 
-@_register()
+@_register("SELECT cast(json_extract(props, '$.k') AS bigint) AS k FROM events")
 def scan_ndjson(spark, sf_dir):
-    """The JSON of `events.props` parsed with an inferred schema (rows only: there is no file for an oracle to read)."""
+    """The lines of `events.props` with an inferred schema (the tables hold no NDJSON file)."""
     lines = _table(spark, sf_dir, "events").select("props")
     schema = F.schema_of_json(F.lit('{"k": 1}'))
     return lines.select(F.from_json("props", schema).alias("props")).select("props.*")
@@ -131,7 +133,7 @@ def derive_url(spark, sf_dir):
     return _bronze(spark, sf_dir).select("event_id", post_url(F.col("url"), F.col("shortcode")).alias("url"))
 
 
-@_register("SELECT doc_id, cast(to_json([lang, source]) AS varchar) AS tags FROM documents")
+@_register("SELECT doc_id, cast(to_json([lang, source]) AS varchar) AS tags FROM documents", "list_to_json")
 def list_to_json_text(spark, sf_dir):
     return _table(spark, sf_dir, "documents").select("doc_id", list_to_json(F.array("lang", "source")).alias("tags"))
 
@@ -261,7 +263,7 @@ def distinct_profiles(spark, sf_dir):
     return observed_names(_posts(spark, sf_dir)).select("owner_id", "owner_username")
 
 
-@_register("SELECT coalesce(max(c_custkey), 0) AS max_key FROM customer")
+@_register("SELECT coalesce(max(c_custkey), 0) AS max_key FROM customer", "max_key")
 def largest_key(spark, sf_dir):
     return max_key(_table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "profile_key"))
 
@@ -272,7 +274,7 @@ _VIEW_COLUMNS = "post_id, shortcode, url, caption, owner_id, owner_username, lik
 @_register(f"""{_POSTS}, {_DIM}, gold AS (SELECT cast(doc_id AS varchar) AS post_id, concat('{{"quality":', cast(quality AS varchar), '}}') AS result_json FROM labels)
     SELECT p.post_id, shortcode, url, caption, p.owner_id, p.owner_username, likes_count, timestamp, source_dataset, result_json,
         CASE WHEN g.post_id IS NOT NULL THEN timestamp '{RUN_TS}' END AS gold_analysed_at, profile_key, channel, effective_from, effective_to, is_current
-    FROM posts p LEFT JOIN gold g ON p.post_id = g.post_id LEFT JOIN dim d ON p.owner_id = d.owner_id AND d.is_current""")
+    FROM posts p LEFT JOIN gold g ON p.post_id = g.post_id LEFT JOIN dim d ON p.owner_id = d.owner_id AND d.is_current""", "analytics_view")
 def analytics_view_rows(spark, sf_dir):
     posts = add_defaults(_posts(spark, sf_dir)).withColumn("comments_count", F.lit(None).cast("int"))
     gold = _gold(spark, sf_dir).withColumn("post_id", F.col("post_id").cast("string"))

@@ -55,3 +55,9 @@ class Fake:
 def lake_and_state(spark: SparkSession, folder) -> tuple[Lake, State]:
     lake = Lake.at(f"file://{folder}")
     return lake, State(spark, lake.state)
+
+
+def fetch_dataset(dataset_id: str):
+    """What a service would send for a dataset."""
+    for i in range(2):
+        yield json.dumps({"id": f"{dataset_id}-{i}", "likesCount": i if i else "many", "hashtags": ["a"], "nested": {"x": 1}})

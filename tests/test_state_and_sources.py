@@ -177,3 +177,27 @@ def test_library_shipped_to_executors(spark):
     ship(spark)
     ship(spark)
     assert spark.range(1).select(F.lit(1)).count() == 1
+
+
+def test_datasets_are_read_by_tasks(spark):
+    from stratum.sources.remote import DatasetFeed
+
+    spark.dataSource.register(DatasetFeed)
+    reader = spark.read.format("dataset_feed").schema("id string, likesCount long, hashtags array<string>, nested string").option("fetch", "tests.helpers:fetch_dataset")
+    df = reader.option("ids", "ds_1,ds_2").load()
+    assert df.rdd.getNumPartitions() == 2
+    assert sorted(map(tuple, df.collect()), key=str)[:2] == [("ds_1-0", None, ["a"], '{"x": 1}'), ("ds_1-1", 1, ["a"], '{"x": 1}')]
+    assert reader.option("ids", "").load().isEmpty()
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from stratum.__main__ import main
+
+    lake, state = lake_and_state(spark, tmp_path)
+    bronze(spark, lake, "ds", [post("1"), post("2")])
+    assert main(["run", f"file://{tmp_path}", "--analyzer", "tests.helpers:Fake"]) == 0
+    lines = [json.loads(x) for x in capsys.readouterr().out.splitlines()]
+    assert {"check": "ig_posts_slv_no_duplicates", "passed": True, "severity": "WARN", "total": 2, "distinct_keys": 2} in lines
+    assert state.table("gold_ig_analyses").read().count() == 2
+    assert main(["rebuild", f"file://{tmp_path}"]) == 0 and json.loads(capsys.readouterr().out)["silver_ig_posts"] == 2
+    assert main(["contract", f"file://{tmp_path}"]) == 0 and json.loads(capsys.readouterr().out)["passed"]
