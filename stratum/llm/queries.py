@@ -114,7 +114,45 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_sharding, op2_lm_scoring, op3_sentencepiece, op4_jaccard_join, op5_quality, op6_topk, op7_decontamination, op8_licenses, op9_pii, op10_line_dedup)}
 
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = "regexp_extract_all(" + _LOWER + ", '[^\\x20\\x09-\\x0D]+')"
+
 ORACLES: dict[str, str] = {
+    "op4_jaccard_join": f"""
+        WITH RECURSIVE d AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+        s AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS g FROM d WHERE len(w) > 0),
+        n AS (SELECT d.doc_id, count(g) AS n FROM d LEFT JOIN s ON s.doc_id = d.doc_id GROUP BY 1),
+        c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both_ FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+        l AS (SELECT x, y FROM c JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * both_ >= 75 * (p.n + q.n - both_)),
+        e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+        r AS (SELECT doc_id, doc_id AS reached FROM d UNION SELECT r.doc_id, e.y FROM r JOIN e ON e.x = r.reached)
+        SELECT r.doc_id, any_value(n.n) AS n_shingles, min(reached) AS component_id FROM r JOIN n ON n.doc_id = r.doc_id GROUP BY 1
+    """,
+    "op7_decontamination": f"""
+        WITH i AS (SELECT item_id, {_WORDS.format("text")} AS w FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+        s AS (SELECT DISTINCT item_id, least(len(w), 5) AS k, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda j: array_to_string(w[j:j + 4], ' '))) AS g FROM i WHERE len(w) > 0),
+        n AS (SELECT item_id, count(*) AS n_shingles FROM s GROUP BY 1),
+        d AS (SELECT doc_id, {_WORDS.format("text")} AS w FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),
+        t AS (SELECT DISTINCT doc_id, k, unnest(list_transform(range(1, len(w) - k + 2), lambda j: array_to_string(w[j:j + k - 1], ' '))) AS g FROM d, (SELECT DISTINCT k FROM s) WHERE len(w) >= k)
+        SELECT doc_id, s.item_id, n_shingles, count(*) AS n_common, count(*) / n_shingles AS containment
+        FROM t JOIN s ON s.k = t.k AND s.g = t.g JOIN n ON n.item_id = s.item_id GROUP BY doc_id, s.item_id, n_shingles HAVING count(*) * 100 >= 75 * n_shingles
+    """,
+    "op10_line_dedup": f"""
+        WITH b AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL AND text <> ''),
+        d AS (SELECT doc_id, len(l) > 1 AND l[-1] = '' AS tail, CASE WHEN len(l) > 1 AND l[-1] = '' THEN l[:-2] ELSE l END AS l FROM b),
+        lines AS (SELECT doc_id, unnest(range(1, len(l) + 1)) AS i, unnest(l) AS line FROM d),
+        c AS (SELECT doc_id, i, 2 AS n, l[i] || chr(10) || l[i + 1] AS body FROM (SELECT doc_id, l, unnest(range(1, len(l))) AS i FROM d)
+              UNION ALL SELECT doc_id, i, 1, line FROM lines WHERE len({_WORDS.format("line")}) > 50),
+        f AS (SELECT n, body, min((doc_id, i)) AS first FROM c GROUP BY 1, 2),
+        gone AS (SELECT c.doc_id, c.i, c.n FROM c JOIN f ON f.n = c.n AND f.body = c.body WHERE (c.doc_id, c.i) <> f.first),
+        g AS (SELECT DISTINCT doc_id, i FROM (SELECT doc_id, i FROM gone UNION ALL SELECT doc_id, i + 1 FROM gone WHERE n = 2)),
+        k AS (SELECT lines.doc_id, count(*) AS n_lines, count(g.i) AS n_removed, string_agg(CASE WHEN g.i IS NULL THEN line END, chr(10) ORDER BY lines.i) AS kept
+              FROM lines LEFT JOIN g ON g.doc_id = lines.doc_id AND g.i = lines.i GROUP BY 1),
+        m AS (SELECT doc_id, count(*) AS n_chunks FROM gone GROUP BY 1)
+        SELECT o.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed_lines, coalesce(n_chunks, 0) AS n_removed_chunks,
+            CASE WHEN coalesce(n_removed, 0) = 0 THEN o.text WHEN n_removed = n_lines THEN '' ELSE kept || CASE WHEN tail THEN chr(10) ELSE '' END END AS text
+        FROM documents o LEFT JOIN d ON d.doc_id = o.doc_id LEFT JOIN k ON k.doc_id = o.doc_id LEFT JOIN m ON m.doc_id = o.doc_id
+    """,
     "op1_sharding": "SELECT * FROM documents",
     "op6_topk": """
         WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x AS double)) AS bigint)) AS e FROM embeddings
