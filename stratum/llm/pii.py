@@ -1,7 +1,7 @@
 """Format-preserving pseudonyms for personal data.
 
-Numbers and dates are found by their format, validated (Luhn, IBAN check
-digits, calendar, number plans), and replaced through a keyed Feistel
+Numbers, dates and secrets are found by their format, validated (Luhn, IBAN
+check digits, calendar, number plans), and replaced through a keyed Feistel
 permutation of the valid values of that format: equal values get equal
 pseudonyms in every document, different values different ones, and the key
 holder can invert them.  Digits move within the written form, so separators,
@@ -178,8 +178,23 @@ def _date(f: Feistel, form: str, back: bool) -> str | None:
     return separator.join(order)
 
 
+def _secret(f: Feistel, form: str, back: bool) -> str | None:
+    """The last run of letters and digits: an access key id by base 36, else hexadecimal digits of the case they have."""
+    at = len(form) - len(re.search(r"[A-Za-z0-9]+$", form)[0])
+    body = form[at:]
+    keep, digits = ("AKIA", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ") if body.startswith("AKIA") else ("", "0123456789ABCDEF" if body.isupper() else "0123456789abcdef")
+    inner, base = body[len(keep) :], len(digits)
+    value = f.permute(f"secret{keep}{len(inner)}", int(inner, base), base ** len(inner), back=back)
+    out = []
+    for _ in inner:
+        value, x = divmod(value, base)
+        out.append(digits[x])
+    return form[:at] + keep + "".join(reversed(out))
+
+
 #: In this order, the first that fits at a place is tried; a form that isn't valid stays as it is.
 KINDS: tuple[tuple[str, str, Callable[[Feistel, str, bool], str | None]], ...] = (
+    ("secret", r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])|(?<![A-Za-z])(?:[Tt]oken|[Ss]ecret|[Pp]assword|[Pp]asswd|[Aa]pi[_-]?[Kk]ey)\s{0,3}[=:]\s{0,3}[\"']?(?:[0-9a-f]{16,64}|[0-9A-F]{16,64})(?![0-9A-Za-z])", _secret),
     ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])", _email),
     ("iban", r"(?<!\w)[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)", _iban),
     ("ip", r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![\w]|\.[0-9])", _ip),
@@ -243,9 +258,12 @@ def pseudonymize(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col:
             spans: list[list] = [[] for _ in range(len(texts))]
             new: dict[int, str] = {}
             for first, _, data, offsets in text_blocks(texts):
-                # Every kind has a digit or an at sign.
-                marks = np.concatenate(([0], np.cumsum(((data >= 48) & (data <= 57)) | (data == 64))))
-                for row in np.flatnonzero(marks[offsets[1:]] - marks[offsets[:-1]]).tolist():
+                # Every kind has a digit or an at sign, or is a secret of capitals or after a sign of assignment.
+                marks = np.concatenate(([0], np.cumsum(((data >= 48) & (data <= 58)) | (data == 64) | (data == 61))))
+                marked = marks[offsets[1:]] - marks[offsets[:-1]] > 0
+                if b"AKIA" in data.tobytes():
+                    marked[:] = True
+                for row in np.flatnonzero(marked).tolist():
                     text, found = pseudonymizer(texts[first + row].as_py())
                     if found:
                         new[first + row] = text
