@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .support import Scratch
+from .support import Scratch, bound_batches
 from .textarrays import SPACES, mix, text_blocks, token_hashes, token_ranges
 
 #: Lines that the rolling hash covers, and that a chunk has.
@@ -157,6 +157,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     `docs` that `carry` doesn't name are ignored.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     scratch = Scratch(spark, "linededup")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), *carry, F.col(text_col).cast("string").alias("text"))
     known = docs.where("doc_id IS NOT NULL").select("doc_id", "text")

@@ -21,15 +21,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .textarrays import mix, separator_table, text_blocks, token_hashes
+from .support import bound_batches
+from .textarrays import separator_table, text_blocks, token_hashes
 
 #: Path of the installed public model; any SentencePiece model with byte pieces will do.
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁".encode()
 #: What a byte piece costs more than the worst piece.
 BYTE_PENALTY = 10.0
-#: Words of up to this many bytes are encoded together.
-LONG_WORD = 64
+#: Tokens that are decoded together.
+SLICE_TOKENS = 300_000
 _SPACE = separator_table((0x20, 0x20))
 
 
@@ -292,6 +293,7 @@ def encode_texts(docs: DataFrame, model_path: str = DEFAULT_MODEL, id_col: str =
     null ids and repeated rows are kept as they are.  The vocabulary that is
     broadcast has the size of the model, whatever the input.
     """
+    bound_batches(docs.sparkSession)
     shared = _Shared(docs.sparkSession, Vocabulary.load(model_path))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -308,12 +310,25 @@ def encode_texts(docs: DataFrame, model_path: str = DEFAULT_MODEL, id_col: str =
     return rows.mapInArrow(encode, "doc_id long, n_tokens long, ids array<int>")
 
 
+def token_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that each has about SLICE_TOKENS tokens (or one row)."""
+    for batch in batches:
+        ends = np.cumsum(np.nan_to_num(np.asarray(batch.column("ids").value_lengths().fill_null(0), dtype=np.float64)))
+        row = 0
+        while row < len(batch):
+            before = ends[row - 1] if row else 0
+            end = max(row + 1, int(np.searchsorted(ends, before + SLICE_TOKENS, side="right")))
+            yield batch.slice(row, end - row)
+            row = end
+
+
 def decode_tokens(tokens: DataFrame, model_path: str = DEFAULT_MODEL) -> DataFrame:
     """Rows (doc_id, n_tokens, ids) with the decoded `text` added: null ids give a null text."""
+    bound_batches(tokens.sparkSession)
     shared = _Shared(tokens.sparkSession, Vocabulary.load(model_path))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in token_slices(batches):
             lists = batch.column("ids")
             filled = lists.fill_null([]) if lists.null_count else lists
             values = np.asarray(filled.flatten()).astype(np.int64)

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .support import bound_batches
 from .textarrays import text_blocks
 
 ROUNDS = 8
@@ -275,5 +276,6 @@ def pseudonymize(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col:
                 texts = pa.array(values, texts.type)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), texts, pa.array(spans, span)], names=["doc_id", "text", "spans"])
 
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(replace, f"doc_id long, text string, spans {_SPAN}")

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .line_dedup import line_ranges
-from .support import Scratch
+from .support import Scratch, bound_batches
 from .textarrays import SPACES, text_blocks, token_hashes, token_ranges
 
 #: Random cosines; the normal equations have (COSINES + 1) squared entries.
@@ -216,6 +216,7 @@ def classify(docs: DataFrame, labels: DataFrame, may_learn: Column, label_col: s
     not named in `carry` are ignored.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     scratch = Scratch(spark, "quality")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y")).where(may_learn & F.col("y").isin(0, 1))

@@ -8,6 +8,27 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Rows of two or three numbers that may be broadcast (some 30 MB).
+BROADCAST_ROWS = 1_000_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """A table of numbers with a broadcast hint, if a count of its rows allows it."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+#: Arrow batches that go to Python tasks: at most these bytes, or one row.
+BATCH_BYTES = 6 << 20
+#: The same where rows are packed and grouped before: small batches take Spark more memory there.
+GROUP_BATCH_BYTES = 64 << 20
+
+
+def bound_batches(spark: SparkSession, limit: int = BATCH_BYTES) -> None:
+    """Bound the bytes of Arrow batches in this session, so that long texts don't fill a worker's memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(limit))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder in `spark.checkpoint.dir`, which driver and executors share.
 
@@ -50,8 +71,14 @@ class Scratch:
         return f"{self.root}/{self._n:03d}-{name}"
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """Write a table and read it again; the shuffle files that it took go at once."""
         path = self.path(name)
-        df.write.option("compression", "zstd").parquet(path)
+        before = self.spark.conf.get(_CLEANUP, "false")
+        self.spark.conf.set(_CLEANUP, "true")
+        try:
+            df.write.option("compression", "zstd").parquet(path)
+        finally:
+            self.spark.conf.set(_CLEANUP, before)
         kept = self.spark.read.schema(df.schema).parquet(path)
         kept._scratch_path = path
         return kept
