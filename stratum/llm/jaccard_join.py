@@ -1,9 +1,10 @@
 """N-gram Jaccard join: exact components of near-duplicate documents.
 
 The method skips along set relations.  An inverted list holds the documents
-that share a prefix shingle; within a list, size and position rule out
-blocks of members, and documents that are already known to be in one class
-share one answer: only pairs between different classes are looked at again.
+that share a prefix shingle.  Blocks of a list are skipped by size, and by the
+number of prefix positions that a similar set must share; documents that are
+known to be in one class share one answer, so lists and pairs within a class
+are skipped, and only pairs between classes are looked at.
 
 1. One pass over the texts gives every set's size and fingerprint, and adds
    the shingles up in a fixed-size table of hashed counts.  The table only
@@ -12,29 +13,34 @@ share one answer: only pairs between different classes are looked at again.
    n - ceil(0.75 n) + 1 shingles of that order.  Two sets with a similarity
    of 0.75 or more share one of these.  Sets that occur again within a
    partition are indexed once.  Postings travel as packed arrays.
-3. Each list names its smallest fingerprint as hub; (member, hub) links are
-   verified on the full sets, and links make classes.  A group of thousands
-   of near copies costs one comparison a member here, not one a pair.
+3. Each list names its smallest fingerprint as hub.  A set is compared with
+   the hub that most of its lists name, and links make classes.  The members
+   of a class share one answer from here on: a list that holds one class only
+   is skipped.  In a group of thousands of near copies a set meets its hub,
+   and at most OFFERS members of the group if the hub was too far.
 4. Lists in which more than one class is left are opened: members outside the
-   list's largest class meet the members of other classes, if size and
-   position allow enough overlap, and verified pairs join classes.
+   list's largest class meet the members of other classes if they share as
+   many lists as similar sets of their sizes must, and verified pairs join
+   classes.
 
-Every pair that could link shares a list, and is either in one class after
-step 3 or compared in step 4, so components are exact.  Shingles are compared
-by 64-bit hashes.
+Every pair that could link shares a list, and is either in one class before
+step 4 or compared in it, so components are exact.  Shingles are compared by
+64-bit hashes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
-from .support import Scratch, components, shuffle_partitions
+from .support import GROUP_BATCH_BYTES, Scratch, bound_batches, components, shuffle_partitions, small
 from .textarrays import SPACES, mix, shingle_hashes, text_blocks, token_hashes, token_ranges
 
 WORDS = 5
@@ -45,8 +51,12 @@ SKETCH_BITS = 21
 SKETCH_CHUNKS = 64
 #: Postings that one reduce group holds, about.
 POSTINGS_PER_BUCKET = 1_000_000
-#: Document ids that may be broadcast (8 bytes each); beyond, the filter is a shuffled join.
-BROADCAST_IDS = 1_000_000
+#: Postings, or items of sets, that a task holds before it hands them on.
+HELD_POSTINGS = 400_000
+#: Members of the largest class that a set outside it meets before all that fit.
+OFFERS = 8
+#: Shingles and sets of a block, about: pairs between two blocks are found and compared together.
+BLOCK_SHINGLES, BLOCK_NODES = 40_000, 512
 #: Members that are compared with one copy of a hub's set.
 MEMBERS_PER_TASK = 512
 
@@ -123,7 +133,7 @@ def _shared_counts(spark: SparkSession, survey: DataFrame):
     return spark.sparkContext.broadcast(table.reshape(-1))
 
 
-_POSTING = np.dtype([("key", "<u8"), ("fp", "<i8"), ("n", "<i4"), ("pos", "<i4")])
+_POSTING = np.dtype([("key", "<u8"), ("fp", "<i8"), ("n", "<i4")])
 
 
 def _indexer(counts, buckets: int):
@@ -150,10 +160,10 @@ def _indexer(counts, buckets: int):
                 posting = np.empty(prefix_length(n), dtype=_POSTING)
                 order = np.argsort(table[(values & mask).astype(np.int64)], kind="stable")  # values ascend: ties by hash
                 posting["key"] = values[order[: len(posting)]]
-                posting["fp"], posting["n"], posting["pos"] = fp, n, np.arange(len(posting))
+                posting["fp"], posting["n"] = fp, n
                 parts.append(posting)
                 held += len(posting)
-                if held >= 2_000_000:
+                if held >= HELD_POSTINGS:
                     yield pack(parts)
                     parts, held = [], 0
         if parts:
@@ -162,7 +172,7 @@ def _indexer(counts, buckets: int):
     return index
 
 
-_LISTS = "key long, fp long, n int, pos int, hub long"
+_LISTS = "key long, fp long, n int, hub long"
 
 
 def _lists(table: pa.Table) -> pa.Table:
@@ -181,16 +191,20 @@ def _lists(table: pa.Table) -> pa.Table:
     key, fp = postings["key"], postings["fp"]
     first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
     hub = np.repeat(np.minimum.reduceat(fp, first), np.diff(np.concatenate((first, [len(key)])))) if len(key) else fp
-    return pa.table({"key": pa.array(key.view(np.int64)), "fp": pa.array(fp), "n": pa.array(postings["n"]), "pos": pa.array(postings["pos"]), "hub": pa.array(hub)})
+    return pa.table({"key": pa.array(key.view(np.int64)), "fp": pa.array(fp), "n": pa.array(postings["n"]), "hub": pa.array(hub)})
 
 
 def _make_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ones, blobs = [], []
-        for _, values in document_sets(batch.column("text")):
+        rows, ones, blobs, held = [], [], [], 0
+        for row, values in document_sets(batch.column("text")):
+            rows.append(row)
             ones.append(fingerprint(values)[0])
             blobs.append(values.tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ones, pa.int64()), pa.array(blobs, pa.binary())], names=["doc_id", "fp", "items"])
+            held += len(values)
+            if held >= HELD_POSTINGS or row == len(batch) - 1:
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(rows)), pa.array(ones, pa.int64()), pa.array(blobs, pa.binary())], names=["doc_id", "fp", "items"])
+                rows, ones, blobs, held = [], [], [], 0
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
@@ -219,15 +233,150 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], names=["a", "b"])
 
 
+@dataclass(frozen=True)
+class Block:
+    """Sets of a block as arrays: nodes, sizes, labels, and the keys of all lists that they are in."""
+
+    blk: int
+    nodes: np.ndarray
+    sizes: np.ndarray
+    labels: np.ndarray
+    keys: np.ndarray
+    owners: np.ndarray
+
+    @classmethod
+    def of(cls, blk: int, members: pa.StructArray) -> Block:
+        nodes, sizes, labels, keys = members.flatten()
+        owners = np.repeat(np.arange(len(nodes)), np.asarray(keys.value_lengths()))
+        flat = np.asarray(keys.flatten())
+        order = np.argsort(flat, kind="stable")
+        return cls(blk, np.asarray(nodes), np.asarray(sizes).astype(np.int64), np.asarray(labels), flat[order], owners[order])
+
+    def shared_lists(self, other: Block) -> np.ndarray:
+        """Number of common keys of each own set with each set of the other block."""
+        counts = np.zeros((len(self.nodes), len(other.nodes)), dtype=np.int32)
+        for key in np.intersect1d(self.keys, other.keys):
+            sides = [x.owners[np.searchsorted(x.keys, key) : np.searchsorted(x.keys, key, side="right")] for x in (self, other)]
+            counts[np.ix_(*sides)] += 1
+        return counts
+
+    def candidates(self, other: Block) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of nodes of different classes that share enough lists."""
+        one, two = self.sizes[:, None], other.sizes[None, :]
+        needed = -(-NUMERATOR * (one + two) // (NUMERATOR + DENOMINATOR)) + (-NUMERATOR * np.maximum(one, two) // DENOMINATOR) + 1
+        fit = (self.shared_lists(other) >= np.maximum(needed, 1)) & (self.labels[:, None] != other.labels[None, :])
+        fit &= DENOMINATOR * np.minimum(one, two) >= NUMERATOR * np.maximum(one, two)
+        if self.blk == other.blk:
+            fit &= self.nodes[:, None] < other.nodes[None, :]
+        rows, columns = np.nonzero(fit)
+        return self.nodes[rows], other.nodes[columns]
+
+
+def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (blk_a, blk_b, blk, members) come sorted by both blocks: one row for each of the two, or for the only one."""
+    at, held = None, {}
+    kind = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
+
+    def found() -> pa.RecordBatch:
+        pairs = []
+        if held and all(blk in held for blk in at):
+            left, right = held[at[0]].candidates(held[at[1]])
+            pairs = [[{"a": a, "b": b} for a, b in zip(left.tolist(), right.tolist(), strict=True)]] if len(left) else []
+        return pa.RecordBatch.from_arrays([pa.array([at[i]] if pairs else [], pa.int64()) for i in (0, 1)] + [pa.array(pairs, kind)], names=["blk_a", "blk_b", "pairs"])
+
+    for batch in batches:
+        columns = [batch.column(c).to_pylist() for c in ("blk_a", "blk_b", "blk")]
+        for row, (a, b, blk) in enumerate(zip(*columns, strict=True)):
+            if (a, b) != at:
+                yield found()
+                at, held = (a, b), {}
+            held[blk] = Block.of(blk, batch.column("members")[row].values)
+    yield found()
+
+
+def _candidate_pairs(last: DataFrame, scratch: Scratch) -> DataFrame:
+    """(blk_a, blk_b, pairs) of members (key, node, n, label, largest) of open lists.
+
+    A node's family is the class that is the largest in most of its lists;
+    families are cut into blocks of bounded size, and the nodes of two blocks
+    that share a list meet in one task.
+    """
+    family = last.groupBy("node", "n", "label", "largest").agg(F.count("*").alias("lists"), F.collect_list("key").alias("keys"))
+    family = family.groupBy("node", "n", "label").agg(F.max_by("largest", F.struct("lists", "largest")).alias("family"), F.flatten(F.collect_list("keys")).alias("keys"))
+    family = scratch.keep(family, "families")
+    cuts = family.groupBy("family").agg(F.ceil(F.greatest(F.sum("n") / BLOCK_SHINGLES, F.count("*") / BLOCK_NODES)).alias("cuts"))
+    nodes = family.join(cuts, "family").withColumn("blk", F.xxhash64("family", F.pmod(F.xxhash64("node"), F.col("cuts")))).select("blk", "node", "n", "label", "keys")
+    nodes = scratch.keep(nodes, "blocks")
+    of_list = scratch.keep(nodes.select("blk", F.explode("keys").alias("key")).distinct(), "block_keys")
+    met = of_list.select("key", F.col("blk").alias("blk_a")).join(of_list.select("key", F.col("blk").alias("blk_b")), "key").where("blk_a <= blk_b")
+    met = scratch.keep(met.select("blk_a", "blk_b").distinct(), "block_pairs")
+    seats = met.select("blk_a", "blk_b", F.explode(F.array_distinct(F.array("blk_a", "blk_b"))).alias("blk"))
+    packed = nodes.groupBy("blk").agg(F.collect_list(F.struct("node", "n", "label", "keys")).alias("members"))
+    rows = packed.join(seats, "blk").select("blk_a", "blk_b", "blk", "members")
+    return rows.repartition("blk_a", "blk_b").sortWithinPartitions("blk_a", "blk_b").mapInArrow(_candidates, "blk_a long, blk_b long, pairs array<struct<a: bigint, b: bigint>>")
+
+
+def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by (blk_a, blk_b, node): the pairs to compare (node null), then a set of each of their nodes."""
+    at, wanted, sets = None, [], {}
+
+    def compared() -> pa.RecordBatch:
+        found = [(a, b) for a, b in wanted if similar(sets[a], sets[b])]
+        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    for batch in batches:
+        keys = zip(batch.column("blk_a").to_pylist(), batch.column("blk_b").to_pylist(), strict=True)
+        nodes = batch.column("node").to_pylist()
+        for row, key in enumerate(keys):
+            if key != at:
+                yield compared()
+                at, wanted, sets = key, [], {}
+            if nodes[row] is None:
+                wanted += [(x["a"], x["b"]) for x in batch.column("pairs")[row].as_py()]
+            else:
+                sets[nodes[row]] = np.frombuffer(batch.column("items")[row].as_buffer(), dtype=_U).copy()
+    yield compared()
+
+
+def _verified_blocks(packed: DataFrame, sets: DataFrame) -> DataFrame:
+    """The similar ones of (blk_a, blk_b, pairs): each set travels once for all pairs between two blocks."""
+    both = F.array_union(F.transform("pairs", lambda x: x["a"]), F.transform("pairs", lambda x: x["b"]))
+    wanted = small(packed.select("blk_a", "blk_b", F.explode(both).alias("node")))
+    none = F.lit(None).cast("array<struct<a: bigint, b: bigint>>")
+    held = sets.join(wanted, "node").select("blk_a", "blk_b", "node", "items", none.alias("pairs"))
+    asked = packed.select("blk_a", "blk_b", F.lit(None).cast("long").alias("node"), F.lit(None).cast("binary").alias("items"), "pairs")
+    rows = held.unionByName(asked).repartition("blk_a", "blk_b").sortWithinPartitions("blk_a", "blk_b", F.col("node").asc_nulls_first())
+    return rows.mapInArrow(_compare_blocks, "a long, b long")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of the (a, b) pairs whose sets are similar.  A busy a is split over several copies of its set."""
     salts = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS_PER_TASK).cast("int").alias("salts"))
-    members = pairs.join(salts, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int"))
-    members = members.join(sets.select(F.col("node").alias("b"), "items"), "b").select("a", "salt", "b", "items")
-    owners = salts.join(sets.select(F.col("node").alias("a"), "items"), "a")
-    owners = owners.select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(None).cast("long").alias("b"), "items")
-    rows = members.unionByName(owners).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
-    return rows.mapInArrow(_compare, "a long, b long")
+    members = pairs.join(salts, "a").select("a", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"), F.col("b").alias("node"), "b")
+    owners = salts.select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("a").alias("node"), F.lit(None).cast("long").alias("b"))
+    rows = sets.join(small(members.unionByName(owners)), "node").select("a", "salt", "b", "items")
+    return rows.repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first()).mapInArrow(_compare, "a long, b long")
+
+
+def _shared_needed() -> Column:
+    """Lists that similar sets of n_a and n_b shingles share at least.
+
+    Of the ceil(0.75 / 1.75 * (n_a + n_b)) common shingles, those outside both
+    prefixes are at most ceil(0.75 n) - 1 for the larger n.
+    """
+    common = F.expr(f"ceil({NUMERATOR} * (n_a + n_b) / {NUMERATOR + DENOMINATOR})")
+    return common - F.expr(f"ceil({NUMERATOR} * greatest(n_a, n_b) / {DENOMINATOR})") + 1
+
+
+def _sizes_fit() -> Column:
+    return (DENOMINATOR * F.col("n_a") >= NUMERATOR * F.col("n_b")) & (DENOMINATOR * F.col("n_b") >= NUMERATOR * F.col("n_a"))
+
+
+def _open_lists(member: DataFrame) -> DataFrame:
+    """Members (key, fp, node, n, label) of the lists that hold more than one class, with the list's largest class."""
+    per_class = member.groupBy("key", "label").agg(F.count("*").alias("size"))
+    largest = per_class.groupBy("key").agg(F.count("*").alias("classes"), F.max_by("label", F.struct("size", "label")).alias("largest")).where("classes > 1")
+    return member.join(largest.select("key", "largest"), "key")
 
 
 def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -241,6 +390,7 @@ def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     Other columns of `docs` are ignored whatever their names.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     scratch = Scratch(spark, "jaccard")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     survey = scratch.keep(docs.mapInArrow(_survey, _SURVEY), "survey")
@@ -252,37 +402,43 @@ def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     counts = _shared_counts(spark, survey)
     buckets = max(4 * shuffle_partitions(spark), total // (4 * POSTINGS_PER_BUCKET))
     packed = docs.where("doc_id IS NOT NULL").select("text").mapInArrow(_indexer(counts, buckets), "bucket int, postings binary")
+    bound_batches(spark, GROUP_BATCH_BYTES)
     lists = scratch.keep(packed.groupBy("bucket").applyInArrow(_lists, _LISTS), "lists")
-
-    by_fp = nodes.select("fp", "node")
-    star = lists.where("fp <> hub").select("fp", "hub").distinct()
-    star = star.join(by_fp.withColumnRenamed("node", "b"), "fp").join(by_fp.select(F.col("fp").alias("hub"), F.col("node").alias("a")), "hub")
-    star = scratch.keep(star.where("a <> b").select("a", "b"), "star")
-    involved = lists.select("fp").distinct().join(nodes, "fp").select(F.col("node").alias("doc_id"), "fp").distinct()
-    involved = scratch.keep(involved, "involved")
-    ids = involved.select("doc_id").distinct()
-    if involved.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    made = docs.join(ids, "doc_id", "left_semi").mapInArrow(_make_sets, "doc_id long, fp long, items binary")
-    sets = made.join(involved, ["doc_id", "fp"], "left_semi").dropDuplicates(["doc_id", "fp"]).select(F.col("doc_id").alias("node"), "items")
-    sets = scratch.keep(sets, "sets")
+    bound_batches(spark)
+
+    # Each set meets the hub that most of its lists have.  This step and the next may leave out pairs, the last may not.
+    star = scratch.keep(lists.groupBy("fp", "hub").agg(F.count("*").alias("shared")), "hubs")
+    known = scratch.keep(star.select("fp").distinct().join(nodes, "fp").select("fp", "node", "n"), "known")
+    star = star.where("fp <> hub")
+    star = star.join(known.select("fp", F.col("node").alias("b"), F.col("n").alias("n_b")), "fp")
+    star = star.join(known.select(F.col("fp").alias("hub"), F.col("node").alias("a"), F.col("n").alias("n_a")), "hub")
+    star = star.where((F.col("a") != F.col("b")) & _sizes_fit() & (2 * F.col("shared") >= _shared_needed()))
+    star = scratch.keep(star.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a")).select("a", "b"), "star")
+    involved = small(known.select(F.col("node").alias("doc_id"), "fp"))
+    made = docs.join(involved.select("doc_id"), "doc_id", "left_semi").mapInArrow(_make_sets, "doc_id long, fp long, items binary")
+    sets = scratch.keep(made.join(involved, ["doc_id", "fp"], "left_semi").select(F.col("doc_id").alias("node"), "items"), "sets")
+
+    def labels_of(links: DataFrame) -> DataFrame:
+        return small(scratch.keep(known.join(components(links, scratch), "node", "left").select("fp", "node", F.coalesce("label", "node").alias("label")), "labels"))
 
     links = scratch.keep(_verified(star, sets), "links")
-    classes = components(links, scratch)
-    member = lists.join(by_fp, "fp").join(classes, "node", "left").select("key", "node", "n", "pos", F.coalesce("label", "node").alias("label"))
-    per_class = member.groupBy("key", "label").agg(F.count("*").alias("size"))
-    open_lists = per_class.groupBy("key").agg(F.count("*").alias("classes"), F.max_by("label", F.struct("size", "label")).alias("largest")).where("classes > 1")
-    opened = scratch.keep(member.join(open_lists.select("key", "largest"), "key"), "opened")
-    few = opened.where("label <> largest").select("key", *(F.col(c).alias(f"{c}_a") for c in ("node", "n", "pos", "label")))
-    every = opened.select("key", *(F.col(c).alias(f"{c}_b") for c in ("node", "n", "pos", "label")), (F.col("label") == F.col("largest")).alias("in_largest"))
-    wanted = F.expr(f"ceil({NUMERATOR} * (n_a + n_b) / {NUMERATOR + DENOMINATOR})")
-    most = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b"))
-    fits = (F.col("label_a") != F.col("label_b")) & (F.col("in_largest") | (F.col("node_a") < F.col("node_b"))) & (most >= wanted)
-    fits &= (DENOMINATOR * F.col("n_a") >= NUMERATOR * F.col("n_b")) & (DENOMINATOR * F.col("n_b") >= NUMERATOR * F.col("n_a"))
-    pairs = few.join(every, "key").where(fits).select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
-    more = scratch.keep(_verified(pairs, sets), "more_links")
-    links = scratch.keep(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).union(more).distinct(), "all_links")
-    classes = components(links, scratch)
+    opened = scratch.keep(_open_lists(lists.select("key", "fp", "n").join(labels_of(links), "fp")), "opened")
+    # Sets outside a list's largest class meet some of that class first.
+    in_largest = F.col("label") == F.col("largest")
+    met = opened.where(in_largest).groupBy("key").agg(F.max_by(F.struct("node", "n"), F.xxhash64("node")).alias("met")).select("key", F.col("met.node").alias("a"), F.col("met.n").alias("n_a"))
+    offers = opened.where(~in_largest).select("key", F.col("node").alias("b"), F.col("n").alias("n_b")).join(met, "key")
+    offers = offers.groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("shared")).where(_sizes_fit() & (2 * F.col("shared") >= _shared_needed()))
+    offers = offers.withColumn("nth", F.row_number().over(Window.partitionBy("b").orderBy(F.desc("shared"), "a"))).where(F.col("nth") <= OFFERS).select("a", "b")
+    more = scratch.keep(_verified(scratch.keep(offers, "offers"), sets), "more_links")
+    links = scratch.keep(links.union(more).distinct(), "all_links")
+
+    # Sets that are left in different classes are compared if they share enough lists for a link.
+    relabelled = opened.select("key", "fp", "n").join(labels_of(links), "fp")
+    last = scratch.keep(_open_lists(relabelled), "last")
+    pairs = scratch.keep(_candidate_pairs(last, scratch), "pairs")
+    more = scratch.keep(_verified_blocks(pairs, sets), "last_links")
+    classes = components(links.union(more), scratch)
+    scratch.drop(lists, sets, opened, last, pairs)
     found = nodes.join(classes, "node", "left")
     found = found.select("fp", "fp2", F.col("n").alias("n_shingles"), F.coalesce("label", "node").alias("component"))
     out = rows.join(found, ["fp", "fp2", "n_shingles"], "left")

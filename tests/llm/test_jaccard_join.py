@@ -60,8 +60,8 @@ def test_components_match_brute_force(spark, seed):
 
 
 def test_a_large_group_around_the_threshold(spark, monkeypatch):
-    monkeypatch.setattr(jaccard_join, "DENSE_PAIRS", 20)
     monkeypatch.setattr(jaccard_join, "BLOCK_SHINGLES", 2000)
+    monkeypatch.setattr(jaccard_join, "BLOCK_NODES", 30)
     monkeypatch.setattr(jaccard_join, "MEMBERS_PER_TASK", 7)
     rng = random.Random(7)
     text = prose(rng, 100, 10_000)
