@@ -30,13 +30,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .support import Scratch, shuffle_partitions
+from .support import GROUP_BATCH_BYTES, Scratch, bound_batches, shuffle_partitions
 from .textarrays import SPACES, mix, text_blocks, token_hashes, token_ranges
 
 #: Bytes of text in a block.
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES = 3_000_000
 #: Distinct hashes that one reduce group holds, about.
-ENTRIES_PER_BUCKET = 2_000_000
+ENTRIES_PER_BUCKET = 1_000_000
 #: Counts are quantised to thresholds that grow by this factor.
 LOG_BASE = 1.25
 LEVELS = 120
@@ -44,7 +44,7 @@ LEVELS = 120
 BITS_PER_ENTRY = 10
 PROBES = 5
 #: Bytes of the filter that are broadcast at once.
-MAX_BROADCAST = 96_000_000
+MAX_BROADCAST = 64_000_000
 #: Weights of the bigrams in the interpolation.
 WEIGHTS = (0.0, 0.05, 0.2, 0.5, 0.9, 0.99)
 
@@ -211,7 +211,7 @@ def _bigrams(buckets: int):
             trained = np.repeat(block.train, block.n_words + 1)
             hashes = block.hashes()
             held.append(bigram_hashes(hashes[before[trained]], hashes[tokens[trained]]))
-            if sum(map(len, held)) >= 4_000_000:
+            if sum(map(len, held)) >= 1_500_000:
                 yield pack(np.concatenate(held))
                 held = []
         if held:
@@ -337,9 +337,11 @@ def score_texts(docs: DataFrame, may_learn: Column, id_col: str = "doc_id", text
     Other columns of `docs` are ignored.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     scratch = Scratch(spark, "lmscoring")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.coalesce(may_learn, F.lit(False)).alias("train"))
     blocks = scratch.keep(rows.mapInArrow(_blocks, _BLOCK), "blocks")
+    bound_batches(spark, GROUP_BATCH_BYTES)
     sums = blocks.agg(F.sum(F.size("words")).alias("words"), F.sum(F.size("codes") + F.size("ids")).alias("tokens"), F.sum(F.size(F.filter("train", lambda x: x))).alias("texts")).first()
     texts = sums.texts or 0
     buckets = max(shuffle_partitions(spark), (sums.words or 0) // ENTRIES_PER_BUCKET)
@@ -351,24 +353,28 @@ def score_texts(docs: DataFrame, may_learn: Column, id_col: str = "doc_id", text
     buckets = max(shuffle_partitions(spark), (sums.tokens or 0) // ENTRIES_PER_BUCKET)
     pairs = blocks.mapInArrow(_bigrams(buckets), "bucket int, entries array<long>")
     parts = scratch.keep(pairs.groupBy("bucket").applyInArrow(_build, "bucket int, size long, bits binary"), "filter")
+    bound_batches(spark)
 
     by_block = answers.where("block IS NOT NULL").groupBy("block").agg(F.sort_array(F.collect_list(F.struct("bucket", "counts"))).alias("parts"))
     by_block = by_block.select("block", F.flatten(F.transform("parts", lambda x: x["counts"])).alias("counts"))
     counted = blocks.join(by_block, "block", "left").select(*_BLOCK_NAMES, F.coalesce("counts", F.array().cast("array<long>")).alias("counts"))
     parts_of = [f"part{i}" for i in range(len(WEIGHTS))]
     segments = _segments(spark, parts, buckets)
-    first = next(segments)
-    second = next(segments, None)
-    if second is not None:
+    # A row for each text and segment.  The counted blocks are kept if more than one segment reads them.
+    segment = next(segments)
+    following = next(segments, None)
+    if following is not None:
         counted = scratch.keep(counted, "counted")
-    scored = counted.mapInArrow(_scorer(spark.sparkContext.broadcast(first), n, v, texts), _SCORED)
-    if second is not None:
-        scored = scratch.keep(scored, "scores")
-        while second is not None:
-            shared = spark.sparkContext.broadcast(second)
-            scored = scored.union(scratch.keep(counted.mapInArrow(_scorer(shared, n, v, texts), _SCORED), "scores"))
-            shared.unpersist()
-            second = next(segments, None)
+    scored: DataFrame | None = None
+    passes = 0
+    while segment is not None:
+        shared = spark.sparkContext.broadcast(segment)
+        kept = scratch.keep(counted.mapInArrow(_scorer(shared, n, v, texts), _SCORED), "scores")
+        scored, passes = kept if scored is None else scored.union(kept), passes + 1
+        shared.destroy()
+        segment, following = following, next(segments, None)
+    scratch.drop(blocks, answers, parts)
+    if passes > 1:
         scored = scored.groupBy("block", "row").agg(*(F.first(c).alias(c) for c in ("doc_id", "n_tokens", "n_known", "base_score")), *(F.sum(c).alias(c) for c in parts_of))
     best = F.greatest(*parts_of)
     mean = sum((F.pow(F.lit(10.0), F.col(c) - best) for c in parts_of), F.lit(0.0)) / len(WEIGHTS)
