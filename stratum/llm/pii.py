@@ -81,15 +81,15 @@ def _card(f: Feistel, form: str, back: bool) -> str | None:
 
 def _phone(f: Feistel, form: str, back: bool) -> str | None:
     digits = re.sub(r"\D", "", form)
-    if not form.startswith("+") and not 10 <= len(digits) <= 11 or len(digits) > 15 or len(digits) < 8:
+    if not 8 <= len(digits) <= 15:
         return None
-    if len(digits) == 10 or len(digits) == 11 and digits[0] == "1":  # the North American plan
+    if len(digits) == 11 and digits[0] == "1" or len(digits) == 10 and form[0] != "+":  # the North American plan
         head, tail = digits[:-10], digits[-10:]
-        valid = lambda x: x // 10**9 >= 2 and x // 10**6 % 10 >= 2
-        if not valid(int(tail)):
-            return None
-        return _fill(form, head + str(f.permute("nanp", int(tail), 10**10, valid, back)).zfill(10))
-    if not form.startswith("+"):
+        in_plan = lambda x: x // 10**9 >= 2 and x // 10**6 % 10 >= 2
+        # Numbers outside the plan are permuted among themselves, so that both maps can be inverted.
+        name, valid = ("nanp", in_plan) if in_plan(int(tail)) else ("nanp-other", lambda x: not in_plan(x))
+        return _fill(form, head + str(f.permute(name, int(tail), 10**10, valid, back)).zfill(10))
+    if form[0] != "+":
         return None
     head, tail = digits[:3], digits[3:]
     return _fill(form, head + str(f.permute(f"phone{head}{len(tail)}", int(tail), 10 ** len(tail), back=back)).zfill(len(tail)))
@@ -193,6 +193,24 @@ def _secret(f: Feistel, form: str, back: bool) -> str | None:
     return form[:at] + keep + "".join(reversed(out))
 
 
+_AFTER_COUNTRY = r"(?:(?<=\+[0-9])|(?<=\+[0-9]{2})|(?<=\+[0-9]{3}))"
+_IN_PHONE = (
+    r"[ -](?=[0-9]{2})|\.(?=[0-9]{2,4}(?![0-9]))"  # after a point short groups only: not the decimals of a signed number
+    rf"|{_AFTER_COUNTRY}(?:[ -]|[ .-]?\((?=[0-9]{{1,4}}\)))"
+    r"|(?:(?<=\([0-9])|(?<=\([0-9]{2})|(?<=\([0-9]{3})|(?<=\([0-9]{4}))\)[ .-]?"
+)
+#: Digits alone after a plus; +1 with ten digits; a plus and 8 to 15 digits in groups; three, three and four digits.
+_PHONE = "|".join(
+    (
+        r"(?<![\w+])\+(?:[0-9]{10,15}|[0-9]{8,9}(?![ .-][0-9]))(?!\w)",
+        r"(?<![\w+])\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?!\w)",
+        rf"(?<![\w+])\+[0-9](?:(?:{_IN_PHONE})?[0-9]){{7,14}}(?!\w)",
+        r"(?<![\w+])\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}(?![\w-])",
+        r"(?<![\w.-])[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}(?![\w-])",
+    )
+)
+
+
 #: In this order, the first that fits at a place is tried; a form that isn't valid stays as it is.
 KINDS: tuple[tuple[str, str, Callable[[Feistel, str, bool], str | None]], ...] = (
     ("secret", r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])|(?<![A-Za-z])(?:[Tt]oken|[Ss]ecret|[Pp]assword|[Pp]asswd|[Aa]pi[_-]?[Kk]ey)\s{0,3}[=:]\s{0,3}[\"']?(?:[0-9a-f]{16,64}|[0-9A-F]{16,64})(?![0-9A-Za-z])", _secret),
@@ -201,7 +219,7 @@ KINDS: tuple[tuple[str, str, Callable[[Feistel, str, bool], str | None]], ...] =
     ("ip", r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![\w]|\.[0-9])", _ip),
     ("date", r"(?<![\w/.-])(?:[0-9]{4}([-/.])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-/.])[0-9]{1,2}\2[0-9]{4})(?![\w/-]|\.[0-9])", _date),
     ("ssn", r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])", _ssn),
-    ("phone", r"(?<![\w+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-][0-9]{2,4}){1,4}(?![\w])|(?<![\w(+])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![\w-])|(?<![\w.-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![\w-])", _phone),
+    ("phone", _PHONE, _phone),
     ("card", r"(?<![\w-])[0-9](?:[ -]?[0-9]){12,18}(?![\w-])", _card),
 )
 

@@ -39,6 +39,44 @@ def test_values_are_replaced_within_their_format_and_back(kind, value):
     assert Pseudonymizer(b"other")(text)[0] != new
 
 
+PHONES = [
+    *("+1 (017) 555-7713", "+1 (132) 555-1352", "+1 (743) 155-3824", "(017) 555-7713", "017-555-7713", "212.155.0123"),
+    *("+12125550147", "+10175557713", "+442079460958", "+4721234567", "+6561234567"),
+    *("+44 20 79460958", "+44 2079460958", "+1 2125550147", "212 555 0147", "(212) 555 0147", "+65 6123 4567", "+47 22 33 44 55"),
+    *("+33 1 42 68 53 00", "+91 98765 43210", "+49 (0)30 1234567", "+7 (916) 123-45-67", "+44.20.7946.0958"),
+]
+
+
+@pytest.mark.parametrize("value", PHONES)
+def test_phones_of_all_forms_and_plans(value):
+    p = Pseudonymizer(KEY)
+    text = f"{value}: call {value}, or ({value})."
+    new, spans = p(text)
+    assert [k for k, *_ in spans] == ["phone"] * 3
+    (first,) = {new[a:b] for _, a, b in spans}
+    assert first != value and re.sub(r"\d", "9", new) == re.sub(r"\d", "9", text)
+    if value[0] == "+":
+        country = re.match(r"\+(1|44|4|6|33|91|49|7)", value)[0]
+        assert first.startswith(country)
+    assert p(new, back=True)[0] == text
+
+
+def test_a_phone_ends_before_other_numbers():
+    p = Pseudonymizer(KEY)
+    for value in ("+1 (743) 555-3824", "+1 743 555 3824", "+442079460958", "212 555 0147"):
+        alone = p(value)[0]
+        assert p(f"{value} 12 2024 100")[0] == f"{alone} 12 2024 100"
+    text = "+47 22 33 44 55 2024 2025 2026"  # groups beyond 15 digits aren't of the number
+    new, spans = p(text)
+    assert [k for k, *_ in spans] == ["phone"] and new.endswith(" 2025 2026") and p(new, back=True)[0] == text
+
+
+def test_numbers_that_are_no_phones():
+    p = Pseudonymizer(KEY)
+    for value in ("+1234567", "+0.12345678", "+12.34567890123", "a+12125550147", "+1234567890123456", "2125550147", "12 345 6789", "1212 555 0147"):
+        assert p(f"a {value} b") == (f"a {value} b", [])
+
+
 def test_invalid_values_stay():
     p = Pseudonymizer(KEY)
     for value in INVALID:
