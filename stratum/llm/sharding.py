@@ -4,8 +4,11 @@ A store is a folder of immutable runs of Parquet files (shards) and of
 manifest versions.  An arrival is appended as a run of small shards.  Runs of
 a similar size are of one tier; when a tier has FANOUT runs, they are merged
 into one run of target-sized shards, which belongs to a higher tier, so each
-row is rewritten once for each tier.  A merge reads whole runs and coalesces
-their scan into target-sized tasks: no shuffle, and no key that could be hot.
+row is rewritten once for each tier.  A run of many shards far below the target
+(a bulk arrival has one for each write task) is merged without waiting for its
+tier, once at most: its new shards are of the target's size.  A merge reads
+whole runs and coalesces their scan into target-sized tasks: no shuffle, and no
+key that could be hot.
 
 A version of the manifest is a small JSON file that names the live runs (a few
 for each tier, whatever the size of the data).  It is written aside and then
@@ -50,6 +53,10 @@ class Run:
     bytes: int
     files: int
 
+    def undersized(self, target_bytes: int) -> bool:
+        """Whether the run has twice the shards that target-sized ones would be, or more."""
+        return self.files >= 2 * max(1, math.ceil(self.bytes / target_bytes))
+
     @property
     def tier(self) -> int:
         return 0 if self.bytes <= SMALL_BYTES else 1 + int(math.log(self.bytes / SMALL_BYTES, FANOUT))
@@ -167,11 +174,12 @@ class ShardStore:
         return self._read(tuple(r.path for r in self.manifest(version).runs))
 
     def _due(self, runs: tuple[Run, ...]) -> list[Run]:
-        """The runs of the lowest tier that has FANOUT of them, else none."""
+        """The runs of the lowest tier that has FANOUT of them, else those of far too small shards, else none."""
         tiers: dict[int, list[Run]] = {}
         for run in runs:
             tiers.setdefault(run.tier, []).append(run)
-        return next((tiers[t] for t in sorted(tiers) if len(tiers[t]) >= FANOUT), [])
+        full = next((tiers[t] for t in sorted(tiers) if len(tiers[t]) >= FANOUT), None)
+        return full or [r for r in runs if r.undersized(self.target_bytes)]
 
     def merge(self, old: list[Run]) -> Run:
         """One run of target-sized shards with the rows of the old ones."""
@@ -184,7 +192,7 @@ class ShardStore:
         return run
 
     def compact(self) -> Manifest:
-        """Merge tiers until none has FANOUT runs; each merge is a version."""
+        """Merge until no tier has FANOUT runs and no run far too small shards; each merge is a version."""
         while old := self._due(self.manifest().runs):
             run, gone = self.merge(old), {r.path for r in old}
 

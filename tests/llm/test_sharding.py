@@ -4,7 +4,9 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from stratum.llm.queries import op1_sharding
 from stratum.llm.sharding import CommitConflict, Run, ShardStore
+from stratum.llm.support import file_system
 
 from .common import documents, edge_cases, prose
 
@@ -45,6 +47,47 @@ def test_tiers_merge_into_target_sized_shards(spark, store):
     assert store.versions() == [after.version]
 
 
+def test_a_bulk_arrival_is_merged_alone_to_shards_near_the_target(spark, store):
+    rng = random.Random(2)
+    docs = documents(spark, [(i, prose(rng, 200)) for i in range(800)]).repartition(40)
+    store.append(docs)
+    (before,) = store.manifest().runs
+    assert before.files == 40 and before.bytes / before.files < store.target_bytes / 4
+    (after,) = store.compact().runs
+    sizes = [s.getLen() for s in files_of(spark, after)]
+    assert len(sizes) == after.files > 1 and all(store.target_bytes / 2 < b < 2 * store.target_bytes for b in sizes)
+    assert rows(store.read(1)) == rows(store.read())
+    assert store.compact() == store.manifest() and store.manifest().runs == (after,)  # it isn't due again
+
+
+def files_of(spark, run):
+    fs, folder = file_system(spark, run.path)
+    return [s for s in fs.listStatus(folder) if s.getPath().getName().endswith(".parquet")]
+
+
+def test_the_registered_query_merges_every_row(spark, tmp_path, monkeypatch):
+    rng = random.Random(3)
+    documents(spark, [(i, prose(rng, 30)) for i in range(400)]).write.parquet(f"{tmp_path}/documents.parquet")
+    appended, compacted = set(), []
+    append_each, compact = ShardStore.append_each, ShardStore.compact
+
+    def appending(self, *args):
+        manifest = append_each(self, *args)
+        appended.update(r.path for r in manifest.runs)
+        return manifest
+
+    def compacting(self):
+        compacted.append(compact(self))
+        return compacted[0]
+
+    monkeypatch.setattr(ShardStore, "append_each", appending)
+    monkeypatch.setattr(ShardStore, "compact", compacting)
+    assert op1_sharding(spark, str(tmp_path)).count() == 400
+    (manifest,) = compacted
+    assert len(appended) == 36 and not appended & {r.path for r in manifest.runs}
+    assert sum(r.rows for r in manifest.runs) == 400 and sum(r.files for r in manifest.runs) < 4
+
+
 def test_one_of_two_writers_commits(spark, store):
     base = store.manifest()
     run = Run("x", 1, 1, 1)
