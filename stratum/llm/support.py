@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_folder
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Rows of two or three numbers that may be broadcast (some 30 MB).
@@ -29,24 +30,6 @@ def bound_batches(spark: SparkSession, limit: int = BATCH_BYTES) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(limit))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder in `spark.checkpoint.dir`, which driver and executors share.
-
-    Where it is unset, a temporary folder serves, but only in local mode, in
-    which driver and executors are one process on one machine.
-    """
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-    import tempfile
-
-    folder = "file://" + tempfile.mkdtemp(prefix="spark-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
-
-
 def file_system(spark: SparkSession, path: str):
     """(Hadoop FileSystem, Hadoop Path) of a path."""
     jvm = spark.sparkContext._jvm

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import DIM_PROFILE
+from ..session import shared_folder
 
 CHANNEL = "instagram"
 
@@ -48,12 +51,12 @@ def apply_names(dim: DataFrame, observed: DataFrame, run_ts: Column, first_key:
 
     Of several new names of an owner only the last stays open.  New keys
     follow `first_key` (by default the largest key) in order of owner and time.
-    They are dealt by a prefix sum over hashed groups of owners, so that no
+    They are dealt by a prefix sum over ranges of owners and times, so that no
     task sees all changes.
     """
     run_ts = run_ts.cast("timestamp_ntz")
-    changes = name_changes(dim, observed)
-    opened = dense_numbers(changes, "owner_id", "seq")
+    opened = dense_numbers(name_changes(dim, observed), "owner_id", "seq")
+    touched = opened.select("owner_id", F.lit(True).alias("touched")).distinct()
     start = F.lit(first_key) if first_key is not None else F.col("max_key")
     if first_key is None:
         opened = opened.join(F.broadcast(max_key(dim)))  # one row
@@ -66,7 +69,6 @@ def apply_names(dim: DataFrame, observed: DataFrame, run_ts: Column, first_key:
         F.when(~F.col("is_last"), run_ts).alias("effective_to"),
         F.col("is_last").alias("is_current"),
     )
-    touched = changes.select("owner_id", F.lit(True).alias("touched")).distinct()
     closes = F.col("is_current") & F.coalesce("touched", F.lit(False))
     old = dim.join(touched, "owner_id", "left").withColumns({"effective_to": F.when(closes, run_ts).otherwise(F.col("effective_to")), "is_current": F.col("is_current") & ~closes})
     columns = [f.name for f in DIM_PROFILE.fields]
@@ -76,12 +78,19 @@ def apply_names(dim: DataFrame, observed: DataFrame, run_ts: Column, first_key:
 def dense_numbers(df: DataFrame, *order: str) -> DataFrame:
     """Rows numbered 1, 2, 3, ... in an order, without one task that sees them all.
 
-    Ranges of the first column are sorted and numbered by themselves; the
-    sizes of the ranges before, of which there are as many as first
-    characters, are added.
+    Ranges of all the columns of the order, as even as a sample makes them,
+    are sorted and numbered by themselves; the sizes of the ranges before, of
+    which there are as many as shuffle partitions, are added.  The ranges are
+    written to the shared folder, since a second run would draw others.
     """
-    df = df.withColumn("__range", F.coalesce(F.substring(F.col(order[0]).cast("string"), 1, 2), F.lit("")))
-    sizes = df.groupBy("__range").agg(F.count("*").alias("__n"))
-    before = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    inner = F.row_number().over(Window.partitionBy("__range").orderBy(*(F.asc_nulls_first(c) for c in order)))
-    return df.withColumn("__inner", inner).join(before, "__range").withColumn("number", F.col("__before") + F.col("__inner")).drop("__range", "__n", "__before", "__inner")
+    spark = df.sparkSession
+    keys = [F.asc_nulls_first(c) for c in order]
+    # An id has the partition above bit 33 and the place in it below.
+    rows = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("__id", F.monotonically_increasing_id())
+    path = f"{shared_folder(spark)}/numbers-{uuid.uuid4().hex}"
+    rows.write.option("compression", "zstd").parquet(path)
+    kept = spark.read.schema(rows.schema).parquet(path).withColumn("__range", F.shiftright("__id", 33))
+    sizes = kept.groupBy("__range").agg(F.count("*").alias("__n"))
+    before = sizes.select("__range", F.coalesce(F.sum("__n").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
+    number = F.col("__before") + F.col("__id").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return kept.join(F.broadcast(before), "__range").withColumn("number", number).drop("__range", "__id", "__before")

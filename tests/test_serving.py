@@ -1,14 +1,16 @@
 import datetime as dt
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from stratum.operators.dates import date_dimension
-from stratum.operators.scd2 import apply_names, observed_names
+from stratum.operators.scd2 import apply_names, dense_numbers, observed_names
 from stratum.plans.serving import run_dim_profile, run_dim_time, run_view
 from stratum.plans.silver import run_silver
 from stratum.schemas import ANALYTICS_VIEW, DIM_PROFILE
+from stratum.session import shared_folder
 
 from .helpers import T0, bronze, by_id, lake_and_state, post
 
@@ -98,3 +100,24 @@ def test_date_dimension(spark, tmp_path):
     last = days.orderBy(F.desc("date")).first()
     assert (last.year, last.quarter, last.month, last.day, last.day_of_week, last.is_weekend) == (2024, 1, 3, 2, 6, True)
     assert date_dimension(spark, dt.date(2024, 1, 2), dt.date(2024, 1, 1)).isEmpty()
+
+
+@pytest.mark.parametrize("prefix", ["", "17841400"])
+def test_numbers_are_dealt_by_even_ranges(spark, prefix):
+    """Ids with a common beginning are numbered in as many tasks as others."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    folder = Path(shared_folder(spark).removeprefix("file://"))
+    before = set(folder.glob("numbers-*"))
+    try:
+        ids = F.when(F.col("id") % 500 > 0, F.concat(F.lit(prefix), (F.col("id") * 7919 % 4001).cast("string")))
+        df = spark.range(4000).select(ids.alias("owner_id"), F.col("id").alias("seq"))
+        numbered = dense_numbers(df, "owner_id", "seq")
+        assert numbered.columns == ["owner_id", "seq", "number"]
+        got = sorted(map(tuple, numbered.collect()), key=lambda r: r[2])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want = sorted(map(tuple, df.collect()), key=lambda r: (r[0] is not None, r[0] or "", r[1]))
+    assert got == [(*r, i + 1) for i, r in enumerate(want)]
+    (written,) = set(folder.glob("numbers-*")) - before
+    sizes = [spark.read.parquet(str(f)).count() for f in written.glob("*.parquet")]
+    assert len(sizes) == 4 and max(sizes) < 2000
