@@ -1,10 +1,11 @@
 """N-gram Jaccard join: exact components of near-duplicate documents.
 
 The method skips along set relations.  An inverted list holds the documents
-that share a prefix shingle.  Blocks of a list are skipped by size, and by the
-number of prefix positions that a similar set must share; documents that are
-known to be in one class share one answer, so lists and pairs within a class
-are skipped, and only pairs between classes are looked at.
+that share a prefix shingle.  Members of a list that no other's size matches
+are dropped, and pairs that share fewer lists than similar sets must are ruled
+out once these are counted; positions in the prefix aren't used.  Documents
+that are known to be in one class share one answer, so lists and pairs within
+a class are skipped, and only pairs between classes are looked at.
 
 1. One pass over the texts gives every set's size and fingerprint, and adds
    the shingles up in a fixed-size table of hashed counts.  The table only
