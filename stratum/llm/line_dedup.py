@@ -1,21 +1,26 @@
 """Line dedup by content-defined chunks of lines.
 
-A rolling hash over the hashes of the last WINDOW lines chooses after which
-lines a boundary stands; the chunk of a boundary is the WINDOW lines before
-it.  Both depend on these lines only, so lines that are inserted before a
-passage shift nothing inside it, and a longer passage is a run of chunks that
-overlap.  A line of more than LONG_WORDS words is a passage, and so a chunk,
-of its own.
-
-Chunks that stand at several places of the corpus are removed everywhere but
-at the first place, the one with the smallest (document id, line number),
-after their bytes have been compared with the first place's.  The first place
-of each chunk comes before the places that lose it, so every line that goes
-is still held by an earlier one.
-
-Only chunk hashes are shuffled for the search, and texts only for the first
-places and for the final rewrite.  A very frequent chunk is counted by
-partial sums.
+Every line has a hash, and a rolling minimum over windows of two neighbouring
+lines chooses the boundaries (winnowing): of each window the line with the
+smaller hash, the first if both are equal.  So two lines in three are
+boundaries, whether a line is one depends on its neighbours only, and lines
+that are inserted elsewhere shift nothing.  A chunk is a window with its
+boundary.  Every passage of two lines or more holds the boundary of each of
+its windows, whatever stands around it, so passages of any length from two
+lines up are found whole, as runs of chunks that overlap.
+
+1. Boundaries are counted over the corpus.  What stands at a boundary that
+   occurs once can't be repeated and goes no further; most lines end here.
+2. The chunks at repeated boundaries are counted.  One that stands at several
+   places is removed everywhere but at the first, the one with the smallest
+   (document id, line number), after its bytes have been compared with the
+   first place's.  The first place of each chunk comes before the places that
+   lose it, so every line that goes is still held by an earlier one.
+
+Only hashes are shuffled for the search, and texts only for the first places
+and for the final rewrite.  Counts are added up before they are shuffled, and
+every join by a chunk is one of two written tables, so that Spark splits the
+places of a very frequent chunk among tasks.
 """
 
 from __future__ import annotations
@@ -29,20 +34,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .support import Scratch, bound_batches
-from .textarrays import SPACES, mix, text_blocks, token_hashes, token_ranges
-
-#: Lines that the rolling hash covers, and that a chunk has.
-WINDOW = 2
-#: A boundary stands where the rolling hash is 0 modulo this.  A passage of two lines has one
-#: place for a boundary, so every place counts; larger values look for long passages only.
-MODULUS = 1
-#: A line of more words is a chunk of its own.
-LONG_WORDS = 50
+from .textarrays import text_blocks, token_hashes
+
 #: Ids of documents with first places that may be broadcast (8 bytes each).
 BROADCAST_IDS = 1_000_000
 
-_U = np.uint64
-
 
 def line_ranges(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, ends, row offsets) of all lines; an end includes the line's newline, if it has one."""
@@ -52,57 +48,63 @@ def line_ranges(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def _bare(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Ends without the newline: a last line equals the same line elsewhere."""
-    return ends - (data[np.maximum(ends - 1, 0)] == 10) * (ends > starts)
+class Lines:
+    """The lines of a block of texts: byte ranges without newlines, hashes, row and number in its row."""
 
+    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+        self.starts, ends, self.rows = line_ranges(data, offsets)
+        self.ends = ends - (data[np.maximum(ends - 1, 0)] == 10) * (ends > self.starts)  # a last line equals the same line elsewhere
+        self.hashes = token_hashes(data, self.starts, self.ends, lower=False)
+        self.row = np.repeat(np.arange(len(self.rows) - 1), np.diff(self.rows))
+        self.number = np.arange(len(self.starts)) - self.rows[self.row]
 
-def block_chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(row, first line, number of lines, k1, k2, start, end) of all chunks of a block of texts.
+    def chosen(self) -> tuple[np.ndarray, np.ndarray]:
+        """(before, after): whether a line is the boundary of the window with the line before it, and with the one after it."""
+        inside = self.number[1:] > 0
+        before, after = np.zeros((2, len(self.hashes)), dtype=bool)
+        after[:-1] = inside & (self.hashes[:-1] <= self.hashes[1:])
+        before[1:] = inside & (self.hashes[1:] < self.hashes[:-1])
+        return before, after
 
-    Lines count from 0 in each text.  k1 and k2 are two hashes of the chunk's
-    lines, start and end its byte range without the last newline.
-    """
-    starts, ends, rows = line_ranges(data, offsets)
-    bare = _bare(data, starts, ends)
-    hashes = token_hashes(data, starts, bare, lower=False)
-    row = np.repeat(np.arange(len(rows) - 1), np.diff(rows))
-    number = np.arange(len(starts)) - rows[row]
-    # Chunks of WINDOW lines: the rolling hash of the lines that end at each line.
-    one, two = hashes.copy(), mix(hashes)
-    for back in range(1, WINDOW):
-        earlier = np.zeros_like(hashes)
-        earlier[back:] = hashes[:-back]
-        one = one * _U(0x9E3779B97F4A7C15) + earlier
-        two = mix(two * _U(0xD6E8FEB86659FD93) ^ earlier)
-    at = np.flatnonzero((number >= WINDOW - 1) & (mix(one) % _U(MODULUS) == 0))
-    # Long lines.
-    word_starts, _, _ = token_ranges(data, offsets, SPACES)
-    n_words = np.searchsorted(word_starts, bare) - np.searchsorted(word_starts, starts)
-    long = np.flatnonzero(n_words > LONG_WORDS)
-    last = np.concatenate((at, long))
-    n_lines = np.concatenate((np.full(len(at), WINDOW), np.ones(len(long), dtype=np.int64)))
-    k1 = np.concatenate((one[at], hashes[long]))
-    k2 = np.concatenate((two[at], mix(hashes[long] ^ _U(WINDOW))))
-    first = last - n_lines + 1
-    return row[last], number[first], n_lines, k1.view(np.int64), k2.view(np.int64), starts[first], bare[last]
-
-
-_CHUNKS = "doc_id long, line int, n_lines int, k1 long, k2 long, body binary"
-
-
-def _chunker(with_text: bool):
-    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = np.asarray(batch.column("doc_id"))
-            for first, _, data, offsets in text_blocks(batch.column("text")):
-                row, line, n_lines, k1, k2, start, end = block_chunks(data, offsets)
-                # Chunks of a place that occur twice in one text are told apart by their line.
-                body = [data[a:b].tobytes() for a, b in zip(start.tolist(), end.tolist(), strict=True)] if with_text else pa.nulls(len(row))
-                columns = [pa.array(ids[first + row]), pa.array(line.astype(np.int32)), pa.array(n_lines.astype(np.int32)), pa.array(k1), pa.array(k2), pa.array(body, pa.binary()) if with_text else body.cast(pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "line", "n_lines", "k1", "k2", "body"])
-
-    return chunks
+
+_BOUNDARIES = "doc_id long, line int, boundary long, before long, after long"
+
+
+def _boundaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each boundary, with the hashes of the neighbours that it was chosen over."""
+    for batch in batches:
+        ids = np.asarray(batch.column("doc_id"))
+        for first, _, data, offsets in text_blocks(batch.column("text")):
+            lines = Lines(data, offsets)
+            before, after = lines.chosen()
+            at = np.flatnonzero(before | after)
+            hashes = lines.hashes.view(np.int64)
+            near = [pa.array(hashes[np.clip(at + step, 0, len(hashes) - 1)], mask=~side[at]) for step, side in ((-1, before), (1, after))]
+            columns = [pa.array(ids[first + lines.row[at]]), pa.array(lines.number[at].astype(np.int32)), pa.array(hashes[at]), *near]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "line", "boundary", "before", "after"])
+
+
+_KEY = ["boundary", "side", "other"]
+_BODIES = "boundary long, side int, other long, body binary"
+
+
+def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bytes of the wanted chunks of each text; where a text has other lines there, nothing."""
+    for batch in batches:
+        for first, end, data, offsets in text_blocks(batch.column("text")):
+            lines = Lines(data, offsets)
+            wanted = batch.column("wanted").slice(first, end - first)
+            row = np.repeat(np.arange(end - first), np.asarray(wanted.value_lengths()))
+            flat = wanted.flatten()
+            line, boundary, side, other = (np.asarray(flat.field(name)) for name in ("line", *_KEY))
+            there = lines.rows[row] + line
+            ok = there + 1 < lines.rows[row + 1]
+            there, boundary, side, other = there[ok], boundary[ok], side[ok], other[ok]
+            hashes = lines.hashes.view(np.int64)
+            same = (hashes[there + (side == 0)] == boundary) & (hashes[there + (side == 1)] == other)
+            there, key = there[same], [pa.array(x[same]) for x in (boundary, side, other)]
+            body = [data[a:b].tobytes() for a, b in zip(lines.starts[there].tolist(), lines.ends[there + 1].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*key, pa.array(body, pa.binary())], names=[*_KEY, "body"])
 
 
 def _removed(text: bytes, doubtful: list[dict]) -> tuple[bytes, int, int]:
@@ -114,9 +116,9 @@ def _removed(text: bytes, doubtful: list[dict]) -> tuple[bytes, int, int]:
     gone: set[int] = set()
     chunks = 0
     for given in doubtful:
-        a, b = given["line"], given["line"] + given["n_lines"]
-        if b"\n".join(lines[a:b]) == given["body"]:
-            gone.update(range(a, b))
+        at = given["line"]
+        if b"\n".join(lines[at : at + 2]) == given["body"]:
+            gone.update((at, at + 1))
             chunks += 1
     kept = [line for i, line in enumerate(lines) if i not in gone]
     return b"\n".join(kept) + b"\n" * (tail and bool(kept)), len(gone), chunks
@@ -151,27 +153,40 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """(doc_id, *carry, text, n_lines, n_removed_lines, n_removed_chunks), one row per input row.
 
     Null texts stay null and empty ones empty, with no lines.  A document of
-    repeated chunks only ends as an empty text.  Rows with a null id keep
-    their text.  Rows that repeat an id count as one document: a chunk whose
-    first place is at a line of that id stays there in all of them.  Columns of
-    `docs` that `carry` doesn't name are ignored.
+    repeated chunks only ends as an empty text; a line that is repeated alone
+    stays.  Rows with a null id keep their text.  Rows that repeat an id count
+    as one document: a chunk whose first place is at a line of that id stays
+    there in all of them.  Columns of `docs` that `carry` doesn't name are
+    ignored; those it names may have any names but the ones of the result.
     """
     spark = docs.sparkSession
     bound_batches(spark)
     scratch = Scratch(spark, "linededup")
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), *carry, F.col(text_col).cast("string").alias("text"))
+    carried = [F.col(c).alias(f"carry_{i}") for i, c in enumerate(carry)]
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), *carried, F.col(text_col).cast("string").alias("text"))
     known = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
-    key = ["k1", "k2", "n_lines"]
-    places = scratch.keep(known.mapInArrow(_chunker(False), _CHUNKS).drop("body"), "places")
-    first = places.groupBy(*key).agg(F.count("*").alias("places"), F.min(F.struct("doc_id", "line")).alias("first")).where("places > 1")
-    first = scratch.keep(first.select(*key, F.col("first.doc_id").alias("first_doc"), F.col("first.line").alias("first_line")), "first")
-    again = places.join(first, key).where("doc_id <> first_doc OR line <> first_line").select(*key, "doc_id", "line")
+
+    boundaries = scratch.keep(known.mapInArrow(_boundaries, _BOUNDARIES), "boundaries")
+    repeated = scratch.keep(boundaries.groupBy("boundary").agg(F.count("*").alias("places")).where("places > 1").select("boundary"), "repeated")
+    side = lambda number, other, line: F.struct(F.lit(number).alias("side"), other.alias("other"), line.alias("line"))
+    windows = F.array(side(0, F.col("before"), F.col("line") - 1), side(1, F.col("after"), F.col("line")))
+    chunks = boundaries.join(repeated, "boundary", "left_semi").select("boundary", "doc_id", F.inline(windows)).where("other IS NOT NULL")
+    chunks = scratch.keep(chunks, "chunks")
+    scratch.drop(boundaries, repeated)
+
+    first = chunks.groupBy(*_KEY).agg(F.count("*").alias("places"), F.min(F.struct("doc_id", "line")).alias("first")).where("places > 1")
+    first = scratch.keep(first.select(*_KEY, F.col("first.doc_id").alias("first_doc"), F.col("first.line").alias("first_line")), "first")
+    again = scratch.keep(chunks.join(first, _KEY).where("doc_id <> first_doc OR line <> first_line").select(*_KEY, "doc_id", "line"), "again")
     owners = first.select(F.col("first_doc").alias("doc_id")).distinct()
     if first.count() <= BROADCAST_IDS:
         owners = F.broadcast(owners)
-    bodies = known.join(owners, "doc_id", "left_semi").mapInArrow(_chunker(True), _CHUNKS)
-    bodies = bodies.join(first.withColumnsRenamed({"first_doc": "doc_id", "first_line": "line"}), [*key, "doc_id", "line"], "left_semi").dropDuplicates(key)
-    bodies = scratch.keep(bodies.select(*key, "body"), "bodies")
-    doubtful = again.join(bodies, key).groupBy("doc_id").agg(F.collect_set(F.struct("line", "n_lines", "body")).alias("doubtful"))
+    wanted = first.groupBy(F.col("first_doc").alias("doc_id")).agg(F.collect_list(F.struct(F.col("first_line").alias("line"), *_KEY)).alias("wanted"))
+    texts = known.join(owners, "doc_id", "left_semi").join(wanted, "doc_id").select("text", "wanted")
+    bodies = scratch.keep(texts.mapInArrow(_bodies, _BODIES).dropDuplicates(_KEY), "bodies")
+    doubtful = again.join(bodies, _KEY).groupBy("doc_id").agg(F.collect_set(F.struct("line", "body")).alias("doubtful"))
+    doubtful = scratch.keep(doubtful, "doubtful")
+    scratch.drop(chunks, first, again, bodies)
+
     schema = T.StructType([*docs.schema.fields, *(T.StructField(n, T.LongType()) for n in ("n_lines", "n_removed_lines", "n_removed_chunks"))])
-    return docs.join(doubtful, "doc_id", "left").select(*docs.columns, "doubtful").mapInArrow(_rewrite, schema)
+    rewritten = docs.join(doubtful, "doc_id", "left").select(*docs.columns, "doubtful").mapInArrow(_rewrite, schema)
+    return rewritten.select("doc_id", *(F.col(f"carry_{i}").alias(c) for i, c in enumerate(carry)), "text", "n_lines", "n_removed_lines", "n_removed_chunks")

@@ -138,15 +138,14 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, s.item_id, n_shingles, count(*) AS n_common, count(*) / n_shingles AS containment
         FROM t JOIN s ON s.k = t.k AND s.g = t.g JOIN n ON n.item_id = s.item_id GROUP BY doc_id, s.item_id, n_shingles HAVING count(*) * 100 >= 75 * n_shingles
     """,
-    "op10_line_dedup": f"""
+    "op10_line_dedup": """
         WITH b AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL AND text <> ''),
         d AS (SELECT doc_id, len(l) > 1 AND l[-1] = '' AS tail, CASE WHEN len(l) > 1 AND l[-1] = '' THEN l[:-2] ELSE l END AS l FROM b),
         lines AS (SELECT doc_id, unnest(range(1, len(l) + 1)) AS i, unnest(l) AS line FROM d),
-        c AS (SELECT doc_id, i, 2 AS n, l[i] || chr(10) || l[i + 1] AS body FROM (SELECT doc_id, l, unnest(range(1, len(l))) AS i FROM d)
-              UNION ALL SELECT doc_id, i, 1, line FROM lines WHERE len({_WORDS.format("line")}) > 50),
-        f AS (SELECT n, body, min((doc_id, i)) AS first FROM c GROUP BY 1, 2),
-        gone AS (SELECT c.doc_id, c.i, c.n FROM c JOIN f ON f.n = c.n AND f.body = c.body WHERE (c.doc_id, c.i) <> f.first),
-        g AS (SELECT DISTINCT doc_id, i FROM (SELECT doc_id, i FROM gone UNION ALL SELECT doc_id, i + 1 FROM gone WHERE n = 2)),
+        c AS (SELECT doc_id, i, l[i] || chr(10) || l[i + 1] AS body FROM (SELECT doc_id, l, unnest(range(1, len(l))) AS i FROM d)),
+        f AS (SELECT body, min((doc_id, i)) AS first FROM c GROUP BY 1),
+        gone AS (SELECT c.doc_id, c.i FROM c JOIN f ON f.body = c.body WHERE (c.doc_id, c.i) <> f.first),
+        g AS (SELECT DISTINCT doc_id, i FROM (SELECT doc_id, i FROM gone UNION ALL SELECT doc_id, i + 1 FROM gone)),
         k AS (SELECT lines.doc_id, count(*) AS n_lines, count(g.i) AS n_removed, string_agg(CASE WHEN g.i IS NULL THEN line END, chr(10) ORDER BY lines.i) AS kept
               FROM lines LEFT JOIN g ON g.doc_id = lines.doc_id AND g.i = lines.i GROUP BY 1),
         m AS (SELECT doc_id, count(*) AS n_chunks FROM gone GROUP BY 1)

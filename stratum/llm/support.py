@@ -41,13 +41,17 @@ class Scratch:
     """Intermediate tables as Parquet in the shared folder.
 
     They cut lineage in a way that a lost executor can't undo.  `drop` frees
-    the disk of a table that no later step reads.
+    the disk of a table that no later step reads; results are lazy, so what
+    they read stays until the application ends, and goes then.
     """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
         self._n = 0
+        fs, path = file_system(spark, self.root)
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
 
     def path(self, name: str) -> str:
         self._n += 1
@@ -71,10 +75,6 @@ class Scratch:
             fs, path = file_system(self.spark, table._scratch_path)
             fs.delete(path, True)
 
-    def drop_all(self) -> None:
-        fs, path = file_system(self.spark, self.root)
-        fs.delete(path, True)
-
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
