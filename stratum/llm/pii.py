@@ -79,6 +79,19 @@ def _card(f: Feistel, form: str, back: bool) -> str | None:
     return _fill(form, body + str(luhn_digit(body)))
 
 
+#: Country calling codes of one and two digits (fixed values of the numbering plan); all others have three.
+ONE_DIGIT_CODES = ("1", "7")
+TWO_DIGIT_CODES = (
+    "20", "27", "30", "31", "32", "33", "34", "36", "39", "40", "41", "43", "44", "45", "46", "47", "48", "49", "51", "52", "53", "54", "55", "56", "57", "58",
+    "60", "61", "62", "63", "64", "65", "66", "81", "82", "84", "86", "90", "91", "92", "93", "94", "95", "98",
+)
+
+
+def country_code(digits: str) -> str:
+    """Calling code at the beginning of an international number."""
+    return digits[:1] if digits[:1] in ONE_DIGIT_CODES else digits[:2] if digits[:2] in TWO_DIGIT_CODES else digits[:3]
+
+
 def _phone(f: Feistel, form: str, back: bool) -> str | None:
     digits = re.sub(r"\D", "", form)
     if not 8 <= len(digits) <= 15:
@@ -91,8 +104,9 @@ def _phone(f: Feistel, form: str, back: bool) -> str | None:
         return _fill(form, head + str(f.permute(name, int(tail), 10**10, valid, back)).zfill(10))
     if form[0] != "+":
         return None
-    head, tail = digits[:3], digits[3:]
-    return _fill(form, head + str(f.permute(f"phone{head}{len(tail)}", int(tail), 10 ** len(tail), back=back)).zfill(len(tail)))
+    head = country_code(digits)
+    tail = digits[len(head) :]
+    return _fill(form, head + str(f.permute(f"phone{head}-{len(tail)}", int(tail), 10 ** len(tail), back=back)).zfill(len(tail)))
 
 
 def _ssn_valid(x: int) -> bool:
@@ -153,30 +167,37 @@ _FIRST, _LAST = dt.date(1900, 1, 1).toordinal(), dt.date(2099, 12, 31).toordinal
 
 
 def _date(f: Feistel, form: str, back: bool) -> str | None:
+    """Day and month keep their numbers of digits, so a pseudonym is read back as it was written.
+
+    Dates of 1900 to 2099 are permuted among themselves, and all others (years
+    1 to 9999) too.
+    """
     separator = next(c for c in form if not c.isdigit())
     parts = form.split(separator)
     iso = len(parts[0]) == 4
-    year, month, day = (parts[0], parts[1], parts[2]) if iso else (parts[2], parts[1], parts[0])
-    american = not iso and int(month) > 12
-    if american:
-        month, day = day, month
+    order = (0, 1, 2) if iso else (2, 0, 1) if int(parts[1]) > 12 else (2, 1, 0)  # where year, month and day stand
+    year, month, day = (parts[i] for i in order)
     try:
-        value = dt.date(int(year), int(month), int(day)).toordinal() - _FIRST
+        value = dt.date(int(year), int(month), int(day)).toordinal()
     except ValueError:
         return None
-    if not 0 <= value <= _LAST - _FIRST:
-        return None
-    padded = len(parts[1]) == 2 and len(parts[0]) in (2, 4)
-    # Day and month that can be told apart must stay so, else the pseudonym would be read back otherwise.
-    shape = "iso" if iso else "us" if american else "eu"
-    valid = (lambda x: dt.date.fromordinal(x + _FIRST).day > 12) if american else None
-    if valid and not valid(value):
-        return None
-    day_of = dt.date.fromordinal(f.permute("date" + shape, value, _LAST - _FIRST + 1, valid, back) + _FIRST)
-    show = (lambda x: f"{x:02d}") if padded else str
-    order = (str(day_of.year), show(day_of.month), show(day_of.day))
-    order = order if iso else (order[1], order[2], order[0]) if american else (order[2], order[1], order[0])
-    return separator.join(order)
+    usual = _FIRST <= value <= _LAST
+
+    def valid(x: int) -> bool:
+        if x < 1 or (_FIRST <= x <= _LAST) != usual:
+            return False
+        other = dt.date.fromordinal(x)
+        # In the order month, day, year only a day above 12 can be told apart.
+        return (len(month) == 2 or other.month < 10) and (len(day) == 2 or other.day < 10) and (order != (2, 0, 1) or other.day > 12)
+
+    name = f"date{order}{len(month)}{len(day)}{usual}"
+    if usual:
+        value = f.permute(name, value - _FIRST, _LAST - _FIRST + 1, lambda x: valid(x + _FIRST), back) + _FIRST
+    else:
+        value = f.permute(name, value, dt.date.max.toordinal() + 1, valid, back)
+    new = dt.date.fromordinal(value)
+    parts[order[0]], parts[order[1]], parts[order[2]] = f"{new.year:04d}", f"{new.month:0{len(month)}d}", f"{new.day:0{len(day)}d}"
+    return separator.join(parts)
 
 
 def _secret(f: Feistel, form: str, back: bool) -> str | None:
@@ -236,26 +257,80 @@ def _pattern(names: tuple[str, ...]) -> re.Pattern:
     return re.compile("|".join(parts))
 
 
+_KEYWORD = re.compile(rb"(?:[Tt]oken|[Ss]ecret|[Pp]assword|[Pp]asswd|[Aa]pi[_-]?[Kk]ey)\s{0,3}$")
+_WORD, _LOCAL, _UPPER, _DIGIT = (np.zeros(256, dtype=bool) for _ in range(4))
+_DIGIT[48:58] = _UPPER[65:91] = True
+_WORD[np.frombuffer(b"_0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", np.uint8)] = True
+_LOCAL[:] = _WORD
+_LOCAL[np.frombuffer(b".%+-", np.uint8)] = True
+
+
+def possible_starts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, code point in its text), ascending, of all places at which a pattern of KINDS can begin.
+
+    Numbers begin at a digit after no word character, or at a plus or a bracket
+    before a digit; account numbers at two capitals before two digits; mail
+    addresses at the beginning of a run of their characters before an at sign;
+    secrets at AKIA, or at a keyword before a sign of assignment.
+    """
+    n = len(data)
+    if not n:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    padded = np.concatenate((data, np.zeros(4, np.uint8)))
+    digit, upper = _DIGIT[padded], _UPPER[padded]
+    start = digit[:n].copy()
+    start[1:] &= ~_WORD[data[:-1]]
+    start |= ((data == 43) | (data == 40)) & digit[1 : n + 1]
+    start |= upper[:n] & upper[1 : n + 1] & digit[2 : n + 2] & digit[3 : n + 3]
+    start |= (data == 65) & (padded[1 : n + 1] == 75) & (padded[2 : n + 2] == 73) & (padded[3 : n + 3] == 65)
+    begins = offsets[(offsets > 0) & (offsets < n)]
+    start[begins] |= digit[:n][begins]
+    at = np.flatnonzero(data == 64)
+    if len(at):
+        outside = np.flatnonzero(~_LOCAL[data])
+        bounds = np.union1d(np.concatenate(([0], outside + 1)), begins)
+        start[bounds[np.searchsorted(bounds, at, side="right") - 1]] = True
+    start = np.flatnonzero(start)
+    assigned = []
+    for sign in np.flatnonzero((data == 61) | (data == 58)).tolist():
+        before = data[max(0, sign - 16) : sign].tobytes()
+        # White space beyond ASCII takes more bytes, so any keyword near the sign will do.
+        if found := _KEYWORD.search(before) or (before.isascii() is False and re.search(_KEYWORD.pattern[: -len(rb"\s{0,3}$")], before)):
+            assigned.append(sign - len(before) + found.start())
+    start = np.union1d(start, np.array(assigned, dtype=np.int64))
+    row = np.searchsorted(offsets, start, side="right") - 1
+    points = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))  # code points before each byte
+    return row, points[start] - points[offsets[row]]
+
+
 class Pseudonymizer:
     """Replace (or, with `back`, restore) the personal data of single texts."""
 
     def __init__(self, key: bytes, kinds: tuple[str, ...] = tuple(k for k, _, _ in KINDS)):
         self.feistel = Feistel(key)
         self.pattern = _pattern(kinds)
-        self.makers = {name: maker for name, _, maker in KINDS}
+        self.makers = {name: maker for name, _, maker in KINDS if name in kinds}
 
     def __call__(self, text: str, back: bool = False) -> tuple[str, list[tuple[str, int, int]]]:
         """New text, and (kind, start, end) in it of each replaced value."""
-        parts, spans, at, size = [], [], 0, 0
-        for match in self.pattern.finditer(text):
-            kind = next(k for k in self.makers if match.re.groupindex.get(k) and match[k] is not None)
+        data = np.frombuffer(text.encode(), dtype=np.uint8)
+        return self.replace(text, possible_starts(data, np.array([0, len(data)]))[1].tolist(), back)
+
+    def replace(self, text: str, starts: list[int], back: bool = False) -> tuple[str, list[tuple[str, int, int]]]:
+        """The same, with the places at which a value can begin given."""
+        parts, spans, at, size, free = [], [], 0, 0, 0
+        for start in starts:
+            if start < free or (match := self.pattern.match(text, start)) is None:
+                continue
+            free = match.end()
+            kind = next(k for k in self.makers if match[k] is not None)
             new = self.makers[kind](self.feistel, match[0], back)
             if new is not None:
-                parts += [text[at : match.start()], new]
-                size += match.start() - at
+                parts += [text[at:start], new]
+                size += start - at
                 spans.append((kind, size, size + len(new)))
                 size += len(new)
-                at = match.end()
+                at = free
         return ("".join(parts) + text[at:], spans) if spans else (text, spans)
 
 
@@ -277,16 +352,14 @@ def pseudonymize(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col:
             spans: list[list] = [[] for _ in range(len(texts))]
             new: dict[int, str] = {}
             for first, _, data, offsets in text_blocks(texts):
-                # Every kind has a digit or an at sign, or is a secret of capitals or after a sign of assignment.
-                marks = np.concatenate(([0], np.cumsum(((data >= 48) & (data <= 58)) | (data == 64) | (data == 61))))
-                marked = marks[offsets[1:]] - marks[offsets[:-1]] > 0
-                if b"AKIA" in data.tobytes():
-                    marked[:] = True
-                for row in np.flatnonzero(marked).tolist():
-                    text, found = pseudonymizer(texts[first + row].as_py())
+                row, start = possible_starts(data, offsets)
+                cuts = np.append(np.flatnonzero(np.diff(row, prepend=-1)), len(row))
+                for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                    at = first + int(row[a])
+                    text, found = pseudonymizer.replace(texts[at].as_py(), start[a:b].tolist())
                     if found:
-                        new[first + row] = text
-                        spans[first + row] = [{"kind": k, "start": a, "end": b} for k, a, b in found]
+                        new[at] = text
+                        spans[at] = [{"kind": k, "start": x, "end": y} for k, x, y in found]
             if new:
                 values = texts.to_pylist()
                 for row, text in new.items():

@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -103,3 +104,77 @@ def test_documents(spark):
     cut = lambda r, i: r.text[r.spans[i].start : r.spans[i].end]
     assert cut(a, 0) == cut(b, 0) != "4111111111111111" and [s.kind for s in a.spans] == ["card", "date"]
     assert pseudonymize(documents(spark, []), KEY).isEmpty()
+
+
+def test_all_short_dates_come_back():
+    p = Pseudonymizer(KEY)
+    for form in ("{d}/{m}/2020", "{d:02d}/{m}/2020", "{d}.{m:02d}.1850", "2020-{m}-{d}", "{d:02d}-{m:02d}-2150"):
+        for d in range(1, 13):
+            for m in range(1, 13):
+                value = form.format(d=d, m=m)
+                new, spans = p(value)
+                assert [k for k, *_ in spans] == ["date"] and re.sub(r"\d", "9", new) == re.sub(r"\d", "9", value)
+                assert p(new, back=True)[0] == value
+
+
+@pytest.mark.parametrize("value, country", [("+33 1 23 45 67 89", "+33"), ("+49 30 1234 56", "+49"), ("+14155552671", "+1"), ("+47 22 12 34 56", "+47"), ("+353 1 234 5678", "+353"), ("+7 916 123-45-67", "+7")])
+def test_country_codes_stay(value, country):
+    p = Pseudonymizer(KEY)
+    new, spans = p(f"call {value}.")
+    assert [k for k, *_ in spans] == ["phone"] and new[5:].startswith(country) and new != f"call {value}."
+    assert re.sub(r"\d", "9", new) == re.sub(r"\d", "9", f"call {value}.") and p(new, back=True)[0] == f"call {value}."
+
+
+def scanned(p, text):
+    """A plain scan of the whole text by the patterns, in place of the places that are found first."""
+    spans, parts, at = [], [], 0
+    for match in p.pattern.finditer(text):
+        kind = next(k for k in p.makers if match[k] is not None)
+        new = p.makers[kind](p.feistel, match[0], False)
+        if new is not None:
+            parts += [text[at : match.start()], new]
+            spans.append(kind)
+            at = match.end()
+    return "".join(parts) + text[at:], spans
+
+
+def test_places_are_found_as_by_a_scan_of_the_whole_text():
+    rng, p = random.Random(7), Pseudonymizer(KEY)
+    values = [v for vs in VALUES.values() for v in vs] + PHONES + INVALID
+    glue = [" ", "", ",", ".", "-", "+", "(", ")", "a", "7", "\n", "é", "\u00a0", "@", "x@", "/", "_", "=", ": ", "ü ", "AKIA", "DE12", "token", "token\u00a0=", "tok"]
+    for _ in range(4000):
+        text = "".join(rng.choice(values) if rng.random() < 0.45 else rng.choice(glue) for _ in range(rng.randrange(1, 9)))
+        new, spans = p(text)
+        assert (new, [k for k, *_ in spans]) == scanned(p, text), text
+
+
+def luhn_valid(digits):
+    total = sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(digits)))
+    return total % 10 == 0
+
+
+def test_an_independent_finder_agrees_on_words():
+    """Words that are digits and points only, judged one by one without the patterns."""
+    rng, p = random.Random(8), Pseudonymizer(KEY)
+    tokens, expected = [], []
+    for _ in range(1500):
+        kind = rng.randrange(3)
+        if kind == 0:
+            token = ".".join(str(rng.randrange(0, 330)) for _ in range(4))
+            valid = all(int(x) < 256 for x in token.split(".")) and token.split(".")[0] != "0"
+            found = "ip"
+        elif kind == 1:
+            token = str(rng.randrange(10**15, 10**16))
+            token = token if rng.random() < 0.5 else token[:-1] + str(luhn_digit(token[:-1]))
+            valid, found = luhn_valid(token) and len(set(token)) > 1, "card"
+        else:
+            token = f"{rng.randrange(1000):03d}-{rng.randrange(100):02d}-{rng.randrange(10000):04d}"
+            area, group, serial = map(int, token.split("-"))
+            valid, found = 0 < area < 900 and area != 666 and group > 0 and serial > 0, "ssn"
+        tokens.append(token)
+        if valid:
+            expected.append(found)
+    text = " word ".join(tokens)
+    new, spans = p(text)
+    assert [k for k, *_ in spans] == expected
+    assert len(new.split()) == len(text.split()) and p(new, back=True)[0] == text
