@@ -2,22 +2,28 @@
 
 1. One pass over the texts turns them into blocks: the distinct word hashes of
    a few megabytes of text, and the texts as codes into them.
-2. Exact word counts: every block sends its distinct hashes with their counts
-   in training texts to the hash's bucket, where they are added up, and gets
-   the corpus counts back.
-3. Bigrams of the training texts are counted exactly in the same way and then
-   kept as a log-frequency Bloom filter: a bigram of quantised count q is
-   entered q times, as (bigram, 1) to (bigram, q).  A bucket's entries have a
-   part of the filter of their own, sized for them, so that the rate of false
-   positives is the same at any size.
-4. Workers get the filter as a broadcast.  It is cut into segments of at most
-   MAX_BROADCAST bytes; a segment is broadcast at a time, and each token's
-   bigram lies in one of them.  A bigram's count is read by probing (bigram,
-   1), (bigram, 2) and so on until a probe fails; it can't exceed the exact
-   counts of its words.  The model is a bigram with Dirichlet smoothing:
-   P(w | h) = (c(h w) + KAPPA * P(w)) / (c(h) + KAPPA), with P(w) of the base.
-
-Words are told apart by 64-bit hashes, bigrams by 56 bits.
+2. Exact word counts: a row for each block and distinct word, with its count
+   in training texts, is summed by word and joined back to the blocks.
+3. Bigrams of the training texts are counted exactly and then kept as a
+   log-frequency Bloom filter: a bigram of quantised count q is entered q
+   times, as (bigram, 1) to (bigram, q).  A bucket's entries have a part of the
+   filter of their own, sized for them, so that the rate of false positives is
+   the same at any size.
+4. The filter is cut into segments of at most MAX_BROADCAST bytes, and the
+   distinct bigrams of each block are written once, dealt by segment.  Workers
+   get one segment after the other as a broadcast and probe that segment's
+   bigrams only, so all passes together read each bigram once, however many
+   segments there are.  A bigram's level is read by probing (bigram, 1),
+   (bigram, 2) and so on until a probe fails.
+5. Levels and word counts are joined to the blocks, which gives the scores.  A
+   level stands for its smallest count, which can't exceed the exact counts of
+   the bigram's words.  The model is the mean of len(WEIGHTS) interpolated
+   models, P(text) = mean over weights of the product of
+   P(w | h) = weight * c(h w) / c(h) + (1 - weight) * P(w), with P(w) of the
+   base (which also stands for P(w | h) where h doesn't occur).
+
+Words are told apart by 64-bit hashes, bigrams by 56 bits, and in the filter by
+their bucket and 32 bits.
 """
 
 from __future__ import annotations
@@ -43,7 +49,7 @@ LEVELS = 120
 #: Filter bits for each entry, and probes: a rate of false positives of about 0.8 %.
 BITS_PER_ENTRY = 10
 PROBES = 5
-#: Bytes of the filter that are broadcast at once.
+#: Bytes of the filter that are broadcast, and that the driver holds, at once.
 MAX_BROADCAST = 64_000_000
 #: Weights of the bigrams in the interpolation.
 WEIGHTS = (0.0, 0.05, 0.2, 0.5, 0.9, 0.99)
@@ -61,10 +67,8 @@ def thresholds() -> np.ndarray:
 
 
 def level_values() -> np.ndarray:
-    """Count that a level stands for (level 0: none): the middle of its range."""
-    low = thresholds()
-    high = np.append(low[1:], low[-1] * LOG_BASE)
-    return np.concatenate(([0.0], (low + high - 1) / 2))
+    """Count that a level stands for (level 0: none): the smallest, so that probabilities never add up to more than 1."""
+    return np.concatenate(([0.0], thresholds()))
 
 
 def bigram_hashes(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -133,6 +137,12 @@ class Block:
     def hashes(self) -> np.ndarray:
         return np.concatenate((self.words, [_END, _START]))
 
+    def bigrams(self) -> tuple[np.ndarray, np.ndarray]:
+        """(hashes of the distinct bigrams, ascending, and which of them each token ends)."""
+        tokens, before, _ = self.sequence()
+        hashes = self.hashes()
+        return np.unique(bigram_hashes(hashes[before], hashes[tokens]), return_inverse=True)
+
 
 def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, int, Block]]:
     for batch in batches:
@@ -151,40 +161,12 @@ def _split(bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return bucket[at], np.append(at, len(bucket))
 
 
-def _ask(buckets: int):
-    """Map function: distinct hashes of each block with their training counts, by bucket."""
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, _, block in _each(batches):
-            trained = np.repeat(block.train, block.n_words)
-            counts = np.bincount(block.codes[trained], minlength=len(block.words)).astype(np.int32)
-            of, offsets = _split(bucket_of(block.words, buckets))
-            lists = [pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(v)) for v in (block.words.view(np.int64), counts)]
-            yield pa.RecordBatch.from_arrays([pa.array(of.astype(np.int32)), pa.array(np.full(len(of), block.number)), *lists], names=["bucket", "block", "words", "counts"])
-
-    return ask
-
-
-def _answer(table: pa.Table) -> pa.Table:
-    """Corpus counts of one bucket's hashes, for each block that asked; a row without block has totals."""
-    table = table.combine_chunks()
-    lengths = np.asarray(table.column("words").combine_chunks().value_lengths()).astype(np.int64)
-    words = np.asarray(table.column("words").combine_chunks().flatten()).view(_U)
-    counts = np.asarray(table.column("counts").combine_chunks().flatten())
-    _, inverse = np.unique(words, return_inverse=True)
-    totals = np.bincount(inverse, weights=counts).astype(np.int64)
-    offsets = np.append(np.concatenate(([0], np.cumsum(lengths))), len(words)).astype(np.int32)
-    answers = pa.ListArray.from_arrays(pa.array(offsets), pa.array(totals[inverse]))
-    nothing = pa.nulls(len(lengths), pa.int64())
-    return pa.table(
-        {
-            "block": pa.concat_arrays([table.column("block").combine_chunks().cast(pa.int64()), pa.array([None], pa.int64())]),
-            "bucket": pa.array(np.append(np.asarray(table.column("bucket")), -1).astype(np.int32)),
-            "counts": answers,
-            "n": pa.concat_arrays([nothing, pa.array([int(totals.sum())])]),
-            "v": pa.concat_arrays([nothing, pa.array([int((totals > 0).sum())])]),
-        }
-    )
+def _block_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each block and distinct word, with the word's count in training texts."""
+    for _, _, block in _each(batches):
+        trained = np.repeat(block.train, block.n_words)
+        counts = np.bincount(block.codes[trained], minlength=len(block.words)).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(counts), block.number)), pa.array(block.words.view(np.int64)), pa.array(counts)], names=["block", "word", "n"])
 
 
 # --- the filter -----------------------------------------------------------
@@ -220,9 +202,14 @@ def _bigrams(buckets: int):
     return bigrams
 
 
+def filter_keys(hashes: np.ndarray) -> np.ndarray:
+    """32 bits of bigram hashes, which tell apart the bigrams of a bucket."""
+    return (hashes >> _U(8)).astype(np.uint32)
+
+
 def double_hash(hashes: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
     """Probe i of entry (hash, level) is the bit ((one + i * two) >> 11) modulo the size of the part."""
-    one = mix(hashes + _U(level))
+    one = mix((hashes << _U(8)) + _U(level))
     return one, mix(one ^ _U(0xD6E8FEB86659FD93)) | _U(1)
 
 
@@ -234,8 +221,9 @@ def _build(table: pa.Table) -> pa.Table:
     levels = np.searchsorted(thresholds(), counts, side="right")
     size = max(64, int(levels.sum()) * BITS_PER_ENTRY)
     bits = np.zeros(size, dtype=bool)
+    keys = filter_keys(hashes).astype(_U)
     for level in range(1, int(levels.max(initial=0)) + 1):
-        one, two = double_hash(hashes[levels >= level], level)
+        one, two = double_hash(keys[levels >= level], level)
         for i in range(PROBES):
             bits[(((one + _U(i) * two) >> _U(11)) % _U(size)).astype(np.int64)] = True
     return pa.table({"bucket": table.column("bucket").slice(0, 1).combine_chunks(), "size": pa.array([size]), "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
@@ -244,23 +232,18 @@ def _build(table: pa.Table) -> pa.Table:
 class Segment:
     """Parts of the filter for the buckets first to last, one after the other."""
 
-    def __init__(self, first: int, buckets: int, sizes: np.ndarray, bits: np.ndarray):
-        self.first, self.buckets, self.sizes, self.bits = first, buckets, sizes.astype(_U), bits
+    def __init__(self, sizes: np.ndarray, bits: np.ndarray):
+        self.sizes, self.bits = sizes.astype(_U), bits
         self.offsets = np.concatenate(([0], np.cumsum(((sizes + 7) // 8) * 8))).astype(_U)
 
-    def has(self, hashes: np.ndarray) -> np.ndarray:
-        """Whether a hash's bucket lies in this segment."""
-        bucket = bucket_of(hashes, self.buckets) - self.first
-        return (bucket >= 0) & (bucket < len(self.sizes))
-
-    def levels(self, hashes: np.ndarray) -> np.ndarray:
-        """Quantised counts of bigrams of this segment, by probing level after level."""
-        bucket = bucket_of(hashes, self.buckets) - self.first
-        levels = np.zeros(len(hashes), dtype=np.int64)
-        left = np.flatnonzero(self.sizes[bucket] > _U(0)) if len(hashes) else np.zeros(0, np.int64)
+    def levels(self, bucket: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Levels of the bigrams of these keys in these buckets (counted from the segment's first), by probing level after level."""
+        keys = keys.astype(_U)
+        levels = np.zeros(len(keys), dtype=np.uint8)
+        left = np.flatnonzero(self.sizes[bucket] > _U(0)) if len(keys) else np.zeros(0, np.int64)
         for level in range(1, LEVELS + 1):
             size, offset = self.sizes[bucket[left]], self.offsets[bucket[left]]
-            one, two = double_hash(hashes[left], level)
+            one, two = double_hash(keys[left], level)
             for i in range(PROBES):
                 at = offset + (((one + _U(i) * two) >> _U(11)) % size)
                 hit = (self.bits[(at >> _U(3)).astype(np.int64)] >> (_U(7) - (at & _U(7))).astype(np.uint8)) & 1
@@ -272,62 +255,100 @@ class Segment:
         return levels
 
 
-_SCORED = T.StructType([T.StructField(n, t) for n, t in (("block", T.LongType()), ("row", T.LongType()), ("doc_id", T.LongType()), ("n_tokens", T.LongType()), ("n_known", T.LongType()), ("base_score", T.DoubleType()), *((f"part{i}", T.DoubleType()) for i in range(len(WEIGHTS))))])
+class Filter:
+    """The written parts of the filter, and the buckets at which its segments begin."""
+
+    def __init__(self, parts: DataFrame, buckets: int):
+        self.parts, self.buckets = parts, buckets
+        self.sizes = np.zeros(buckets, dtype=np.int64)
+        for r in parts.select("bucket", "size").toLocalIterator():  # a number for each ENTRIES_PER_BUCKET bigrams
+            self.sizes[r.bucket] = r.size
+        firsts, held = [0], 0
+        for bucket, size in enumerate(((self.sizes + 7) // 8).tolist()):
+            if held and held + size > MAX_BROADCAST:
+                firsts.append(bucket)
+                held = 0
+            held += size
+        self.firsts = np.array(firsts)
+
+    def segments(self) -> Iterator[Segment]:
+        """One after the other; each has at most MAX_BROADCAST bytes, or one part if that is larger."""
+        for first, end in zip(self.firsts.tolist(), [*self.firsts.tolist()[1:], self.buckets], strict=True):
+            own = self.sizes[first:end]
+            offsets = np.concatenate(([0], np.cumsum((own + 7) // 8)))
+            bits = np.zeros(max(1, int(offsets[-1])), dtype=np.uint8)
+            for r in self.parts.where(f"bucket >= {first} AND bucket < {end}").toLocalIterator():
+                part = np.frombuffer(r.bits, dtype=np.uint8)
+                bits[offsets[r.bucket - first] : offsets[r.bucket - first] + len(part)] = part
+            yield Segment(own, bits)
+
+
+def _questions(firsts: np.ndarray, buckets: int):
+    """Map function: the distinct bigrams of each block by segment, ascending: how many of each bucket, and their keys."""
+    ends = np.append(firsts[1:], buckets)
+
+    def questions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, block in _each(batches):
+            bigrams = block.bigrams()[0]
+            of, keys = bucket_of(bigrams, buckets), filter_keys(bigrams)
+            segments, offsets = _split(np.searchsorted(firsts, of, side="right") - 1)
+            counts, asked = [], []
+            for segment, a, b in zip(segments.tolist(), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+                counts.append(np.bincount(of[a:b] - firsts[segment], minlength=ends[segment] - firsts[segment]).astype(np.int32).tobytes())
+                asked.append(keys[a:b].tobytes())
+            columns = [pa.array(segments.astype(np.int32)), pa.array(np.full(len(segments), block.number)), pa.array(counts, pa.binary()), pa.array(asked, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["segment", "block", "counts", "keys"])
+
+    return questions
+
+
+def _prober(shared):
+    """Map function: levels of the asked bigrams of a segment."""
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        segment = shared.value
+        for batch in batches:
+            levels = []
+            for counts, keys in zip(batch.column("counts"), batch.column("keys"), strict=True):
+                sizes = np.frombuffer(counts.as_buffer(), dtype=np.int32)
+                levels.append(segment.levels(np.repeat(np.arange(len(sizes)), sizes), np.frombuffer(keys.as_buffer(), dtype=np.uint32)).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("segment"), pa.array(levels, pa.binary())], names=["block", "segment", "levels"])
+
+    return probe
+
+
+# --- scores ---------------------------------------------------------------
 
+_SCORED = T.StructType([T.StructField(n, t) for n, t in (("doc_id", T.LongType()), ("n_tokens", T.LongType()), ("n_known", T.LongType()), ("base_score", T.DoubleType()), ("score", T.DoubleType()))])
 
-def _scorer(shared, n: int, v: int, texts: int):
-    """Map function: base scores, and the model's log10 probabilities of the tokens whose bigram lies in the segment."""
+
+def _scorer(n: int, v: int, texts: int):
+    """Map function: base scores, and the model's log10 probabilities."""
     values = level_values()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segment = shared.value
         for batch, row, block in _each(batches):
             tokens, before, starts = block.sequence()
-            counts = np.concatenate((np.asarray(batch.column("counts")[row].values).astype(np.float64), [texts, texts]))
-            hashes = block.hashes()
+            counts = np.zeros(len(block.words) + 2)
+            counts[-2:] = texts
+            if batch.column("counted")[row].is_valid:
+                words, totals = (np.asarray(x) for x in batch.column("counted")[row].values.flatten())
+                counts[np.searchsorted(block.words, words.view(_U))] = totals
             c_word, c_before = counts[tokens], counts[before]
             word = (c_word + 0.5) / (n + 0.5 * (v + 1))
-            pairs, inverse = np.unique(bigram_hashes(hashes[before], hashes[tokens]), return_inverse=True)
-            here = segment.has(pairs)
-            joint = np.zeros(len(pairs))
-            possible = np.zeros(len(pairs), dtype=bool)
-            possible[inverse[(c_word > 0) & (c_before > 0)]] = True
-            ask = np.flatnonzero(here & possible)
-            joint[ask] = values[segment.levels(pairs[ask])]
-            c_joint = np.minimum(joint[inverse], np.minimum(c_word, c_before))
             base = np.log10(word)
-            ours, known = here[inverse], c_before > 0
-            ratio = np.where(known, c_joint / np.maximum(c_before, 1) / word, 1.0)[ours]
-            sums = [np.add.reduceat(x, starts) for x in ((c_word > 0).astype(np.int64), base)]
-            for weight in WEIGHTS:
-                part = np.zeros(len(tokens))
-                part[ours] = base[ours] + np.log10(weight * ratio + (1 - weight))
-                sums.append(np.add.reduceat(part, starts))
-            columns = [pa.array(np.full(len(starts), block.number)), pa.array(np.arange(len(starts))), block.ids, pa.array(block.n_words + 1), *map(pa.array, sums)]
-            yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in _SCORED.fields])
+            levels = np.frombuffer(b"".join(x["levels"].as_py() for x in batch.column("levels")[row].values), dtype=np.uint8)
+            joint = np.minimum(values[levels[block.bigrams()[1]]], np.minimum(c_word, c_before))
+            ratio = np.where(c_before > 0, joint / np.maximum(c_before, 1) / word, 1.0)
+            n_known, base_score = (np.add.reduceat(x, starts) for x in ((c_word > 0).astype(np.int64), base))
+            parts = np.stack([np.add.reduceat(base + np.log10(weight * ratio + (1 - weight)), starts) for weight in WEIGHTS])
+            best = parts.max(axis=0)
+            mean = best + np.log10((10.0 ** (parts - best)).sum(axis=0) / len(WEIGHTS))
+            yield pa.RecordBatch.from_arrays([block.ids, *map(pa.array, (block.n_words + 1, n_known, base_score, mean))], names=[f.name for f in _SCORED.fields])
 
     return score
 
 
-def _segments(spark, parts: DataFrame, buckets: int) -> Iterator[Segment]:
-    """The filter in pieces of at most MAX_BROADCAST bytes (or one part, if that is larger)."""
-    sizes = {r.bucket: r.size for r in parts.select("bucket", "size").collect()}  # a number for each ENTRIES_PER_BUCKET bigrams
-    first = 0
-    while first < buckets:
-        last, held = first, 0
-        while last < buckets and (last == first or held + sizes.get(last, 0) // 8 <= MAX_BROADCAST):
-            held += sizes.get(last, 0) // 8
-            last += 1
-        own = np.array([sizes.get(b, 0) for b in range(first, last)], dtype=np.int64)
-        offsets = np.concatenate(([0], np.cumsum((own + 7) // 8)))
-        bits = np.zeros(max(1, int(offsets[-1])), dtype=np.uint8)
-        for r in parts.where(f"bucket >= {first} AND bucket < {last}").toLocalIterator():
-            part = np.frombuffer(r.bits, dtype=np.uint8)
-            bits[offsets[r.bucket - first] : offsets[r.bucket - first] + len(part)] = part
-        yield Segment(first, buckets, own, bits)
-        first = last
-
-
 def score_texts(docs: DataFrame, may_learn: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score) of each row.
 
@@ -341,41 +362,36 @@ def score_texts(docs: DataFrame, may_learn: Column, id_col: str = "doc_id", text
     scratch = Scratch(spark, "lmscoring")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.coalesce(may_learn, F.lit(False)).alias("train"))
     blocks = scratch.keep(rows.mapInArrow(_blocks, _BLOCK), "blocks")
-    bound_batches(spark, GROUP_BATCH_BYTES)
-    sums = blocks.agg(F.sum(F.size("words")).alias("words"), F.sum(F.size("codes") + F.size("ids")).alias("tokens"), F.sum(F.size(F.filter("train", lambda x: x))).alias("texts")).first()
+    sums = blocks.agg(F.sum(F.size("codes") + F.size("ids")).alias("tokens"), F.sum(F.size(F.filter("train", lambda x: x))).alias("texts")).first()
     texts = sums.texts or 0
-    buckets = max(shuffle_partitions(spark), (sums.words or 0) // ENTRIES_PER_BUCKET)
-    asked = blocks.select(*_BLOCK_NAMES).mapInArrow(_ask(buckets), "bucket int, block long, words array<long>, counts array<int>")
-    answers = scratch.keep(asked.groupBy("bucket").applyInArrow(_answer, "block long, bucket int, counts array<long>, n long, v long"), "counts")
-    total = answers.where("block IS NULL").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
-    n, v = (total.n or 0) + texts, (total.v or 0) + (texts > 0)
 
+    of_blocks = scratch.keep(blocks.mapInArrow(_block_words, "block long, word long, n long"), "words")
+    counts = scratch.keep(of_blocks.groupBy("word").agg(F.sum("n").alias("total")).where("total > 0"), "counts")
+    total = counts.agg(F.sum("total").alias("n"), F.count("*").alias("v")).first()
+    n, v = (total.n or 0) + texts, total.v + (texts > 0)
+    counted = of_blocks.join(counts, "word").groupBy("block").agg(F.collect_list(F.struct("word", "total")).alias("counted"))
+    counted = scratch.keep(counted, "counted")
+    scratch.drop(of_blocks, counts)
+
+    bound_batches(spark, GROUP_BATCH_BYTES)
     buckets = max(shuffle_partitions(spark), (sums.tokens or 0) // ENTRIES_PER_BUCKET)
     pairs = blocks.mapInArrow(_bigrams(buckets), "bucket int, entries array<long>")
     parts = scratch.keep(pairs.groupBy("bucket").applyInArrow(_build, "bucket int, size long, bits binary"), "filter")
     bound_batches(spark)
 
-    by_block = answers.where("block IS NOT NULL").groupBy("block").agg(F.sort_array(F.collect_list(F.struct("bucket", "counts"))).alias("parts"))
-    by_block = by_block.select("block", F.flatten(F.transform("parts", lambda x: x["counts"])).alias("counts"))
-    counted = blocks.join(by_block, "block", "left").select(*_BLOCK_NAMES, F.coalesce("counts", F.array().cast("array<long>")).alias("counts"))
-    parts_of = [f"part{i}" for i in range(len(WEIGHTS))]
-    segments = _segments(spark, parts, buckets)
-    # A row for each text and segment.  The counted blocks are kept if more than one segment reads them.
-    segment = next(segments)
-    following = next(segments, None)
-    if following is not None:
-        counted = scratch.keep(counted, "counted")
-    scored: DataFrame | None = None
-    passes = 0
-    while segment is not None:
+    bloom = Filter(parts, buckets)
+    asked = blocks.mapInArrow(_questions(bloom.firsts, buckets), "segment int, block long, counts binary, keys binary")
+    asked = scratch.keep(asked.repartition("segment", F.pmod("block", F.lit(shuffle_partitions(spark)))), "asked", by="segment")
+    levels: DataFrame | None = None
+    for number, segment in enumerate(bloom.segments()):
         shared = spark.sparkContext.broadcast(segment)
-        kept = scratch.keep(counted.mapInArrow(_scorer(shared, n, v, texts), _SCORED), "scores")
-        scored, passes = kept if scored is None else scored.union(kept), passes + 1
+        own = asked.where(F.col("segment") == number).mapInArrow(_prober(shared), "block long, segment int, levels binary")
+        levels = scratch.keep(own, "levels") if levels is None else scratch.add(own, levels)
         shared.destroy()
-        segment, following = following, next(segments, None)
-    scratch.drop(blocks, answers, parts)
-    if passes > 1:
-        scored = scored.groupBy("block", "row").agg(*(F.first(c).alias(c) for c in ("doc_id", "n_tokens", "n_known", "base_score")), *(F.sum(c).alias(c) for c in parts_of))
-    best = F.greatest(*parts_of)
-    mean = sum((F.pow(F.lit(10.0), F.col(c) - best) for c in parts_of), F.lit(0.0)) / len(WEIGHTS)
-    return scored.select("doc_id", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", (best + F.log10(mean)).alias("score"))
+    scratch.drop(parts, asked)
+
+    by_block = levels.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("segment", "levels"))).alias("levels"))
+    joined = blocks.join(counted, "block", "left").join(by_block, "block").select(*_BLOCK_NAMES, "counted", "levels")
+    scored = scratch.keep(joined.mapInArrow(_scorer(n, v, texts), _SCORED), "scores")
+    scratch.drop(blocks, counted, levels)
+    return scored.select("doc_id", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")

@@ -57,19 +57,31 @@ class Scratch:
         self._n += 1
         return f"{self.root}/{self._n:03d}-{name}"
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
-        """Write a table and read it again; the shuffle files that it took go at once."""
-        path = self.path(name)
+    def _write(self, df: DataFrame, path: str, by: str | None = None) -> None:
+        """Append a table; the shuffle files that it took go at once."""
         before = self.spark.conf.get(_CLEANUP, "false")
         self.spark.conf.set(_CLEANUP, "true")
         try:
-            df.write.option("compression", "zstd").parquet(path)
+            writer = df.write.mode("append").option("compression", "zstd")
+            (writer.partitionBy(by) if by else writer).parquet(path)
         finally:
             self.spark.conf.set(_CLEANUP, before)
+
+    def keep(self, df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+        """Write a table, in a folder for each value of column `by` if one is given, and read it again."""
+        path = self.path(name)
+        self._write(df, path, by)
         kept = self.spark.read.schema(df.schema).parquet(path)
         kept._scratch_path = path
         return kept
 
+    def add(self, df: DataFrame, table: DataFrame) -> DataFrame:
+        """A kept table with further rows."""
+        self._write(df, table._scratch_path)
+        more = self.spark.read.schema(table.schema).parquet(table._scratch_path)
+        more._scratch_path = table._scratch_path
+        return more
+
     def drop(self, *tables: DataFrame) -> None:
         for table in tables:
             fs, path = file_system(self.spark, table._scratch_path)
