@@ -9,9 +9,13 @@ highest inner product with one of the block's queries is next, only the
 queries whose k-th score the box can still reach go on into it, and the walk
 ends when no node is left that any query could gain from.
 
-The k-th scores travel: the queries first search the shard that they
-themselves lie in, and take the k-th score that they reach there as a bound to
-all other shards.  The shards' answers are merged by score and id.
+The k-th scores travel, and no shard does: the queries first search the shard
+that they themselves lie in, and take the k-th score that they reach there with
+them.  Every block is then held against the bounding boxes of all shards (a
+small row each), and only queries whose k-th score a box can still reach are
+sent to its shard: first to the NEAREST shards of the block, which raises the
+k-th scores, then to those that are still within reach.  A shard builds its
+tree once for all queries that come.  Answers are merged by score and id.
 """
 
 from __future__ import annotations
@@ -29,12 +33,16 @@ from pyspark.sql.window import Window
 from .support import Scratch
 
 #: Vectors of a shard, about, and of a leaf at most.
-SHARD_ROWS = 16_384
+SHARD_ROWS = 8_192
 LEAF_ROWS = 64
 #: Queries that walk a tree together.
 BLOCK_QUERIES = 128
-#: Blocks of a shard that search another shard's tree in one task.
-BLOCKS_PER_TASK = 8
+#: Shards that a block of queries goes to before its k-th scores are taken anew.
+NEAREST = 4
+#: Blocks that walk a shard's tree in one task; a shard that more blocks reach is held by several tasks.
+BLOCKS_PER_TASK = 64
+#: Bytes of boxes that are broadcast at once.
+BOX_BYTES = 64_000_000
 #: Vectors that the cells are fitted on at most; it changes which shard a vector is in, never a result.
 SAMPLE_ROWS = 8_192
 #: Stands for no k-th score yet.
@@ -240,6 +248,75 @@ def _searcher(k: int, key_columns: list[str]):
     return run
 
 
+def _boxes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lowest and highest components of each shard."""
+    for batch in batches:
+        sides: list[list] = [[], []]
+        for row in range(len(batch)):
+            vectors = np.asarray(batch.column("v")[row].values).reshape(len(batch.column("ids")[row].values), -1)
+            sides[0].append(vectors.min(axis=0))
+            sides[1].append(vectors.max(axis=0))
+        low, high = (pa.array(x, pa.list_(pa.int64())) for x in sides)
+        yield pa.RecordBatch.from_arrays([batch.column("width"), batch.column("shard"), low, high], names=["width", "shard", "low", "high"])
+
+
+_ASKED = "width int, shard long, home long, block int, ids array<long>, v array<long>, bound array<long>"
+
+
+def _reacher(shared, nearest: bool):
+    """Map function: the queries of each block that a shard's box lets hope for more, for the block's nearest shards or for all others."""
+
+    def bounds(values: pa.Array, kind: np.dtype) -> np.ndarray:
+        out = np.asarray(values).astype(kind)
+        out[out == NO_BOUND] = -np.inf
+        return out[:, None]
+
+    def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        boxes = shared.value
+        for batch in batches:
+            for row in range(len(batch)):
+                width, home, block = (batch.column(c)[row].as_py() for c in ("width", "home", "block"))
+                if width not in boxes:
+                    continue
+                numbers, low, high = boxes[width]
+                ids, flat = batch.column("ids")[row].values, np.asarray(batch.column("v")[row].values)
+                queries = _matrix(flat, len(ids))
+                highest = np.maximum(queries, 0) @ high.T + np.minimum(queries, 0) @ low.T
+                before, now = (bounds(batch.column(c)[row].values, highest.dtype) for c in ("before", "bound"))
+                may = np.flatnonzero((highest >= before).any(axis=0) & (numbers != home))
+                hope = (highest[:, may] - np.maximum(before, -1e300)).max(axis=0)
+                order = np.argsort(-hope, kind="stable")
+                may = np.sort(may[order[:NEAREST]]) if nearest else np.sort(may[order[NEAREST:]])
+                on = highest[:, may] >= now
+                may, on = may[on.any(axis=0)], on[:, on.any(axis=0)]
+                shard, query = np.nonzero(on.T)
+                offsets = pa.array(np.concatenate(([0], np.cumsum(on.sum(axis=0)))).astype(np.int32))
+                sent = [np.asarray(ids)[query], flat.reshape(len(ids), -1)[query].reshape(-1), np.asarray(batch.column("bound")[row].values)[query]]
+                lists = [pa.ListArray.from_arrays(pa.array(np.asarray(offsets) * step, pa.int32()), pa.array(x)) for x, step in zip(sent, (1, width, 1), strict=True)]
+                same = [pa.array(np.full(len(may), x), kind) for x, kind in ((width, pa.int32()), (home, pa.int64()), (block, pa.int32()))]
+                yield pa.RecordBatch.from_arrays([same[0], pa.array(numbers[may], pa.int64()), *same[1:], *lists], names=["width", "shard", "home", "block", "ids", "v", "bound"])
+
+    return reach
+
+
+def _box_ranges(boxes: DataFrame) -> Iterator[dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+    """{width: (shards, lowest, highest)} of all shards, at most BOX_BYTES (or one box) at a time."""
+    held: dict[int, list] = {}
+    size = 0
+
+    def packed() -> dict:
+        return {w: (np.array([r.shard for r in rows]), *(_matrix(np.array([x for r in rows for x in r[side]]), len(rows)) for side in ("low", "high"))) for w, rows in held.items()}
+
+    for r in boxes.orderBy("width", "shard").toLocalIterator():
+        if held and size + 16 * r.width > BOX_BYTES:
+            yield packed()
+            held, size = {}, 0
+        held.setdefault(r.width, []).append(r)
+        size += 16 * r.width
+    if held:
+        yield packed()
+
+
 def _pack(rows: DataFrame, by: list[str], *more: Column) -> DataFrame:
     """Vectors as one row for each group: ids and v, one after the other, in the order of `spot`."""
     packed = rows.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("spot", "vec_id", "v", *more))).alias("rows"))
@@ -280,32 +357,49 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_
     placed = placed.select("width", "vec_id", "v", "is_query", (F.col("first") + F.pmod(F.xxhash64("vec_id"), F.col("shards"))).alias("shard"))
     candidates = scratch.keep(_pack(placed.withColumn("spot", F.lit(0)), ["width", "shard"]).drop("rows"), "shards")
 
+    boxes = scratch.keep(candidates.mapInArrow(_boxes, "width int, shard long, low array<long>, high array<long>"), "boxes")
+
     # Queries in blocks of near ones: those of a shard, dealt by a hash.
     queries = placed.where("is_query").withColumnRenamed("shard", "home")
     counts = queries.groupBy("width", "home").agg(F.ceil(F.count("*") / BLOCK_QUERIES).alias("blocks"))
     queries = queries.join(counts, ["width", "home"]).withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.col("blocks")).cast("int"))
     queries = scratch.keep(queries.select("home", "width", "block", "vec_id", "v"), "queries")
 
-    def searched(blocks: DataFrame) -> DataFrame:
-        """Answers of (width, shard, home, block, ids, v, bound)."""
-        key = ["width", "shard", "home", "part"]
-        blocks = blocks.withColumn("part", F.floor(F.col("block") / BLOCKS_PER_TASK))
-        own = candidates.join(blocks.select(*key).distinct(), ["width", "shard"]).select(*key, F.lit(0).alias("kind"), "ids", "v", F.array().cast("array<long>").alias("bound"))
-        both = own.unionByName(blocks.select(*key, F.lit(1).alias("kind"), "ids", "v", "bound"))
-        dealt = both.repartition(*key).sortWithinPartitions(*key, "kind")
-        return dealt.mapInArrow(_searcher(k, key), "query_id long, vec_id long, score long")
-
-    def packed(rows: DataFrame) -> DataFrame:
-        blocks = _pack(rows.withColumn("spot", F.col("vec_id")), ["home", "width", "block"], F.col("bound"))
-        return blocks.select("home", "width", "block", "ids", "v", F.transform("rows", lambda x: x["bound"]).alias("bound"))
-
-    at_home = packed(queries.withColumn("bound", F.lit(NO_BOUND)))
-    near = scratch.keep(searched(at_home.withColumn("shard", F.col("home"))), "near")
-    reached = near.groupBy("query_id").agg(F.when(F.count("*") >= k, F.min("score")).alias("bound"))
-    bounded = queries.join(reached.withColumnRenamed("query_id", "vec_id"), "vec_id", "left").withColumn("bound", F.coalesce("bound", F.lit(NO_BOUND)))
-    away = scratch.keep(packed(bounded), "blocks")
-    last = spark.createDataFrame([(w, n - 1) for w, n in shards_of.items()], "width int, last long")
-    far = away.join(F.broadcast(last), "width").withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), "last"))).where("shard <> home")
-    found = near.union(searched(far))
+    def searched(asked: DataFrame, name: str) -> DataFrame:
+        """Answers (query_id, vec_id, score) to blocks (width, shard, home, block, ids, v, bound)."""
+        parts = asked.groupBy("width", "shard").agg(F.ceil(F.count("*") / BLOCKS_PER_TASK).cast("int").alias("parts"))
+        own = candidates.join(parts, ["width", "shard"]).select("width", "shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"), "ids", "v", F.array().cast("array<long>").alias("bound"))
+        dealt = asked.join(parts, ["width", "shard"]).withColumn("part", F.pmod(F.xxhash64("home", "block"), F.col("parts")).cast("int"))
+        both = own.unionByName(dealt.select("width", "shard", "part", F.lit(1).alias("kind"), "ids", "v", "bound"))
+        key = ["width", "shard", "part"]
+        rows = both.repartition(*key).sortWithinPartitions(*key, "kind")
+        return scratch.keep(rows.mapInArrow(_searcher(k, key), "query_id long, vec_id long, score long"), name)
+
+    def blocks_of(rows: DataFrame) -> DataFrame:
+        blocks = _pack(rows.withColumn("spot", F.col("vec_id")), ["home", "width", "block"], F.col("bound"), F.col("before"))
+        of = lambda name: F.transform("rows", lambda x: x[name]).alias(name)
+        return scratch.keep(blocks.select("home", "width", "block", "ids", "v", of("bound"), of("before")), "blocks")
+
+    def reached(blocks: DataFrame, nearest: bool) -> DataFrame:
+        found: DataFrame | None = None
+        for boxes_now in _box_ranges(boxes):
+            shared = spark.sparkContext.broadcast(boxes_now)
+            asked = blocks.mapInArrow(_reacher(shared, nearest), _ASKED)
+            found = scratch.keep(asked, "asked") if found is None else scratch.add(asked, found)
+            shared.destroy()
+        return spark.createDataFrame([], _ASKED) if found is None else found
+
+    def kth(answers: DataFrame, name: str) -> DataFrame:
+        """The k-th score of each query that has so many answers."""
+        best = answers.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
+        return scratch.keep(best.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias(name)), name)
+
+    none = F.lit(NO_BOUND)
+    at_home = blocks_of(queries.select("*", none.alias("before"), none.alias("bound"))).withColumn("shard", F.col("home"))
+    home = searched(at_home.select("width", "shard", "home", "block", "ids", "v", "bound"), "home")
+    queries = queries.join(kth(home, "before"), "vec_id", "left").withColumn("before", F.coalesce("before", none))
+    near = home.union(searched(reached(blocks_of(queries.withColumn("bound", F.col("before"))), True), "near"))
+    queries = queries.join(kth(near, "bound"), "vec_id", "left").withColumn("bound", F.coalesce("bound", none))
+    found = near.union(searched(reached(blocks_of(queries), False), "far"))
     ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

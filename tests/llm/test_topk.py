@@ -38,7 +38,7 @@ def vectors(rng, n, dimension=6, centres=5):
 
 @pytest.mark.parametrize("shard, leaf, block", [(16_384, 64, 128), (40, 4, 8)])
 def test_matches_brute_force(spark, monkeypatch, shard, leaf, block):
-    for name, value in (("SHARD_ROWS", shard), ("LEAF_ROWS", leaf), ("BLOCK_QUERIES", block), ("BLOCKS_PER_TASK", 2)):
+    for name, value in (("SHARD_ROWS", shard), ("LEAF_ROWS", leaf), ("BLOCK_QUERIES", block), ("BLOCKS_PER_TASK", 2), ("NEAREST", 2), ("BOX_BYTES", 500)):
         monkeypatch.setattr(topk, name, value)
     rows = vectors(random.Random(1), 300)
     rows += [(1000 + i, rows[0][1]) for i in range(60)]  # a hot vector: ties by id
@@ -54,3 +54,27 @@ def test_edge_cases(spark):
 def test_large_components_are_exact(spark):
     rows = [(i, [float(2**22 + i), float(2**21 - i)]) for i in range(12)]
     assert got(spark, rows) == brute(rows, lambda i: i % 4 == 0, 5)
+
+
+def test_far_shards_get_no_queries(spark, monkeypatch):
+    """Two groups far apart in direction: no query of one is sent to a shard of the other."""
+    monkeypatch.setattr(topk, "SHARD_ROWS", 40)
+    rng = random.Random(2)
+    rows = [(i, [(1 if i % 2 else -1) * (3 + rng.random()), rng.random()]) for i in range(400)]
+    sent, side = [], {i: v[0] > 0 for i, v in rows}
+
+    def keep(self, df, name, by=None, real=topk.Scratch.keep):
+        kept = real(self, df, name, by)
+        if name == "shards":
+            sent.extend(("shard", r.shard, r.ids) for r in kept.collect())
+        if name == "asked":
+            sent.extend(("asked", r.shard, r.ids) for r in kept.collect())
+        return kept
+
+    monkeypatch.setattr(topk.Scratch, "keep", keep)
+    assert got(spark, rows) == brute(rows, lambda i: i % 4 == 0, 5)
+    of_shard = {shard: {side[i] for i in ids} for kind, shard, ids in sent if kind == "shard"}
+    asked = [(shard, i) for kind, shard, ids in sent if kind == "asked" for i in ids]
+    assert len(of_shard) >= 10 and asked
+    assert all(side[i] in of_shard[shard] for shard, i in asked)
+    assert len(asked) < 100 * len(of_shard) / 2
