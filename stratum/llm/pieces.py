@@ -4,10 +4,15 @@ The automaton over the pieces' bytes drives one pass over a word: at each
 byte it follows the output links from the current state, i.e. all pieces
 that end here from the longest to the shortest, and relaxes the best score
 at this position.  All distinct words of a block take the pass together, as
-arrays.  Space becomes the mark U+2581; a piece holds that mark only at its
-start, so the best path through a text is the best paths through its words.
-Bytes that no piece covers, and a literal U+2581, become byte pieces, so
-decoding gives back the text exactly.
+arrays.  Space becomes the mark U+2581.  Where no piece holds that mark inside,
+the best path through a text is the best paths through its words; with other
+vocabularies a text is one word.  Bytes that no piece covers, and a literal
+U+2581, become byte pieces, so decoding gives back the text exactly.
+
+Pieces of a unigram model have log probabilities.  Those of a BPE model have
+ranks only, which don't add up along a path; by Zipf's law a piece of rank r
+gets the log probability -log(1 + r), up to a constant.  Nothing is trained.
+The best path is that of these scores, not the order of the model's merges.
 """
 
 from __future__ import annotations
@@ -24,8 +29,8 @@ from pyspark.sql import functions as F
 from .support import bound_batches
 from .textarrays import separator_table, text_blocks, token_hashes
 
-#: Path of the installed public model; any SentencePiece model with byte pieces will do.
-DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+#: Name of the installed public model; any SentencePiece model with byte pieces will do.
+DEFAULT_MODEL = "piece_bpe_32k.model"
 MARK = "▁".encode()
 #: What a byte piece costs more than the worst piece.
 BYTE_PENALTY = 10.0
@@ -34,6 +39,13 @@ SLICE_TOKENS = 300_000
 _SPACE = separator_table((0x20, 0x20))
 
 
+def public_model(name: str = DEFAULT_MODEL) -> str:
+    """Path of a model of the installed public tokenizers."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 @dataclass(frozen=True)
 class Vocabulary:
     """Pieces as bytes with ids and scores, and the ids of the 256 byte pieces."""
@@ -44,25 +56,33 @@ class Vocabulary:
     byte_ids: np.ndarray
 
     @classmethod
-    def load(cls, path: str = DEFAULT_MODEL) -> Vocabulary:
+    def load(cls, path: str) -> Vocabulary:
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         pieces, ids, scores = [], [], []
         byte_ids = np.full(256, -1, dtype=np.int32)
         for i in range(model.get_piece_size()):
-            piece = model.id_to_piece(i)
             if model.is_byte(i):
-                byte_ids[int(piece[1:-1], 16)] = i
+                byte_ids[int(model.id_to_piece(i)[1:-1], 16)] = i
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
-                raw = piece.encode()
-                if MARK not in raw[1:] or set(raw) == set(MARK):
-                    pieces.append(raw)
-                    ids.append(i)
-                    scores.append(model.get_score(i))
+                pieces.append(model.id_to_piece(i).encode())
+                ids.append(i)
+                scores.append(model.get_score(i))
         if (byte_ids < 0).any():
             raise ValueError("the model has no piece for some bytes")
-        return cls(pieces, np.array(ids, dtype=np.int32), np.array(scores), byte_ids)
+        return cls(pieces, np.array(ids, dtype=np.int32), log_probabilities(np.array(scores)), byte_ids)
+
+    def spans_words(self) -> bool:
+        """Whether a piece holds the mark inside, other than a run of marks."""
+        return any(MARK in p[1:] and p.replace(MARK, b"") for p in self.pieces)
+
+
+def log_probabilities(scores: np.ndarray) -> np.ndarray:
+    """Scores as log probabilities: minus ranks, which are whole numbers, by Zipf's law; others as they are."""
+    if len(scores) and (scores == np.round(scores)).all():
+        return -np.log1p(np.clip(-scores, 0, len(scores)))
+    return scores
 
 
 @dataclass
@@ -75,8 +95,10 @@ class Automaton:
     ends: np.ndarray = field(init=False)  # piece that ends in a state, or -1
     link: np.ndarray = field(init=False)  # next state on the way of failures in which a piece ends, or 0
     length: np.ndarray = field(init=False)
+    whole: bool = field(init=False)  # texts aren't split into words
 
     def __post_init__(self) -> None:
+        self.whole = self.vocabulary.spans_words()
         pieces = self.vocabulary.pieces
         used = sorted({b for p in pieces for b in p})
         self.symbol = np.zeros(256, dtype=np.int32)  # 0: a byte of no piece
@@ -188,7 +210,7 @@ def encode_block(automaton: Automaton, data: np.ndarray, offsets: np.ndarray) ->
     if not len(data):
         return np.zeros(0, dtype=np.int32), np.zeros(len(offsets), dtype=np.int64)
     space = _SPACE[data]
-    first = space.copy()
+    first = space & (not automaton.whole)
     first[1:] &= ~space[:-1]
     first[offsets[:-1][full]] = True
     starts = np.flatnonzero(first)
@@ -286,15 +308,17 @@ class _Shared:
         return self.broadcast.value
 
 
-def encode_texts(docs: DataFrame, model_path: str = DEFAULT_MODEL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode_texts(docs: DataFrame, model_path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_tokens, ids) of each row.
 
     A null text gives null ids and n_tokens 0, an empty one an empty list;
-    null ids and repeated rows are kept as they are.  The vocabulary that is
-    broadcast has the size of the model, whatever the input.
+    null ids and repeated rows are kept as they are, and an empty table gives
+    none.  Other columns of `docs` are ignored.  `model_path` names a
+    SentencePiece model, by default the installed public one.  The vocabulary
+    that is broadcast has the size of the model, whatever the input.
     """
     bound_batches(docs.sparkSession)
-    shared = _Shared(docs.sparkSession, Vocabulary.load(model_path))
+    shared = _Shared(docs.sparkSession, Vocabulary.load(model_path or public_model()))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = _automaton(shared)
@@ -322,10 +346,10 @@ def token_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             row = end
 
 
-def decode_tokens(tokens: DataFrame, model_path: str = DEFAULT_MODEL) -> DataFrame:
+def decode_tokens(tokens: DataFrame, model_path: str | None = None) -> DataFrame:
     """Rows (doc_id, n_tokens, ids) with the decoded `text` added: null ids give a null text."""
     bound_batches(tokens.sparkSession)
-    shared = _Shared(tokens.sparkSession, Vocabulary.load(model_path))
+    shared = _Shared(tokens.sparkSession, Vocabulary.load(model_path or public_model()))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in token_slices(batches):
