@@ -162,11 +162,12 @@ def _split(bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _block_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each block and distinct word, with the word's count in training texts."""
+    """A row for each block and distinct word: its place in the block, and its count in training texts."""
     for _, _, block in _each(batches):
         trained = np.repeat(block.train, block.n_words)
         counts = np.bincount(block.codes[trained], minlength=len(block.words)).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(counts), block.number)), pa.array(block.words.view(np.int64)), pa.array(counts)], names=["block", "word", "n"])
+        columns = [np.full(len(counts), block.number), np.arange(len(counts), dtype=np.int32), block.words.view(np.int64), counts]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["block", "at", "word", "n"])
 
 
 # --- the filter -----------------------------------------------------------
@@ -329,11 +330,9 @@ def _scorer(n: int, v: int, texts: int):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, row, block in _each(batches):
             tokens, before, starts = block.sequence()
-            counts = np.zeros(len(block.words) + 2)
-            counts[-2:] = texts
-            if batch.column("counted")[row].is_valid:
-                words, totals = (np.asarray(x) for x in batch.column("counted")[row].values.flatten())
-                counts[np.searchsorted(block.words, words.view(_U))] = totals
+            counts = np.full(len(block.words) + 2, texts, dtype=np.float64)
+            if len(block.words):
+                counts[:-2] = np.asarray(batch.column("counted")[row].values)
             c_word, c_before = counts[tokens], counts[before]
             word = (c_word + 0.5) / (n + 0.5 * (v + 1))
             base = np.log10(word)
@@ -365,13 +364,14 @@ def score_texts(docs: DataFrame, may_learn: Column, id_col: str = "doc_id", text
     sums = blocks.agg(F.sum(F.size("codes") + F.size("ids")).alias("tokens"), F.sum(F.size(F.filter("train", lambda x: x))).alias("texts")).first()
     texts = sums.texts or 0
 
-    of_blocks = scratch.keep(blocks.mapInArrow(_block_words, "block long, word long, n long"), "words")
+    of_blocks = blocks.mapInArrow(_block_words, "block long, at int, word long, n long")
     counts = scratch.keep(of_blocks.groupBy("word").agg(F.sum("n").alias("total")).where("total > 0"), "counts")
     total = counts.agg(F.sum("total").alias("n"), F.count("*").alias("v")).first()
     n, v = (total.n or 0) + texts, total.v + (texts > 0)
-    counted = of_blocks.join(counts, "word").groupBy("block").agg(F.collect_list(F.struct("word", "total")).alias("counted"))
+    counted = of_blocks.select("block", "at", "word").join(counts, "word", "left").select("block", F.struct("at", F.coalesce("total", F.lit(0)).alias("total")).alias("each"))
+    counted = counted.groupBy("block").agg(F.sort_array(F.collect_list("each")).alias("all")).select("block", F.transform("all", lambda x: x["total"]).alias("counted"))
     counted = scratch.keep(counted, "counted")
-    scratch.drop(of_blocks, counts)
+    scratch.drop(counts)
 
     bound_batches(spark, GROUP_BATCH_BYTES)
     buckets = max(shuffle_partitions(spark), (sums.tokens or 0) // ENTRIES_PER_BUCKET)
