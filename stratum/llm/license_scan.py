@@ -7,14 +7,18 @@ between which words were inserted or left out, are merged, and a merged span
 is accepted if it covers enough of its template.  Hits count only if their
 words are equal, not just the hashes.
 
-Short phrases take part as templates of 2-grams that must be covered whole,
-on one diagonal; a license text may have gaps.
+There are three classes of templates with grams of their own: phrases (2-grams,
+to be covered whole on one diagonal), notices of a sentence (3-grams), and whole
+licence texts (5-grams), in which lines may have been added or left out.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,19 +32,18 @@ from .wordgrams import NOT_ALNUM_CLASS, words
 class Template:
     label: str
     text: str
-    phrase: bool = False
 
 
 #: The phrases and labels that a scan reports as its base.
 BASE_PHRASES = (
-    Template("gpl", "gnu general public license", True),
-    Template("apache", "apache license", True),
-    Template("cc-by", "cc by", True),
-    Template("mit", "mit license", True),
+    Template("gpl", "gnu general public license"),
+    Template("apache", "apache license"),
+    Template("cc-by", "cc by"),
+    Template("mit", "mit license"),
 )
 
-#: Public license notices, in words.
-LICENSE_TEXTS = (
+#: Notices by which works name a public licence, in words.
+NOTICES = (
     Template("gpl-3.0", "this work is licensed under the gnu general public license version 3"),
     Template("apache-2.0", "licensed under the apache license version 2 0"),
     Template("mit-notice", "released under the mit license"),
@@ -53,74 +56,85 @@ LICENSE_TEXTS = (
     Template("unlicense", "this is free and unencumbered software released into the public domain"),
 )
 
-PHRASE_K, TEXT_K = 2, 3
-#: Diagonals this near belong to one span, if their hits are near too.
-SHIFT = 3
+def license_bodies() -> tuple[Template, ...]:
+    """Whole texts of public licences, which come with the package."""
+    folder = Path(__file__).parent / "licenses"
+    return tuple(Template(path.stem, path.read_text(encoding="utf-8")) for path in sorted(folder.glob("*.txt")))
+
+
+PHRASE_K, NOTICE_K, BODY_K = 2, 3, 5
+#: Diagonals this near belong to one span, if their hits are near too: so many words, and one more for each SHIFT_SHARE words of the template.
+SHIFT, SHIFT_SHARE = 3, 20
 #: Share of a template's k-grams that a span must hold.
 COVERAGE = 0.7
-MAX_TEMPLATE_WORDS = 100_000
+#: Grams of templates that may be broadcast; more are joined by a shuffle.
+BROADCAST_GRAMS = 200_000
+
+
+def template_words(template: Template) -> list[str]:
+    """Words as the scan takes them from texts."""
+    lower = template.text.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)
 
 
-def _template_grams(spark: SparkSession, templates: Sequence[Template], k: int) -> DataFrame:
+def _grams(spark: SparkSession, templates: Sequence[Template], k: int) -> DataFrame:
     """(h, hits array<struct<template, pos, gram>>), one row for each hash."""
-    rows = []
-    for number, template in enumerate(templates):
-        tokens = template.text.split()
-        rows += [(number, i, tokens[i : i + k]) for i in range(len(tokens) - k + 1)]
-    if sum(len(t.text.split()) for t in templates) > MAX_TEMPLATE_WORDS:
-        raise ValueError("the templates are too large to broadcast")
+    rows = [(number, i, tokens[i : i + k]) for number, t in enumerate(templates) for tokens in [template_words(t)] for i in range(len(tokens) - k + 1)]
     grams = spark.createDataFrame(rows, "template int, pos int, gram array<string>")
     h = F.xxhash64(*(F.col("gram")[i] for i in range(k)))
-    return grams.groupBy(h.alias("h")).agg(F.collect_list(F.struct("template", "pos", "gram")).alias("hits"))
+    found = grams.groupBy(h.alias("h")).agg(F.collect_list(F.struct("template", "pos", "gram")).alias("hits"))
+    return F.broadcast(found) if len(rows) <= BROADCAST_GRAMS else found
 
 
-def scan_licenses(docs: DataFrame, phrases: Sequence[Template] = BASE_PHRASES, texts: Sequence[Template] = LICENSE_TEXTS) -> DataFrame:
-    """One row per input row: (doc_id, n_words, phrase_starts array<struct<label, start>>, spans array<struct<label, start, length, coverage>>).
+def _facts(spark: SparkSession, classes: dict[int, Sequence[Template]]) -> DataFrame:
+    """(k, template, label, size): the number of grams of each template; a row each, to be broadcast."""
+    rows = [(k, i, t.label, len(template_words(t)) - k + 1) for k, templates in classes.items() for i, t in enumerate(templates)]
+    return F.broadcast(spark.createDataFrame(rows, "k int, template int, label string, size int"))
+
+
+def scan_licenses(docs: DataFrame, phrases: Sequence[Template] = BASE_PHRASES, notices: Sequence[Template] = NOTICES, bodies: Sequence[Template] | None = None) -> DataFrame:
+    """One row per input row: (doc_id, n_words, phrase_starts array<struct<start, label>>, spans array<struct<start, label, length, coverage>>).
 
     Both arrays are sorted.  Null and empty texts have no words, and null ids
-    and repeated rows are results of their own.  Other columns of `docs` are
-    ignored.
+    and repeated rows are results of their own.  `bodies` are by default the
+    licence texts of the package.  Templates shorter than their class's grams
+    find nothing.  Other columns of `docs` are ignored.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "licenses")
+    classes = {PHRASE_K: phrases, NOTICE_K: notices, BODY_K: license_bodies() if bodies is None else bodies}
     tokens = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), words(F.col("text").cast("string"), NOT_ALNUM_CLASS).alias("words"))
     # One position past the end carries the number of words, also of empty texts.
     each = tokens.select("row", "doc_id", "words", F.explode(F.sequence(F.lit(0), F.size("words"))).alias("at"))
+    hashes = (F.xxhash64(*(F.get("words", F.col("at") + i) for i in range(k))).alias(f"h{k}") for k in classes)
+    each = each.select("row", "doc_id", "words", "at", (F.col("at") == F.size("words")).alias("end"), *hashes)
+    for k, templates in classes.items():
+        each = each.join(_grams(spark, templates, k).withColumnsRenamed({"h": f"h{k}", "hits": f"hits{k}"}), f"h{k}", "left")
+    each = each.where(reduce(Column.__or__, (F.col(f"hits{k}").isNotNull() for k in classes), F.col("end")))
 
-    def gram(k: int):
-        return F.xxhash64(*(F.get("words", F.col("at") + i) for i in range(k)))
-
-    each = each.select("row", "doc_id", "words", "at", (F.col("at") == F.size("words")).alias("end"), gram(PHRASE_K).alias("h2"), gram(TEXT_K).alias("h3"))
-    for k, h, name, templates in ((PHRASE_K, "h2", "phrase", phrases), (TEXT_K, "h3", "text", texts)):
-        side = _template_grams(spark, templates, k).select(F.col("h").alias(h), F.col("hits").alias(f"{name}_hits"))
-        each = each.join(F.broadcast(side), h, "left")
-    each = each.where("end OR phrase_hits IS NOT NULL OR text_hits IS NOT NULL")
-    def true_hits(k: int, name: str) -> Column:
+    def true_hits(k: int) -> Column:
         """Those of the hits whose words are equal."""
         own = F.slice("words", F.col("at") + 1, k)
-        hits = F.filter(F.coalesce(f"{name}_hits", F.array().cast("array<struct<template:int,pos:int,gram:array<string>>>")), lambda x: x["gram"] == own)
-        return F.transform(hits, lambda x: F.struct(F.lit(name == "phrase").alias("is_phrase"), x["template"].alias("template"), x["pos"].alias("pos")))
+        hits = F.filter(F.coalesce(f"hits{k}", F.array().cast("array<struct<template:int,pos:int,gram:array<string>>>")), lambda x: x["gram"] == own)
+        return F.transform(hits, lambda x: F.struct(F.lit(k).alias("k"), x["template"].alias("template"), x["pos"].alias("pos")))
 
-    found = scratch.keep(each.select("row", "doc_id", "at", "end", F.concat(true_hits(PHRASE_K, "phrase"), true_hits(TEXT_K, "text")).alias("hits")), "hits")
+    found = scratch.keep(each.select("row", "doc_id", "at", "end", F.concat(*map(true_hits, classes)).alias("hits")), "hits")
 
     rows = found.where("end").select("row", "doc_id", F.col("at").cast("long").alias("n_words"))
     votes = found.where("NOT end").select("row", "at", F.explode("hits").alias("hit")).select("row", "at", "hit.*", (F.col("at") - F.col("hit.pos")).alias("diagonal"))
+    facts, template = _facts(spark, classes), ["k", "template"]
 
-    size = F.create_map(*(F.lit(x) for i, t in enumerate(phrases) for x in (i, len(t.text.split()) - PHRASE_K + 1)))
-    label = F.create_map(*(F.lit(x) for i, t in enumerate(phrases) for x in (i, t.label)))
-    whole = votes.where("is_phrase").groupBy("row", "template", "diagonal").agg(F.count_distinct("pos").alias("n")).where(F.col("n") == size[F.col("template")])
-    starts = whole.groupBy("row").agg(F.sort_array(F.collect_list(F.struct(F.col("diagonal").cast("long").alias("start"), label[F.col("template")].alias("label")))).alias("phrase_starts"))
+    whole = votes.where(F.col("k") == PHRASE_K).groupBy("row", *template, "diagonal").agg(F.count_distinct("pos").alias("n")).join(facts, template).where("n = size")
+    starts = whole.groupBy("row").agg(F.sort_array(F.collect_list(F.struct(F.col("diagonal").cast("long").alias("start"), "label"))).alias("phrase_starts"))
 
-    text_size = F.create_map(*(F.lit(x) for i, t in enumerate(texts) for x in (i, len(t.text.split()) - TEXT_K + 1)))
-    text_label = F.create_map(*(F.lit(x) for i, t in enumerate(texts) for x in (i, t.label)))
-    diagonals = votes.where("NOT is_phrase").groupBy("row", "template", "diagonal").agg(F.min("at").alias("low"), F.max("at").alias("high"), F.collect_set("pos").alias("covered"))
-    in_order = Window.partitionBy("row", "template").orderBy("diagonal", "low")
-    far = (F.col("diagonal") - F.lag("diagonal").over(in_order) > SHIFT) | (F.col("low") - F.lag("high").over(in_order) > text_size[F.col("template")] + SHIFT)
+    diagonals = votes.where(F.col("k") != PHRASE_K).groupBy("row", *template, "diagonal").agg(F.min("at").alias("low"), F.max("at").alias("high"), F.collect_set("pos").alias("covered")).join(facts, template)
+    in_order = Window.partitionBy("row", *template).orderBy("diagonal", "low")
+    shift = F.lit(SHIFT) + F.floor(F.col("size") / SHIFT_SHARE)
+    far = (F.col("diagonal") - F.lag("diagonal").over(in_order) > shift) | (F.col("low") - F.lag("high").over(in_order) > F.col("size") + shift)
     merged = diagonals.withColumn("span", F.sum(F.coalesce(far, F.lit(True)).cast("int")).over(in_order))
-    merged = merged.groupBy("row", "template", "span").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.size(F.array_distinct(F.flatten(F.collect_list("covered")))).alias("n"))
-    coverage = F.col("n") / text_size[F.col("template")]
-    accepted = merged.withColumn("coverage", coverage).where(F.col("coverage") >= COVERAGE)
-    spans = accepted.groupBy("row").agg(F.sort_array(F.collect_list(F.struct(F.col("low").cast("long").alias("start"), text_label[F.col("template")].alias("label"), (F.col("high") - F.col("low") + TEXT_K).cast("long").alias("length"), "coverage"))).alias("spans"))
+    merged = merged.groupBy("row", *template, "label", "size", "span").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.size(F.array_distinct(F.flatten(F.collect_list("covered")))).alias("n"))
+    accepted = merged.withColumn("coverage", F.col("n") / F.col("size")).where(F.col("coverage") >= COVERAGE)
+    spans = accepted.groupBy("row").agg(F.sort_array(F.collect_list(F.struct(F.col("low").cast("long").alias("start"), "label", (F.col("high") - F.col("low") + F.col("k")).cast("long").alias("length"), "coverage"))).alias("spans"))
 
     out = rows.join(starts, "row", "left").join(spans, "row", "left")
     none_starts = F.array().cast("array<struct<start:bigint,label:string>>")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .decontamination import contained_items
 from .jaccard_join import near_duplicate_components
-from .license_scan import scan_licenses
+from .license_scan import BASE_PHRASES, BODY_K, COVERAGE, NOTICE_K, NOTICES, PHRASE_K, SHIFT, SHIFT_SHARE, license_bodies, scan_licenses, template_words
 from .line_dedup import dedup_lines
 from .lm_scoring import score_texts
 from .pieces import decode_tokens, encode_texts
@@ -82,7 +82,7 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, spans)."""
+    """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, n_spans)."""
     found = scan_licenses(_table(spark, sf_dir, "documents"))
     starts = F.transform("phrase_starts", lambda x: x["start"])
     base = F.array_distinct(F.transform("phrase_starts", lambda x: x["label"]))
@@ -97,7 +97,7 @@ def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.array_sort(base), ",").alias("base_labels"),
         F.array_join(F.array_sort(F.array_union(base, own)), ",").alias("labels"),
         F.when(F.size("phrase_starts") > 0, F.greatest(best, F.lit(0.5))).otherwise(best).alias("score"),
-        "spans",
+        F.size("spans").cast("long").alias("n_spans"),
     )
 
 
@@ -118,7 +118,37 @@ QUERIES = {f.__name__: f for f in (op1_sharding, op2_lm_scoring, op3_sentencepie
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = "regexp_extract_all(" + _LOWER + ", '[^\\x20\\x09-\\x0D]+')"
 
+_ALNUM = "regexp_extract_all(" + _LOWER + ", '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
+def _license_sql() -> str:
+    """The license scan in SQL: grams by their words, votes by diagonal, neighbouring diagonals merged."""
+    classes = ((PHRASE_K, BASE_PHRASES), (NOTICE_K, NOTICES), (BODY_K, license_bodies()))
+    rows = ", ".join(f"({k}, {i}, '{t.label}', '{' '.join(template_words(t))}')" for k, templates in classes for i, t in enumerate(templates))
+    return f"""
+        WITH t AS (SELECT k, template, label, string_split(words, ' ') AS w, len(string_split(words, ' ')) - k + 1 AS size FROM (VALUES {rows}) AS x(k, template, label, words)),
+        tg AS (SELECT k, template, pos, array_to_string(w[pos + 1:pos + k], ' ') AS gram FROM (SELECT *, unnest(range(size)) AS pos FROM t)),
+        d AS (SELECT doc_id, {_ALNUM.format("coalesce(text, '')")} AS w FROM documents),
+        dg AS (SELECT doc_id, k, i, array_to_string(w[i + 1:i + k], ' ') AS gram FROM (SELECT doc_id, w, k, unnest(range(len(w) - k + 1)) AS i FROM d, (SELECT DISTINCT k FROM t))),
+        v AS (SELECT doc_id, tg.k, template, pos, i, i - pos AS diagonal FROM dg JOIN tg ON tg.k = dg.k AND tg.gram = dg.gram),
+        b AS (SELECT doc_id, diagonal AS start, label FROM (SELECT doc_id, k, template, diagonal, count(DISTINCT pos) AS n FROM v WHERE k = {PHRASE_K} GROUP BY ALL) x JOIN t USING (k, template) WHERE n = size),
+        g AS (SELECT doc_id, k, template, diagonal, min(i) AS low, max(i) AS high, list(DISTINCT pos) AS covered FROM v WHERE k <> {PHRASE_K} GROUP BY ALL),
+        f AS (SELECT g.*, label, size, CASE WHEN diagonal - lag(diagonal) OVER o <= {SHIFT} + size // {SHIFT_SHARE} AND low - lag(high) OVER o <= size + {SHIFT} + size // {SHIFT_SHARE} THEN 0 ELSE 1 END AS far
+              FROM g JOIN t USING (k, template) WINDOW o AS (PARTITION BY doc_id, k, template ORDER BY diagonal, low)),
+        m AS (SELECT *, sum(far) OVER (PARTITION BY doc_id, k, template ORDER BY diagonal, low ROWS UNBOUNDED PRECEDING) AS span FROM f),
+        s AS (SELECT doc_id, label, len(list_distinct(flatten(list(covered)))) / size AS coverage FROM m GROUP BY doc_id, k, template, label, size, span),
+        s2 AS (SELECT * FROM s WHERE coverage >= {COVERAGE}),
+        bs AS (SELECT doc_id, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM b GROUP BY 1),
+        ls AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT doc_id, label FROM b UNION ALL SELECT doc_id, label FROM s2) GROUP BY 1),
+        ss AS (SELECT doc_id, count(*) AS n_spans, max(coverage) AS best FROM s2 GROUP BY 1)
+        SELECT d.doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+            cast(CASE WHEN n_base > 0 THEN greatest(coalesce(best, 0), 0.5) ELSE coalesce(best, 0) END AS double) AS score, coalesce(n_spans, 0) AS n_spans
+        FROM d LEFT JOIN bs USING (doc_id) LEFT JOIN ls USING (doc_id) LEFT JOIN ss USING (doc_id)
+    """
+
+
 ORACLES: dict[str, str] = {
+    "op8_licenses": _license_sql(),
     "op4_jaccard_join": f"""
         WITH RECURSIVE d AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
         s AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS g FROM d WHERE len(w) > 0),
