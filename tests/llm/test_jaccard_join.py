@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from stratum.llm import jaccard_join
@@ -69,6 +70,55 @@ def test_a_large_group_around_the_threshold(spark, monkeypatch):
     assert got(near_duplicate_components(documents(spark, rows))) == brute(rows)
 
 
+def test_members_out_of_reach_leave_their_list():
+    rng = random.Random(3)
+    members = sorted((rng.randrange(40), rng.randrange(4, 60), rng.randrange(16)) for _ in range(400))
+    key, n = np.array([m[0] for m in members]), np.array([m[1] for m in members])
+    position = np.array([m[2] % max(1, jaccard_join.prefix_length(m[1])) for m in members])
+    reach = jaccard_join.reach(n, position)
+    want = [any(key[i] == key[j] and i != j and n[j] <= reach[i] and n[i] <= reach[j] for j in range(len(n))) for i in range(len(n))]
+    assert jaccard_join.within_reach(key, n, reach).tolist() == want and 0 < sum(want) < len(want)
+
+
+def test_reach_is_the_bound_of_the_overlap():
+    for n in range(1, 60):
+        for at in range(jaccard_join.prefix_length(n)):
+            for m in range(1, 90):
+                assert (175 * min(n - at, m) >= 75 * (n + m)) == (m <= jaccard_join.reach(n, at) and 100 * m >= 75 * n)
+
+
+def test_derived_answers_join_what_the_pairs_join():
+    rng = random.Random(4)
+    for _ in range(60):
+        base = rng.sample(range(1000), 60)
+        sets = {i: np.unique(np.array(rng.sample(base, rng.randrange(40, 60)) + rng.sample(range(1000, 2000), rng.randrange(8)), dtype=np.uint64)) for i in range(14)}
+        pairs = [(i, j) for i in range(14) for j in range(i + 1, 14) if rng.random() < 0.6]
+        links = jaccard_join.links_among(pairs, sets)
+        assert set(links) <= set(pairs) and all(jaccard_join.similar(sets[a], sets[b]) for a, b in links)
+
+        def groups(edges):
+            root = list(range(14))
+            for _ in range(14):
+                for a, b in edges:
+                    root[a] = root[b] = min(root[a], root[b])
+            return root
+
+        assert groups(links) == groups([(a, b) for a, b in pairs if jaccard_join.similar(sets[a], sets[b])])
+
+
+def test_hot_lists_are_dealt_to_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "HOT_POSTINGS", 5)
+    rows = corpus(random.Random(5), 15, 12)
+    assert got(near_duplicate_components(documents(spark, rows))) == brute(rows)
+
+
+def test_texts_that_share_an_id(spark):
+    a, b, c = (prose(random.Random(i), 40, 10_000) for i in (1, 2, 3))
+    rows = [(5, a), (5, b), (3, a + " tail"), (9, b + " tail"), (7, c), (7, c)]
+    out = sorted((r.doc_id, r.component_id) for r in near_duplicate_components(documents(spark, rows)).collect())
+    assert out == [(3, 3), (5, 3), (5, 5), (7, 7), (7, 7), (9, 5)]
+
+
 def test_the_threshold_itself(spark):
     # 7 words have 3 shingles, 8 have 4: 3 of 4 is 0.75.
     rows = [(1, "a b c d e f g"), (2, "a b c d e f g h"), (3, "p q r s t u"), (4, "p q r s t u v")]
