@@ -361,7 +361,7 @@ def score_texts(docs: DataFrame, may_learn: Column, id_col: str = "doc_id", text
     scratch = Scratch(spark, "lmscoring")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.coalesce(may_learn, F.lit(False)).alias("train"))
     blocks = scratch.keep(rows.mapInArrow(_blocks, _BLOCK), "blocks")
-    sums = blocks.agg(F.sum(F.size("codes") + F.size("ids")).alias("tokens"), F.sum(F.size(F.filter("train", lambda x: x))).alias("texts")).first()
+    sums = blocks.agg(F.count("*").alias("blocks"), F.sum(F.size("codes") + F.size("ids")).alias("tokens"), F.sum(F.size(F.filter("train", lambda x: x))).alias("texts")).first()
     texts = sums.texts or 0
 
     of_blocks = blocks.mapInArrow(_block_words, "block long, at int, word long, n long")
@@ -391,7 +391,7 @@ def score_texts(docs: DataFrame, may_learn: Column, id_col: str = "doc_id", text
     scratch.drop(parts, asked)
 
     by_block = levels.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("segment", "levels"))).alias("levels"))
-    joined = blocks.join(counted, "block", "left").join(by_block, "block").select(*_BLOCK_NAMES, "counted", "levels")
+    joined = blocks.repartition(max(shuffle_partitions(spark), sums.blocks // 2), "block").join(counted, "block", "left").join(by_block, "block").select(*_BLOCK_NAMES, "counted", "levels")
     scored = scratch.keep(joined.mapInArrow(_scorer(n, v, texts), _SCORED), "scores")
     scratch.drop(blocks, counted, levels)
     return scored.select("doc_id", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
