@@ -1,18 +1,26 @@
 """Benchmark decontamination: short test items inside long documents.
 
-Containment search with MinHash sketches that depend on an item's size.  Items
-are partitioned by the number of their distinct shingles; an item of n
-shingles keeps the n - ceil(0.75 n) + 1 smallest hash values as its sketch.  A
-document that contains 0.75 of the item's shingles holds at least one of
-those, however long it is, so the candidates are complete.  A second step
-reads only candidate documents and counts common shingles by their text.
+Containment search with MinHash sketches (the smallest hash values of a set)
+in partitions by size.
+
+1. Items are partitioned by the number n of their distinct shingles, from each
+   power of two to the next.  An item's sketch is its n - ceil(0.75 n) + 1
+   smallest hash values; a document that contains 0.75 of the item's shingles
+   holds at least one of those, however long it is.
+2. Each partition has a threshold, the largest value in its sketches, and a
+   least number of shingles that a document needs to contain one of its items.
+   A document's sketch for a partition is the hash values of its shingles up to
+   the threshold, and a document that is too short has none.
+3. Sketches are joined by (partition, hash value), so the candidates are
+   complete.  A second step reads only candidate documents and counts common
+   shingles by their text.
 
 DataFrame operations only.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from .support import Scratch
@@ -52,11 +60,19 @@ def item_shingles(items: DataFrame) -> DataFrame:
 
 
 def sketches(shingles: DataFrame) -> DataFrame:
-    """(item_id, k, h): the smallest hash values of each item, as many as its size class needs."""
+    """(item_id, k, part, needed, h): the smallest hash values of each item, its partition by size, and the shingles that a document needs."""
     hashed = shingles.select("item_id", "k", "n", _shingle_hash(F.col("shingle")).alias("h"))
     lists = hashed.groupBy("item_id", "k", "n").agg(F.sort_array(F.collect_set("h")).alias("hs"))
     length = (F.col("n") - _needed(F.col("n")) + 1).cast("int")
-    return lists.select("item_id", "k", F.explode(F.slice("hs", F.lit(1), length)).alias("h"))
+    part = F.floor(F.log2("n")).cast("int").alias("part")
+    return lists.select("item_id", "k", part, _needed(F.col("n")).alias("needed"), F.explode(F.slice("hs", F.lit(1), length)).alias("h"))
+
+
+def document_sketches(tokens: DataFrame, k: int, parts: list[Row]) -> DataFrame:
+    """(doc_id, part, h) of documents (doc_id, words): their hash values up to the threshold of each partition that they are long enough for."""
+    hashed = positions(tokens, k, "doc_id").select("doc_id", F.size("words").alias("n_words"), gram_hash(F.col("words"), F.col("at"), k).alias("h"))
+    fitting = (F.when((F.col("h") <= p.threshold) & (F.col("n_words") - k + 1 >= p.needed), F.lit(p.part)) for p in parts)
+    return hashed.select("doc_id", F.explode(F.array_compact(F.array(*fitting))).alias("part"), "h")
 
 
 def _shingle_hash(shingle: Column) -> Column:
@@ -78,13 +94,14 @@ def contained_items(docs: DataFrame, items: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id IS NOT NULL")
     shingles = scratch.keep(item_shingles(items), "items")
     sketch = scratch.keep(sketches(shingles), "sketches")
-    lengths = sorted(r.k for r in shingles.select("k").distinct().collect())  # at most WORDS values
+    parts: dict[int, list[Row]] = {}  # at most WORDS lengths, and a partition for each power of two
+    for r in sketch.groupBy("k", "part").agg(F.max("h").alias("threshold"), F.min("needed").alias("needed")).orderBy("k", "part").collect():
+        parts.setdefault(r.k, []).append(r)
     tokens = docs.select("doc_id", words(F.col("text")).alias("words"))
     found: DataFrame | None = None
-    for k in lengths:
-        wanted = sketch.where(F.col("k") == k).select("item_id", "h")
-        hits = positions(tokens, k, "doc_id").select("doc_id", gram_hash(F.col("words"), F.col("at"), k).alias("h"))
-        hits = hits.join(_bounded(wanted, BROADCAST_SHINGLES), "h").select("doc_id", "item_id").distinct()
+    for k, of_length in parts.items():
+        wanted = sketch.where(F.col("k") == k).select("item_id", "part", "h")
+        hits = document_sketches(tokens, k, of_length).join(_bounded(wanted, BROADCAST_SHINGLES), ["part", "h"]).select("doc_id", "item_id").distinct()
         found = hits if found is None else found.union(hits)
     if found is None:
         return spark.createDataFrame([], "doc_id long, item_id long, n_shingles long, n_common long, containment double")
@@ -92,7 +109,7 @@ def contained_items(docs: DataFrame, items: DataFrame) -> DataFrame:
     ids = _bounded(candidates.select("doc_id").distinct(), BROADCAST_IDS)
     texts = docs.join(ids, "doc_id", "left_semi").select("doc_id", words(F.col("text")).alias("words"))
     common: DataFrame | None = None
-    for k in lengths:
+    for k in parts:
         own = _bounded(shingles.where(F.col("k") == k).select("item_id", "shingle", "n", _shingle_hash(F.col("shingle")).alias("h")), BROADCAST_SHINGLES)
         runs = positions(texts, k, "doc_id").select("doc_id", gram_hash(F.col("words"), F.col("at"), k).alias("h"), F.array_join(F.slice("words", F.col("at") + 1, k), " ").alias("text"))
         same = runs.join(own, "h").where("text = shingle").groupBy("doc_id", "item_id", "n").agg(F.count_distinct("shingle").alias("n_common"))

@@ -1,6 +1,9 @@
 import random
 
-from stratum.llm.decontamination import contained_items
+from pyspark.sql import functions as F
+
+from stratum.llm.decontamination import contained_items, document_sketches, item_shingles, sketches
+from stratum.llm.wordgrams import words as word_array
 
 from .common import documents, edge_cases, prose, shingles, words
 
@@ -58,3 +61,24 @@ def test_containment_of_exactly_three_quarters(spark):
 
 def test_empty_tables(spark):
     assert got(spark, [], [(1, "a b")]) == [] and got(spark, [(1, "a b")], []) == [] and got(spark, [], []) == []
+
+
+def test_sketches_are_partitioned_by_size(spark):
+    rng = random.Random(3)
+    items = spark.createDataFrame([(i, prose(rng, n, 10**6)) for i, n in enumerate([5, 6, 12, 20, 36, 68, 100, 200])], "item_id long, text string")
+    rows = sketches(item_shingles(items)).collect()
+    sizes = {i: n - 4 for i, n in enumerate([5, 6, 12, 20, 36, 68, 100, 200])}
+    for i, n in sizes.items():
+        own = [r for r in rows if r.item_id == i]
+        assert len(own) == n + 1 - -(-3 * n // 4) and {r.part for r in own} == {n.bit_length() - 1} and {r.needed for r in own} == {-(-3 * n // 4)}
+    parts = sorted({r.part for r in rows})
+    table = [max((r for r in rows if r.part == p), key=lambda r: r.h).asDict() for p in parts]
+    from pyspark.sql import Row
+
+    bounds = [Row(part=t["part"], threshold=t["h"], needed=min(r.needed for r in rows if r.part == t["part"])) for t in table]
+    tokens = documents(spark, [(1, prose(rng, 60, 10**6)), (2, prose(rng, 3000, 10**6))]).select("doc_id", word_array(F.col("text")).alias("words"))
+    found = document_sketches(tokens, 5, bounds).collect()
+    assert {r.part for r in found if r.doc_id == 1} <= {p.part for p in bounds if p.needed <= 56}  # too short for the others
+    of_large = [r for r in found if r.doc_id == 2 and r.part == 7]
+    assert 0.1 * 2996 < len(of_large) < 0.5 * 2996  # a quarter of the hash values, about
+    assert all(r.h <= next(p.threshold for p in bounds if p.part == r.part) for r in found)
