@@ -26,6 +26,17 @@ def file_system(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
 
 
+#: Schemes of object stores on which a rename copies, so that it is neither atomic nor exclusive.
+COPYING_SCHEMES = frozenset(("s3", "s3a", "s3n", "gs", "wasb", "wasbs", "oss", "cosn", "obs", "swift"))
+
+
+def require_atomic_rename(path: str) -> None:
+    """Raise ValueError for a folder in an object store: versions and locks need renames that are atomic."""
+    scheme = path.split("://", 1)[0].lower() if "://" in path else ""
+    if scheme in COPYING_SCHEMES:
+        raise ValueError(f"{path}: state needs a file system with atomic renames, such as HDFS; data to read and results may lie in an object store")
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, p = file_system(spark, path)
     return fs.exists(p)
