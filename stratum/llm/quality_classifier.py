@@ -3,8 +3,9 @@
 Each text becomes a vector of statistics; random cosines of it approximate a
 Gaussian kernel.  Partitions sum their part of the normal equations, the sums
 are added up, and ridge regression solves them on the driver (a matrix of
-fixed size).  Isotonic regression over the binned training scores turns the
-ridge score into a probability.
+fixed size).  The rows are dealt to FOLDS folds whose sums are kept apart, so
+that each fold gets scores from the weights of the other folds; isotonic
+regression over these scores, in bins, turns a ridge score into a probability.
 """
 
 from __future__ import annotations
@@ -30,13 +31,23 @@ RIDGE = 1.0
 SEED = 7
 #: Labelled rows that the fit uses at most (a hash of the id picks them).
 MAX_TRAIN_ROWS = 400_000
-#: Partial sums that reach the driver at most, of 8 * (COSINES + 2) ** 2 bytes each.
+#: Partial sums that reach the driver at most, of 8 * FOLDS * (COSINES + 2) ** 2 bytes each.
 MAX_PARTIALS = 24
+#: Folds for the calibration; equal statistics are in one fold.
+FOLDS = 4
 #: Bins of the raw score in which isotonic regression pools.
 BINS = 1000
 KEEP_AT = 0.7
 
-_MARKS = b"*%&#$!|"
+def _table(characters: bytes) -> np.ndarray:
+    table = np.zeros(256, dtype=bool)
+    table[list(characters)] = True
+    return table
+
+
+#: Classes of ASCII characters: punctuation of sentences, and all other punctuation.
+_SENTENCE = _table(b".,;:?!'\"()-")
+_SYMBOL = _table(bytes(c for c in range(33, 127) if not chr(c).isalnum())) & ~_SENTENCE
 
 
 def _rows_sum(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -59,13 +70,12 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     upper = (data >= 65) & (data <= 90)
     lower = (data >= 97) & (data <= 122)
     digit = (data >= 48) & (data <= 57)
-    mark = np.zeros(256, dtype=bool)
-    mark[list(_MARKS)] = True
-    mark = mark[data]
-    pipe, bang = data == 124, data == 33
+    symbol, sentence = _SYMBOL[data], _SENTENCE[data]
     wide = (data & 0xC0) == 0xC0
-    punct = (data == 46) | (data == 44)
-    columns = [np.log1p(size), *(_rows_sum(x, offsets) / per_byte for x in (upper, lower, digit, mark, pipe, bang, wide, punct))]
+    marks = np.flatnonzero(symbol | sentence)
+    mark_row = np.searchsorted(offsets, marks, side="right") - 1
+    commonest_mark = np.bincount(mark_row * 128 + data[marks], minlength=128 * len(size)).reshape(-1, 128).max(axis=1, initial=0)
+    columns = [np.log1p(size), *(_rows_sum(x, offsets) / per_byte for x in (upper, lower, digit, symbol, sentence, wide)), commonest_mark / per_byte]
 
     starts, ends, rows = token_ranges(data, offsets, SPACES)
     n_words = np.diff(rows).astype(np.float64)
@@ -86,8 +96,8 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     np.maximum.at(commonest, sorted_rows[at], runs)
     upper_sums = np.concatenate(([0], np.cumsum(upper)))
     shouted = (upper_sums[ends] - upper_sums[starts] >= 2).astype(np.float64)
-    mark_end = mark[ends - 1] if len(ends) else np.zeros(0, dtype=bool)
-    columns += [np.log1p(n_words), _rows_sum(length, rows) / per_word, np.sqrt(np.maximum(_rows_sum(length**2, rows) / per_word - (_rows_sum(length, rows) / per_word) ** 2, 0)), _rows_max(length, rows) ** 0.5, distinct / per_word, np.log1p(distinct), commonest / per_word, _rows_sum(repeat, rows) / per_word, _rows_sum(shouted, rows) / per_word, _rows_sum(mark_end, rows) / per_word]
+    ends_in = [table[data[ends - 1]] if len(ends) else np.zeros(0, dtype=bool) for table in (_SYMBOL, _SENTENCE)]
+    columns += [np.log1p(n_words), _rows_sum(length, rows) / per_word, np.sqrt(np.maximum(_rows_sum(length**2, rows) / per_word - (_rows_sum(length, rows) / per_word) ** 2, 0)), _rows_max(length, rows) ** 0.5, distinct / per_word, np.log1p(distinct), commonest / per_word, _rows_sum(repeat, rows) / per_word, _rows_sum(shouted, rows) / per_word, *(_rows_sum(x, rows) / per_word for x in ends_in)]
 
     line_starts, line_ends, lines = line_ranges(data, offsets)
     n_lines = np.diff(lines).astype(np.float64)
@@ -110,7 +120,7 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     repeat_sums = np.concatenate(([0], np.cumsum(repeat)))
     line_words = words_before[1] - words_before[0]
     line_repeats = (repeat_sums[words_before[1]] - repeat_sums[words_before[0]]) / np.maximum(line_words, 1)
-    columns += [np.log1p(n_lines), size / per_line / 100, _rows_sum(same * line_size, lines) / per_byte, worst(upper), worst(mark), worst(pipe), worst(bang), _rows_max(np.where(line_words >= 5, line_repeats, 0.0), lines), _rows_max(line_words.astype(np.float64), lines) ** 0.5]
+    columns += [np.log1p(n_lines), size / per_line / 100, _rows_sum(same * line_size, lines) / per_byte, worst(upper), worst(symbol), worst(sentence), _rows_max(np.where(line_words >= 5, line_repeats, 0.0), lines), _rows_max(line_words.astype(np.float64), lines) ** 0.5]
     return np.column_stack(columns)
 
 
@@ -176,29 +186,37 @@ def fit(train: DataFrame) -> Model | None:
     mean = np.array([r["mean"] for r in moments])
     scale = np.array([max(r["scale"], 1e-9) for r in moments])
 
+    shape = (FOLDS, COSINES + 2, COSINES + 2)
+
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((COSINES + 2, COSINES + 2))
+        total = np.zeros(shape)
         for batch in batches:
-            if len(batch):
-                z = np.column_stack((_cosines(_matrix(batch.column("stats")), mean, scale), np.asarray(batch.column("y"), dtype=np.float64)))
-                total += z.T @ z
+            z = np.column_stack((_cosines(_matrix(batch.column("stats")), mean, scale), np.asarray(batch.column("y"), dtype=np.float64))) if len(batch) else np.zeros((0, shape[1]))
+            fold = np.asarray(batch.column("fold"))
+            for k in range(FOLDS):
+                own = z[fold == k]
+                total[k] += own.T @ own
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["total"])
 
-    parts = train.select("stats", "y").coalesce(MAX_PARTIALS).mapInArrow(sums, "total binary")
-    total = np.zeros((COSINES + 2, COSINES + 2))
-    for row in parts.toLocalIterator():
-        total += np.frombuffer(row.total).reshape(total.shape)
-    gram, moment = total[:-1, :-1], total[:-1, -1]
-    weights = np.linalg.solve(gram + RIDGE * np.eye(len(gram)), moment)
-    plain = Model(mean, scale, weights, np.zeros(1), np.zeros(1))
+    rows = train.select("stats", "y", F.pmod(F.xxhash64("stats"), F.lit(FOLDS)).cast("int").alias("fold"))
+    total = np.zeros(shape)
+    for row in rows.coalesce(MAX_PARTIALS).mapInArrow(sums, "total binary").toLocalIterator():
+        total += np.frombuffer(row.total).reshape(shape)
+
+    def solved(sums: np.ndarray) -> np.ndarray:
+        return np.linalg.solve(sums[:-1, :-1] + RIDGE * np.eye(len(sums) - 1), sums[:-1, -1])
+
+    weights = solved(total.sum(axis=0))
+    of_others = [solved(total.sum(axis=0) - own) for own in total]
 
     def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if len(batch):
-                raw = plain.raw(_matrix(batch.column("stats")))
+                fold = np.asarray(batch.column("fold"))
+                raw = (_cosines(_matrix(batch.column("stats")), mean, scale) * np.array(of_others)[fold]).sum(axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array(np.clip(np.floor((raw + 0.5) / 2 * BINS), 0, BINS - 1).astype(np.int32)), pa.array(raw), batch.column("y").cast(pa.float64())], names=["bin", "raw", "y"])
 
-    bins = train.select("stats", "y").mapInArrow(binned, "bin int, raw double, y double").groupBy("bin").agg(F.avg("raw").alias("raw"), F.avg("y").alias("y"), F.count("*").alias("n")).orderBy("bin").collect()
+    bins = rows.mapInArrow(binned, "bin int, raw double, y double").groupBy("bin").agg(F.avg("raw").alias("raw"), F.avg("y").alias("y"), F.count("*").alias("n")).orderBy("bin").collect()
     score_at = np.array([b.raw for b in bins])
     probability = pool_adjacent(np.array([b.y for b in bins]), np.array([b.n for b in bins], dtype=np.float64))
     return Model(mean, scale, weights, score_at, np.clip(probability, 0, 1))
@@ -213,7 +231,8 @@ def classify(docs: DataFrame, labels: DataFrame, may_learn: Column, label_col: s
     null id like any other row, but without a label.  Null labels are left out
     of the fit, and an id with several labels counts with each.  Without any
     label to learn from, every score is 0.5.  Columns of either table that are
-    not named in `carry` are ignored.
+    not named in `carry` are ignored; those named may have any names but the
+    ones of the result.
     """
     spark = docs.sparkSession
     bound_batches(spark)
@@ -227,7 +246,7 @@ def classify(docs: DataFrame, labels: DataFrame, may_learn: Column, label_col: s
     labelled = document_statistics(texts.join(F.broadcast(known.select("doc_id").distinct()), "doc_id", "left_semi"))
     train = scratch.keep(labelled.join(F.broadcast(known), "doc_id").select("stats", "y"), "train")
     model = fit(train)
-    names = ["doc_id", *carry, "text"]
+    names = ["doc_id", *(f"carry_{i}" for i in range(len(carry))), "text"]
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -236,8 +255,6 @@ def classify(docs: DataFrame, labels: DataFrame, may_learn: Column, label_col: s
                 rows = batch.slice(first, end - first)
                 yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(score, pa.float64()), pa.array((score >= KEEP_AT).astype(np.int32))], names=[*names, "score", "predicted"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *carry, F.col("text").cast("string").alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *(F.col(c).alias(f"carry_{i}") for i, c in enumerate(carry)), F.col("text").cast("string").alias("text"))
     schema = T.StructType([*rows.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
-    if "text" in carry:
-        raise ValueError("the text is always carried")
-    return rows.mapInArrow(scored, schema)
+    return rows.mapInArrow(scored, schema).select("doc_id", *(F.col(f"carry_{i}").alias(c) for i, c in enumerate(carry)), "text", "score", "predicted")

@@ -48,7 +48,7 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)."""
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score); a row without an id is not held out."""
     scored = score_texts(_table(spark, sf_dir, "documents"), crc32_mod("doc_id", 5) != 1)
     held_out = F.coalesce(crc32_mod("doc_id", 5) == 1, F.lit(False)).alias("held_out")
     return scored.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
@@ -66,9 +66,10 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, held_out, score, predicted)."""
+    """(doc_id, held_out, score, predicted); a row without an id is not held out."""
     scored = classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), crc32_mod("doc_id", 4) != 2)
-    return scored.select("doc_id", (crc32_mod("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
+    held_out = F.coalesce(crc32_mod("doc_id", 4) == 2, F.lit(False)).alias("held_out")
+    return scored.select("doc_id", held_out, "score", "predicted")
 
 
 def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,18 +3,20 @@
 A store is a folder of immutable runs of Parquet files (shards) and of
 manifest versions.  An arrival is appended as a run of small shards.  Runs of
 a similar size are of one tier; when a tier has FANOUT runs, they are merged
-into one run of target-sized shards, which belongs to a higher tier, so each
-row is rewritten once for each tier.  A run of many shards far below the target
-(a bulk arrival has one for each write task) is merged without waiting for its
-tier, once at most: its new shards are of the target's size.  A merge reads
-whole runs and coalesces their scan into target-sized tasks: no shuffle, and no
-key that could be hot.
+into one run of target-sized shards, which belongs to a higher tier.  Runs
+whose shards have that size already move by their manifest entry alone, so a
+row is rewritten until its shard is large enough, and no more.  A run of many
+shards far below the target (a bulk arrival has one for each write task) is
+merged without waiting for its tier.  A merge reads whole runs and coalesces
+their scan into target-sized tasks: no shuffle, and no key that could be hot.
 
 A version of the manifest is a small JSON file that names the live runs (a few
 for each tier, whatever the size of the data).  It is written aside and then
 renamed to its number, which fails if the number is taken: of two writers one
 commits, and the other reads the new version and tries again.  Readers see
 whole versions only.  Data of runs that no version keeps goes with `vacuum`.
+That needs a file system whose rename is atomic (HDFS, local disks); the store
+refuses object stores, which copy instead.
 
 DataFrame operations only.
 """
@@ -26,13 +28,14 @@ import math
 import uuid
 from collections.abc import Callable
 from dataclasses import asdict, dataclass
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .support import file_system
+from ..sources.files import file_system, require_atomic_rename
 
 #: Bytes of a shard after a merge, about.
 TARGET_BYTES = 128 << 20
@@ -48,11 +51,20 @@ class CommitConflict(RuntimeError):
 
 @dataclass(frozen=True)
 class Run:
-    path: str
+    """Shards in one or more folders."""
+
+    paths: tuple[str, ...]
     rows: int
     bytes: int
     files: int
 
+    def full(self, target_bytes: int) -> bool:
+        """Whether the shards have more than half the target's size, on the mean."""
+        return self.bytes > self.files * target_bytes / 2
+
+    def __add__(self, other: Run) -> Run:
+        return Run(self.paths + other.paths, self.rows + other.rows, self.bytes + other.bytes, self.files + other.files)
+
     def undersized(self, target_bytes: int) -> bool:
         """Whether the run has twice the shards that target-sized ones would be, or more."""
         return self.files >= 2 * max(1, math.ceil(self.bytes / target_bytes))
@@ -77,6 +89,7 @@ class ShardStore:
     """
 
     def __init__(self, spark: SparkSession, root: str, schema: T.StructType, target_bytes: int = TARGET_BYTES):
+        require_atomic_rename(root)
         self.spark, self.root, self.schema, self.target_bytes = spark, root.rstrip("/"), schema, target_bytes
 
     # -- manifest --
@@ -102,7 +115,7 @@ class ShardStore:
             text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
-        return Manifest(version, tuple(Run(**r) for r in json.loads(text)["runs"]))
+        return Manifest(version, tuple(Run(**r | {"paths": tuple(r["paths"])}) for r in json.loads(text)["runs"]))
 
     def commit(self, base: Manifest, runs: tuple[Run, ...]) -> Manifest:
         """Make `runs` the version after `base`, or raise CommitConflict."""
@@ -138,11 +151,10 @@ class ShardStore:
         have = set(df.columns)
         return [(F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in self.schema.fields]
 
-    def _run(self, path: str) -> Run:
+    def _run(self, path: str, rows: int | None = None) -> Run:
         fs, folder = file_system(self.spark, path)
         sizes = [s.getLen() for s in fs.listStatus(folder) if s.getPath().getName().endswith(".parquet")]
-        rows = self._read((path,)).count()  # from the footers
-        return Run(path, rows, sum(sizes), len(sizes))
+        return Run((path,), self._read((path,)).count() if rows is None else rows, sum(sizes), len(sizes))  # a count reads the footers
 
     def _read(self, paths: tuple[str, ...]) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(*paths) if paths else self.spark.createDataFrame([], self.schema)
@@ -156,22 +168,24 @@ class ShardStore:
 
     def append_each(self, df: DataFrame, arrival: Column) -> Manifest:
         """Add the arrivals that a column tells apart as a run each, in one pass and one version."""
-        staging = f"{self.root}/data/{uuid.uuid4().hex}"
-        rows = df.select(*self._bound(df), F.coalesce(arrival.cast("long"), F.lit(-1)).alias("__run"))
-        rows.write.partitionBy("__run").option("compression", "zstd").parquet(staging)
+        staging, column = f"{self.root}/data/{uuid.uuid4().hex}", f"run_{uuid.uuid4().hex}"
+        rows = df.select(*self._bound(df), F.coalesce(arrival.cast("long"), F.lit(-1)).alias(column))
+        rows.write.partitionBy(column).option("compression", "zstd").parquet(staging)
+        counts = self.spark.read.schema(T.StructType([*self.schema.fields, T.StructField(column, T.LongType())])).parquet(staging).groupBy(column).count()
+        counts = {f"{column}={r[0]}": r[1] for r in counts.toLocalIterator()}
         fs, folder = file_system(self.spark, staging)
         new = []
         for status in fs.listStatus(folder):
-            if status.getPath().getName().startswith("__run="):
+            if rows_of := counts.get(status.getPath().getName()):
                 path = f"{self.root}/data/{uuid.uuid4().hex}"
                 fs.rename(status.getPath(), file_system(self.spark, path)[1])
-                new.append(self._run(path))
+                new.append(self._run(path, rows_of))
         fs.delete(folder, True)
-        return self._update(lambda runs: (*runs, *(r for r in new if r.rows)))
+        return self._update(lambda runs: (*runs, *new))
 
     def read(self, version: int | None = None) -> DataFrame:
         """Rows of a version, the newest if none is named."""
-        return self._read(tuple(r.path for r in self.manifest(version).runs))
+        return self._read(tuple(p for r in self.manifest(version).runs for p in r.paths))
 
     def _due(self, runs: tuple[Run, ...]) -> list[Run]:
         """The runs of the lowest tier that has FANOUT of them, else those of far too small shards, else none."""
@@ -182,24 +196,28 @@ class ShardStore:
         return full or [r for r in runs if r.undersized(self.target_bytes)]
 
     def merge(self, old: list[Run]) -> Run:
-        """One run of target-sized shards with the rows of the old ones."""
-        path = f"{self.root}/data/{uuid.uuid4().hex}"
-        files = max(1, math.ceil(sum(r.bytes for r in old) / self.target_bytes))
-        self._read(tuple(r.path for r in old)).coalesce(files).write.option("compression", "zstd").parquet(path)
-        run = self._run(path)
-        if run.rows != sum(r.rows for r in old):
-            raise RuntimeError(f"a merge of {sum(r.rows for r in old)} rows wrote {run.rows}")
-        return run
+        """One run of target-sized shards with the rows of the old ones; runs of such shards are taken over as they are."""
+        small = [r for r in old if not r.full(self.target_bytes)]
+        whole = [r for r in old if r.full(self.target_bytes)]
+        if small:
+            path = f"{self.root}/data/{uuid.uuid4().hex}"
+            files = max(1, math.ceil(sum(r.bytes for r in small) / self.target_bytes))
+            self._read(tuple(p for r in small for p in r.paths)).coalesce(files).write.option("compression", "zstd").parquet(path)
+            run = self._run(path)
+            if run.rows != sum(r.rows for r in small):
+                raise RuntimeError(f"a merge of {sum(r.rows for r in small)} rows wrote {run.rows}")
+            whole.append(run)
+        return reduce(Run.__add__, whole)
 
     def compact(self) -> Manifest:
         """Merge until no tier has FANOUT runs and no run far too small shards; each merge is a version."""
         while old := self._due(self.manifest().runs):
-            run, gone = self.merge(old), {r.path for r in old}
+            run, gone = self.merge(old), {r.paths for r in old}
 
             def swap(runs: tuple[Run, ...], run: Run = run, gone: set[str] = gone) -> tuple[Run, ...]:
-                if not gone <= {r.path for r in runs}:
+                if not gone <= {r.paths for r in runs}:
                     return runs  # another writer has merged some of them: this merge is dropped
-                return (*(r for r in runs if r.path not in gone), run)
+                return (*(r for r in runs if r.paths not in gone), run)
 
             self._update(swap)
         return self.manifest()
@@ -210,7 +228,7 @@ class ShardStore:
         Not to be called while another writer is at work: its run isn't named yet.
         """
         versions = self.versions()
-        live = {r.path.rsplit("/", 1)[1] for v in versions[-keep_versions:] for r in self.manifest(v).runs}
+        live = {p.rsplit("/", 1)[1] for v in versions[-keep_versions:] for r in self.manifest(v).runs for p in r.paths}
         fs, folder = file_system(self.spark, f"{self.root}/data")
         if fs.exists(folder):
             for status in fs.listStatus(folder):

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_folder
+from ..sources.files import file_system
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Rows of two or three numbers that may be broadcast (some 30 MB).
@@ -30,13 +31,6 @@ def bound_batches(spark: SparkSession, limit: int = BATCH_BYTES) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(limit))
 
 
-def file_system(spark: SparkSession, path: str):
-    """(Hadoop FileSystem, Hadoop Path) of a path."""
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
-
-
 class Scratch:
     """Intermediate tables as Parquet in the shared folder.
 

@@ -62,9 +62,6 @@ def separator_table(*ranges: tuple[int, int]) -> np.ndarray:
 
 #: `[^\x20\x09-\x0D]+`
 SPACES = separator_table((0x20, 0x20), (0x09, 0x0D))
-#: `[^\x00-\x2F\x3A-\x60\x7B-\x7F]+` once A-Z are lower case
-NOT_ALNUM = separator_table((0x00, 0x2F), (0x3A, 0x60), (0x7B, 0x7F))
-NEWLINE = separator_table((0x0A, 0x0A))
 
 _LOWER = lower_table()
 _BYTE_VALUE = mix(_LOWER.astype(_U) + _U(1))
@@ -152,10 +149,3 @@ def shingle_hashes(tokens: np.ndarray, row_offsets: np.ndarray, k: int) -> tuple
                 value = value * _U(_BASE) + token
         out[out_offsets[row]] = mix(np.array([value + _U(counts[row])], dtype=_U))[0]
     return out, out_offsets
-
-
-def crc32_bucket(ids: np.ndarray, modulus: int) -> np.ndarray:
-    """crc32 of each id written as decimal text, modulo `modulus`."""
-    import zlib
-
-    return np.fromiter((zlib.crc32(str(int(i)).encode()) % modulus for i in ids), dtype=np.int64, count=len(ids))

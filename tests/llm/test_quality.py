@@ -40,12 +40,42 @@ def test_labels_of_held_out_rows_are_not_read(spark):
     assert scores[0] == scores[1]
 
 
+def test_the_fit_is_ridge_regression_on_random_cosines(spark):
+    """Weights, fold scores and calibration against plain numpy over all rows at once."""
+    rows, labels = corpus(200)
+    rng = random.Random(2)
+    labels = [(i, y if rng.random() < 0.9 else 1 - y) for i, y, *_ in labels]
+    docs = documents(spark, rows)
+    train = quality.document_statistics(docs).join(spark.createDataFrame(labels, "doc_id long, y int"), "doc_id")
+    model = quality.fit(train.select("stats", "y"))
+    got = train.select("stats", "y", F.pmod(F.xxhash64("stats"), F.lit(quality.FOLDS)).alias("fold")).collect()
+    x, y, fold = np.array([r.stats for r in got]), np.array([r.y for r in got]), np.array([r.fold for r in got])
+    mean, scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-9)
+    random_ = np.random.default_rng(quality.SEED)
+    directions, shifts = random_.standard_normal((x.shape[1], quality.COSINES)) / quality.WIDTH, random_.uniform(0, 2 * np.pi, quality.COSINES)
+    z = np.column_stack((np.sqrt(2 / quality.COSINES) * np.cos(np.clip((x - mean) / scale, -8, 8) @ directions + shifts), np.ones(len(x))))
+
+    def ridge(rows):
+        return np.linalg.solve(z[rows].T @ z[rows] + quality.RIDGE * np.eye(z.shape[1]), z[rows].T @ y[rows])
+
+    assert np.allclose(model.weights, ridge(np.ones(len(y), dtype=bool)), atol=1e-6)
+    raw = np.array([z[i] @ ridge(fold != fold[i]) for i in range(len(y))])
+    bins = np.clip(np.floor((raw + 0.5) / 2 * quality.BINS), 0, quality.BINS - 1)
+    numbers = np.unique(bins)
+    assert np.allclose(model.score_at, [raw[bins == b].mean() for b in numbers], atol=1e-6)
+    assert np.allclose(model.probability, quality.pool_adjacent(np.array([y[bins == b].mean() for b in numbers]), np.array([float((bins == b).sum()) for b in numbers])))
+    scores = {r.doc_id: r.score for r in quality.classify(docs, spark.createDataFrame(labels, "doc_id long, quality int"), F.lit(True)).collect()}
+    by_stats = {tuple(r.stats): np.interp(z[i] @ model.weights, model.score_at, model.probability) for i, r in enumerate(got)}
+    want = {r.doc_id: by_stats[tuple(r.stats)] for r in quality.document_statistics(docs).collect()}
+    assert all(abs(scores[i] - want[i]) < 1e-6 for i in want)
+
+
 def test_edge_cases(spark):
     rows, labels = corpus(60)
     rows += edge_cases()
     labels += [(None, 1, 0, None, None), (3, None, None, None, None), (10, 7, 0, None, None), (4, 1, 0, None, None), (4, 1, 0, None, None)]
     docs = documents(spark, rows)
-    out = quality.classify(docs, labelled(spark, labels), F.col("doc_id") % 4 != 2, carry=("lang", "source")).collect()
+    out = quality.classify(docs, labelled(spark, labels), F.col("doc_id") % 4 != 2, carry=("lang", "source", "stats", "n")).collect()
     assert len(out) == len(rows) and all(r.score is not None and r.lang is None for r in out)
     assert sorted((str(r.doc_id), str(r.text)) for r in out) == sorted((str(i), str(t)) for i, t in rows)
 

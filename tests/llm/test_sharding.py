@@ -60,8 +60,32 @@ def test_a_bulk_arrival_is_merged_alone_to_shards_near_the_target(spark, store):
     assert store.compact() == store.manifest() and store.manifest().runs == (after,)  # it isn't due again
 
 
+def test_runs_of_target_sized_shards_move_by_their_entry(spark, store):
+    rng = random.Random(5)
+    for i in range(4):
+        store.append(documents(spark, [(1000 * i + j, prose(rng, 200)) for j in range(100)]).coalesce(1))
+    before = store.manifest().runs
+    assert len({r.tier for r in before}) == 1 and all(r.full(store.target_bytes) for r in before)
+    (after,) = store.compact().runs
+    assert set(after.paths) == {p for r in before for p in r.paths} and after.rows == 400
+    store.vacuum()
+    assert store.read().count() == 400
+
+
+def test_object_stores_are_refused(spark, store):
+    with pytest.raises(ValueError, match="atomic"):
+        ShardStore(spark, "s3a://bucket/store", store.schema)
+
+
+def test_columns_named_like_internal_ones(spark, tmp_path):
+    df = spark.createDataFrame([(1, 2), (None, 3)], "__run long, path long")
+    store = ShardStore(spark, f"file://{tmp_path}/odd", df.schema)
+    store.append_each(df, F.col("path"))
+    assert rows(store.read()) == rows(df)
+
+
 def files_of(spark, run):
-    fs, folder = file_system(spark, run.path)
+    fs, folder = file_system(spark, run.paths[0])
     return [s for s in fs.listStatus(folder) if s.getPath().getName().endswith(".parquet")]
 
 
@@ -73,7 +97,7 @@ def test_the_registered_query_merges_every_row(spark, tmp_path, monkeypatch):
 
     def appending(self, *args):
         manifest = append_each(self, *args)
-        appended.update(r.path for r in manifest.runs)
+        appended.update(p for r in manifest.runs for p in r.paths)
         return manifest
 
     def compacting(self):
@@ -84,13 +108,13 @@ def test_the_registered_query_merges_every_row(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(ShardStore, "compact", compacting)
     assert op1_sharding(spark, str(tmp_path)).count() == 400
     (manifest,) = compacted
-    assert len(appended) == 36 and not appended & {r.path for r in manifest.runs}
+    assert len(appended) == 36 and not appended & {p for r in manifest.runs for p in r.paths}
     assert sum(r.rows for r in manifest.runs) == 400 and sum(r.files for r in manifest.runs) < 4
 
 
 def test_one_of_two_writers_commits(spark, store):
     base = store.manifest()
-    run = Run("x", 1, 1, 1)
+    run = Run(("x",), 1, 1, 1)
     store.commit(base, (run,))
     with pytest.raises(CommitConflict):
         store.commit(base, ())
@@ -106,4 +130,4 @@ def test_empty_arrivals_and_missing_columns(spark, store):
 
 
 def test_tiers():
-    assert [Run("", 1, b, 1).tier for b in (0, 1 << 20, (1 << 20) + 1, 5 << 20, 17 << 20)] == [0, 0, 1, 2, 3]
+    assert [Run(("",), 1, b, 1).tier for b in (0, 1 << 20, (1 << 20) + 1, 5 << 20, 17 << 20)] == [0, 0, 1, 2, 3]
