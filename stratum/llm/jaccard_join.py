@@ -53,7 +53,7 @@ WORDS = 5
 #: Similarity as a fraction, compared without rounding: 100 * common >= 75 * union.
 NUMERATOR, DENOMINATOR = 75, 100
 #: Bits of the number of cells of the table of hashed counts (4 bytes each), at least and at most.
-SKETCH_BITS = (14, 23)
+SKETCH_BITS = (14, 22)
 SKETCH_CHUNKS = 64
 #: Postings that one reduce group holds, about.
 POSTINGS_PER_BUCKET = 1_000_000
@@ -110,8 +110,7 @@ def _surveyor(bits: int):
 
         def add(pending: list[np.ndarray]) -> None:
             if pending:
-                cell, times = np.unique(np.concatenate(pending), return_counts=True)
-                counts[cell] += times.astype(np.int32)
+                np.add(counts, np.bincount(np.concatenate(pending), minlength=cells), out=counts, casting="unsafe")
 
         for batch in batches:
             sizes, ones, twos, pending, held = [], [], [], [], 0
@@ -124,7 +123,7 @@ def _surveyor(bits: int):
                     seen.add(one)
                     pending.append((values & _U(cells - 1)).astype(np.int32))
                     held += len(values)
-                    if held >= HELD_POSTINGS:
+                    if held >= max(HELD_POSTINGS, cells):
                         add(pending)
                         pending, held = [], 0
             add(pending)
@@ -255,7 +254,10 @@ def _lister(buckets: int):
 
 
 def _set_maker(counts):
-    """Map function: each set as bytes of its sorted shingles, and its prefix in order."""
+    """Map function: each set as bytes of its sorted shingles, and its prefix in order, of 32 bits each.
+
+    Equal bits of different shingles can only add candidates.
+    """
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = counts.value
@@ -265,7 +267,7 @@ def _set_maker(counts):
                 rows.append(row)
                 ones.append(fingerprint(values)[0])
                 blobs.append(values.tobytes())
-                prefixes.append(ordered_prefix(values, table)[0].tobytes())
+                prefixes.append(ordered_prefix(values, table)[0].astype(np.uint32).tobytes())
                 held += len(values)
                 if held >= HELD_POSTINGS or row == len(batch) - 1:
                     yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(rows)), pa.array(ones, pa.int64()), pa.array(blobs, pa.binary()), pa.array(prefixes, pa.binary())], names=["doc_id", "fp", "items", "prefix"])
@@ -302,7 +304,10 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass(frozen=True)
 class Block:
-    """Sets of a block as arrays: fingerprints, sizes, labels, and their prefix shingles, sorted, with owner and position."""
+    """Sets of a block as arrays: fingerprints, sizes, labels, and their prefix shingles, sorted, with owner and position.
+
+    `twins` counts the shingles of a set that 32 bits don't tell apart.
+    """
 
     blk: int
     nodes: np.ndarray
@@ -311,32 +316,52 @@ class Block:
     keys: np.ndarray
     owners: np.ndarray
     positions: np.ndarray
+    twins: np.ndarray
 
     @classmethod
     def of(cls, blk: int, members: pa.StructArray) -> Block:
         nodes, sizes, labels, prefixes = members.flatten()
-        prefixes = [np.frombuffer(x.as_buffer(), dtype=_U) for x in prefixes]
+        prefixes = [np.frombuffer(x.as_buffer(), dtype=np.uint32) for x in prefixes]
         owners = np.repeat(np.arange(len(nodes)), [len(p) for p in prefixes])
         positions = np.concatenate([np.arange(len(p)) for p in prefixes])
         flat = np.concatenate(prefixes)
         order = np.argsort(flat, kind="stable")
-        return cls(blk, np.asarray(nodes), np.asarray(sizes).astype(np.int64), np.asarray(labels), flat[order], owners[order], positions[order])
+        distinct = np.unique(owners.astype(_U) << _U(32) | flat.astype(_U)) >> _U(32)
+        twins = np.array([len(p) for p in prefixes]) - np.bincount(distinct.astype(np.int64), minlength=len(prefixes))
+        return cls(blk, np.asarray(nodes), np.asarray(sizes).astype(np.int64), np.asarray(labels), flat[order], owners[order], positions[order], twins)
 
-    def candidates(self, other: Block) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs of nodes of different classes that are within reach and share enough of their prefixes."""
+    def _shared(self, other: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each own set with each of the other block: common prefix shingles, and the first position of one in both."""
         shape = (len(self.nodes), len(other.nodes))
         shared = np.zeros(shape, dtype=np.int32)
         first = [np.full(shape, 1 << 30, dtype=np.int32) for _ in range(2)]
-        for key in np.intersect1d(self.keys, other.keys):
-            one, two = (slice(np.searchsorted(x.keys, key), np.searchsorted(x.keys, key, side="right")) for x in (self, other))
+        keys = np.intersect1d(self.keys, other.keys)
+        if shape[0] * shape[1] < len(keys):  # by pairs of sets, else by shingles
+            for i, j in np.ndindex(shape):
+                one, two = self.owners == i, other.owners == j
+                common, at, to = np.intersect1d(self.keys[one], other.keys[two], return_indices=True)
+                if len(common):
+                    shared[i, j], first[0][i, j], first[1][i, j] = len(common), self.positions[one][at].min(), other.positions[two][to].min()
+            return shared, *first
+        for key in keys:
+            # Backwards, so that of the twins of a set the first position is written last.
+            one, two = (np.arange(np.searchsorted(x.keys, key), np.searchsorted(x.keys, key, side="right"))[::-1] for x in (self, other))
             at = np.ix_(self.owners[one], other.owners[two])
             shared[at] += 1
             first[0][at] = np.minimum(first[0][at], self.positions[one][:, None])
             first[1][at] = np.minimum(first[1][at], other.positions[two][None, :])
+        return shared, *first
+
+    def candidates(self, other: Block) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of nodes of different classes that are within reach and share enough of their prefixes."""
         one, two = self.sizes[:, None], other.sizes[None, :]
+        fit = (self.labels[:, None] != other.labels[None, :]) & (DENOMINATOR * np.minimum(one, two) >= NUMERATOR * np.maximum(one, two))
+        if not fit.any():
+            return self.nodes[:0], other.nodes[:0]
+        shared, first_own, first_other = self._shared(other)
+        shared += np.minimum(self.twins[:, None], other.twins[None, :])
         needed = -(-NUMERATOR * (one + two) // (NUMERATOR + DENOMINATOR)) + (-NUMERATOR * np.maximum(one, two) // DENOMINATOR) + 1
-        fit = (shared >= np.maximum(needed, 1)) & (self.labels[:, None] != other.labels[None, :])
-        fit &= (two <= reach(one, first[0])) & (one <= reach(two, first[1]))
+        fit &= (shared >= np.maximum(needed, 1)) & (two <= reach(one, first_own)) & (one <= reach(two, first_other))
         if self.blk == other.blk:
             fit &= self.nodes[:, None] < other.nodes[None, :]
         rows, columns = np.nonzero(fit)
@@ -471,6 +496,15 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return rows.repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first()).mapInArrow(_compare, "a long, b long")
 
 
+def _likely() -> Column:
+    """Whether two sets share half as many lists as similar sets of n_a and n_b shingles share prefix shingles.
+
+    Only for the first comparisons: what it leaves out is found among the candidates.
+    """
+    common = F.expr(f"ceil({NUMERATOR} * (n_a + n_b) / {NUMERATOR + DENOMINATOR})")
+    return 2 * F.col("shared") >= common - F.expr(f"ceil({NUMERATOR} * greatest(n_a, n_b) / {DENOMINATOR})") + 1
+
+
 def _sizes_fit() -> Column:
     return (DENOMINATOR * F.col("n_a") >= NUMERATOR * F.col("n_b")) & (DENOMINATOR * F.col("n_b") >= NUMERATOR * F.col("n_a"))
 
@@ -523,7 +557,7 @@ def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     star = scratch.keep(lists.groupBy("fp", "n", "hub").agg(F.count("*").alias("shared")), "hubs")
     known = scratch.keep(star.select("fp", "n").distinct(), "known")
     star = star.where("fp <> hub").select(F.col("fp").alias("b"), F.col("n").alias("n_b"), "hub", "shared")
-    star = star.join(known.select(F.col("fp").alias("hub"), F.col("n").alias("n_a")), "hub").where(_sizes_fit())
+    star = star.join(known.select(F.col("fp").alias("hub"), F.col("n").alias("n_a")), "hub").where(_sizes_fit() & _likely())
     star = scratch.keep(star.groupBy("b").agg(F.max_by("hub", F.struct("shared", "hub")).alias("a")).select("a", "b"), "star")
     involved = small(nodes.join(known, ["fp", "n"], "left_semi").select(F.col("node").alias("doc_id"), "fp"))
     made = docs.join(involved.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(_set_maker(counts), "doc_id long, fp long, items binary, prefix binary")
@@ -538,7 +572,7 @@ def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     in_largest = F.col("label") == F.col("largest")
     met = opened.where(in_largest).groupBy("key").agg(F.max_by(F.struct("fp", "n"), F.xxhash64("fp")).alias("met")).select("key", F.col("met.fp").alias("a"), F.col("met.n").alias("n_a"))
     outside = opened.where(~in_largest).select("key", F.col("fp").alias("b"), F.col("n").alias("n_b"))
-    offers = outside.join(scratch.keep(met, "met"), "key").groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("shared")).where(_sizes_fit())
+    offers = outside.join(scratch.keep(met, "met"), "key").groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("shared")).where(_sizes_fit() & _likely())
     offers = offers.withColumn("nth", F.row_number().over(Window.partitionBy("b").orderBy(F.desc("shared"), "a"))).where(F.col("nth") <= OFFERS).select("a", "b")
     more = scratch.keep(_verified(scratch.keep(offers, "offers"), sets), "more_links")
     links = scratch.keep(links.union(more).distinct(), "all_links")
@@ -550,7 +584,7 @@ def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     classes = scratch.keep(components(links.union(more), scratch).withColumnRenamed("node", "fp"), "classes")
     scratch.drop(lists, sets, opened, last, pairs)
     labelled = scratch.keep(nodes.join(classes, "fp", "left"), "labelled")
-    least = labelled.where("label IS NOT NULL").groupBy("label").agg(F.min("node").alias("component"))
+    least = small(scratch.keep(labelled.where("label IS NOT NULL").groupBy("label").agg(F.min("node").alias("component")), "least"))
     found = labelled.join(least, "label", "left").select("fp", "fp2", F.col("n").alias("n_shingles"), F.coalesce("component", "node").alias("component"))
     out = rows.join(scratch.keep(found, "components"), ["fp", "fp2", "n_shingles"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))

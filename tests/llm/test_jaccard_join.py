@@ -106,6 +106,34 @@ def test_derived_answers_join_what_the_pairs_join():
         assert groups(links) == groups([(a, b) for a, b in pairs if jaccard_join.similar(sets[a], sets[b])])
 
 
+def test_candidates_are_all_pairs_that_pass_both_filters():
+    import pyarrow as pa
+
+    rng = random.Random(6)
+    found = 0
+    for n in (2, 3, 3, 3, 3, 3, 40):  # by pairs, and by shingles
+        prefixes = [[np.uint32(x) for x in rng.sample(range(60 if n == 40 else 20), rng.randrange(3, 15))] for _ in range(2 * n)]
+        prefixes[0][2] = prefixes[0][0]  # a twin
+        sizes = [rng.randrange(4 * len(p) - 4, 4 * len(p)) for p in prefixes]
+        kind = pa.struct([("fp", pa.int64()), ("n", pa.int64()), ("label", pa.int64()), ("prefix", pa.binary())])
+        rows = [{"fp": i, "n": sizes[i], "label": i // 2, "prefix": np.array(p, dtype=np.uint32).tobytes()} for i, p in enumerate(prefixes)]
+        one, two = (jaccard_join.Block.of(k, pa.array(rows[k * n : (k + 1) * n], kind)) for k in (0, 1))
+        want = []
+        for i in range(n):
+            for j in range(n, 2 * n):
+                common = set(prefixes[i]) & set(prefixes[j])
+                if not common or i // 2 == j // 2 or 100 * min(sizes[i], sizes[j]) < 75 * max(sizes[i], sizes[j]):
+                    continue
+                needed = -(-75 * (sizes[i] + sizes[j]) // 175) - -(-75 * max(sizes[i], sizes[j]) // 100) + 1
+                at, to = (min(p.index(x) for x in common) for p in (prefixes[i], prefixes[j]))
+                if len(common) >= max(needed, 1) and sizes[j] <= jaccard_join.reach(sizes[i], at) and sizes[i] <= jaccard_join.reach(sizes[j], to):
+                    want.append((i, j))
+        got = list(zip(*(x.tolist() for x in one.candidates(two)), strict=True))
+        assert got == want
+        found += len(want)
+    assert found > 10
+
+
 def test_hot_lists_are_dealt_to_several_tasks(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "HOT_POSTINGS", 5)
     rows = corpus(random.Random(5), 15, 12)
