@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import has_summarised_object, json_field
 from ..schemas import ADMIRALITY_CODES, ANALYSIS_VERSION, mismatches
 
+# Names of checks and of their metadata below are fixed values that dashboards rely on.
 FAR_PAST, FAR_FUTURE = "1970-01-01 00:00:00", "9999-12-31 00:00:00"
 REQUIRED_META = ("run_id", "actor", "item_count", "downloaded_at")
 
@@ -32,6 +33,24 @@ class CheckResult:
 # --- violations -------------------------------------------------------------
 
 
+def _timed(dim: DataFrame) -> DataFrame:
+    """(owner_id, profile_key, low, high) with open ends filled, and the largest end of the owner's rows that begin before."""
+    low, high = (F.coalesce(c, F.lit(end).cast("timestamp_ntz")) for c, end in (("effective_from", FAR_PAST), ("effective_to", FAR_FUTURE)))
+    return dim.select("owner_id", "profile_key", low.alias("low"), high.alias("high"))
+
+
+def _begin_too_early(timed: DataFrame) -> DataFrame:
+    """Rows that begin before an earlier one of their owner has ended, among those that end after they begin."""
+    before = Window.partitionBy("owner_id").orderBy("low", "high").rowsBetween(Window.unboundedPreceding, -1)
+    return timed.where("low < high").withColumn("reach", F.max("high").over(before)).where("low < reach")
+
+
+def _pairs(own: DataFrame) -> DataFrame:
+    a, b = own.alias("a"), own.alias("b")
+    pairs = a.join(b, (F.col("a.owner_id") == F.col("b.owner_id")) & (F.col("a.profile_key") < F.col("b.profile_key")) & (F.col("a.low") < F.col("b.high")) & (F.col("b.low") < F.col("a.high")))
+    return pairs.select(F.col("a.owner_id").alias("owner_id"), F.col("a.profile_key").alias("key_a"), F.col("b.profile_key").alias("key_b"))
+
+
 def overlapping_intervals(dim: DataFrame) -> DataFrame:
     """(owner_id, key_a, key_b): pairs of rows of an owner whose half-open intervals overlap.
 
@@ -39,15 +58,28 @@ def overlapping_intervals(dim: DataFrame) -> DataFrame:
     before the next begins; only owners with such rows are joined with
     themselves, so owners without violations cost a sort and no pairs.
     """
-    timed = dim.select("owner_id", "profile_key", F.coalesce("effective_from", F.lit(FAR_PAST).cast("timestamp_ntz")).alias("low"), F.coalesce("effective_to", F.lit(FAR_FUTURE).cast("timestamp_ntz")).alias("high"))
-    before = Window.partitionBy("owner_id").orderBy("low", "high").rowsBetween(Window.unboundedPreceding, -1)
-    suspects = timed.where("low < high").withColumn("reach", F.max("high").over(before)).where("low < reach").select("owner_id").distinct()
+    timed = _timed(dim)
     # Empty or inverted intervals can overlap too (low < other.high and other.low < high); they are rare.
-    odd = timed.where("low >= high").select("owner_id").distinct()
-    own = timed.join(suspects.union(odd).distinct(), "owner_id", "left_semi")
-    a, b = own.alias("a"), own.alias("b")
-    pairs = a.join(b, (F.col("a.owner_id") == F.col("b.owner_id")) & (F.col("a.profile_key") < F.col("b.profile_key")) & (F.col("a.low") < F.col("b.high")) & (F.col("b.low") < F.col("a.high")))
-    return pairs.select(F.col("a.owner_id").alias("owner_id"), F.col("a.profile_key").alias("key_a"), F.col("b.profile_key").alias("key_b"))
+    suspects = _begin_too_early(timed).select("owner_id").union(timed.where("low >= high").select("owner_id")).distinct()
+    return _pairs(timed.join(suspects, "owner_id", "left_semi"))
+
+
+def overlapping_rows(dim: DataFrame) -> DataFrame:
+    """(owner_id, profile_key) of rows that overlap an earlier one of their owner: a sort for each owner, and no pairs.
+
+    There is such a row if and only if there is a pair of `overlapping_intervals`.
+    An empty or inverted interval overlaps those that hold it: that begin before
+    its end and end after its start.
+    """
+    timed = _timed(dim)
+    normal = _begin_too_early(timed).select("owner_id", "profile_key")
+    odd = timed.where("low >= high").select("owner_id", "profile_key", F.col("high").alias("starts"), F.col("low").alias("ends"))
+    # For each odd one, the largest end of the normal ones that begin before its end.
+    marks = timed.where("low < high").select("owner_id", F.col("low").alias("at"), F.col("high").alias("reach"), F.lit(None).cast("int").alias("profile_key"), F.lit(None).cast("timestamp_ntz").alias("ends"), F.lit(1).alias("kind"))
+    marks = marks.unionByName(odd.select("owner_id", F.col("starts").alias("at"), F.lit(None).cast("timestamp_ntz").alias("reach"), "profile_key", "ends", F.lit(0).alias("kind")))
+    before = Window.partitionBy("owner_id").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    held = marks.withColumn("reach", F.max("reach").over(before)).where("kind = 0 AND ends < reach").select("owner_id", "profile_key")
+    return normal.unionByName(held)
 
 
 def inverted_ranges(dim: DataFrame) -> DataFrame:
@@ -138,6 +170,12 @@ def bounded_rows(silver: DataFrame, bronze: DataFrame) -> CheckResult:
     return CheckResult("ig_posts_slv_row_count_bounded", n.bounded, "not more posts than bronze rows", n.asDict())
 
 
+def bounded_count(silver: DataFrame, n_whole: int) -> CheckResult:
+    """The same for a number of bronze rows that is known."""
+    n = silver.count()
+    return CheckResult("ig_posts_slv_row_count_bounded", n <= n_whole, "not more posts than bronze rows", {"n_part": n, "n_whole": n_whole, "bounded": n <= n_whole})
+
+
 def valid_codes(gold: DataFrame) -> CheckResult:
     return _none("ig_posts_gld_valid_admiralty", "valid admirality codes", invalid_codes(gold), "post_id")
 
@@ -151,7 +189,7 @@ def current_version(gold: DataFrame) -> CheckResult:
 
 
 def no_overlap(dim: DataFrame) -> CheckResult:
-    return _none("dim_profile_no_overlapping_intervals", "intervals of an owner are disjoint", overlapping_intervals(dim), "owner_id")
+    return _none("dim_profile_no_overlapping_intervals", "intervals of an owner are disjoint", overlapping_rows(dim), "owner_id")
 
 
 def ranges_valid(dim: DataFrame) -> CheckResult:
@@ -162,9 +200,14 @@ def no_gaps(dim: DataFrame) -> CheckResult:
     return _none("dim_profile_no_gaps", "intervals of an owner join", gaps(dim), "owner_id")
 
 
-def schema_contract(tables: Mapping[str, DataFrame]) -> CheckResult:
-    """Every table that is there has the columns and types of its schema."""
+def schema_contract(tables: Mapping[str, DataFrame], views: Mapping[str, Callable[[], DataFrame]] | None = None) -> CheckResult:
+    """Every table that is there has the columns and types of its schema, and every view can be queried."""
     found = [m for name, df in tables.items() for m in mismatches(name, df.schema)]
+    for name, view in (views or {}).items():
+        try:
+            view().isEmpty()
+        except Exception as problem:  # noqa: BLE001  whatever keeps a query from running is the finding
+            found.append(f"{name} can't be queried: {str(problem).splitlines()[0]}")
     return CheckResult("state_schema_contract", not found, "columns and types as declared", {"mismatches": found})
 
 

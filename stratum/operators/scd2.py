@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import DIM_PROFILE
 from ..session import shared_folder
+from .upsert import upsert
 
 CHANNEL = "instagram"
 
@@ -46,8 +47,8 @@ def name_changes(dim: DataFrame, observed: DataFrame) -> DataFrame:
     return kept.select("owner_id", "owner_username", "seq", (F.row_number().over(Window.partitionBy("owner_id").orderBy(F.desc("seq"))) == 1).alias("is_last"))
 
 
-def apply_names(dim: DataFrame, observed: DataFrame, run_ts: Column, first_key: int | None = None) -> DataFrame:
-    """The dimension after a run: current rows of changed owners closed, new rows added.
+def changed_rows(dim: DataFrame, observed: DataFrame, run_ts: Column, first_key: int | None = None) -> DataFrame:
+    """The rows of the dimension that a run closes, and those that it opens.
 
     Of several new names of an owner only the last stays open.  New keys
     follow `first_key` (by default the largest key) in order of owner and time.
@@ -56,11 +57,11 @@ def apply_names(dim: DataFrame, observed: DataFrame, run_ts: Column, first_key:
     """
     run_ts = run_ts.cast("timestamp_ntz")
     opened = dense_numbers(name_changes(dim, observed), "owner_id", "seq")
-    touched = opened.select("owner_id", F.lit(True).alias("touched")).distinct()
     start = F.lit(first_key) if first_key is not None else F.col("max_key")
-    if first_key is None:
-        opened = opened.join(F.broadcast(max_key(dim)))  # one row
-    new = opened.select(
+    columns = [f.name for f in DIM_PROFILE.fields]
+    closed = dim.where("is_current").join(opened.select("owner_id").distinct(), "owner_id", "left_semi").withColumns({"effective_to": run_ts, "is_current": F.lit(False)})
+    numbered = opened.join(F.broadcast(max_key(dim))) if first_key is None else opened  # one row
+    new = numbered.select(
         (start + F.col("number")).cast("int").alias("profile_key"),
         "owner_id",
         "owner_username",
@@ -69,10 +70,12 @@ def apply_names(dim: DataFrame, observed: DataFrame, run_ts: Column, first_key:
         F.when(~F.col("is_last"), run_ts).alias("effective_to"),
         F.col("is_last").alias("is_current"),
     )
-    closes = F.col("is_current") & F.coalesce("touched", F.lit(False))
-    old = dim.join(touched, "owner_id", "left").withColumns({"effective_to": F.when(closes, run_ts).otherwise(F.col("effective_to")), "is_current": F.col("is_current") & ~closes})
-    columns = [f.name for f in DIM_PROFILE.fields]
-    return old.select(*columns).unionByName(new.select(*columns))
+    return closed.select(*columns).unionByName(new.select(*columns))
+
+
+def apply_names(dim: DataFrame, observed: DataFrame, run_ts: Column, first_key: int | None = None) -> DataFrame:
+    """The dimension after a run: its rows, with those that the run changes replaced or added."""
+    return upsert(dim.select(*(f.name for f in DIM_PROFILE.fields)), changed_rows(dim, observed, run_ts, first_key), ["profile_key"])
 
 
 def dense_numbers(df: DataFrame, *order: str) -> DataFrame:

@@ -14,7 +14,7 @@ from ..functions import lenient_timestamp, list_to_json
 from ..operators.dedup import latest_per_key
 from ..operators.normalize import fit_schema
 from ..schemas import DEAD_LETTER, GOLD, OLD_GOLD, OLD_SILVER, SILVER
-from ..sources.files import create_new, delete, exists, listing, read_text, write_text
+from ..sources.files import create_new, delete, exists, listing, read_text, write_text, written
 from ..sources.ndjson import scan_documents, scan_strict
 from ..sources.state import State
 
@@ -33,19 +33,19 @@ _ANALYSIS = T.StructType(
 def import_ndjson(state: State, raw: str, bronze: str) -> int:
     """Each `<id>.jsonl` of a folder becomes the dataset `<id>.parquet` with its sidecar; number of datasets written.
 
-    Datasets that are there are kept.  A file with a line that is no JSON is
+    Datasets that are there as a whole are kept, half-written ones replaced.  A file with a line that is no JSON is
     left out as a whole, and so is an empty one.
     """
-    spark, written = state.spark, 0
+    spark, count = state.spark, 0
     for f in listing(spark, raw):
         dest = f"{bronze.rstrip('/')}/{f.stem}.parquet"
-        if not f.name.endswith(".jsonl") or exists(spark, dest):
+        if not f.name.endswith(".jsonl") or written(spark, dest):
             continue
         try:
             df = scan_strict(spark, f.path)
             if not df.columns:
                 continue
-            df.write.parquet(dest)
+            df.write.mode("overwrite").parquet(dest)
         except Exception as problem:  # noqa: BLE001  one bad file doesn't end the import
             log.warning("skipping %s: %s", f.path, str(problem).splitlines()[0])
             delete(spark, dest)
@@ -53,8 +53,8 @@ def import_ndjson(state: State, raw: str, bronze: str) -> int:
         meta = read_text(spark, f"{f.path}.meta") or read_text(spark, f"{f.path[: -len('.jsonl')]}.meta")
         if meta is not None:
             write_text(spark, f"{dest}.meta", meta)
-        written += 1
-    return written
+        count += 1
+    return count
 
 
 def import_documents(state: State, silver: str, gold: str, run_ts: dt.datetime) -> tuple[int, int]:

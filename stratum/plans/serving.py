@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.dates import date_dimension
-from ..operators.scd2 import apply_names, observed_names
+from ..operators.scd2 import changed_rows, observed_names
 from ..operators.views import analytics_view
 from ..sources.state import State
 
@@ -19,8 +19,7 @@ def run_dim_profile(state: State, run_ts: dt.datetime) -> DataFrame:
     """Bring the profile dimension up to the names in the posts."""
     dim = state.table("dim_profile")
     observed = observed_names(state.table("silver_ig_posts").read())
-    if not observed.isEmpty():
-        dim.replace(apply_names(dim.read(), observed, F.lit(run_ts)))
+    dim.upsert(changed_rows(dim.read(), observed, F.lit(run_ts)))
     return dim.read()
 
 
@@ -32,7 +31,13 @@ def run_dim_time(state: State, first: dt.date = dt.date(2020, 1, 1), last: dt.da
 
 
 def run_view(state: State) -> DataFrame:
-    """Create or replace the session's view of posts, analyses and current profiles."""
+    """Create or replace the view of posts, analyses and current profiles.
+
+    It is there for the session, as `global_temp.analytics_views` for all
+    sessions of the application, and for other applications by this function,
+    which reads the state's current versions.
+    """
     view = analytics_view(*(state.table(t).read() for t in ("silver_ig_posts", "gold_ig_analyses", "dim_profile")))
     view.createOrReplaceTempView(VIEW)
+    view.createOrReplaceGlobalTempView(VIEW)
     return view

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +26,8 @@ def newest_first(posts: DataFrame) -> DataFrame:
 def run_silver(lake: Lake, state: State, run_ts: dt.datetime) -> DataFrame:
     """Merge the datasets that changed since the mark, and return all posts.
 
+    Only buckets of posts in these datasets are rewritten.
+
     Data is committed first, then progress, then the mark, so a run that dies
     between them does its work again.  The mark is the newest modification
     among the datasets seen: a dataset that arrives during the run is left
@@ -36,9 +39,11 @@ def run_silver(lake: Lake, state: State, run_ts: dt.datetime) -> DataFrame:
     found = datasets(spark, lake.bronze, after)
     if found:
         scanned = scan(spark, found)
-        frames = [normalize(f, F.col("source_dataset")) for f in scanned.frames]
-        merged = latest_posts(diagonal_union([posts.read(), *frames], SILVER))
-        posts.replace(stamp(merged, F.lit(run_ts)))
+        if scanned.frames:
+            incoming = diagonal_union([normalize(f, F.col("source_dataset")) for f in scanned.frames], SILVER)
+            posts.merge(incoming, lambda old, new: stamp(latest_posts(diagonal_union([old, new], SILVER)), F.lit(run_ts)))
+            sizes = reduce(DataFrame.unionAll, (f.groupBy("source_dataset").agg(F.count("*").alias("n_rows")) for f in scanned.frames))
+            state.table("bronze_rows").upsert(sizes.groupBy("source_dataset").agg(F.sum("n_rows").alias("n_rows")))
         seen = spark.createDataFrame([(d.id,) for d in found], "source_dataset string")
         done = progress(posts.read(), seen).withColumn("completed_at", F.lit(run_ts).cast("timestamp_ntz"))
         state.table("silver_ig_progress").upsert(done)

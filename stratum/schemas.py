@@ -98,6 +98,9 @@ TABLES: dict[str, tuple[T.StructType, tuple[str, ...]]] = {
     "dim_time": (DIM_TIME, ("date_key",)),
 }
 
+#: Tables that the pipeline keeps for itself, beside the contract.
+INTERNAL_TABLES: dict[str, tuple[T.StructType, tuple[str, ...]]] = {"bronze_rows": (_schema("source_dataset string, n_rows bigint"), ("source_dataset",))}
+
 #: Tables of the first schema version, which the import writes and the migration reads.
 OLD_SILVER = T.StructType([f if f.name != "processed_on" else T.StructField("silvered_at", T.TimestampNTZType()) for f in SILVER.fields])
 OLD_GOLD = _schema("post_id string, schema_version int, status string, result_json string, error string, attempts int, analysed_at timestamp_ntz")

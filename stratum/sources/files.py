@@ -42,6 +42,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def written(spark: SparkSession, path: str) -> bool:
+    """Whether a dataset is there as a whole: a file, or a folder that Spark's writer has marked as complete."""
+    fs, p = file_system(spark, path)
+    return fs.exists(p) and (not fs.getFileStatus(p).isDirectory() or exists(spark, f"{path.rstrip('/')}/_SUCCESS"))
+
+
 def listing(spark: SparkSession, folder: str) -> list[File]:
     """What lies in a folder, by name; nothing if it isn't there."""
     fs, p = file_system(spark, folder)

@@ -1,25 +1,33 @@
-"""Keyed state tables as versioned Parquet.
-
-A table is a folder of immutable versions `_v=<n>` and a pointer file that
-names the current one.  A writer takes the table's lock, writes the next
-version, and replaces the pointer; readers see one version or the next.  The
-version before stays as a backup.  There is one writer at a time.
+"""Keyed state tables as versioned Parquet in buckets.
+
+A table's rows lie in buckets by a hash of their key.  A version is a small
+manifest that names the folder `_v=<n>/__bucket=<b>` of each bucket; a write
+adds folders for the buckets that it touches, and the others stay as they are.
+A writer takes the table's lock, writes the folders and the manifest, and
+replaces the pointer `_CURRENT`; readers see one version or the next.  The
+version before stays as a backup.  There is one writer at a time.  Locks and
+pointers need a file system whose renames are atomic.
 """
 
 from __future__ import annotations
 
+import json
 import time
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.normalize import fit_schema
 from ..operators.upsert import repeated_keys, upsert
-from ..schemas import OLD_TABLES, TABLES
-from .files import create_new, delete, exists, listing, read_text, write_text
+from ..schemas import INTERNAL_TABLES, OLD_TABLES, TABLES
+from .files import create_new, delete, exists, listing, read_text, require_atomic_rename, write_text
+
+BUCKET = "__bucket"
+#: Tables that grow with the data; the others are small and have one bucket.
+LARGE_TABLES = frozenset(("silver_ig_posts", "gold_ig_analyses", "dead_letter", "dim_profile", "silver_posts", "gold_analyses"))
 
 
 class KeyViolation(ValueError):
@@ -30,23 +38,47 @@ class Locked(RuntimeError):
     """Another writer is at work."""
 
 
+class NoTable(LookupError):
+    """A table that must be there has not been written."""
+
+
 class StateTable:
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: tuple[str, ...], keep_versions: int = 2):
-        self.spark, self.path, self.schema, self.keys, self.keep_versions = spark, path.rstrip("/"), schema, keys, keep_versions
+    """A table of one schema and key.
+
+    `buckets` holds for the first version; later ones keep its number.  It
+    should be such that a bucket has a few hundred megabytes at most.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: tuple[str, ...], buckets: int = 1, keep_versions: int = 2):
+        require_atomic_rename(path)
+        self.spark, self.path, self.schema, self.keys, self.buckets, self.keep_versions = spark, path.rstrip("/"), schema, keys, buckets, keep_versions
 
     def version(self) -> int:
         """Number of the current version, 0 before the first commit."""
         return int(read_text(self.spark, f"{self.path}/_CURRENT") or 0)
 
-    def _folder(self, version: int) -> str:
-        return f"{self.path}/_v={version}"
+    def _manifest(self, version: int) -> dict:
+        """{buckets, folders}: the number of buckets, and the version that wrote each bucket that has rows."""
+        if not version:
+            return {"buckets": self.buckets, "folders": {}}
+        return json.loads(read_text(self.spark, f"{self.path}/_manifest-{version}") or "")
+
+    def _folder(self, version: int, bucket: str = "") -> str:
+        return f"{self.path}/_v={version}" + (f"/{BUCKET}={bucket}" if bucket else "")
+
+    def _load(self, folders: list[str], schema: T.StructType | None = None) -> DataFrame:
+        schema = schema or self.schema
+        return self.spark.read.schema(schema).parquet(*folders) if folders else self.spark.createDataFrame([], schema)
+
+    def read(self, version: int | None = None, required: bool = False) -> DataFrame:
+        """Rows of a version, by default the current one; columns that it lacks are null.
 
-    def read(self, version: int | None = None) -> DataFrame:
-        """Rows of a version, by default the current one; columns that it lacks are null."""
+        A table that has not been written is empty, or raises NoTable if it is required.
+        """
         version = self.version() if version is None else version
-        if not version:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(self._folder(version))
+        if required and not version:
+            raise NoTable(self.path)
+        return self._load([self._folder(v, b) for b, v in sorted(self._manifest(version)["folders"].items())])
 
     @contextmanager
     def lock(self) -> Iterator[None]:
@@ -58,36 +90,88 @@ class StateTable:
         finally:
             delete(self.spark, path)
 
-    def _checked(self, df: DataFrame) -> DataFrame:
-        broken = repeated_keys(df, self.keys).limit(5).collect()
-        if broken:
+    def _bucket(self, buckets: int) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(buckets)).cast("int").alias(BUCKET)
+
+    def _write(self, df: DataFrame, folder: str, buckets: int) -> dict[str, str]:
+        """Write rows by bucket in place of what a writer that died left there; folders of the buckets that have some."""
+        rows = df.select("*", self._bucket(buckets))
+        (rows.repartition(BUCKET) if buckets > 1 else rows).write.mode("overwrite").partitionBy(BUCKET).parquet(folder)
+        return {f.name[len(BUCKET) + 1 :]: f.path for f in listing(self.spark, folder) if f.name.startswith(f"{BUCKET}=")}
+
+    def _check(self, folders: list[str]) -> None:
+        """Raise for keys that are null or repeated; reads the keys only."""
+        keys = T.StructType([self.schema[k] for k in self.keys])
+        if broken := repeated_keys(self._load(folders, keys), self.keys).limit(5).collect():
             raise KeyViolation(f"{self.path}: {[r.asDict() for r in broken]}")
-        return df
 
-    def _commit(self, df: DataFrame) -> int:
+    def _commit(self, df: DataFrame, manifest: dict, touched: set[str] | None) -> int:
+        """Make rows the next version of the touched buckets, or of all."""
         version = self.version() + 1
-        df.write.mode("overwrite").parquet(self._folder(version))  # what a writer that died left there goes
+        written = self._write(df, self._folder(version), manifest["buckets"])
+        try:
+            self._check(sorted(written.values()))
+        except KeyViolation:
+            delete(self.spark, self._folder(version))
+            raise
+        kept = {b: v for b, v in manifest["folders"].items() if touched is not None and b not in touched}
+        write_text(self.spark, f"{self.path}/_manifest-{version}", json.dumps({"buckets": manifest["buckets"], "folders": kept | dict.fromkeys(written, version)}))
         write_text(self.spark, f"{self.path}/_CURRENT", str(version))
-        for old in listing(self.spark, self.path):
-            if old.name.startswith("_v=") and int(old.name[3:]) <= version - self.keep_versions:
-                delete(self.spark, old.path)
+        self._clean(version)
         return version
 
+    def _clean(self, version: int) -> None:
+        """Delete older versions than are kept, and the folders that only they name."""
+        live: set[str] = set()
+        found = listing(self.spark, self.path)
+        for f in found:
+            if f.name.startswith("_manifest-"):
+                number = int(f.name[len("_manifest-") :])
+                if number <= version - self.keep_versions:
+                    delete(self.spark, f.path)
+                else:
+                    live.update(f"{v}/{b}" for b, v in self._manifest(number)["folders"].items())
+        for f in found:
+            if f.name.startswith("_v="):
+                parts = [b for b in listing(self.spark, f.path) if b.name.startswith(f"{BUCKET}=")]
+                gone = [b for b in parts if f"{f.name[3:]}/{b.name[len(BUCKET) + 1 :]}" not in live]
+                for b in [f] if len(gone) == len(parts) else gone:
+                    delete(self.spark, b.path)
+
     def replace(self, df: DataFrame) -> int:
         """Make these rows the next version."""
         with self.lock():
-            return self._commit(self._checked(fit_schema(df, self.schema)))
+            return self._commit(fit_schema(df, self.schema), self._manifest(self.version()) if self.version() else {"buckets": self.buckets, "folders": {}}, None)
+
+    def merge(self, source: DataFrame, combine: Callable[[DataFrame, DataFrame], DataFrame], unique: bool = False) -> int:
+        """Make combine(stored rows, source rows) the next version of the buckets that the source has keys in.
+
+        The source is evaluated once, into a staging folder.  With `unique` its keys are checked there.
+        """
+        with self.lock():
+            manifest = self._manifest(self.version())
+            staging = f"{self.path}/_staging"
+            staged = self._write(fit_schema(source, self.schema), staging, manifest["buckets"])
+            try:
+                if unique:
+                    self._check(sorted(staged.values()))
+                stored = self._load([self._folder(v, b) for b, v in sorted(manifest["folders"].items()) if b in staged])
+                return self._commit(combine(stored, self._load(sorted(staged.values()))), manifest, set(staged))
+            finally:
+                delete(self.spark, staging)
 
     def upsert(self, source: DataFrame) -> int:
         """Replace rows by key, add those with new keys; columns are bound by name."""
-        with self.lock():
-            source = fit_schema(source, self.schema).select(*self.schema.names)
-            return self._commit(upsert(self.read(), self._checked(source), self.keys))
+        return self.merge(source, lambda old, new: upsert(old, new, self.keys), unique=True)
 
     def delete_where(self, condition: str) -> int:
         """Drop the rows that fulfil a condition."""
         with self.lock():
-            return self._commit(self.read().where(~F.coalesce(F.expr(condition), F.lit(False))))
+            manifest = self._manifest(self.version())
+            hit = F.coalesce(F.expr(condition), F.lit(False))
+            touched = {str(r[0]) for r in self.read().where(hit).select(self._bucket(manifest["buckets"])).distinct().collect()}  # numbers of buckets
+            stored = self._load([self._folder(v, b) for b, v in sorted(manifest["folders"].items()) if b in touched])
+            return self._commit(stored.where(~hit), manifest, touched)
 
     def drop(self) -> None:
         delete(self.spark, self.path)
@@ -96,19 +180,19 @@ class StateTable:
 class State:
     """The tables of a pipeline under one folder."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 16):
+        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
 
     def table(self, name: str) -> StateTable:
-        schema, keys = (TABLES | OLD_TABLES)[name]
-        return StateTable(self.spark, f"{self.root}/{name}", schema, keys)
+        schema, keys = (TABLES | OLD_TABLES | INTERNAL_TABLES)[name]
+        return StateTable(self.spark, f"{self.root}/{name}", schema, keys, self.buckets if name in LARGE_TABLES else 1)
 
     def exists(self, name: str) -> bool:
         return exists(self.spark, f"{self.root}/{name}/_CURRENT")
 
     def names(self) -> list[str]:
         """Tables that have been written, by name."""
-        return [f.name for f in listing(self.spark, self.root) if f.is_dir and self.exists(f.name)]
+        return [f.name for f in listing(self.spark, self.root) if f.is_dir and f.name not in INTERNAL_TABLES and self.exists(f.name)]
 
     def drop_all(self) -> None:
         delete(self.spark, self.root)

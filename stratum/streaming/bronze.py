@@ -18,9 +18,8 @@ from ..sources.state import State
 
 def merge_batch(state: State, batch: DataFrame, run_ts: dt.datetime) -> None:
     """Merge bronze rows into the posts.  Doing it twice changes nothing."""
-    posts = state.table("silver_ig_posts")
-    merged = latest_posts(diagonal_union([posts.read(), normalize(batch, F.col("source_dataset"))], SILVER))
-    posts.replace(stamp(merged, F.lit(run_ts)))
+    rows = normalize(batch, F.col("source_dataset"))
+    state.table("silver_ig_posts").merge(rows, lambda old, new: stamp(latest_posts(diagonal_union([old, new], SILVER)), F.lit(run_ts)))
 
 
 def stream_bronze(state: State, bronze: str, checkpoint: str, schema: T.StructType = BRONZE, available_now: bool = True) -> StreamingQuery:
