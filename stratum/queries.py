@@ -1,37 +1,45 @@
 """Registered queries over the synthetic tables, each through the library's operators, with DuckDB oracles.
 
 The posts of a pipeline don't occur in the synthetic tables.  `events` stands
-in for bronze rows (`BRONZE`): ids repeat, urls and captions are missing in
-part, and rows are dealt to three datasets.
+in for bronze rows (`BRONZE`): each post has five, urls and captions are
+missing in part, and rows are dealt to three datasets.  Queries of scans and of
+state write what they read to a lake of their own first, in the shared folder.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
+import time
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import schemas
+from .config import Lake
 from .functions import is_blank, json_valid, lenient_timestamp, list_to_json, post_url
 from .operators import checks, enrich
 from .operators.dates import date_dimension
 from .operators.dedup import diagonal_union, latest_per_key
-from .operators.normalize import add_defaults, rename_columns, stamp
-from .operators.scd2 import apply_names, max_key, observed_names
+from .operators.normalize import add_defaults, normalize, rename_columns, stamp
+from .operators.scd2 import apply_names, changed_rows, max_key, observed_names
 from .operators.upsert import progress, upsert
 from .operators.views import analytics_view
 from .plans.migrate import migrated_posts, seed_mark
 from .plans.silver import newest_first
-from .sources.bronze import newer_than
+from .session import shared_folder
+from .sources.bronze import datasets, newest, scan
+from .sources.files import file_system
+from .sources.ndjson import scan_ndjson as read_ndjson
+from .sources.state import BUCKET, State, StateTable
 
 RUN_TS = "2024-07-01 00:00:00"
 MARK = "2024-01-16 00:00:00"
 
 BRONZE = """
-    SELECT cast(event_id % 2000 AS string) AS post_id, event_id,
+    SELECT cast(cast(floor(event_id / 5) AS bigint) AS string) AS post_id, event_id,
            concat('s', cast(event_id AS string)) AS shortcode,
            CASE WHEN event_id % 5 = 0 THEN NULL ELSE concat('https://x/', cast(event_id AS string)) END AS url,
            CASE WHEN event_id % 7 = 0 THEN '  ' ELSE event_type END AS caption,
@@ -50,7 +58,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "events").select(
-        (F.col("event_id") % 2000).cast("string").alias("post_id"),
+        F.floor(F.col("event_id") / 5).cast("string").alias("post_id"),
         "event_id",
         F.concat(F.lit("s"), F.col("event_id").cast("string")).alias("shortcode"),
         F.when(F.col("event_id") % 5 != 0, F.concat(F.lit("https://x/"), F.col("event_id").cast("string"))).alias("url"),
@@ -92,17 +100,31 @@ def _register(oracle: str | None = None, name: str | None = None):
 # --- scans, projections, filters -------------------------------------------
 
 
-@_register("SELECT * FROM nation")
+def _lake(spark: SparkSession) -> Lake:
+    """A new lake in the shared folder, which goes when the application ends."""
+    root = f"{shared_folder(spark)}/lake-{uuid.uuid4().hex}"
+    fs, path = file_system(spark, root)
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return Lake.at(root)
+
+
+@_register("""SELECT n_nationkey AS id, n_name, CASE WHEN n_nationkey % 3 > 0 THEN n_regionkey END AS n_regionkey, concat('nations_', cast(n_nationkey % 3 AS varchar)) AS source_dataset FROM nation""")
 def scan_parquet(spark, sf_dir):
-    return _table(spark, sf_dir, "nation")
+    """Three datasets of nations, one of which lacks a column, through the scan of the lake."""
+    lake, nations = _lake(spark), _table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "id")
+    for k in range(3):
+        own = nations.where(F.col("id") % 3 == k).select("id", "n_name", *(["n_regionkey"] if k else []))
+        own.write.parquet(f"{lake.bronze}/" + (f"dataset_id=nations_{k}" if k == 2 else f"nations_{k}.parquet"))
+    return diagonal_union(scan(spark, datasets(spark, lake.bronze)).frames).select("id", "n_name", "n_regionkey", "source_dataset")
 
 
 @_register("SELECT cast(json_extract(props, '$.k') AS bigint) AS k FROM events")
 def scan_ndjson(spark, sf_dir):
-    """The lines of `events.props` with an inferred schema (the tables hold no NDJSON file)."""
-    lines = _table(spark, sf_dir, "events").select("props")
-    schema = F.schema_of_json(F.lit('{"k": 1}'))
-    return lines.select(F.from_json("props", schema).alias("props")).select("props.*")
+    """The lines of `events.props`, written as an NDJSON file and read with an inferred schema."""
+    path = f"{_lake(spark).bronze}/events.jsonl"
+    _table(spark, sf_dir, "events").select("props").write.text(path)
+    return read_ndjson(spark, path)
 
 
 @_register("SELECT doc_id AS post_id, 3 AS schema_version, concat('{\"quality\":', cast(quality AS varchar), '}') AS result_json FROM labels")
@@ -147,7 +169,9 @@ def parse_timestamp(spark, sf_dir):
 
 @_register(f"WITH bronze AS ({BRONZE}) SELECT event_id, url FROM bronze WHERE url IS NOT NULL")
 def filter_not_null(spark, sf_dir):
-    return _bronze(spark, sf_dir).where(F.col("url").isNotNull()).select("event_id", "url")
+    """Rows without an id are left out by `normalize`; here urls are the ids."""
+    rows = _bronze(spark, sf_dir).select(F.col("url").alias("id"), F.col("event_id").cast("string").alias("caption"), "source_dataset")
+    return normalize(rows, F.col("source_dataset")).select(F.col("caption").cast("long").alias("event_id"), F.col("post_id").alias("url"))
 
 
 @_register(f"WITH bronze AS ({BRONZE}) SELECT event_id, coalesce(CASE WHEN url IS NOT NULL THEN raw_ts END, timestamp '{RUN_TS}') AS processed_on FROM bronze")
@@ -158,7 +182,15 @@ def stamp_processed(spark, sf_dir):
 
 @_register(f"SELECT event_id, ts FROM events WHERE ts > timestamp '{MARK}'")
 def incremental_scan(spark, sf_dir):
-    return newer_than(_table(spark, sf_dir, "events"), _ts(MARK), "ts").select("event_id", "ts")
+    """Two datasets, of which the second arrives after the mark has been set to the newest file."""
+    lake, events = _lake(spark), _table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), "ts")
+    newer = F.coalesce(F.col("ts") > _ts(MARK), F.lit(False))
+    events.where(~newer).write.parquet(f"{lake.bronze}/old.parquet")
+    mark = newest(spark, lake.bronze).modified_ms
+    time.sleep(0.01)  # files are told apart by milliseconds
+    events.where(newer).write.parquet(f"{lake.bronze}/new.parquet")
+    (rows,) = scan(spark, datasets(spark, lake.bronze, mark)).frames
+    return rows.select(F.col("id").alias("event_id"), "ts")
 
 
 @_register(f"WITH bronze AS ({BRONZE}) SELECT event_id, timestamp FROM bronze ORDER BY timestamp DESC NULLS LAST, event_id")
@@ -192,10 +224,26 @@ def progress_counts(spark, sf_dir):
 @_register("""SELECT c_custkey AS id, CASE WHEN c_custkey % 3 = 0 THEN concat('new ', c_name) ELSE c_name END AS name FROM customer
     UNION ALL SELECT c_custkey + 1000000, c_name FROM customer WHERE c_custkey % 10 = 0""")
 def upsert_replace(spark, sf_dir):
+    customer, source = _customers(spark, sf_dir)
+    return upsert(customer, source, ["id"])
+
+
+def _customers(spark, sf_dir):
+    """(stored customers, changed and added ones)."""
     customer = _table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
     changed = customer.where("id % 3 = 0").select(F.concat(F.lit("new "), "name").alias("name"), "id")
     added = customer.where("id % 10 = 0").select("name", (F.col("id") + 1_000_000).alias("id"))
-    return upsert(customer, changed.unionByName(added), ["id"])
+    return customer, changed.unionByName(added)
+
+
+@_register(_REGISTRY["upsert_replace"][1])
+def state_upsert(spark, sf_dir):
+    """The same upsert into a stored table, by buckets."""
+    customer, source = _customers(spark, sf_dir)
+    table = StateTable(spark, f"{_lake(spark).state}/customer", customer.schema, ("id",), buckets=4)
+    table.replace(customer)
+    table.upsert(source)
+    return table.read(required=True)
 
 
 # --- enrichment -------------------------------------------------------------
@@ -253,11 +301,36 @@ _DIM = f"""names AS (SELECT owner_id, owner_username, max(timestamp) AS last_see
         CASE WHEN n < total THEN timestamp '{RUN_TS}' END AS effective_to, n = total AS is_current FROM seq)"""
 
 
+_ORDER = "PARTITION BY owner_id ORDER BY last_seen NULLS FIRST, owner_username NULLS FIRST"
+_CHAIN = f"""names1 AS (SELECT owner_id, owner_username, max(timestamp) AS last_seen FROM posts WHERE owner_id IS NOT NULL AND timestamp <= timestamp '{MARK}' GROUP BY 1, 2),
+    seq1 AS (SELECT *, row_number() OVER ({_ORDER}) AS n, count(*) OVER (PARTITION BY owner_id) AS total FROM names1),
+    dim1 AS (SELECT cast(row_number() OVER (ORDER BY owner_id, n) AS int) AS profile_key, owner_id, owner_username, 'instagram' AS channel, timestamp '{MARK}' AS effective_from,
+        CASE WHEN n < total THEN timestamp '{MARK}' END AS effective_to, n = total AS is_current FROM seq1),
+    names2 AS (SELECT p.owner_id, p.owner_username, max(timestamp) AS last_seen, any_value(c.owner_id) IS NOT NULL AS known, any_value(c.owner_username) AS current_name
+        FROM posts p LEFT JOIN dim1 c ON c.owner_id = p.owner_id AND c.is_current WHERE p.owner_id IS NOT NULL GROUP BY 1, 2),
+    seq2 AS (SELECT *, row_number() OVER w AS seq, lag(owner_username) OVER w AS prev, last_value(owner_username) OVER ({_ORDER} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS newest
+        FROM names2 WINDOW w AS ({_ORDER})),
+    opened AS (SELECT *, row_number() OVER (ORDER BY owner_id, seq) AS number, seq = max(seq) OVER (PARTITION BY owner_id) AS is_last FROM seq2
+        WHERE NOT (known AND newest IS NOT DISTINCT FROM current_name) AND CASE WHEN seq > 1 THEN owner_username IS DISTINCT FROM prev ELSE NOT known OR owner_username IS DISTINCT FROM current_name END)
+    SELECT profile_key, owner_id, owner_username, channel, effective_from, CASE WHEN is_current AND owner_id IN (SELECT owner_id FROM opened) THEN timestamp '{RUN_TS}' ELSE effective_to END AS effective_to,
+        is_current AND owner_id NOT IN (SELECT owner_id FROM opened) AS is_current FROM dim1
+    UNION ALL SELECT cast((SELECT coalesce(max(profile_key), 0) FROM dim1) + number AS int), owner_id, owner_username, 'instagram', timestamp '{RUN_TS}', CASE WHEN NOT is_last THEN timestamp '{RUN_TS}' END, is_last FROM opened"""
+
+
 @_register(f"{_POSTS}, {_DIM} SELECT * FROM dim")
 def scd2_chain(spark, sf_dir):
     return _dim(spark, sf_dir)
 
 
+@_register(f"{_POSTS}, {_CHAIN}")
+def scd2_stored(spark, sf_dir):
+    """Two runs over a stored dimension: the second closes rows of the first, and opens others."""
+    dim, posts = State(spark, _lake(spark).state, buckets=4).table("dim_profile"), _posts(spark, sf_dir)
+    for part, run_ts in ((posts.where(F.col("timestamp") <= _ts(MARK)), MARK), (posts, RUN_TS)):
+        dim.upsert(changed_rows(dim.read(), observed_names(part), F.lit(run_ts)))
+    return dim.read(required=True)
+
+
 @_register(f"{_POSTS} SELECT DISTINCT owner_id, owner_username FROM posts WHERE owner_id IS NOT NULL")
 def distinct_profiles(spark, sf_dir):
     return observed_names(_posts(spark, sf_dir)).select("owner_id", "owner_username")
@@ -391,15 +464,29 @@ def filter_blank(spark, sf_dir):
     return _posts(spark, sf_dir).where(is_blank(F.col("caption"))).select("post_id")
 
 
-_CONTRACT = [(t, i, f.name, f.dataType.simpleString()) for t, (schema, _) in schemas.TABLES.items() for i, f in enumerate(schema.fields, 1)]
+#: Columns and types that users of the state rely on, written out apart from `schemas`.
+_CONTRACT = """
+    silver_ig_posts: post_id string, shortcode string, url string, caption string, owner_id string, owner_username string, likes_count int, comments_count int, video_play_count int, video_view_count int, timestamp timestamp_ntz, hashtags string, meta_data string, has_engagement_bait boolean, media_files string, media_count int, source_dataset string, processed_on timestamp_ntz
+    silver_ig_progress: source_dataset string, post_count int, completed_at timestamp_ntz
+    watermarks: name string, timestamp timestamp_ntz, config_hash string
+    gold_ig_analyses: post_id string, schema_version int, result_json string, analysed_at timestamp_ntz
+    dead_letter: post_id string, domain string, error string, attempts int, failed_at timestamp_ntz, status string
+    dim_profile: profile_key int, owner_id string, owner_username string, channel string, effective_from timestamp_ntz, effective_to timestamp_ntz, is_current boolean
+    dim_time: date_key int, date date, year int, quarter int, month int, day int, day_of_week int, week int, is_weekend boolean
+"""
+_CONTRACT_ROWS = [(t, i, *c.split(" ")) for line in _CONTRACT.strip().splitlines() for t, _, columns in [line.strip().partition(": ")] for i, c in enumerate(columns.split(", "), 1)]
 
 
-@_register("SELECT * FROM (VALUES " + ", ".join(f"('{t}', cast({i} AS int), '{c}', '{k}')" for t, i, c, k in _CONTRACT) + ") v(table_name, position, column_name, type_name)")
+@_register("SELECT * FROM (VALUES " + ", ".join(f"('{t}', cast({i} AS int), '{c}', '{k}')" for t, i, c, k in _CONTRACT_ROWS) + ") v(table_name, position, column_name, type_name)")
 def schema_contract(spark, sf_dir):
-    """Columns of empty state tables as Spark sees them."""
-    rows = []
-    for name, (schema, _) in schemas.TABLES.items():
-        rows += [(name, i, c, kind) for i, (c, kind) in enumerate(spark.createDataFrame([], schema).dtypes, 1)]
+    """Columns of the Parquet files of stored state tables, as Spark infers them."""
+    state, rows = State(spark, _lake(spark).state), []
+    for name, (schema, keys) in schemas.TABLES.items():
+        # A row of nulls but for the keys, so that there is a file.
+        row = spark.range(1).select(*((F.lit("0") if f.name in keys else F.lit(None)).cast(f.dataType if f.name != "date_key" else "int").alias(f.name) for f in schema.fields))
+        state.table(name).replace(row)
+        stored = spark.read.parquet(f"{state.root}/{name}/_v=1").drop(BUCKET)
+        rows += [(name, i, c, kind) for i, (c, kind) in enumerate(stored.dtypes, 1)]
     return spark.createDataFrame(rows, "table_name string, position int, column_name string, type_name string")
 
 

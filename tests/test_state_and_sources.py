@@ -5,13 +5,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratum.config import Lake, ScrapeConfig
+from stratum.operators import checks
 from stratum.operators.upsert import upsert
-from stratum.plans.migrate import migrate, run_import
+from stratum.plans.migrate import import_ndjson, migrate, run_import
 from stratum.plans.pipeline import Pipeline
 from stratum.schemas import BRONZE
 from stratum.sources.ndjson import scan_ndjson
 from stratum.sources.scrape import Run, ingest, read_meta
-from stratum.sources.state import KeyViolation, Locked
+from stratum.sources.state import KeyViolation, Locked, NoTable, State, StateTable
 from stratum.streaming.bronze import stream_bronze
 
 from .helpers import T0, Fake, bronze, by_id, lake_and_state, post
@@ -201,3 +202,91 @@ def test_command_line(spark, tmp_path, capsys):
     assert state.table("gold_ig_analyses").read().count() == 2
     assert main(["rebuild", f"file://{tmp_path}"]) == 0 and json.loads(capsys.readouterr().out)["silver_ig_posts"] == 2
     assert main(["contract", f"file://{tmp_path}"]) == 0 and json.loads(capsys.readouterr().out)["passed"]
+
+
+def test_an_increment_rewrites_touched_buckets_only(spark, tmp_path):
+    schema = spark.createDataFrame([], "id long, name string").schema
+    table = StateTable(spark, f"file://{tmp_path}/t", schema, ("id",), buckets=8)
+    table.replace(spark.range(200).select("id", F.lit("old").alias("name")))
+    before = table._manifest(1)["folders"]
+    assert len(before) == 8 and set(before.values()) == {1}
+    evaluated = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            evaluated.add(len(batch))
+            yield batch
+
+    table.upsert(spark.createDataFrame([(3, "new"), (1000, "new")], schema).mapInPandas(seen, schema))
+    after = table._manifest(2)["folders"]
+    assert 1 <= sum(v == 2 for v in after.values()) <= 2 and evaluated.value == 2
+    assert {(r.id, r.name) for r in table.read().where("name = 'new'").collect()} == {(3, "new"), (1000, "new")} and table.read().count() == 201
+    assert table.read(1).count() == 200  # the backup
+    table.delete_where("id = 3")
+    assert table.read().count() == 200 and table.version() == 3
+
+
+def test_a_broken_key_leaves_the_table_as_it_is(spark, tmp_path):
+    schema = spark.createDataFrame([], "id long, name string").schema
+    table = StateTable(spark, f"file://{tmp_path}/t", schema, ("id",), buckets=2)
+    with pytest.raises(NoTable):
+        table.read(required=True)
+    table.replace(spark.createDataFrame([(1, "a")], schema))
+    for rows in ([(2, "b"), (2, "c")], [(None, "d")]):
+        with pytest.raises(KeyViolation):
+            table.upsert(spark.createDataFrame(rows, schema))
+        with pytest.raises(KeyViolation):
+            table.replace(spark.createDataFrame(rows, schema))
+    assert [tuple(r) for r in table.read().collect()] == [(1, "a")] and table.version() == 1
+    with pytest.raises(ValueError, match="atomic"):
+        StateTable(spark, "s3a://bucket/t", schema, ("id",))
+
+
+def test_datasets_of_dead_writers_are_replaced(spark, tmp_path):
+    """A folder without the writer's mark is written anew; a missing sidecar too."""
+    bronze, raw = f"file://{tmp_path}/bronze", tmp_path / "raw"
+    raw.mkdir()
+    (raw / "ds_1.jsonl").write_text('{"id": "1"}\n{"id": "2"}\n')
+    dead = f"{bronze}/ds_1.parquet"
+    spark.createDataFrame([("half",)], "id string").write.parquet(dead)
+    (tmp_path / "bronze" / "ds_1.parquet" / "_SUCCESS").unlink()
+    assert import_ndjson(State(spark, f"file://{tmp_path}/state"), f"file://{raw}", bronze) == 1
+    assert sorted(r.id for r in spark.read.parquet(dead).collect()) == ["1", "2"]
+    assert import_ndjson(State(spark, f"file://{tmp_path}/state"), f"file://{raw}", bronze) == 0
+
+    class Source:
+        downloads = 0
+
+        def trigger(self, config, token):
+            return Run("r", "a")
+
+        def wait(self, run, token):
+            return "ds_2"
+
+        def download(self, dataset_id, dest, token):
+            self.downloads += 1
+            from pathlib import Path
+
+            Path(dest.removeprefix("file://")).write_text('{"id": "7"}\n')
+            return 1
+
+    source, path = Source(), tmp_path / "bronze" / "ds_2.parquet"
+    spark.createDataFrame([("half",)], "id string").write.parquet(f"file://{path}")
+    (path / "_SUCCESS").unlink()
+    df = ingest(spark, source, ScrapeConfig(["u"]), bronze, "token")
+    assert [r.id for r in df.collect()] == ["7"] and source.downloads == 1
+    (tmp_path / "bronze" / "ds_2.parquet.meta").unlink()
+    ingest(spark, source, ScrapeConfig(["u"]), bronze, "token")
+    assert source.downloads == 1 and read_meta(spark, f"file://{path}")["item_count"] == 1
+
+
+def test_overlapping_rows_are_there_if_pairs_are(spark):
+    import random
+
+    rng = random.Random(1)
+    for _ in range(3):
+        rows = [(k, f"o{rng.randrange(60)}", dt.datetime(2024, 1, 1 + rng.randrange(20)), None if rng.random() < 0.1 else dt.datetime(2024, 1, 1 + rng.randrange(20))) for k in range(150)]
+        dim = spark.createDataFrame(rows, "profile_key int, owner_id string, effective_from timestamp_ntz, effective_to timestamp_ntz")
+        pairs = {r.owner_id for r in checks.overlapping_intervals(dim).collect()}
+        normal = {r.owner_id for r in checks.overlapping_rows(dim).collect()}
+        assert normal == pairs
