@@ -17,11 +17,11 @@ from ..sources.bronze import newest, read_or_none
 from ..sources.scrape import read_meta
 from ..sources.state import State
 from .gold import run_gold
-from .serving import VIEW, run_dim_profile, run_view
+from .serving import VIEW, run_dim_profile, run_dim_time, run_view
 from .silver import run_silver
 
 #: Order of a scheduled run (bronze is ingested on demand), and its schedule for an external scheduler.
-STEPS = ("silver", "gold", "dim_profile", "analytics_views")
+STEPS = ("silver", "gold", "dim_profile", "dim_time", "analytics_views")
 SCHEDULE = "0 2 * * 1"
 
 
@@ -53,6 +53,8 @@ class Pipeline:
             elif step == "dim_profile":
                 dim = run_dim_profile(self.state, run_ts)
                 results += [checks.no_overlap(dim), checks.ranges_valid(dim), checks.no_gaps(dim)]
+            elif step == "dim_time":
+                run_dim_time(self.state, last=run_ts.date() + dt.timedelta(days=365))
             elif step == "analytics_views":
                 results.append(checks.has_rows("analytics_views_row_count_positive", run_view(self.state)))
         return results

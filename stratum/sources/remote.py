@@ -4,7 +4,9 @@
     spark.read.format("dataset_feed").schema("id string").option("ids", "ds_1,ds_2").option("fetch", "package.module:function").load()
 
 `function(dataset_id)` yields lines of JSON and must be importable by the
-executors.  A download that fails is retried with its task.
+executors.  A download that fails is retried with its task.  With the option
+`raw` the lines are given as they are, in a single column.  `FeedDownload`
+lets `scrape.ingest` download in that way.
 """
 
 from __future__ import annotations
@@ -12,10 +14,15 @@ from __future__ import annotations
 import importlib
 import json
 from collections.abc import Iterator
+from dataclasses import dataclass
 
+from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, LongType, StringType, StructType
 
+from ..config import ScrapeConfig
+from .scrape import Run, ScrapeSource
+
 
 class _Dataset(InputPartition):
     def __init__(self, id: str):
@@ -45,6 +52,7 @@ class _Reader(DataSourceReader):
         self.fields = [(f.name, f.dataType) for f in schema.fields]
         self.ids = [i for i in options.get("ids", "").split(",") if i]
         self.fetch = options["fetch"]
+        self.raw = options.get("raw", "false").lower() == "true"
 
     def partitions(self) -> list[InputPartition]:
         return [_Dataset(i) for i in self.ids] or [_Dataset("")]
@@ -53,6 +61,9 @@ class _Reader(DataSourceReader):
         module, _, name = self.fetch.partition(":")
         fetch = getattr(importlib.import_module(module), name)
         for line in fetch(partition.id) if partition.id else ():
+            if self.raw:
+                yield (line.rstrip("\n"),)
+                continue
             row = json.loads(line)
             yield tuple(fit_value(row.get(n), kind) for n, kind in self.fields)
 
@@ -67,3 +78,25 @@ class DatasetFeed(DataSource):
 
     def reader(self, schema: StructType) -> DataSourceReader:
         return _Reader(schema, dict(self.options))
+
+
+@dataclass(frozen=True)
+class FeedDownload:
+    """A scrape source whose datasets are downloaded by a task, and not by the driver."""
+
+    spark: SparkSession
+    source: ScrapeSource
+    fetch: str
+
+    def trigger(self, config: ScrapeConfig, token: str) -> Run:
+        return self.source.trigger(config, token)
+
+    def wait(self, run: Run, token: str) -> str:
+        return self.source.wait(run, token)
+
+    def download(self, dataset_id: str, dest: str, token: str) -> int:
+        """The function behind `fetch` has its token from the executors' environment."""
+        self.spark.dataSource.register(DatasetFeed)
+        lines = self.spark.read.format(DatasetFeed.name()).schema("value string").option("ids", dataset_id).option("fetch", self.fetch).option("raw", "true").load()
+        lines.write.mode("overwrite").text(dest)
+        return self.spark.read.text(dest).count()

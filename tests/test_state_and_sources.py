@@ -148,6 +148,7 @@ def test_snapshot_end_to_end_and_rebuild(spark, tmp_path):
     assert state.table("dim_profile").read().where("is_current").count() == 3 and spark.table("analytics_views").count() == 5
     assert pipeline.contract().passed
     counts = pipeline.rebuild(T0)
+    assert counts.pop("dim_time") == ((T0.date() + dt.timedelta(days=365)) - dt.date(2020, 1, 1)).days + 1
     assert counts == {"dead_letter": 1, "dim_profile": 3, "gold_ig_analyses": 4, "silver_ig_posts": 5, "silver_ig_progress": 1, "watermarks": 2}
 
 
@@ -191,6 +192,21 @@ def test_datasets_are_read_by_tasks(spark):
     assert reader.option("ids", "").load().isEmpty()
 
 
+def test_a_scrape_downloads_by_tasks(spark, tmp_path):
+    from stratum.sources.remote import FeedDownload
+
+    class Service:
+        def trigger(self, config, token):
+            return Run("r", "a")
+
+        def wait(self, run, token):
+            return "ds_9"
+
+    source = FeedDownload(spark, Service(), "tests.helpers:fetch_dataset")
+    df = ingest(spark, source, ScrapeConfig(["u"]), f"file://{tmp_path}/bronze", "token")
+    assert sorted(r.id for r in df.collect()) == ["ds_9-0", "ds_9-1"] and read_meta(spark, f"file://{tmp_path}/bronze/ds_9.parquet")["item_count"] == 2
+
+
 def test_command_line(spark, tmp_path, capsys):
     from stratum.__main__ import main
 
