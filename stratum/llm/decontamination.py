@@ -20,6 +20,8 @@ DataFrame operations only.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
@@ -71,8 +73,9 @@ def sketches(shingles: DataFrame) -> DataFrame:
 def document_sketches(tokens: DataFrame, k: int, parts: list[Row]) -> DataFrame:
     """(doc_id, part, h) of documents (doc_id, words): their hash values up to the threshold of each partition that they are long enough for."""
     hashed = positions(tokens, k, "doc_id").select("doc_id", F.size("words").alias("n_words"), gram_hash(F.col("words"), F.col("at"), k).alias("h"))
-    fitting = (F.when((F.col("h") <= p.threshold) & (F.col("n_words") - k + 1 >= p.needed), F.lit(p.part)) for p in parts)
-    return hashed.select("doc_id", F.explode(F.array_compact(F.array(*fitting))).alias("part"), "h")
+    fits = [(F.col("h") <= p.threshold) & (F.col("n_words") - k + 1 >= p.needed) for p in parts]
+    in_parts = F.array_compact(F.array(*(F.when(fit, F.lit(p.part)) for fit, p in zip(fits, parts, strict=True))))
+    return hashed.where(reduce(Column.__or__, fits)).select("doc_id", F.explode(in_parts).alias("part"), "h")
 
 
 def _shingle_hash(shingle: Column) -> Column:
