@@ -16,7 +16,7 @@ from ..schemas import ANALYSIS_VERSION
 
 DOMAIN = "instagram"
 EPOCH = "1970-01-01 00:00:00"
-#: What an analyzer is asked, before the caption.
+#: What an analyzer is asked, before the caption; the names of the JSON fields in it are fixed values.
 PROMPT = (
     "Classify the post below and answer with one JSON object. Give is_educational and is_actionable (booleans), admirality (a code from A1 to C2), "
     "domain, subdomain, topic, subtopic, content_type, style and format; educational_json with summary, workflow, concepts, principles and techniques "
