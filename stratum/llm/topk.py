@@ -32,15 +32,16 @@ from pyspark.sql.window import Window
 
 from .support import Scratch
 
-#: Vectors of a shard, about, and of a leaf at most.
-SHARD_ROWS = 8_192
+#: Vectors of a shard, about, and of a leaf at most.  Where boxes rule out few shards, as in many
+#: dimensions, a query is sent once for so many vectors.
+SHARD_ROWS = 32_768
 LEAF_ROWS = 64
 #: Queries that walk a tree together.
 BLOCK_QUERIES = 128
 #: Shards that a block of queries goes to before its k-th scores are taken anew.
 NEAREST = 4
 #: Blocks that walk a shard's tree in one task; a shard that more blocks reach is held by several tasks.
-BLOCKS_PER_TASK = 64
+BLOCKS_PER_TASK = 16
 #: Bytes of boxes that are broadcast at once.
 BOX_BYTES = 64_000_000
 #: Vectors that the cells are fitted on at most; it changes which shard a vector is in, never a result.
