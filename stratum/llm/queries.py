@@ -8,7 +8,7 @@ the result.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .decontamination import contained_items
@@ -20,6 +20,7 @@ from .pieces import decode_tokens, encode_texts
 from .pii import pseudonymize
 from .quality_classifier import classify
 from .sharding import ShardStore
+from .source_divergence import MIN_DOCS, SCALE, SMOOTHING, TOP_TERMS, Audit, audit_sources
 from .support import Scratch, crc32_mod
 from .topk import top_k
 
@@ -114,7 +115,19 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(_table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed_lines", "n_removed_chunks", "text")
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_lm_scoring, op3_sentencepiece, op4_jaccard_join, op5_quality, op6_topk, op7_decontamination, op8_licenses, op9_pii, op10_line_dedup)}
+def divergence_rows(audit: Audit) -> DataFrame:
+    """Both parts of an audit in one table, ranked."""
+    by_value = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
+    pairs = audit.pairs.select("lang", "source", F.lit("pair").alias("part"), F.col("other").alias("item"), "value").withColumn("rank", F.row_number().over(by_value))
+    return pairs.unionByName(audit.terms.select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), "value", "rank"))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(lang, source, part, item, value, rank): sources by their distance, and the terms that a source has in excess."""
+    return divergence_rows(audit_sources(_table(spark, sf_dir, "documents")))
+
+
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_lm_scoring, op3_sentencepiece, op4_jaccard_join, op5_quality, op6_topk, op7_decontamination, op8_licenses, op9_pii, op10_line_dedup, op12_divergence)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = "regexp_extract_all(" + _LOWER + ", '[^\\x20\\x09-\\x0D]+')"
@@ -148,7 +161,27 @@ def _license_sql() -> str:
     """
 
 
+_LETTERS = "regexp_extract_all(" + _LOWER + ", '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
 ORACLES: dict[str, str] = {
+    "op12_divergence": f"""
+        WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_LETTERS.format("coalesce(text, '')")} AS w FROM documents),
+        t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+        kept AS (SELECT lang, term FROM t GROUP BY 1, 2 HAVING count(DISTINCT r) >= {MIN_DOCS}),
+        v AS (SELECT lang, count(*) AS v FROM kept GROUP BY 1),
+        c AS (SELECT lang, source, term, count(*) AS n FROM t GROUP BY 1, 2, 3),
+        g AS (SELECT DISTINCT lang, source FROM d),
+        x AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n FROM g JOIN kept k ON k.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+        y AS (SELECT *, sum(n) OVER (PARTITION BY lang, source) AS total, sum(n) OVER (PARTITION BY lang) AS all_total, sum(n) OVER (PARTITION BY lang, term) AS all_n FROM x),
+        p AS (SELECT lang, source, term, n, 1 + ({SCALE}::HUGEINT * (n + {SMOOTHING})::HUGEINT) // (total + {SMOOTHING} * v.v)::HUGEINT AS p,
+                     1 + ({SCALE}::HUGEINT * (all_n + {SMOOTHING})::HUGEINT) // (all_total + {SMOOTHING} * v.v)::HUGEINT AS q FROM y JOIN v USING (lang)),
+        pairs AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS f FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+        r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, cast(coalesce(f, 0) AS bigint) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+              LEFT JOIN pairs s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+              UNION ALL SELECT lang, source, 'term', term, cast(p - q AS bigint) FROM p WHERE n > 0 AND p > q),
+        o AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rn FROM r)
+        SELECT lang, source, part, item, value, cast(rn AS int) AS rank FROM o WHERE part = 'pair' OR rn <= {TOP_TERMS}
+    """,
     "op8_licenses": _license_sql(),
     "op4_jaccard_join": f"""
         WITH RECURSIVE d AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
