@@ -22,6 +22,7 @@ from .quality_classifier import classify
 from .sharding import ShardStore
 from .source_divergence import MIN_DOCS, SCALE, SMOOTHING, TOP_TERMS, Audit, audit_sources
 from .support import Scratch, crc32_mod
+from .token_records import read_token_records, write_token_records
 from .topk import top_k
 
 #: Key of the registered query only; callers of the operator bring their own.
@@ -115,6 +116,13 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(_table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed_lines", "n_removed_chunks", "text")
 
 
+def op11_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32) of each record, as read back from the files."""
+    folder = Scratch(spark, "records").path("tokens")
+    write_token_records(_table(spark, sf_dir, "documents"), folder)
+    return read_token_records(spark, folder, ("doc_id", "start", "n_tokens", "ids_crc32"))
+
+
 def divergence_rows(audit: Audit) -> DataFrame:
     """Both parts of an audit in one table, ranked."""
     by_value = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
@@ -127,7 +135,7 @@ def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence_rows(audit_sources(_table(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_lm_scoring, op3_sentencepiece, op4_jaccard_join, op5_quality, op6_topk, op7_decontamination, op8_licenses, op9_pii, op10_line_dedup, op12_divergence)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_lm_scoring, op3_sentencepiece, op4_jaccard_join, op5_quality, op6_topk, op7_decontamination, op8_licenses, op9_pii, op10_line_dedup, op11_token_records, op12_divergence)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = "regexp_extract_all(" + _LOWER + ", '[^\\x20\\x09-\\x0D]+')"

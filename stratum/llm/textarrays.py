@@ -149,3 +149,36 @@ def shingle_hashes(tokens: np.ndarray, row_offsets: np.ndarray, k: int) -> tuple
                 value = value * _U(_BASE) + token
         out[out_offsets[row]] = mix(np.array([value + _U(counts[row])], dtype=_U))[0]
     return out, out_offsets
+
+
+def byte_ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Indices starts[i] ... starts[i] + sizes[i] - 1 for all i, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
+
+
+def distinct_ranges(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, kinds: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(example, inverse) of the distinct byte ranges: range i has the bytes (and the kind) of range example[inverse[i]].
+
+    Ranges are told apart by hash; the bytes are compared then, and if two of
+    one hash differ, all are compared as bytes.
+    """
+    hashes = token_hashes(data, starts, ends, lower=False)
+    if kinds is not None:
+        hashes = mix(hashes + kinds.astype(_U) * _U(_BASE))
+    _, example, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+    twin, sizes = example[inverse], ends - starts
+    same = np.array_equal(sizes, sizes[twin]) and (kinds is None or np.array_equal(kinds, kinds[twin]))
+    if not (same and np.array_equal(data[byte_ranges(starts, sizes)], data[byte_ranges(starts[twin], sizes)])):
+        raw, numbers = data.tobytes(), {}
+        keys = [(raw[a:b], k) for a, b, k in zip(starts.tolist(), ends.tolist(), kinds.tolist() if kinds is not None else [0] * len(starts), strict=True)]
+        inverse = np.array([numbers.setdefault(key, len(numbers)) for key in keys], dtype=np.int64)
+        _, example = np.unique(inverse, return_index=True)
+    return example, inverse
+
+
+def strings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.LargeStringArray:
+    """Byte ranges as an Arrow array of strings."""
+    sizes = ends - starts
+    offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
+    return pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data[byte_ranges(starts, sizes)])))
