@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .collocations import LONGEST, MIN_COUNT, NO_LANG, SUBSUMED, TOP, mine_phrases
+from .collocations import SCALE as PHRASE_SCALE
 from .decontamination import contained_items
 from .jaccard_join import near_duplicate_components
 from .license_scan import BASE_PHRASES, BODY_K, COVERAGE, NOTICE_K, NOTICES, PHRASE_K, SHIFT, SHIFT_SHARE, license_bodies, scan_licenses, template_words
@@ -135,7 +137,12 @@ def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence_rows(audit_sources(_table(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_lm_scoring, op3_sentencepiece, op4_jaccard_join, op5_quality, op6_topk, op7_decontamination, op8_licenses, op9_pii, op10_line_dedup, op11_token_records, op12_divergence)}
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(lang, rank, phrase, a, l, r, n, score) of the highest-scoring phrases of each language."""
+    return mine_phrases(_table(spark, sf_dir, "documents")).top
+
+
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_lm_scoring, op3_sentencepiece, op4_jaccard_join, op5_quality, op6_topk, op7_decontamination, op8_licenses, op9_pii, op10_line_dedup, op11_token_records, op12_divergence, op13_collocations)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = "regexp_extract_all(" + _LOWER + ", '[^\\x20\\x09-\\x0D]+')"
@@ -172,6 +179,21 @@ def _license_sql() -> str:
 _LETTERS = "regexp_extract_all(" + _LOWER + ", '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
 
 ORACLES: dict[str, str] = {
+    "op13_collocations": f"""
+        WITH p AS (SELECT coalesce(lang, '{NO_LANG}') AS lang, unnest(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+        w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM p),
+        n AS (SELECT lang, cast(sum(len(w)) AS bigint) AS n FROM w GROUP BY 1),
+        f AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest(range(1, {LONGEST + 1})) AS k)) GROUP BY 1, 2, 3 HAVING count(*) >= {MIN_COUNT}),
+        c AS (SELECT lang, k AS size, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+        x AS (SELECT lang, size, phrase, a, w, unnest(range(1, size)) AS k FROM c),
+        y AS (SELECT x.lang, x.phrase, x.a, x.k, p.f AS l, q.f AS r, ({PHRASE_SCALE}::HUGEINT * x.a) // (p.f::HUGEINT + q.f) AS score
+              FROM x JOIN f p ON p.lang = x.lang AND p.phrase = array_to_string(w[1:x.k], ' ') JOIN f q ON q.lang = x.lang AND q.phrase = array_to_string(w[x.k + 1:], ' ')),
+        b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS o FROM y) WHERE o = 1),
+        s AS (SELECT lang, a, unnest(list_transform(range(1, size - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase FROM (SELECT *, unnest(range(2, size)) AS m FROM c)),
+        z AS (SELECT lang, phrase, max(a) AS longer FROM s GROUP BY 1, 2),
+        t AS (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, b.a DESC, b.phrase) AS rank FROM b LEFT JOIN z ON z.lang = b.lang AND z.phrase = b.phrase WHERE longer IS NULL OR 100 * longer < {SUBSUMED} * b.a)
+        SELECT t.lang, rank, phrase, a, l, r, n.n, cast(score AS bigint) AS score FROM t JOIN n ON n.lang = t.lang WHERE rank <= {TOP}
+    """,
     "op12_divergence": f"""
         WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_LETTERS.format("coalesce(text, '')")} AS w FROM documents),
         t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
