@@ -246,6 +246,19 @@ def state_upsert(spark, sf_dir):
     return table.read(required=True)
 
 
+@_register(f"{_POSTS} SELECT post_id, event_id, shortcode, url, caption, owner_id, owner_username, likes_count, timestamp, source_dataset FROM posts")
+def state_increments(spark, sf_dir):
+    """Posts merged into a stored table in two halves and a small rest: delta runs over a base, in buckets that grow."""
+    columns = ["post_id", "event_id", "shortcode", "url", "caption", "owner_id", "owner_username", "likes_count", "timestamp", "source_dataset"]
+    rows = _bronze(spark, sf_dir).select(*columns)
+    table = StateTable(spark, f"{_lake(spark).state}/posts", rows.schema, ("post_id",), buckets=2, bucket_rows=1500)
+    # Each part holds rows of posts that the parts before have, too.
+    part = F.when(F.col("event_id") % 50 == 49, 2).otherwise(F.pmod(F.xxhash64("event_id"), F.lit(2)))
+    for k in range(3):
+        table.merge(_latest(rows.where(part == k)), lambda old, new: _latest(old.unionByName(new)), unique=True)
+    return table.read(required=True)
+
+
 # --- enrichment -------------------------------------------------------------
 
 

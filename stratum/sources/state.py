@@ -1,12 +1,23 @@
-"""Keyed state tables as versioned Parquet in buckets.
-
-A table's rows lie in buckets by a hash of their key.  A version is a small
-manifest that names the folder `_v=<n>/__bucket=<b>` of each bucket; a write
-adds folders for the buckets that it touches, and the others stay as they are.
-A writer takes the table's lock, writes the folders and the manifest, and
-replaces the pointer `_CURRENT`; readers see one version or the next.  The
-version before stays as a backup.  There is one writer at a time.  Locks and
-pointers need a file system whose renames are atomic.
+"""Keyed state tables as versioned Parquet: buckets of a base run and delta runs.
+
+A table's rows lie in buckets by a hash of their key.  A bucket is a list of
+runs, each a folder `_v=<n>/__bucket=<b>`; of a key the row in the latest run
+counts.  An upsert adds a run with its own rows to the buckets that it touches,
+so what it writes grows with the increment and not with the table.  Runs are
+folded by size: a bucket's latest runs become one when several of a size have
+gathered, and all of them become a new base when the deltas have grown to a
+share of it; each row is thus rewritten a number of times that grows with the
+logarithm of the table.
+
+Buckets grow by linear hashing: where rows outnumber what the buckets should
+hold, one bucket after the other is split in two, and the others stay.
+
+A version is a small manifest of runs with their rows and the range of the
+first key column, by which a merge leaves out runs that hold none of its keys.
+A writer takes the table's lock, writes folders and the manifest, and replaces
+the pointer `_CURRENT`; readers see one version or the next.  The version before
+stays as a backup.  There is one writer at a time.  Locks and pointers need a
+file system whose renames are atomic.
 """
 
 from __future__ import annotations
@@ -15,13 +26,15 @@ import json
 import time
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.dedup import latest_per_key
 from ..operators.normalize import fit_schema
-from ..operators.upsert import repeated_keys, upsert
+from ..operators.upsert import repeated_keys
 from ..schemas import INTERNAL_TABLES, OLD_TABLES, TABLES
 from .files import create_new, delete, exists, listing, read_text, require_atomic_rename, write_text
 
@@ -42,34 +55,116 @@ class NoTable(LookupError):
     """A table that must be there has not been written."""
 
 
+#: A bucket's latest runs are folded when so many of a size have gathered; a size is a power of this.
+FAN = 4
+#: All runs of a bucket are folded when the deltas have this share of the base's rows.
+FOLD_SHARE = 0.5
+#: Keys of delta runs that may be broadcast to a read; more are joined by a shuffle.
+BROADCAST_KEYS = 1_000_000
+#: Rows that a bucket of a large table should have at most, some hundred megabytes of posts.
+BUCKET_ROWS = 1_000_000
+_VERSION = "__version"
+
+
+def first_to_fold(rows: list[int]) -> int | None:
+    """Number of the run from which on a bucket's runs are folded, given their rows, the base first; None: none are."""
+    if len(rows) > 1 and sum(rows[1:]) >= FOLD_SHARE * rows[0]:
+        return 0
+    sizes = [_size(n) for n in rows]
+    found, largest = None, -1
+    for start in range(len(rows) - 1, 0, -1):
+        largest = max(largest, sizes[start])
+        if sizes[start:].count(largest) >= FAN:
+            found = start
+    return found
+
+
+def _size(rows: int) -> int:
+    """Power of FAN that a number of rows has reached."""
+    power = 0
+    while rows >= FAN:
+        rows, power = rows // FAN, power + 1
+    return power
+
+
+def _level(first: int, buckets: int) -> int:
+    """The largest first * 2**k that isn't above a number of buckets."""
+    while first * 2 <= buckets:
+        first *= 2
+    return first
+
+
+def bucket_of(keys: tuple[str, ...], first: int, buckets: int) -> Column:
+    """Linear hashing: the remainder by twice the level, or by the level where that bucket isn't there yet."""
+    level, h = _level(first, buckets), F.xxhash64(*keys)
+    wide = F.pmod(h, F.lit(2 * level))
+    return F.when(wide < buckets, wide).otherwise(F.pmod(h, F.lit(level))).cast("int")
+
+
+def split_buckets(first: int, old: int, new: int) -> set[int]:
+    """Buckets of `old` whose rows are dealt anew when there are `new`."""
+    found = set()
+    for bucket in range(old, new):
+        while bucket >= old:
+            bucket -= _level(first, bucket)
+        found.add(bucket)
+    return found
+
+
 class StateTable:
     """A table of one schema and key.
 
-    `buckets` holds for the first version; later ones keep its number.  It
-    should be such that a bucket has a few hundred megabytes at most.
+    `buckets` is the number of the first version.  With `bucket_rows` it grows,
+    so that a bucket has about so many rows at most; without, it stays.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: tuple[str, ...], buckets: int = 1, keep_versions: int = 2):
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: tuple[str, ...], buckets: int = 1, keep_versions: int = 2, bucket_rows: int | None = None):
         require_atomic_rename(path)
-        self.spark, self.path, self.schema, self.keys, self.buckets, self.keep_versions = spark, path.rstrip("/"), schema, keys, buckets, keep_versions
+        self.spark, self.path, self.schema, self.keys, self.buckets, self.keep_versions, self.bucket_rows = spark, path.rstrip("/"), schema, keys, buckets, keep_versions, bucket_rows
 
     def version(self) -> int:
         """Number of the current version, 0 before the first commit."""
         return int(read_text(self.spark, f"{self.path}/_CURRENT") or 0)
 
     def _manifest(self, version: int) -> dict:
-        """{buckets, folders}: the number of buckets, and the version that wrote each bucket that has rows."""
+        """{first, buckets, runs}: the first and today's number of buckets, and the runs {folder, rows, low, high} of each bucket that has some."""
         if not version:
-            return {"buckets": self.buckets, "folders": {}}
-        return json.loads(read_text(self.spark, f"{self.path}/_manifest-{version}") or "")
+            return {"first": self.buckets, "buckets": self.buckets, "runs": {}}
+        found = json.loads(read_text(self.spark, f"{self.path}/_manifest-{version}") or "")
+        if "folders" in found:  # of the layout before there were runs
+            return {"first": found["buckets"], "buckets": found["buckets"], "runs": {b: [{"folder": str(v), "rows": 0, "low": None, "high": None}] for b, v in found["folders"].items()}}
+        return found
+
+    def runs(self, version: int | None = None) -> dict[int, list[dict]]:
+        """The runs of each bucket, the base first."""
+        return {int(b): r for b, r in self._manifest(self.version() if version is None else version)["runs"].items()}
 
-    def _folder(self, version: int, bucket: str = "") -> str:
-        return f"{self.path}/_v={version}" + (f"/{BUCKET}={bucket}" if bucket else "")
+    def _folder(self, name: str, bucket: str | int = "") -> str:
+        return f"{self.path}/_v={name}" + (f"/{BUCKET}={bucket}" if bucket != "" else "")
 
     def _load(self, folders: list[str], schema: T.StructType | None = None) -> DataFrame:
         schema = schema or self.schema
         return self.spark.read.schema(schema).parquet(*folders) if folders else self.spark.createDataFrame([], schema)
 
+    def _rows(self, runs: dict[str, list[dict]]) -> DataFrame:
+        """The latest row of each key in these runs.
+
+        Bases are scanned without a shuffle; rows whose key a delta holds are
+        left out by the deltas' keys, of which the manifest knows the number.
+        """
+        paths = {b: [self._folder(r["folder"], b) for r in own] for b, own in sorted(runs.items()) if own}
+        single = self._load([p[0] for p in paths.values() if len(p) == 1])
+        bases, deltas = [p[0] for p in paths.values() if len(p) > 1], [x for p in paths.values() for x in p[1:]]
+        if not deltas:
+            return single
+        order = F.regexp_extract("_metadata.file_path", r"/_v=(\d+)f?/", 1).cast("long").alias(_VERSION)
+        later = latest_per_key(self._load(deltas).select("*", order), self.keys, [F.desc(_VERSION)]).drop(_VERSION)
+        keys = self._load(deltas, T.StructType([self.schema[k] for k in self.keys]))
+        if sum(r["rows"] for own in runs.values() for r in own[1:]) <= BROADCAST_KEYS:
+            keys = F.broadcast(keys)
+        rest = self._load(bases).join(keys, list(self.keys), "left_anti").select(*self.schema.names)
+        return reduce(DataFrame.unionAll, [single, rest, later] if len(paths) > len(bases) else [rest, later])
+
     def read(self, version: int | None = None, required: bool = False) -> DataFrame:
         """Rows of a version, by default the current one; columns that it lacks are null.
 
@@ -78,7 +173,15 @@ class StateTable:
         version = self.version() if version is None else version
         if required and not version:
             raise NoTable(self.path)
-        return self._load([self._folder(v, b) for b, v in sorted(self._manifest(version)["folders"].items())])
+        return self._rows(self._manifest(version)["runs"])
+
+    def lookup(self, *keys: tuple) -> DataFrame:
+        """Rows with the given keys, each a tuple of the key columns; reads their buckets only."""
+        manifest = self._manifest(self.version())
+        wanted = self.spark.createDataFrame(list(keys), T.StructType([self.schema[k] for k in self.keys]))
+        found = {str(r[0]) for r in wanted.select(bucket_of(self.keys, manifest["first"], manifest["buckets"])).distinct().collect()}  # numbers of buckets
+        rows = self._rows({b: r for b, r in manifest["runs"].items() if b in found})
+        return rows.join(F.broadcast(wanted), list(self.keys), "left_semi")
 
     @contextmanager
     def lock(self) -> Iterator[None]:
@@ -90,32 +193,56 @@ class StateTable:
         finally:
             delete(self.spark, path)
 
-    def _bucket(self, buckets: int) -> Column:
-        return F.pmod(F.xxhash64(*self.keys), F.lit(buckets)).cast("int").alias(BUCKET)
-
-    def _write(self, df: DataFrame, folder: str, buckets: int) -> dict[str, str]:
-        """Write rows by bucket in place of what a writer that died left there; folders of the buckets that have some."""
-        rows = df.select("*", self._bucket(buckets))
+    def _write(self, df: DataFrame, folder: str, manifest: dict) -> dict[str, dict]:
+        """Write rows by bucket in place of what a writer that died left there; rows and range of keys of the buckets that have some."""
+        buckets, first_key = manifest["buckets"], self.keys[0]
+        rows = df.select("*", bucket_of(self.keys, manifest["first"], buckets).alias(BUCKET))
         (rows.repartition(BUCKET) if buckets > 1 else rows).write.mode("overwrite").partitionBy(BUCKET).parquet(folder)
-        return {f.name[len(BUCKET) + 1 :]: f.path for f in listing(self.spark, folder) if f.name.startswith(f"{BUCKET}=")}
-
-    def _check(self, folders: list[str]) -> None:
+        if not any(f.name.startswith(f"{BUCKET}=") for f in listing(self.spark, folder)):
+            return {}
+        ordered = isinstance(self.schema[first_key].dataType, T.StringType | T.IntegerType | T.LongType)
+        keys = T.StructType([self.schema[first_key], T.StructField(BUCKET, T.IntegerType())])
+        ends = [(f(first_key) if ordered else F.lit(None)).alias(n) for f, n in ((F.min, "low"), (F.max, "high"))]
+        found = self.spark.read.schema(keys).option("basePath", folder).parquet(folder).groupBy(BUCKET).agg(F.count("*").alias("rows"), *ends)
+        return {str(r[BUCKET]): {"rows": r.rows, "low": r.low, "high": r.high} for r in found.collect()}  # a row for each bucket
+
+    def _check(self, folder: str, written: dict[str, dict]) -> None:
         """Raise for keys that are null or repeated; reads the keys only."""
         keys = T.StructType([self.schema[k] for k in self.keys])
-        if broken := repeated_keys(self._load(folders, keys), self.keys).limit(5).collect():
+        if broken := repeated_keys(self._load([f"{folder}/{BUCKET}={b}" for b in sorted(written)], keys), self.keys).limit(5).collect():
             raise KeyViolation(f"{self.path}: {[r.asDict() for r in broken]}")
 
-    def _commit(self, df: DataFrame, manifest: dict, touched: set[str] | None) -> int:
-        """Make rows the next version of the touched buckets, or of all."""
-        version = self.version() + 1
-        written = self._write(df, self._folder(version), manifest["buckets"])
+    def _write_run(self, df: DataFrame, version: int, manifest: dict) -> dict[str, dict]:
+        """Write and check the run of a version."""
+        folder = self._folder(str(version))
+        written = self._write(df, folder, manifest)
         try:
-            self._check(sorted(written.values()))
+            self._check(folder, written)
         except KeyViolation:
-            delete(self.spark, self._folder(version))
+            delete(self.spark, folder)
             raise
-        kept = {b: v for b, v in manifest["folders"].items() if touched is not None and b not in touched}
-        write_text(self.spark, f"{self.path}/_manifest-{version}", json.dumps({"buckets": manifest["buckets"], "folders": kept | dict.fromkeys(written, version)}))
+        return {b: {"folder": str(version), **s} for b, s in written.items()}
+
+    def _commit(self, version: int, manifest: dict, written: dict[str, dict]) -> int:
+        """Make runs the last ones of their buckets; fold and split buckets where it is time."""
+        runs = {b: list(r) for b, r in manifest["runs"].items()}
+        for b, run in written.items():
+            runs.setdefault(b, []).append(run)
+        old = buckets = manifest["buckets"]
+        if self.bucket_rows:
+            buckets = max(old, -(-sum(r["rows"] for own in runs.values() for r in own) // self.bucket_rows))
+        starts = {b: start for b in written if (start := first_to_fold([r["rows"] for r in runs[b]])) is not None}
+        starts |= {str(b): 0 for b in split_buckets(manifest["first"], old, buckets) if str(b) in runs}
+        made = {"first": manifest["first"], "buckets": buckets, "runs": runs}
+        if starts:
+            name = f"{version}f"
+            folded = self._write(self._rows({b: runs[b][start:] for b, start in starts.items()}), self._folder(name), made)
+            for b, start in starts.items():
+                del runs[b][start:]
+            for b, s in folded.items():
+                runs.setdefault(b, []).append({"folder": name, **s})
+        made["runs"] = {b: r for b, r in runs.items() if r}
+        write_text(self.spark, f"{self.path}/_manifest-{version}", json.dumps(made))
         write_text(self.spark, f"{self.path}/_CURRENT", str(version))
         self._clean(version)
         return version
@@ -130,7 +257,7 @@ class StateTable:
                 if number <= version - self.keep_versions:
                     delete(self.spark, f.path)
                 else:
-                    live.update(f"{v}/{b}" for b, v in self._manifest(number)["folders"].items())
+                    live.update(f"{r['folder']}/{b}" for b, own in self._manifest(number)["runs"].items() for r in own)
         for f in found:
             if f.name.startswith("_v="):
                 parts = [b for b in listing(self.spark, f.path) if b.name.startswith(f"{BUCKET}=")]
@@ -141,51 +268,77 @@ class StateTable:
     def replace(self, df: DataFrame) -> int:
         """Make these rows the next version."""
         with self.lock():
-            return self._commit(fit_schema(df, self.schema), self._manifest(self.version()) if self.version() else {"buckets": self.buckets, "folders": {}}, None)
+            version = self.version()
+            manifest = self._manifest(version) | {"runs": {}}
+            return self._commit(version + 1, manifest, self._write_run(fit_schema(df, self.schema), version + 1, manifest))
+
+    def upsert(self, source: DataFrame) -> int:
+        """Replace rows by key, add those with new keys; columns are bound by name.
+
+        Stored rows aren't read, but where runs are folded.
+        """
+        with self.lock():
+            version = self.version()
+            manifest = self._manifest(version)
+            return self._commit(version + 1, manifest, self._write_run(fit_schema(source, self.schema), version + 1, manifest))
 
     def merge(self, source: DataFrame, combine: Callable[[DataFrame, DataFrame], DataFrame], unique: bool = False) -> int:
-        """Make combine(stored rows, source rows) the next version of the buckets that the source has keys in.
+        """Upsert combine(stored rows with a key of the source, source rows), which gives a row for each of these keys.
 
-        The source is evaluated once, into a staging folder.  With `unique` its keys are checked there.
+        The source is evaluated once, into a staging folder.  With `unique` its
+        keys are checked there.  Of the stored runs those are read whose bucket
+        and range of keys the source touches; rows that come out as they were
+        stored aren't written again.
         """
         with self.lock():
-            manifest = self._manifest(self.version())
+            version = self.version()
+            manifest = self._manifest(version)
             staging = f"{self.path}/_staging"
-            staged = self._write(fit_schema(source, self.schema), staging, manifest["buckets"])
             try:
+                staged = self._write(fit_schema(source, self.schema), f"{staging}/source", manifest)
                 if unique:
-                    self._check(sorted(staged.values()))
-                stored = self._load([self._folder(v, b) for b, v in sorted(manifest["folders"].items()) if b in staged])
-                return self._commit(combine(stored, self._load(sorted(staged.values()))), manifest, set(staged))
+                    self._check(f"{staging}/source", staged)
+                new = self._load([f"{staging}/source/{BUCKET}={b}" for b in sorted(staged)])
+                touched = {b: [r for r in own if _meet(r, staged[b])] for b, own in manifest["runs"].items() if b in staged}
+                self._rows(touched).join(new.select(*self.keys).distinct(), list(self.keys), "left_semi").select(*self.schema.names).write.mode("overwrite").parquet(f"{staging}/stored")
+                old = self._load([f"{staging}/stored"])
+                unchanged = reduce(Column.__and__, (F.col(f"a.`{c}`").eqNullSafe(F.col(f"b.`{c}`")) for c in self.schema.names))
+                changed = fit_schema(combine(old, new), self.schema).alias("a").join(old.alias("b"), unchanged, "left_anti")
+                return self._commit(version + 1, manifest, self._write_run(changed, version + 1, manifest))
             finally:
                 delete(self.spark, staging)
 
-    def upsert(self, source: DataFrame) -> int:
-        """Replace rows by key, add those with new keys; columns are bound by name."""
-        return self.merge(source, lambda old, new: upsert(old, new, self.keys), unique=True)
-
     def delete_where(self, condition: str) -> int:
-        """Drop the rows that fulfil a condition."""
+        """Drop the rows that fulfil a condition; the buckets that hold some are written anew."""
         with self.lock():
-            manifest = self._manifest(self.version())
+            version = self.version()
+            manifest = self._manifest(version)
             hit = F.coalesce(F.expr(condition), F.lit(False))
-            touched = {str(r[0]) for r in self.read().where(hit).select(self._bucket(manifest["buckets"])).distinct().collect()}  # numbers of buckets
-            stored = self._load([self._folder(v, b) for b, v in sorted(manifest["folders"].items()) if b in touched])
-            return self._commit(stored.where(~hit), manifest, touched)
+            bucket = bucket_of(self.keys, manifest["first"], manifest["buckets"])
+            touched = {str(r[0]) for r in self._rows(manifest["runs"]).where(hit).select(bucket).distinct().collect()}  # numbers of buckets
+            kept = {b: r for b, r in manifest["runs"].items() if b not in touched}
+            rows = self._rows({b: r for b, r in manifest["runs"].items() if b in touched}).where(~hit)
+            return self._commit(version + 1, manifest | {"runs": kept}, self._write_run(rows, version + 1, manifest))
 
     def drop(self) -> None:
         delete(self.spark, self.path)
 
 
+def _meet(a: dict, b: dict) -> bool:
+    """Whether the key ranges of two runs meet; unknown ones do."""
+    return None in (a["low"], a["high"], b["low"], b["high"]) or a["low"] <= b["high"] and b["low"] <= a["high"]
+
+
 class State:
-    """The tables of a pipeline under one folder."""
+    """The tables of a pipeline under one folder.  Large tables start with `buckets` buckets, which grow as the rows do."""
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 16):
-        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 16, bucket_rows: int = BUCKET_ROWS):
+        self.spark, self.root, self.buckets, self.bucket_rows = spark, root.rstrip("/"), buckets, bucket_rows
 
     def table(self, name: str) -> StateTable:
         schema, keys = (TABLES | OLD_TABLES | INTERNAL_TABLES)[name]
-        return StateTable(self.spark, f"{self.root}/{name}", schema, keys, self.buckets if name in LARGE_TABLES else 1)
+        large = name in LARGE_TABLES
+        return StateTable(self.spark, f"{self.root}/{name}", schema, keys, self.buckets if large else 1, bucket_rows=self.bucket_rows if large else None)
 
     def exists(self, name: str) -> bool:
         return exists(self.spark, f"{self.root}/{name}/_CURRENT")
