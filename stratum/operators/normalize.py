@@ -54,14 +54,19 @@ def stamp(df: DataFrame, run_ts: Column, column: str = "processed_on") -> DataFr
     return df.withColumn(column, F.coalesce(F.col(column), run_ts.cast("timestamp_ntz")))
 
 
-def normalize(df: DataFrame, dataset: Column) -> DataFrame:
-    """Bronze rows in the silver schema, without rows that have no post id.
+def normalize_all(df: DataFrame, dataset: Column, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Bronze rows in the silver schema, also those without a post id, and further columns as they are.
 
     `dataset` names the dataset a row is from, where the row itself doesn't.
     """
     df = rename_columns(df)
     if "source_dataset" not in df.columns:
         df = df.withColumn("source_dataset", dataset)
-    df = fit_schema(add_defaults(df), SILVER)
-    df = df.withColumns({"url": post_url(F.col("url"), F.col("shortcode")), "hashtags": F.coalesce("hashtags", F.lit("[]"))})
-    return df.where(F.col("post_id").isNotNull())
+    df = add_defaults(df)
+    df = df.select(*(fit_column(df, f) for f in SILVER.fields), *carry)
+    return df.withColumns({"url": post_url(F.col("url"), F.col("shortcode")), "hashtags": F.coalesce("hashtags", F.lit("[]"))})
+
+
+def normalize(df: DataFrame, dataset: Column) -> DataFrame:
+    """The same without rows that have no post id."""
+    return normalize_all(df, dataset).where(F.col("post_id").isNotNull())

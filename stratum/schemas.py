@@ -99,7 +99,14 @@ TABLES: dict[str, tuple[T.StructType, tuple[str, ...]]] = {
 }
 
 #: Tables that the pipeline keeps for itself, beside the contract.
-INTERNAL_TABLES: dict[str, tuple[T.StructType, tuple[str, ...]]] = {"bronze_rows": (_schema("source_dataset string, n_rows bigint"), ("source_dataset",))}
+INTERNAL_TABLES: dict[str, tuple[T.StructType, tuple[str, ...]]] = {
+    "bronze_catalog": (
+        _schema("dataset_id string, path string, file string, modified_ms bigint, n_bytes bigint, n_rows bigint, fingerprint string, schema string, error string"),
+        ("file",),
+    ),
+    "bronze_quarantine": (_schema("dataset_id string, reason string, n_expected bigint, n_found bigint, first_seen timestamp_ntz, last_seen timestamp_ntz"), ("dataset_id",)),
+    "stream_batches": (_schema("stream string, batch_id bigint, run_ts timestamp_ntz, n_rows bigint, done boolean"), ("stream", "batch_id")),
+}
 
 #: Tables of the first schema version, which the import writes and the migration reads.
 OLD_SILVER = T.StructType([f if f.name != "processed_on" else T.StructField("silvered_at", T.TimestampNTZType()) for f in SILVER.fields])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -26,6 +27,23 @@ def file_system(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
 
 
+@lru_cache(maxsize=8)
+def _arrow_store(root: str):
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(root)[0]
+
+
+def arrow_file_system(path: str):
+    """(Arrow's file system, path in it), for tasks, which have no JVM at hand.  Arrow opens file, hdfs, viewfs, s3, gs and abfs."""
+    if "://" not in path:
+        return _arrow_store("file:///"), "/" + path.removeprefix("file:").lstrip("/")
+    scheme, rest = path.split("://", 1)
+    scheme, (host, _, inner) = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme), rest.partition("/")
+    store = _arrow_store(f"{scheme}://{host}/")
+    return store, f"{host}/{inner}" if scheme in ("s3", "gs", "abfs", "abfss") else f"/{inner}"
+
+
 #: Schemes of object stores on which a rename copies, so that it is neither atomic nor exclusive.
 COPYING_SCHEMES = frozenset(("s3", "s3a", "s3n", "gs", "wasb", "wasbs", "oss", "cosn", "obs", "swift"))
 
@@ -37,6 +55,12 @@ def require_atomic_rename(path: str) -> None:
         raise ValueError(f"{path}: state needs a file system with atomic renames, such as HDFS; data to read and results may lie in an object store")
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its scheme, as listings and scans name it."""
+    fs, p = file_system(spark, path)
+    return fs.makeQualified(p).toString()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, p = file_system(spark, path)
     return fs.exists(p)

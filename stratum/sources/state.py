@@ -320,6 +320,22 @@ class StateTable:
             rows = self._rows({b: r for b, r in manifest["runs"].items() if b in touched}).where(~hit)
             return self._commit(version + 1, manifest | {"runs": kept}, self._write_run(rows, version + 1, manifest))
 
+    def delete_keys(self, keys: DataFrame) -> int:
+        """Drop the rows with these keys; their buckets are written anew."""
+        with self.lock():
+            version = self.version()
+            manifest = self._manifest(version)
+            staging = f"{self.path}/_staging"
+            try:
+                keys.select(*self.keys).distinct().write.mode("overwrite").parquet(staging)
+                gone = self.spark.read.schema(T.StructType([self.schema[k] for k in self.keys])).parquet(staging)
+                touched = {str(r[0]) for r in gone.select(bucket_of(self.keys, manifest["first"], manifest["buckets"])).distinct().collect()}  # numbers of buckets
+                kept = {b: r for b, r in manifest["runs"].items() if b not in touched}
+                rows = self._rows({b: r for b, r in manifest["runs"].items() if b in touched}).join(gone, list(self.keys), "left_anti")
+                return self._commit(version + 1, manifest | {"runs": kept}, self._write_run(rows, version + 1, manifest))
+            finally:
+                delete(self.spark, staging)
+
     def drop(self) -> None:
         delete(self.spark, self.path)
 
@@ -337,8 +353,7 @@ class State:
 
     def table(self, name: str) -> StateTable:
         schema, keys = (TABLES | OLD_TABLES | INTERNAL_TABLES)[name]
-        large = name in LARGE_TABLES
-        return StateTable(self.spark, f"{self.root}/{name}", schema, keys, self.buckets if large else 1, bucket_rows=self.bucket_rows if large else None)
+        return StateTable(self.spark, f"{self.root}/{name}", schema, keys, self.buckets if name in LARGE_TABLES else 1, bucket_rows=self.bucket_rows)
 
     def exists(self, name: str) -> bool:
         return exists(self.spark, f"{self.root}/{name}/_CURRENT")
