@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -33,15 +34,15 @@ from pyspark.sql import functions as F
 from ..sources.files import delete, listing, read_text, write_text
 from .checksums import crc32c, masked
 from .support import bound_batches
-from .textarrays import SPACES, byte_ranges, distinct_ranges, strings, text_blocks, token_ranges
+from .textarrays import SPACES, byte_ranges, distinct_ranges, separator_table, strings, text_blocks, token_ranges
 
 DEFAULT_TOKENIZER = "word_bpe_49k.json"
 #: A task starts another file beyond so many bytes.
 FILE_BYTES = 512 << 20
 #: Bytes of records that a reading task takes at once, and that one of its tasks is planned for.
 READ_BYTES, SPLIT_BYTES = 8 << 20, 64 << 20
-#: Words whose ids a worker remembers, and the longest of them in bytes.
-CACHE_WORDS, CACHE_WORD_BYTES = 200_000, 64
+#: Words whose ids a worker remembers until it begins anew, and words that are encoded together.
+CACHE_WORDS, JOINED_WORDS = 500_000, 1000
 #: Patterns of the pre-tokenizers that are known to drop white space and never to look past it.
 SPACE_FREE_PATTERNS = (r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+",)
 
@@ -64,61 +65,118 @@ def public_tokenizer(name: str = DEFAULT_TOKENIZER) -> str:
 # --- ids of texts -------------------------------------------------------------
 
 
+def _steps(what: dict | None, inner: str) -> list[dict]:
+    return [] if what is None else what[inner] if what["type"] == "Sequence" else [what]
+
+
+def splits_at_signs(spec: dict) -> bool:
+    """Whether the pre-tokenizer is a known one, which also cuts between letters and signs."""
+    first = (_steps(spec.get("pre_tokenizer"), "pretokenizers") or [{"type": ""}])[0]
+    return first["type"] == "Split" and first["behavior"] == "Removed" and first["invert"] and first["pattern"].get("Regex") in SPACE_FREE_PATTERNS
+
+
 def splits_at_spaces(spec: dict) -> bool:
     """Whether a tokenizer gives a text the ids of its words, one after the other, if cut at ASCII white space.
 
     True only for the forms that are known to: added tokens without spaces,
     normalizers that work within words, and a pre-tokenizer that drops white space.
     """
-
-    def parts(what: dict | None, inner: str) -> list[dict]:
-        return [] if what is None else what[inner] if what["type"] == "Sequence" else [what]
-
     added = all(not t["lstrip"] and not t["rstrip"] and not t["single_word"] and not any(c.isspace() for c in t["content"]) for t in spec.get("added_tokens", []))
-    normal = all(n["type"] in ("NFC", "NFD", "Lowercase") or n == {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "} for n in parts(spec.get("normalizer"), "normalizers"))
-    first, *rest = parts(spec.get("pre_tokenizer"), "pretokenizers") or [{"type": ""}]
-    drops = first["type"] == "WhitespaceSplit" or (first["type"] == "Split" and first["behavior"] == "Removed" and first["invert"] and first["pattern"].get("Regex") in SPACE_FREE_PATTERNS)
+    normal = all(n["type"] in ("NFC", "NFD", "Lowercase") or n == {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "} for n in _steps(spec.get("normalizer"), "normalizers"))
+    first, *rest = _steps(spec.get("pre_tokenizer"), "pretokenizers") or [{"type": ""}]
+    drops = first["type"] == "WhitespaceSplit" or splits_at_signs(spec)
     inside = all(p["type"] == "ByteLevel" and not p["add_prefix_space"] and not p["use_regex"] for p in rest)
     return added and normal and drops and inside and spec["model"]["type"] == "BPE" and spec["model"].get("dropout") is None
 
 
+#: Bytes between which a known pre-tokenizer always cuts: ASCII letters and digits, and signs.
+#: The apostrophe begins endings such as 's, and three signs are part of special tokens.
+_LETTERS = separator_table((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A))
+_SIGNS = separator_table(*((b, b) for b in b'!"#$%&()*+,-./:;=?@[\\]^_`{}~'))
+#: Words that a known pre-tokenizer leaves whole: letters of ASCII and Latin-1.
+_WHOLE = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+
+
+def cut_words(data: np.ndarray, offsets: np.ndarray, signs: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, row offsets) of words between white space, with `signs` cut between letters and signs, too."""
+    starts, ends, rows = token_ranges(data, offsets, SPACES)
+    if not signs or not len(starts):
+        return starts, ends, rows
+    letter, sign = _LETTERS[data], _SIGNS[data]
+    cuts = np.flatnonzero(letter[:-1] & sign[1:] | sign[:-1] & letter[1:]) + 1
+    first, last = np.zeros(len(data), dtype=bool), np.zeros(len(data), dtype=bool)
+    first[starts], last[ends - 1] = True, True
+    first[cuts], last[cuts - 1] = True, True
+    starts = np.flatnonzero(first)
+    return starts, np.flatnonzero(last) + 1, np.searchsorted(starts, offsets)
+
+
 class Encoder:
-    """A tokenizer in a worker: ids of a block of texts, each distinct word encoded once where that gives the same."""
+    """A tokenizer in a worker: ids of a block of texts, each distinct word encoded once where that gives the same.
+
+    Words of letters only are encoded many at a time: the ids of each end with
+    one whose token has the model's suffix of words, by which they are cut
+    again.  Ids of words are kept one after the other in an array; a word's
+    number in it is remembered.
+    """
 
     def __init__(self, spec: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks use the cores
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_str(spec)
-        self.by_word = splits_at_spaces(json.loads(spec))
-        self.known: dict[str, np.ndarray] = {}
-
-    def _lists(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, dtype=np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _words(self, words: list[str]) -> list[np.ndarray]:
+        self.tokenizer, told = Tokenizer.from_str(spec), json.loads(spec)
+        self.by_word = splits_at_spaces(told)
+        self.by_sign = self.by_word and splits_at_signs(told)
+        suffix, vocabulary = told["model"].get("end_of_word_suffix"), told["model"]["vocab"]
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids, self.sizes = np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64)
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids of each word) of words of letters."""
+        ids = np.array(self._ids([" ".join(words)])[0], dtype=np.uint32)
+        ends = np.flatnonzero(self.ends[ids]) if len(ids) and int(ids.max()) < len(self.ends) else np.zeros(0, dtype=np.int64)
+        return (ids, np.diff(ends, prepend=-1)) if len(ends) == len(words) else self._single(words)
+
+    def _single(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        lists = self._ids(words)
+        return np.array([i for x in lists for i in x], dtype=np.uint32), np.array([len(x) for x in lists], dtype=np.int64)
+
+    def _numbers(self, words: list[str]) -> np.ndarray:
+        """Numbers of words in the array of ids, which may be begun anew."""
         if len(self.known) > CACHE_WORDS:
-            self.known.clear()
+            self._forget()
         new = [w for w in words if w not in self.known]
-        found = dict(zip(new, self._lists(new), strict=True))
-        self.known.update((w, ids) for w, ids in found.items() if len(w) <= CACHE_WORD_BYTES)
-        return [self.known[w] if w in self.known else found[w] for w in words]
+        joined = [w for w in new if self.by_sign and _WHOLE.fullmatch(w)]
+        rest = [w for w in new if not (self.by_sign and _WHOLE.fullmatch(w))]
+        found = [self._joined(joined[i : i + JOINED_WORDS]) for i in range(0, len(joined), JOINED_WORDS)] + [self._single(rest)]
+        new = joined + rest
+        first = len(self.sizes)
+        self.ids, self.sizes = (np.concatenate(x) for x in ((self.ids, *(f[0] for f in found)), (self.sizes, *(f[1] for f in found))))
+        self.known.update(zip(new, range(first, first + len(new)), strict=True))
+        return np.array([self.known[w] for w in words], dtype=np.int64)
 
     def block(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets into them) of the texts of a block."""
-        if self.by_word:
-            starts, ends, rows = token_ranges(data, offsets, SPACES)
-            example, inverse = distinct_ranges(data, starts, ends)
-            lists = self._words(strings(data, starts[example], ends[example]).to_pylist())
-        else:
-            lists = self._lists(strings(data, offsets[:-1], offsets[1:]).to_pylist())
-            inverse, rows = np.arange(len(lists)), np.arange(len(offsets))
-        if not lists:
+        if not self.by_word:
+            lists = self._ids(strings(data, offsets[:-1], offsets[1:]).to_pylist())
+            sizes = np.array([len(x) for x in lists], dtype=np.int64)
+            return np.array([i for x in lists for i in x], dtype=np.uint32), np.concatenate(([0], np.cumsum(sizes)))
+        starts, ends, rows = cut_words(data, offsets, self.by_sign)
+        if not len(starts):
             return np.zeros(0, dtype=np.uint32), np.zeros(len(offsets), dtype=np.int64)
-        sizes = np.array([len(x) for x in lists], dtype=np.int64)
-        first = np.cumsum(sizes) - sizes
-        ids = np.concatenate(lists)[byte_ranges(first[inverse], sizes[inverse])]
-        return ids, np.concatenate(([0], np.cumsum(sizes[inverse])))[rows]
+        example, inverse = distinct_ranges(data, starts, ends)
+        number = self._numbers(strings(data, starts[example], ends[example]).to_pylist())[inverse]
+        sizes = self.sizes[number]
+        ids = self.ids[byte_ranges((np.cumsum(self.sizes) - self.sizes)[number], sizes)]
+        return ids, np.concatenate(([0], np.cumsum(sizes)))[rows]
 
 
 _encoders: dict[str, Encoder] = {}
