@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .normalize import fit_schema
+from .normalize import fit_column, fit_schema
+from .supertypes import widened_union
 
 _ROW = "__row_number"
 
@@ -17,13 +18,19 @@ _ROW = "__row_number"
 def diagonal_union(frames: Sequence[DataFrame], schema: T.StructType | None = None) -> DataFrame:
     """Rows of all frames by column name; columns that a frame lacks are null.
 
-    With a schema every frame is cast to it first, so that frames whose types
-    drift apart can meet; without one, types must be those of the first frame
-    that has the column.
+    With a schema every frame is cast to it, and values that don't fit are null
+    (`unfit_values` counts them); without one, columns whose types drift apart
+    get their common type.
     """
-    if schema is not None:
-        frames = [fit_schema(f, schema) for f in frames]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    if schema is None:
+        return widened_union(frames)
+    return reduce(DataFrame.unionAll, [fit_schema(f, schema) for f in frames])
+
+
+def unfit_values(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """One row: for each column of the schema, the values that turn null when they are cast to its type."""
+    fitted = {f.name: fit_column(df, f) for f in schema.fields if f.name in df.columns}
+    return df.agg(*((F.count_if(F.col(f"`{c}`").isNotNull() & v.isNull()) if (v := fitted.get(c)) is not None else F.lit(0).cast("long")).alias(c) for c in schema.names))
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:

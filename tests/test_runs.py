@@ -50,7 +50,7 @@ def test_reads_equal_plain_upserts_through_folds_and_splits(spark, tmp_path):
             t.delete_where("id < 50")
             plain = {i: v for i, v in plain.items() if i >= 50}
     assert folded and longest > 1 and len(t.runs()) > 4
-    assert content(t.read(t.version() - 1)) != plain or True  # the backup can be read
+    assert len(content(t.read(t.version() - 1))) > 300  # the backup
     some = [(i,) for i in list(plain)[:5]] + [(10_000,)]
     assert content(t.lookup(*some)) == {i: v for i, v in plain.items() if (i,) in some}
 
