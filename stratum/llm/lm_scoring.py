@@ -19,8 +19,13 @@
    level stands for its smallest count, which can't exceed the exact counts of
    the bigram's words.  The model is the mean of len(WEIGHTS) interpolated
    models, P(text) = mean over weights of the product of
-   P(w | h) = weight * c(h w) / c(h) + (1 - weight) * P(w), with P(w) of the
-   base (which also stands for P(w | h) where h doesn't occur).
+   P(w | h) = u * c(h w) / r(h) + (1 - u) * P(w), u = weight * c(h) / r(h),
+   with P(w) of the base.  The room r(h) is c(h) and what false positives add to
+   the counts of h's followers among all words of the vocabulary, taken from the
+   filter's set bits as expected plus four standard deviations; so P(w | h) adds
+   up to 1 at most over the vocabulary.  Histories that are rare beside their
+   false followers thus fall back to the base.  The first level, on which the
+   number of false followers depends, has more probes than the others.
 
 Words are told apart by 64-bit hashes, bigrams by 56 bits, and in the filter by
 their bucket and 32 bits.
@@ -46,9 +51,9 @@ ENTRIES_PER_BUCKET = 1_000_000
 #: Counts are quantised to thresholds that grow by this factor.
 LOG_BASE = 1.25
 LEVELS = 120
-#: Filter bits for each entry, and probes: a rate of false positives of about 0.8 %.
-BITS_PER_ENTRY = 10
-PROBES = 5
+#: Probes of a bigram's first level and of each further one, and filter bits for each: rates of false positives of about 0.06 and 0.9 %.
+FIRST_PROBES, PROBES = 8, 5
+BITS_PER_PROBE = 2
 #: Bytes of the filter that are broadcast, and that the driver holds, at once.
 MAX_BROADCAST = 64_000_000
 #: Weights of the bigrams in the interpolation.
@@ -67,10 +72,32 @@ def thresholds() -> np.ndarray:
 
 
 def level_values() -> np.ndarray:
-    """Count that a level stands for (level 0: none): the smallest, so that probabilities never add up to more than 1."""
+    """Count that a level stands for (level 0: none): the smallest."""
     return np.concatenate(([0.0], thresholds()))
 
 
+def probes(level: int) -> int:
+    return FIRST_PROBES if level == 1 else PROBES
+
+
+def room(c_before: np.ndarray, v: int, rates: tuple[float, float]) -> np.ndarray:
+    """Count of a history with what false positives may add to those of its followers, out of v words.
+
+    `rates` are those of the first level, and of a further one.  The number of
+    strangers that pass is about Poisson; a follower, or a stranger that has
+    passed, gains one more level, no more than its own count, at the second rate.
+    """
+    first, further = rates[0], rates[1] / (1 - rates[1])
+    strangers = first * v
+    return (c_before + strangers + 4 * np.sqrt(strangers)) * (1 + further)
+
+
+def conditional(weight: float, joint: np.ndarray, c_before: np.ndarray, word: np.ndarray, r: np.ndarray) -> np.ndarray:
+    """P(w | h) / P(w) of one weight."""
+    u = weight * c_before / np.maximum(r, 1e-300)
+    return u * joint / np.maximum(r, 1e-300) / word + (1 - u)
+
+
 def bigram_hashes(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """56-bit hashes, in the upper bits."""
     return mix(mix(left) * _U(0x9E3779B97F4A7C15) + right) & ~_U(0xFF)
@@ -220,14 +247,14 @@ def _build(table: pa.Table) -> pa.Table:
     hashes, inverse = np.unique(entries & ~_U(0xFF), return_inverse=True)
     counts = np.bincount(inverse, weights=(entries & _U(0xFF)).astype(np.float64))
     levels = np.searchsorted(thresholds(), counts, side="right")
-    size = max(64, int(levels.sum()) * BITS_PER_ENTRY)
+    size = max(64, BITS_PER_PROBE * (FIRST_PROBES * len(levels) + PROBES * int((levels - 1).sum())))
     bits = np.zeros(size, dtype=bool)
     keys = filter_keys(hashes).astype(_U)
     for level in range(1, int(levels.max(initial=0)) + 1):
         one, two = double_hash(keys[levels >= level], level)
-        for i in range(PROBES):
+        for i in range(probes(level)):
             bits[(((one + _U(i) * two) >> _U(11)) % _U(size)).astype(np.int64)] = True
-    return pa.table({"bucket": table.column("bucket").slice(0, 1).combine_chunks(), "size": pa.array([size]), "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
+    return pa.table({"bucket": table.column("bucket").slice(0, 1).combine_chunks(), "size": pa.array([size]), "n_set": pa.array([int(bits.sum())]), "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
 
 
 class Segment:
@@ -245,7 +272,7 @@ class Segment:
         for level in range(1, LEVELS + 1):
             size, offset = self.sizes[bucket[left]], self.offsets[bucket[left]]
             one, two = double_hash(keys[left], level)
-            for i in range(PROBES):
+            for i in range(probes(level)):
                 at = offset + (((one + _U(i) * two) >> _U(11)) % size)
                 hit = (self.bits[(at >> _U(3)).astype(np.int64)] >> (_U(7) - (at & _U(7))).astype(np.uint8)) & 1
                 keep = hit.astype(bool)
@@ -261,9 +288,11 @@ class Filter:
 
     def __init__(self, parts: DataFrame, buckets: int):
         self.parts, self.buckets = parts, buckets
-        self.sizes = np.zeros(buckets, dtype=np.int64)
-        for r in parts.select("bucket", "size").toLocalIterator():  # a number for each ENTRIES_PER_BUCKET bigrams
-            self.sizes[r.bucket] = r.size
+        self.sizes, share = np.zeros(buckets, dtype=np.int64), np.zeros(buckets)
+        for r in parts.select("bucket", "size", "n_set").toLocalIterator():  # two numbers for each ENTRIES_PER_BUCKET bigrams
+            self.sizes[r.bucket], share[r.bucket] = r.size, r.n_set / r.size
+        #: False-positive rates of a bigram's first level and of a further one.
+        self.rates = (float((share**FIRST_PROBES).mean()), float((share**PROBES).mean()))
         firsts, held = [0], 0
         for bucket, size in enumerate(((self.sizes + 7) // 8).tolist()):
             if held and held + size > MAX_BROADCAST:
@@ -323,7 +352,7 @@ def _prober(shared):
 _SCORED = T.StructType([T.StructField(n, t) for n, t in (("doc_id", T.LongType()), ("n_tokens", T.LongType()), ("n_known", T.LongType()), ("base_score", T.DoubleType()), ("score", T.DoubleType()))])
 
 
-def _scorer(n: int, v: int, texts: int):
+def _scorer(n: int, v: int, texts: int, rates: tuple[float, float]):
     """Map function: base scores, and the model's log10 probabilities."""
     values = level_values()
 
@@ -338,9 +367,9 @@ def _scorer(n: int, v: int, texts: int):
             base = np.log10(word)
             levels = np.frombuffer(b"".join(x["levels"].as_py() for x in batch.column("levels")[row].values), dtype=np.uint8)
             joint = np.minimum(values[levels[block.bigrams()[1]]], np.minimum(c_word, c_before))
-            ratio = np.where(c_before > 0, joint / np.maximum(c_before, 1) / word, 1.0)
+            r = room(c_before, v, rates)
             n_known, base_score = (np.add.reduceat(x, starts) for x in ((c_word > 0).astype(np.int64), base))
-            parts = np.stack([np.add.reduceat(base + np.log10(weight * ratio + (1 - weight)), starts) for weight in WEIGHTS])
+            parts = np.stack([np.add.reduceat(base + np.log10(conditional(weight, joint, c_before, word, r)), starts) for weight in WEIGHTS])
             best = parts.max(axis=0)
             mean = best + np.log10((10.0 ** (parts - best)).sum(axis=0) / len(WEIGHTS))
             yield pa.RecordBatch.from_arrays([block.ids, *map(pa.array, (block.n_words + 1, n_known, base_score, mean))], names=[f.name for f in _SCORED.fields])
@@ -376,7 +405,7 @@ def score_texts(docs: DataFrame, may_learn: Column, id_col: str = "doc_id", text
     bound_batches(spark, GROUP_BATCH_BYTES)
     buckets = max(shuffle_partitions(spark), (sums.tokens or 0) // ENTRIES_PER_BUCKET)
     pairs = blocks.mapInArrow(_bigrams(buckets), "bucket int, entries array<long>")
-    parts = scratch.keep(pairs.groupBy("bucket").applyInArrow(_build, "bucket int, size long, bits binary"), "filter")
+    parts = scratch.keep(pairs.groupBy("bucket").applyInArrow(_build, "bucket int, size long, n_set long, bits binary"), "filter")
     bound_batches(spark)
 
     bloom = Filter(parts, buckets)
@@ -392,6 +421,6 @@ def score_texts(docs: DataFrame, may_learn: Column, id_col: str = "doc_id", text
 
     by_block = levels.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("segment", "levels"))).alias("levels"))
     joined = blocks.repartition(max(shuffle_partitions(spark), sums.blocks // 2), "block").join(counted, "block", "left").join(by_block, "block").select(*_BLOCK_NAMES, "counted", "levels")
-    scored = scratch.keep(joined.mapInArrow(_scorer(n, v, texts), _SCORED), "scores")
+    scored = scratch.keep(joined.mapInArrow(_scorer(n, v, texts, bloom.rates), _SCORED), "scores")
     scratch.drop(blocks, counted, levels)
     return scored.select("doc_id", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")

@@ -63,8 +63,8 @@ def test_many_segments_give_the_same_scores(spark, monkeypatch):
     assert all(abs(whole[i] - parts[i]) < 0.02 * 201 for i in whole)
 
 
-def exact_scores(rows, learn):
-    """The model with exact counts in place of the filter."""
+def exact_scores(rows, learn, rates):
+    """The model with exact counts in place of the filter, and the room of its rates."""
     ones, pairs, texts = Counter(), Counter(), 0
     for i, t in rows:
         if learn(i):
@@ -79,30 +79,79 @@ def exact_scores(rows, learn):
         for h, w in zip(["<", *tokens[:-1]], tokens, strict=True):
             p, c = (ones[w] + 0.5) / (n + 0.5 * (v + 1)), texts if h == "<" else ones[h]
             joint = max((x for x in low if x <= pairs[h, w]), default=0)
+            strangers = rates[0] * v
+            room = (c + strangers + 4 * math.sqrt(strangers)) / (1 - rates[1])
             for k, weight in enumerate(lm.WEIGHTS):
-                logs[k] += math.log10(weight * joint / c + (1 - weight) * p if c else p)
+                u = weight * c / room if c else 0
+                logs[k] += math.log10(u * joint / room + (1 - u) * p if c else p)
         best = max(logs)
         yield i, len(tokens), best + math.log10(sum(10 ** (x - best) for x in logs) / len(logs))
 
 
-def test_scores_are_those_of_exact_counts_but_for_false_positives(spark):
+def test_scores_are_those_of_exact_counts_but_for_false_positives(spark, monkeypatch):
+    rates, real = [], lm.Filter.__init__
+
+    def made(self, parts, buckets):
+        real(self, parts, buckets)
+        rates.append(self.rates)
+
+    monkeypatch.setattr(lm.Filter, "__init__", made)
     rng = random.Random(6)
     data = [(i, prose(rng, rng.randrange(150), 80)) for i in range(80)] + [(200, None), (201, "never seen words")]
     got = {r.doc_id: r.score for r in lm.score_texts(documents(spark, data), F.col("doc_id") % 5 != 1).collect()}
-    exact = list(exact_scores(data, lambda i: i % 5 != 1))
+    exact = list(exact_scores(data, lambda i: i % 5 != 1, rates[0]))
     assert all(got[i] >= score - 1e-6 for i, _, score in exact)
     assert sum(got[i] - score for i, _, score in exact) < 0.01 * sum(n for _, n, _ in exact)
     assert sum(got[i] - score < 1e-6 for i, _, score in exact) > len(exact) / 4
 
 
-def test_probabilities_never_add_up_to_more_than_one():
-    counts = np.arange(1, 5000)
-    values = lm.level_values()[np.searchsorted(lm.thresholds(), counts, side="right")]
-    assert (values <= counts).all() and (values >= counts / lm.LOG_BASE - 1).all()
-    followers = 200 * values[8 - 1]  # a history with 200 followers that occur 8 times each
-    base = (np.full(200, 8 * 200) + 0.5) / (200 * 8 * 200 + 0.5 * 201)
-    for weight in lm.WEIGHTS:
-        assert weight * followers / (200 * 8) + (1 - weight) * base.sum() <= 1
+def built(hashes: np.ndarray, counts: np.ndarray, buckets: int = 4) -> tuple[lm.Segment, np.ndarray, tuple[float, float]]:
+    """A filter of these bigrams in memory: (segment, set bits, rates)."""
+    import pyarrow as pa
+
+    sizes, bits, share = [], [], []
+    of = lm.bucket_of(hashes, buckets)
+    for b in range(buckets):
+        own, n, entries = hashes[of == b], counts[of == b], []
+        while (n > 0).any():
+            entries.append(own[n > 0] | np.minimum(n[n > 0], 255).astype(np.uint64))
+            n = n - 255
+        table = pa.table({"bucket": pa.array([b], pa.int32()), "entries": pa.array([np.concatenate(entries).view(np.int64).tolist()])})
+        part = lm._build(table)
+        sizes.append(part.column("size")[0].as_py())
+        share.append(part.column("n_set")[0].as_py() / sizes[-1])
+        raw = np.frombuffer(part.column("bits")[0].as_py(), dtype=np.uint8)
+        bits.append(raw)
+    share = np.array(share)
+    return lm.Segment(np.array(sizes), np.concatenate(bits)), share, (float((share**lm.FIRST_PROBES).mean()), float((share**lm.PROBES).mean()))
+
+
+def test_probabilities_through_the_filter_add_up_to_one_at_most():
+    """The sum over a vocabulary of 100,000, false positives included, for histories of all frequencies."""
+    rng = np.random.default_rng(7)
+    v, buckets = 100_000, 4
+    words = lm.mix(np.arange(1, v + 1, dtype=np.uint64))
+    # Histories 0 ... 299 have counts 1, 10 and 1,000 (100 of each); others make up the rest of the corpus.
+    counts_of = np.repeat([1, 10, 1000], 100)
+    left = np.concatenate((np.repeat(np.arange(300), counts_of), rng.integers(300, v, 400_000)))
+    right = np.minimum((rng.random(len(left)) ** 3 * v).astype(np.int64), v - 1)
+    pairs, counts = np.unique(left * v + right, return_counts=True)
+    hashes = lm.bigram_hashes(words[pairs // v], words[pairs % v])
+    segment, share, rates = built(hashes, counts, buckets)
+    assert 0.3 < share.mean() < 0.5 and rates[0] < 0.001
+    c_word = np.maximum(np.bincount(right, minlength=v), 1).astype(float)
+    word = (c_word + 0.5) / (c_word.sum() + 0.5 * (v + 1))
+    totals = {weight: [] for weight in lm.WEIGHTS}
+    for h, c in enumerate(counts_of):
+        asked = lm.bigram_hashes(np.full(v, words[h]), words)
+        levels = segment.levels(lm.bucket_of(asked, buckets), lm.filter_keys(asked))
+        joint = np.minimum(lm.level_values()[levels], np.minimum(c_word, c))
+        assert joint.sum() > c * 0.7
+        for weight in lm.WEIGHTS:
+            totals[weight].append(float((word * lm.conditional(weight, joint, np.full(v, float(c)), word, lm.room(np.full(v, float(c)), v, rates))).sum()))
+    assert max(map(max, totals.values())) <= 1.01
+    # Frequent histories keep most of their weight, so bigrams still tell.
+    assert 1000 / lm.room(np.array([1000.0]), v, rates)[0] > 0.85
 
 
 def test_held_out_texts_are_likelier_than_by_the_base(spark):
