@@ -47,8 +47,8 @@ def run_gold(state: State, make_analyzer: Callable[[], enrich.Analyzer], run_ts:
     """Analyze pending posts, and return all analyses.
 
     The answers are written once before they are routed, so no row is sent
-    twice.  The mark moves last: after a crash, rows are analyzed again and
-    replace what they wrote.
+    twice.  Analyses, dead letters and the mark are one transaction: after a
+    crash none of them has changed.
     """
     config = config or EnrichConfig()
     spark = state.spark
@@ -60,13 +60,14 @@ def run_gold(state: State, make_analyzer: Callable[[], enrich.Analyzer], run_ts:
         stamp = F.lit(run_ts)
         enrich.analyze(todo, make_analyzer, config.attempts, config.backoff_seconds, config.parallelism).write.parquet(f"{staging}/analyzed")
         analyzed = spark.read.parquet(f"{staging}/analyzed")
-        state.table("gold_ig_analyses").upsert(enrich.analyses(analyzed, stamp))
-        letters = state.table("dead_letter")
-        new = enrich.skipped_letters(todo, stamp).unionByName(enrich.failed_letters(analyzed, stamp))
-        letters.upsert(enrich.add_attempts(new, letters.read()))
-        if not config.post_ids:
-            mark = run_ts if config.compat else _completed(state, config)
-            if mark is not None:
-                state.advance(MARK, mark, config_hash(model))
+        with state.transaction():
+            state.table("gold_ig_analyses").upsert(enrich.analyses(analyzed, stamp))
+            letters = state.table("dead_letter")
+            new = enrich.skipped_letters(todo, stamp).unionByName(enrich.failed_letters(analyzed, stamp))
+            letters.upsert(enrich.add_attempts(new, letters.read()))
+            if not config.post_ids:
+                mark = run_ts if config.compat else _completed(state, config)
+                if mark is not None:
+                    state.advance(MARK, mark, config_hash(model))
     delete(spark, staging)
     return state.table("gold_ig_analyses").read()

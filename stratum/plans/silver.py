@@ -43,10 +43,9 @@ def run_silver(lake: Lake, state: State, run_ts: dt.datetime) -> DataFrame:
     staged once and its rows are counted by file; a dataset that comes short of
     its footers is kept back as a whole, and tried again by the next run.
 
-    Data is committed first, then progress and quarantine, then the mark, so a
-    run that dies between them does its work again.  The mark is the newest
-    modification among the datasets seen: a dataset that arrives during the run
-    is left for the next.
+    Posts, progress, quarantine and mark are one transaction, so a run that dies
+    changes none of them.  The mark is the newest modification among the
+    datasets seen: a dataset that arrives during the run is left for the next.
     """
     spark, posts = state.spark, state.table("silver_ig_posts")
     mark = state.mark(MARK)
@@ -57,18 +56,19 @@ def run_silver(lake: Lake, state: State, run_ts: dt.datetime) -> DataFrame:
     if newest is not None:
         scanned, staging = scan_files(spark, files, with_files=True), f"{state.root}/_staging/silver"
         reasons: dict[str, tuple] = {d: (reason, None, None) for d, reason in scanned.damaged.items()}
-        if scanned.frames:
-            frames = [normalize_all(f, F.col(_DATASET), (FILE, _DATASET)) for f in scanned.frames]
-            diagonal_union(frames).write.mode("overwrite").parquet(staging)
-            staged = spark.read.schema(diagonal_union(frames).schema).parquet(staging)
-            taken = files.where(F.col("dataset_id").isin(scanned.read))
-            short = short_datasets(staged, taken).collect()  # a row for each damaged dataset
-            reasons |= {r.dataset_id: (f"{r.path}: rows are missing", r.n_expected, r.n_found) for r in short}
-            whole = staged.where(~F.col(_DATASET).isin([r.dataset_id for r in short])) if short else staged
-            merge_posts(state, whole.where("post_id IS NOT NULL").select(*SILVER.names), run_ts)
-            delete(spark, staging)
-        record_progress(state, files.select(F.col("dataset_id").alias("source_dataset")).distinct(), run_ts)
-        keep_back(state, reasons, [*scanned.read, *scanned.idless], run_ts)
-        if after is None or newest > after:
-            state.advance(MARK, dt.datetime.fromtimestamp(newest / 1000, dt.UTC).replace(tzinfo=None))
+        with state.transaction():
+            if scanned.frames:
+                frames = [normalize_all(f, F.col(_DATASET), (FILE, _DATASET)) for f in scanned.frames]
+                diagonal_union(frames).write.mode("overwrite").parquet(staging)
+                staged = spark.read.schema(diagonal_union(frames).schema).parquet(staging)
+                taken = files.where(F.col("dataset_id").isin(scanned.read))
+                short = short_datasets(staged, taken).collect()  # a row for each damaged dataset
+                reasons |= {r.dataset_id: (f"{r.path}: rows are missing", r.n_expected, r.n_found) for r in short}
+                whole = staged.where(~F.col(_DATASET).isin([r.dataset_id for r in short])) if short else staged
+                merge_posts(state, whole.where("post_id IS NOT NULL").select(*SILVER.names), run_ts)
+            record_progress(state, files.select(F.col("dataset_id").alias("source_dataset")).distinct(), run_ts)
+            keep_back(state, reasons, [*scanned.read, *scanned.idless], run_ts)
+            if after is None or newest > after:
+                state.advance(MARK, dt.datetime.fromtimestamp(newest / 1000, dt.UTC).replace(tzinfo=None))
+        delete(spark, staging)
     return newest_first(posts.read())

@@ -13,6 +13,7 @@ import json
 import time
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,17 +22,17 @@ from . import schemas
 from .config import Lake
 from .functions import is_blank, json_valid, lenient_timestamp, list_to_json, post_url
 from .operators import checks, enrich
-from .operators.dates import date_dimension
 from .operators.dedup import diagonal_union, latest_per_key
 from .operators.normalize import add_defaults, normalize, rename_columns, stamp
 from .operators.scd2 import apply_names, changed_rows, max_key, observed_names
 from .operators.upsert import progress, upsert
 from .operators.views import analytics_view
 from .plans.migrate import migrated_posts, seed_mark
-from .plans.silver import newest_first
+from .plans.serving import run_dim_time
+from .plans.silver import newest_first, run_silver
 from .session import shared_folder
 from .sources.bronze import datasets, newest, scan
-from .sources.files import file_system
+from .sources.files import file_system, listing
 from .sources.ndjson import scan_ndjson as read_ndjson
 from .sources.state import BUCKET, State, StateTable
 
@@ -389,10 +390,15 @@ def analytics_view_rows(spark, sf_dir):
 
 
 @_register("""SELECT cast(strftime(d, '%Y%m%d') AS int) AS date_key, cast(d AS date) AS date, cast(year(d) AS int) AS year, cast(quarter(d) AS int) AS quarter, cast(month(d) AS int) AS month,
-    cast(day(d) AS int) AS day, cast(isodow(d) AS int) AS day_of_week, cast(week(d) AS int) AS week, isodow(d) >= 6 AS is_weekend
-    FROM (SELECT unnest(generate_series(timestamp '2024-01-01', timestamp '2024-12-31', interval 1 day)) AS d)""")
+    cast(day(d) AS int) AS day, cast(isodow(d) AS int) AS day_of_week, cast(week(d) AS int) AS week, isodow(d) >= 6 AS is_weekend, n AS n_orders
+    FROM (SELECT unnest(generate_series((SELECT min(o_orderdate) FROM orders)::timestamp, (SELECT max(o_orderdate) FROM orders)::timestamp, interval 1 day)) AS d)
+    LEFT JOIN (SELECT cast(o_orderdate AS date) AS day_, count(*) AS n FROM orders GROUP BY 1) o ON day_ = cast(d AS date)""")
 def dim_time(spark, sf_dir):
-    return date_dimension(spark, dt.date(2024, 1, 1), dt.date(2024, 12, 31))
+    """The dimension over the days of the orders, stored and read again, with the orders of each day."""
+    days = _table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("date"))
+    first, last = days.agg(F.min("date"), F.max("date")).first()
+    dim = run_dim_time(State(spark, _lake(spark).state), first, last)
+    return dim.join(days.groupBy("date").agg(F.count("*").alias("n_orders")), "date", "left").select(*dim.columns, "n_orders")
 
 
 @_register("""SELECT cast(doc_id AS varchar) AS post_id, lang AS shortcode, cast(NULL AS varchar) AS url, timestamp '2024-07-01' AS processed_on FROM documents""")
@@ -511,17 +517,68 @@ _CONTRACT = """
 _CONTRACT_ROWS = [(t, i, *c.split(" ")) for line in _CONTRACT.strip().splitlines() for t, _, columns in [line.strip().partition(": ")] for i, c in enumerate(columns.split(", "), 1)]
 
 
-@_register("SELECT * FROM (VALUES " + ", ".join(f"('{t}', cast({i} AS int), '{c}', '{k}')" for t, i, c, k in _CONTRACT_ROWS) + ") v(table_name, position, column_name, type_name)")
+@_register("SELECT v.*, n.n_rows FROM (VALUES " + ", ".join(f"('{t}', cast({i} AS int), '{c}', '{k}')" for t, i, c, k in _CONTRACT_ROWS) + """) v(table_name, position, column_name, type_name)
+    JOIN (SELECT 'silver_ig_posts' AS table_name, (SELECT count(DISTINCT floor(event_id / 5)) FROM events) AS n_rows UNION ALL SELECT 'silver_ig_progress', (SELECT count(DISTINCT source) FROM documents)
+    UNION ALL SELECT 'gold_ig_analyses', (SELECT count(DISTINCT doc_id) FROM labels) UNION ALL SELECT 'dead_letter', (SELECT count(*) FROM documents)
+    UNION ALL SELECT 'watermarks', (SELECT count(DISTINCT lang) FROM documents) UNION ALL SELECT 'dim_profile', (SELECT count(*) FROM customer) UNION ALL SELECT 'dim_time', (SELECT count(DISTINCT cast(o_orderdate AS date)) FROM orders)) n
+    ON n.table_name = v.table_name""")
 def schema_contract(spark, sf_dir):
-    """Columns of the Parquet files of stored state tables, as Spark infers them."""
-    state, rows = State(spark, _lake(spark).state), []
-    for name, (schema, keys) in schemas.TABLES.items():
-        # A row of nulls but for the keys, so that there is a file.
-        row = spark.range(1).select(*((F.lit("0") if f.name in keys else F.lit(None)).cast(f.dataType if f.name != "date_key" else "int").alias(f.name) for f in schema.fields))
-        state.table(name).replace(row)
+    """Columns of the stored state tables, as Spark infers them from files that hold rows of the given tables, and the rows of each."""
+    state = State(spark, _lake(spark).state)
+    documents, orders = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "orders")
+    stamp_ = _ts(RUN_TS)
+    sources = {
+        "silver_ig_posts": _posts(spark, sf_dir),
+        "silver_ig_progress": documents.groupBy(F.col("source").alias("source_dataset")).agg(F.count("*").alias("post_count")),
+        "gold_ig_analyses": _gold(spark, sf_dir).dropDuplicates(["post_id"]),
+        "dead_letter": documents.select(F.col("doc_id").alias("post_id"), F.col("lang").alias("domain"), F.substring("text", 1, 20).alias("error"), F.lit(1).alias("attempts"), stamp_.alias("failed_at"), F.lit("pending").alias("status")),
+        "watermarks": documents.select(F.col("lang").alias("name")).distinct().select("name", stamp_.alias("timestamp")),
+        "dim_profile": _table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("profile_key"), F.col("c_name").alias("owner_username"), F.lit(True).alias("is_current")),
+        "dim_time": orders.select(F.date_format("o_orderdate", "yyyyMMdd").alias("date_key"), F.col("o_orderdate").alias("date")).distinct(),
+    }
+    found = []
+    for name, rows in sources.items():
+        state.table(name).replace(rows)
         stored = spark.read.parquet(f"{state.root}/{name}/_v=1").drop(BUCKET)
-        rows += [(name, i, c, kind) for i, (c, kind) in enumerate(stored.dtypes, 1)]
-    return spark.createDataFrame(rows, "table_name string, position int, column_name string, type_name string")
+        columns = F.array(*(F.struct(F.lit(i).alias("position"), F.lit(c).alias("column_name"), F.lit(kind).alias("type_name")) for i, (c, kind) in enumerate(stored.dtypes, 1)))
+        found.append(stored.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("table_name"), F.explode(columns).alias("c"), "n_rows").select("table_name", "c.*", "n_rows"))
+    return reduce(DataFrame.unionAll, found)
+
+
+@_register(f"""WITH d AS ({_INTERVALS}), t AS (SELECT owner_id, profile_key, effective_from AS low, coalesce(effective_to, timestamp '9999-12-31') AS high FROM d)
+    SELECT DISTINCT a.owner_id FROM t a JOIN t b ON a.owner_id = b.owner_id AND a.profile_key <> b.profile_key AND a.low < b.high AND b.low < a.high""")
+def check_overlapping_owners(spark, sf_dir):
+    """Owners with rows that overlap an earlier one, as the check counts them: by sorting, without pairs."""
+    return checks.overlapping_rows(_intervals(spark, sf_dir)).select("owner_id").distinct()
+
+
+def _damage(spark: SparkSession, path: str) -> None:
+    """Invert some bytes of a Parquet file, so that it keeps its footer and loses a page."""
+    fs, p = file_system(spark, path)
+    stream = fs.open(p)
+    raw = bytearray(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
+    stream.close()
+    raw[4:68] = bytes(b ^ 0xFF for b in raw[4:68])
+    out = fs.create(p, True)
+    out.write(raw)
+    out.close()
+
+
+@_register("""SELECT CAST(event_id AS VARCHAR) AS post_id, concat('caption ', event_type) AS caption, concat('good_', cast(event_id % 3 AS varchar)) AS source_dataset FROM events WHERE event_id % 4 < 3
+    UNION ALL SELECT concat('q:', 'bad'), 'rows are missing', 'quarantine' FROM (SELECT 1) x""")
+def silver_quarantine(spark, sf_dir):
+    """Events as datasets, one with a damaged part: the others come in whole, of that one nothing, and it is kept back."""
+    lake, state = _lake(spark), State(spark, _lake(spark).state, buckets=2)
+    events = _table(spark, sf_dir, "events").select(F.col("event_id").cast("string").alias("id"), F.concat(F.lit("caption "), "event_type").alias("caption"), "event_id")
+    for k in range(3):
+        events.where((F.col("event_id") % 4 < 3) & (F.col("event_id") % 3 == k)).drop("event_id").write.parquet(f"{lake.bronze}/good_{k}.parquet")
+    bad = f"{lake.bronze}/bad.parquet"
+    events.where("event_id % 4 = 3").drop("event_id").repartition(3).write.parquet(bad)
+    part = next(f for f in listing(spark, bad) if f.name.endswith(".parquet"))
+    _damage(spark, part.path)
+    posts = run_silver(lake, state, dt.datetime(2024, 7, 1)).select("post_id", "caption", "source_dataset")
+    kept = state.table("bronze_quarantine").read().select(F.concat(F.lit("q:"), "dataset_id").alias("post_id"), F.regexp_extract("reason", "(rows are missing)", 1).alias("caption"), F.lit("quarantine").alias("source_dataset"))
+    return posts.unionByName(kept)
 
 
 QUERIES = {name: f for name, (f, _) in _REGISTRY.items()}

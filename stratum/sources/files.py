@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -108,6 +109,29 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     context.rename(aside, final, options)
 
 
+def publish_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a small file appear as a whole, written aside and renamed; False if one of its name is there."""
+    from py4j.protocol import Py4JJavaError
+
+    aside = f"{path}.{uuid.uuid4().hex}.new"
+    fs, p = file_system(spark, aside)
+    stream = fs.create(p, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    jvm = spark.sparkContext._jvm
+    final = jvm.org.apache.hadoop.fs.Path(path)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.makeQualified(final).toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        context.rename(fs.makeQualified(p), fs.makeQualified(final), options)
+        return True
+    except Py4JJavaError:
+        delete(spark, aside)
+        if fs.exists(final):
+            return False
+        raise
+
+
 def create_new(spark: SparkSession, path: str, text: str) -> bool:
     """Create a small file; False if it is there."""
     from py4j.protocol import Py4JJavaError
@@ -127,3 +151,4 @@ def create_new(spark: SparkSession, path: str, text: str) -> bool:
 def delete(spark: SparkSession, path: str) -> None:
     fs, p = file_system(spark, path)
     fs.delete(p, True)
+

@@ -14,10 +14,15 @@ hold, one bucket after the other is split in two, and the others stay.
 
 A version is a small manifest of runs with their rows and the range of the
 first key column, by which a merge leaves out runs that hold none of its keys.
-A writer takes the table's lock, writes folders and the manifest, and replaces
-the pointer `_CURRENT`; readers see one version or the next.  The version before
-stays as a backup.  There is one writer at a time.  Locks and pointers need a
-file system whose renames are atomic.
+A writer takes the table's lock, writes folders and the manifest, and then makes
+the version the current one; readers see one version or the next.  The version
+before stays as a backup.  There is one writer of a table at a time.
+
+Which versions are current stands in the state's log: each entry names those of
+all tables and appears by a rename that fails if the entry is taken.  The
+commits of a transaction appear in one entry, all or none.  A table outside a
+state has a pointer file of its own.  Locks, log and pointers need a file system
+whose renames are atomic.
 """
 
 from __future__ import annotations
@@ -36,7 +41,7 @@ from ..operators.dedup import latest_per_key
 from ..operators.normalize import fit_schema
 from ..operators.upsert import repeated_keys
 from ..schemas import INTERNAL_TABLES, OLD_TABLES, TABLES
-from .files import create_new, delete, exists, listing, read_text, require_atomic_rename, write_text
+from .files import create_new, delete, listing, publish_new, read_text, require_atomic_rename, write_text
 
 BUCKET = "__bucket"
 #: Tables that grow with the data; the others are small and have one bucket.
@@ -111,6 +116,68 @@ def split_buckets(first: int, old: int, new: int) -> set[int]:
     return found
 
 
+class _Pointer:
+    """The current version of a table by itself, in the file `_CURRENT`."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, f"{path}/_CURRENT"
+
+    def get(self) -> int:
+        return int(read_text(self.spark, self.path) or 0)
+
+    def set(self, version: int, clean: Callable[[], None]) -> None:
+        write_text(self.spark, self.path, str(version))
+        clean()
+
+
+class Log:
+    """Entries `_log/<n>.json` of the current versions by table."""
+
+    KEPT = 20
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.folder = spark, f"{root}/_log"
+
+    def _numbers(self) -> list[int]:
+        return sorted(int(f.stem) for f in listing(self.spark, self.folder) if f.name.endswith(".json") and f.stem.isdigit())
+
+    def current(self) -> dict[str, int]:
+        numbers = self._numbers()
+        return json.loads(read_text(self.spark, f"{self.folder}/{numbers[-1]:012d}.json") or "{}") if numbers else {}
+
+    def append(self, changes: dict[str, int]) -> None:
+        """Add an entry with other versions of some tables; again, if another writer's entry came first."""
+        while True:
+            numbers = self._numbers()
+            number = numbers[-1] + 1 if numbers else 1
+            if publish_new(self.spark, f"{self.folder}/{number:012d}.json", json.dumps(self.current() | changes)):
+                break
+        for old in numbers[: -self.KEPT]:
+            delete(self.spark, f"{self.folder}/{old:012d}.json")
+
+
+class _InState(_Pointer):
+    """The current version of a table by the log of its state, or by an open transaction."""
+
+    def __init__(self, state: State, name: str):
+        super().__init__(state.spark, f"{state.root}/{name}")
+        self.state, self.name = state, name
+
+    def get(self) -> int:
+        for known in (self.state.open_versions or {}, self.state.log.current()):
+            if self.name in known:
+                return known[self.name]
+        return super().get()  # written before there was a log
+
+    def set(self, version: int, clean: Callable[[], None]) -> None:
+        if self.state.open_versions is None:
+            self.state.log.append({self.name: version})
+            clean()
+        else:
+            self.state.open_versions[self.name] = version
+            self.state.afterwards.append(clean)
+
+
 class StateTable:
     """A table of one schema and key.
 
@@ -118,13 +185,14 @@ class StateTable:
     so that a bucket has about so many rows at most; without, it stays.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: tuple[str, ...], buckets: int = 1, keep_versions: int = 2, bucket_rows: int | None = None):
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: tuple[str, ...], buckets: int = 1, keep_versions: int = 2, bucket_rows: int | None = None, pointer: _Pointer | None = None):
         require_atomic_rename(path)
+        self.pointer = pointer or _Pointer(spark, path.rstrip("/"))
         self.spark, self.path, self.schema, self.keys, self.buckets, self.keep_versions, self.bucket_rows = spark, path.rstrip("/"), schema, keys, buckets, keep_versions, bucket_rows
 
     def version(self) -> int:
         """Number of the current version, 0 before the first commit."""
-        return int(read_text(self.spark, f"{self.path}/_CURRENT") or 0)
+        return self.pointer.get()
 
     def _manifest(self, version: int) -> dict:
         """{first, buckets, runs}: the first and today's number of buckets, and the runs {folder, rows, low, high} of each bucket that has some."""
@@ -243,8 +311,7 @@ class StateTable:
                 runs.setdefault(b, []).append({"folder": name, **s})
         made["runs"] = {b: r for b, r in runs.items() if r}
         write_text(self.spark, f"{self.path}/_manifest-{version}", json.dumps(made))
-        write_text(self.spark, f"{self.path}/_CURRENT", str(version))
-        self._clean(version)
+        self.pointer.set(version, lambda: self._clean(version))
         return version
 
     def _clean(self, version: int) -> None:
@@ -337,7 +404,7 @@ class StateTable:
                 delete(self.spark, staging)
 
     def drop(self) -> None:
-        delete(self.spark, self.path)
+        self.pointer.set(0, lambda: delete(self.spark, self.path))
 
 
 def _meet(a: dict, b: dict) -> bool:
@@ -350,17 +417,41 @@ class State:
 
     def __init__(self, spark: SparkSession, root: str, buckets: int = 16, bucket_rows: int = BUCKET_ROWS):
         self.spark, self.root, self.buckets, self.bucket_rows = spark, root.rstrip("/"), buckets, bucket_rows
+        self.log = Log(spark, self.root)
+        self.open_versions: dict[str, int] | None = None
+        self.afterwards: list[Callable[[], None]] = []
+
+    @contextmanager
+    def transaction(self) -> Iterator[None]:
+        """Commits to tables of this state inside it become current together, when it ends; none do if it fails.
+
+        Inside, this object's tables read what was committed inside; others
+        read the versions of before.  What a transaction that failed has
+        written is overwritten by the next commit.
+        """
+        if self.open_versions is not None:
+            raise RuntimeError("a transaction is open")
+        self.open_versions, self.afterwards = {}, []
+        try:
+            yield
+            made, later = self.open_versions, self.afterwards
+        finally:
+            self.open_versions, self.afterwards = None, []
+        if made:
+            self.log.append(made)
+        for clean in later:
+            clean()
 
     def table(self, name: str) -> StateTable:
         schema, keys = (TABLES | OLD_TABLES | INTERNAL_TABLES)[name]
-        return StateTable(self.spark, f"{self.root}/{name}", schema, keys, self.buckets if name in LARGE_TABLES else 1, bucket_rows=self.bucket_rows)
+        return StateTable(self.spark, f"{self.root}/{name}", schema, keys, self.buckets if name in LARGE_TABLES else 1, bucket_rows=self.bucket_rows, pointer=_InState(self, name))
 
     def exists(self, name: str) -> bool:
-        return exists(self.spark, f"{self.root}/{name}/_CURRENT")
+        return _InState(self, name).get() > 0
 
     def names(self) -> list[str]:
         """Tables that have been written, by name."""
-        return [f.name for f in listing(self.spark, self.root) if f.is_dir and f.name not in INTERNAL_TABLES and self.exists(f.name)]
+        return [f.name for f in listing(self.spark, self.root) if f.is_dir and not f.name.startswith("_") and f.name not in INTERNAL_TABLES and self.exists(f.name)]
 
     def drop_all(self) -> None:
         delete(self.spark, self.root)

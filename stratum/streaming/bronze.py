@@ -23,9 +23,9 @@ def merge_batch(state: State, batch: DataFrame, stream: str, batch_id: int, now:
     """Merge bronze rows into the posts, once for each batch of a stream.
 
     A ledger has the batch before its data is merged, with the timestamp of
-    the run, and marks it as done after data and progress are committed.  A
-    batch that is done isn't merged again; one that wasn't finished is merged
-    with the timestamp that it had, which changes no row that it wrote before.
+    the run.  Data, progress and the note that the batch is done are one
+    transaction.  A batch that is done isn't merged again; one that wasn't
+    finished is merged with the timestamp that it had.
     """
     ledger, spark = state.table(LEDGER), state.spark
     row = ledger.lookup((stream, batch_id)).first()
@@ -41,9 +41,10 @@ def merge_batch(state: State, batch: DataFrame, stream: str, batch_id: int, now:
     staging = f"{state.root}/_staging/stream"
     batch.write.mode("overwrite").parquet(staging)
     rows = spark.read.schema(batch.schema).parquet(staging)
-    merge_posts(state, normalize(rows, F.col("source_dataset")), run_ts)
-    record_progress(state, rows.select("source_dataset").distinct(), run_ts)
-    note(rows.count(), True)
+    with state.transaction():
+        merge_posts(state, normalize(rows, F.col("source_dataset")), run_ts)
+        record_progress(state, rows.select("source_dataset").distinct(), run_ts)
+        note(rows.count(), True)
     delete(spark, staging)
 
 
