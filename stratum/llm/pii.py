@@ -163,40 +163,50 @@ def _email(f: Feistel, form: str, back: bool) -> str | None:
     return _fill(local, _mixed(f, "email", inner, [10 if c.isdigit() else 26 for c in inner], back)) + "@" + domain
 
 
-_FIRST, _LAST = dt.date(1900, 1, 1).toordinal(), dt.date(2099, 12, 31).toordinal()
+#: Years whose dates are permuted among themselves, and so are those of all other years.
+_USUAL, _YEARS = range(1900, 2100), range(1, 10_000)
+#: Months and days that a pseudonym stays within: with a digit or two, and days above 12, which tell the order of a form.
+_MONTHS = (range(1, 10), range(10, 13))
+_DAYS = (range(1, 10), range(10, 13), range(13, 32))
+
+
+def _exists(year: int, month: int, day: int) -> bool:
+    try:
+        dt.date(year, month, day)
+    except ValueError:
+        return False
+    return True
 
 
 def _date(f: Feistel, form: str, back: bool) -> str | None:
-    """Day and month keep their numbers of digits, so a pseudonym is read back as it was written.
+    """One date has one pseudonym, in whatever form it is written, and is read back from each.
 
-    Dates of 1900 to 2099 are permuted among themselves, and all others (years
-    1 to 9999) too.
+    Every form can write every date of a class: months below 10 or from 10,
+    days below 10, to 12, or above, which are permuted among themselves.  A form
+    with two numbers up to 12 has the day first.
     """
     separator = next(c for c in form if not c.isdigit())
     parts = form.split(separator)
-    iso = len(parts[0]) == 4
-    order = (0, 1, 2) if iso else (2, 0, 1) if int(parts[1]) > 12 else (2, 1, 0)  # where year, month and day stand
-    year, month, day = (parts[i] for i in order)
-    try:
-        value = dt.date(int(year), int(month), int(day)).toordinal()
-    except ValueError:
+    order = (0, 1, 2) if len(parts[0]) == 4 else (2, 0, 1) if int(parts[1]) > 12 else (2, 1, 0)  # where year, month and day stand
+    year, month, day = (int(parts[i]) for i in order)
+    if not _exists(year, month, day):
         return None
-    usual = _FIRST <= value <= _LAST
+    usual = year in _USUAL
+    years = _USUAL if usual else _YEARS
+    months, days = (next(r for r in ranges if n in r) for ranges, n in ((_MONTHS, month), (_DAYS, day)))
+
+    def read(x: int) -> tuple[int, int, int]:
+        x, d = divmod(x, len(days))
+        y, m = divmod(x, len(months))
+        return years[y], months[m], days[d]
 
     def valid(x: int) -> bool:
-        if x < 1 or (_FIRST <= x <= _LAST) != usual:
-            return False
-        other = dt.date.fromordinal(x)
-        # In the order month, day, year only a day above 12 can be told apart.
-        return (len(month) == 2 or other.month < 10) and (len(day) == 2 or other.day < 10) and (order != (2, 0, 1) or other.day > 12)
-
-    name = f"date{order}{len(month)}{len(day)}{usual}"
-    if usual:
-        value = f.permute(name, value - _FIRST, _LAST - _FIRST + 1, lambda x: valid(x + _FIRST), back) + _FIRST
-    else:
-        value = f.permute(name, value, dt.date.max.toordinal() + 1, valid, back)
-    new = dt.date.fromordinal(value)
-    parts[order[0]], parts[order[1]], parts[order[2]] = f"{new.year:04d}", f"{new.month:0{len(month)}d}", f"{new.day:0{len(day)}d}"
+        return _exists(*(found := read(x))) and (found[0] in _USUAL) == usual
+
+    value = ((year - years[0]) * len(months) + month - months[0]) * len(days) + day - days[0]
+    new = read(f.permute(f"date{usual}{months[0]}{days[0]}", value, len(years) * len(months) * len(days), valid, back))
+    for i, n, old in zip(order, new, [parts[i] for i in order], strict=True):
+        parts[i] = f"{n:0{len(old)}d}"
     return separator.join(parts)
 
 
@@ -238,7 +248,7 @@ KINDS: tuple[tuple[str, str, Callable[[Feistel, str, bool], str | None]], ...] =
     ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])", _email),
     ("iban", r"(?<!\w)[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)", _iban),
     ("ip", r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![\w]|\.[0-9])", _ip),
-    ("date", r"(?<![\w/.-])(?:[0-9]{4}([-/.])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-/.])[0-9]{1,2}\2[0-9]{4})(?![\w/-]|\.[0-9])", _date),
+    ("date", r"(?<![\w/.-])(?:[0-9]{4}([-/.])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-/.])[0-9]{1,2}\2[0-9]{4})(?:(?![\w/-]|\.[0-9])|(?=T[0-9]{2}:[0-9]{2}))", _date),
     ("ssn", r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])", _ssn),
     ("phone", _PHONE, _phone),
     ("card", r"(?<![\w-])[0-9](?:[ -]?[0-9]){12,18}(?![\w-])", _card),

@@ -106,6 +106,37 @@ def test_documents(spark):
     assert pseudonymize(documents(spark, []), KEY).isEmpty()
 
 
+def test_a_date_has_one_pseudonym_in_all_its_forms():
+    import datetime as dt
+
+    rng, tool, seen = random.Random(11), Pseudonymizer(b"key"), {}
+    first, last = dt.date(1, 1, 1).toordinal(), dt.date(9999, 12, 31).toordinal()
+    dates = {dt.date.fromordinal(rng.randrange(first, last + 1)) for _ in range(500)} | {dt.date(rng.randrange(1900, 2100), rng.randrange(1, 13), rng.randrange(1, 29)) for _ in range(500)} | {dt.date(2000, 2, 29), dt.date(1999, 12, 31), dt.date(1, 1, 1)}
+    for d in dates:
+        forms = {f"{d.year:04d}{c}{m}{c}{day}" for c in "-/." for m in {f"{d.month:02d}", str(d.month)} for day in {f"{d.day:02d}", str(d.day)}}
+        forms |= {f"{day}{c}{m}{c}{d.year:04d}" for c in "-/." for m in {f"{d.month:02d}", str(d.month)} for day in {f"{d.day:02d}", str(d.day)}}
+        if d.day > 12:
+            forms |= {f"{m}/{d.day}/{d.year:04d}" for m in {f"{d.month:02d}", str(d.month)}}
+        found = set()
+        for form in forms:
+            new, spans = tool(f"on {form} it was")
+            assert [k for k, *_ in spans] == ["date"] and tool(new, back=True)[0] == f"on {form} it was"
+            numbers = re.findall("[0-9]+", new)
+            assert [len(n) for n in numbers] == [len(n) for n in re.findall("[0-9]+", form)]
+            y, m, day = numbers if len(numbers[0]) == 4 else (numbers[2], *((numbers[0], numbers[1]) if int(numbers[1]) > 12 else (numbers[1], numbers[0])))
+            found.add(dt.date(int(y), int(m), int(day)))
+        assert len(found) == 1
+        (seen[d],) = found
+        assert (1900 <= d.year < 2100) == (1900 <= seen[d].year < 2100)
+    assert len(set(seen.values())) == len(seen) and sum(d != e for d, e in seen.items()) > 0.98 * len(seen)
+
+
+def test_dates_of_timestamps_are_found():
+    tool = Pseudonymizer(b"key")
+    (plain, _), (stamp, spans) = tool("2020-03-15"), tool("at 2020-03-15T10:00:00Z, 2020-03-15Tx")
+    assert stamp == f"at {plain}T10:00:00Z, 2020-03-15Tx" and [k for k, *_ in spans] == ["date"]
+
+
 def test_all_short_dates_come_back():
     p = Pseudonymizer(KEY)
     for form in ("{d}/{m}/2020", "{d:02d}/{m}/2020", "{d}.{m:02d}.1850", "2020-{m}-{d}", "{d:02d}-{m:02d}-2150"):
