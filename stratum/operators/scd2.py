@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import DIM_PROFILE
 from ..session import shared_folder
+from ..sources.files import delete_on_exit
 from .upsert import upsert
 
 CHANNEL = "instagram"
@@ -91,6 +92,7 @@ def dense_numbers(df: DataFrame, *order: str) -> DataFrame:
     # An id has the partition above bit 33 and the place in it below.
     rows = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("__id", F.monotonically_increasing_id())
     path = f"{shared_folder(spark)}/numbers-{uuid.uuid4().hex}"
+    delete_on_exit(spark, path)
     rows.write.option("compression", "zstd").parquet(path)
     kept = spark.read.schema(rows.schema).parquet(path).withColumn("__range", F.shiftright("__id", 33))
     sizes = kept.groupBy("__range").agg(F.count("*").alias("__n"))

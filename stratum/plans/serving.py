@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..operators.dates import date_dimension
 from ..operators.scd2 import changed_rows, observed_names
-from ..operators.views import analytics_view
+from ..operators.views import analytics_view, view_sql
+from ..sources.reader import register
 from ..sources.state import State
 
 VIEW = "analytics_views"
@@ -30,6 +31,17 @@ def run_dim_time(state: State, first: dt.date = dt.date(2020, 1, 1), last: dt.da
     return state.table("dim_time").read()
 
 
+def create_catalog_view(state: State, prefix: str = "") -> None:
+    """Views of the state's tables in the session's catalog, and the analytics view over them.
+
+    With a metastore they outlive the application; another one registers
+    `stratum.sources.reader.StateSource` and sets `reader.PUSHDOWN` before it
+    queries them.  Each query sees the versions that are current when it is planned.
+    """
+    register(state.spark, state.root, ("silver_ig_posts", "gold_ig_analyses", "dim_profile"), prefix)
+    state.spark.sql(f"CREATE OR REPLACE VIEW {prefix}{VIEW} AS {view_sql(prefix)}")
+
+
 def run_view(state: State) -> DataFrame:
     """Create or replace the view of posts, analyses and current profiles.
 

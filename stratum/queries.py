@@ -34,6 +34,8 @@ from .session import shared_folder
 from .sources.bronze import datasets, newest, scan
 from .sources.files import file_system, listing
 from .sources.ndjson import scan_ndjson as read_ndjson
+from .sources.reader import FORMAT as STATE_FORMAT
+from .sources.reader import PUSHDOWN, StateSource
 from .sources.state import BUCKET, State, StateTable
 
 RUN_TS = "2024-07-01 00:00:00"
@@ -281,6 +283,20 @@ def state_increments(spark, sf_dir):
     return table.read(required=True)
 
 
+@_register(f"{_POSTS} SELECT post_id, shortcode, url, caption, owner_id, owner_username, likes_count, timestamp, source_dataset FROM posts")
+def state_source(spark, sf_dir):
+    """Stored posts, upserted in two steps, through the Spark source of state tables."""
+    state, posts = State(spark, _lake(spark).state, buckets=4), _posts(spark, sf_dir)
+    table = state.table("silver_ig_posts")
+    table.upsert(posts.where("event_id % 10 < 9").withColumn("caption", F.lit("before")))
+    table.upsert(posts.where("event_id % 10 <> 0"))
+    table.upsert(posts.where("event_id % 10 = 0"))
+    spark.dataSource.register(StateSource)
+    spark.conf.set(PUSHDOWN, "true")
+    stored = spark.read.format(STATE_FORMAT).option("root", state.root).option("table", "silver_ig_posts").load()
+    return stored.select("post_id", "shortcode", "url", "caption", "owner_id", "owner_username", "likes_count", "timestamp", "source_dataset")
+
+
 # --- enrichment -------------------------------------------------------------
 
 

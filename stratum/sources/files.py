@@ -148,6 +148,13 @@ def create_new(spark: SparkSession, path: str, text: str) -> bool:
     return True
 
 
+def delete_on_exit(spark: SparkSession, path: str) -> None:
+    """Make a folder that goes when the application ends."""
+    fs, p = file_system(spark, path)
+    fs.mkdirs(p)
+    fs.deleteOnExit(p)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, p = file_system(spark, path)
     fs.delete(p, True)

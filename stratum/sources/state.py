@@ -92,7 +92,7 @@ def _size(rows: int) -> int:
     return power
 
 
-def _level(first: int, buckets: int) -> int:
+def level(first: int, buckets: int) -> int:
     """The largest first * 2**k that isn't above a number of buckets."""
     while first * 2 <= buckets:
         first *= 2
@@ -101,9 +101,9 @@ def _level(first: int, buckets: int) -> int:
 
 def bucket_of(keys: tuple[str, ...], first: int, buckets: int) -> Column:
     """Linear hashing: the remainder by twice the level, or by the level where that bucket isn't there yet."""
-    level, h = _level(first, buckets), F.xxhash64(*keys)
-    wide = F.pmod(h, F.lit(2 * level))
-    return F.when(wide < buckets, wide).otherwise(F.pmod(h, F.lit(level))).cast("int")
+    low, h = level(first, buckets), F.xxhash64(*keys)
+    wide = F.pmod(h, F.lit(2 * low))
+    return F.when(wide < buckets, wide).otherwise(F.pmod(h, F.lit(low))).cast("int")
 
 
 def split_buckets(first: int, old: int, new: int) -> set[int]:
@@ -111,7 +111,7 @@ def split_buckets(first: int, old: int, new: int) -> set[int]:
     found = set()
     for bucket in range(old, new):
         while bucket >= old:
-            bucket -= _level(first, bucket)
+            bucket -= level(first, bucket)
         found.add(bucket)
     return found
 
