@@ -9,13 +9,15 @@ highest inner product with one of the block's queries is next, only the
 queries whose k-th score the box can still reach go on into it, and the walk
 ends when no node is left that any query could gain from.
 
-The k-th scores travel, and no shard does: the queries first search the shard
-that they themselves lie in, and take the k-th score that they reach there with
-them.  Every block is then held against the bounding boxes of all shards (a
-small row each), and only queries whose k-th score a box can still reach are
-sent to its shard: first to the NEAREST shards of the block, which raises the
-k-th scores, then to those that are still within reach.  A shard builds its
-tree once for all queries that come.  Answers are merged by score and id.
+Queries and their k-th scores travel, shards don't: each shard is written once,
+as a file of the shared folder, and a task reads the file of the shard that its
+queries were sent to.  The queries first search the shard that they themselves
+lie in, and take the k-th score that they reach there with them.  Every block is
+then held against the bounding boxes of all shards (a small row each), and only
+queries whose k-th score a box can still reach are sent to its shard: first to
+the NEAREST shards of the block, which raises the k-th scores, then to those
+that are still within reach.  A task builds a shard's tree once for all queries
+that come.  Answers are merged by score and id.
 """
 
 from __future__ import annotations
@@ -30,17 +32,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..sources.files import arrow_file_system
 from .support import Scratch
 
 #: Vectors of a shard, about, and of a leaf at most.  Where boxes rule out few shards, as in many
 #: dimensions, a query is sent once for so many vectors.
 SHARD_ROWS = 32_768
 LEAF_ROWS = 64
+#: Bytes of a shard's vectors as 64-bit numbers: long vectors make shards of fewer rows.
+SHARD_BYTES = 64_000_000
 #: Queries that walk a tree together.
 BLOCK_QUERIES = 128
 #: Shards that a block of queries goes to before its k-th scores are taken anew.
 NEAREST = 4
-#: Blocks that walk a shard's tree in one task; a shard that more blocks reach is held by several tasks.
+#: Blocks that walk a shard's tree in one task; a shard that more blocks reach is read by several tasks.
 BLOCKS_PER_TASK = 16
 #: Bytes of boxes that are broadcast at once.
 BOX_BYTES = 64_000_000
@@ -218,25 +223,35 @@ def _matrix(values: pa.Array, rows: int) -> np.ndarray:
     return matrix.astype(np.float64 if small else np.longdouble)
 
 
-def _searcher(k: int, key_columns: list[str]):
-    """Map function over rows sorted by the key: a shard's vectors first (kind 0), then blocks of queries."""
+def _shard_tree(folder: str, name: str) -> Tree:
+    """The tree of a shard, from its file."""
+    from pyarrow import fs as arrow_fs
+    from pyarrow import parquet
+
+    store, path = arrow_file_system(f"{folder}/{name}")
+    ids, vectors = [], []
+    for f in store.get_file_info(arrow_fs.FileSelector(path)):
+        if f.base_name.endswith(".parquet"):
+            with store.open_input_file(f.path) as file:
+                table = parquet.read_table(file, columns=["ids", "v"])
+            for row in range(len(table)):
+                ids.append(np.asarray(table.column("ids")[row].values))
+                vectors.append(_matrix(table.column("v")[row].values, len(ids[-1])))
+    return Tree.build(np.concatenate(vectors), np.concatenate(ids))
+
+
+def _searcher(k: int, folder: str):
+    """Map function over blocks of queries, sorted by the shard that they are sent to."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, tree, held = None, None, []
+        at, tree = None, None
         for batch in batches:
             for row in range(len(batch)):
-                key = tuple(batch.column(c)[row].as_py() for c in key_columns)
+                name = batch.column("at")[row].as_py()
+                if name != at:
+                    at, tree = name, _shard_tree(folder, f"at={name}")
                 ids = np.asarray(batch.column("ids")[row].values)
                 vectors = _matrix(batch.column("v")[row].values, len(ids))
-                if batch.column("kind")[row].as_py() == 0:
-                    if key != at:
-                        at, tree, held = key, None, []
-                    held.append((vectors, ids))
-                    continue
-                if key != at or not held:
-                    continue
-                if tree is None:
-                    tree = Tree.build(np.concatenate([v for v, _ in held]), np.concatenate([i for _, i in held]))
                 bound = np.asarray(batch.column("bound")[row].values).astype(np.longdouble)
                 bound[bound == NO_BOUND] = -np.inf
                 kind = np.result_type(vectors, tree.vectors)
@@ -343,20 +358,23 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_
     widths = [len(r.v) for r in sample]
     width = max(set(widths), key=widths.count) if widths else 1
     known = np.array([r.v for r in sample if len(r.v) == width], dtype=np.float64).reshape(-1, width)
-    cells = Cells.fit(known, max(8, int(SHARD_ROWS * share)))
+    shard_rows = lambda w: max(1, min(SHARD_ROWS, SHARD_BYTES // (8 * max(w, 1))))
+    cells = Cells.fit(known, max(8, int(shard_rows(width) * share)))
 
     placed = rows.mapInArrow(_assign(cells, width), "vec_id long, v array<long>, is_query boolean, cell long").withColumn("width", F.size("v"))
     placed = scratch.keep(placed, "placed")
     # Shards are numbered within a width.  There are at most SAMPLE_ROWS / 4 cells of the usual width, and one of each other.
-    sizes = placed.groupBy("width", "cell").agg(F.ceil(F.count("*") / SHARD_ROWS).alias("shards")).orderBy("width", "cell").collect()
+    sizes = placed.groupBy("width", "cell").agg(F.count("*").alias("n")).orderBy("width", "cell").collect()
     numbered, shards_of = [], {}
     for r in sizes:
-        numbered.append((r.width, r.cell, shards_of.get(r.width, 0), r.shards))
-        shards_of[r.width] = shards_of.get(r.width, 0) + r.shards
+        shards = -(-r.n // shard_rows(r.width))
+        numbered.append((r.width, r.cell, shards_of.get(r.width, 0), shards))
+        shards_of[r.width] = shards_of.get(r.width, 0) + shards
     numbers = F.broadcast(spark.createDataFrame(numbered, "width int, cell long, first long, shards long"))
     placed = placed.join(numbers, ["width", "cell"])
     placed = placed.select("width", "vec_id", "v", "is_query", (F.col("first") + F.pmod(F.xxhash64("vec_id"), F.col("shards"))).alias("shard"))
-    candidates = scratch.keep(_pack(placed.withColumn("spot", F.lit(0)), ["width", "shard"]).drop("rows"), "shards")
+    name_of = F.concat_ws("_", "width", "shard").alias("at")
+    candidates = scratch.keep(_pack(placed.withColumn("spot", F.lit(0)), ["width", "shard"]).drop("rows").select("*", name_of), "shards", by="at")
 
     boxes = scratch.keep(candidates.mapInArrow(_boxes, "width int, shard long, low array<long>, high array<long>"), "boxes")
 
@@ -369,12 +387,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_
     def searched(asked: DataFrame, name: str) -> DataFrame:
         """Answers (query_id, vec_id, score) to blocks (width, shard, home, block, ids, v, bound)."""
         parts = asked.groupBy("width", "shard").agg(F.ceil(F.count("*") / BLOCKS_PER_TASK).cast("int").alias("parts"))
-        own = candidates.join(parts, ["width", "shard"]).select("width", "shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"), "ids", "v", F.array().cast("array<long>").alias("bound"))
         dealt = asked.join(parts, ["width", "shard"]).withColumn("part", F.pmod(F.xxhash64("home", "block"), F.col("parts")).cast("int"))
-        both = own.unionByName(dealt.select("width", "shard", "part", F.lit(1).alias("kind"), "ids", "v", "bound"))
-        key = ["width", "shard", "part"]
-        rows = both.repartition(*key).sortWithinPartitions(*key, "kind")
-        return scratch.keep(rows.mapInArrow(_searcher(k, key), "query_id long, vec_id long, score long"), name)
+        rows = dealt.select(name_of, "part", "ids", "v", "bound").repartition("at", "part").sortWithinPartitions("at", "part")
+        return scratch.keep(rows.mapInArrow(_searcher(k, candidates._scratch_path), "query_id long, vec_id long, score long"), name)
 
     def blocks_of(rows: DataFrame) -> DataFrame:
         blocks = _pack(rows.withColumn("spot", F.col("vec_id")), ["home", "width", "block"], F.col("bound"), F.col("before"))

@@ -78,3 +78,24 @@ def test_far_shards_get_no_queries(spark, monkeypatch):
     assert len(of_shard) >= 10 and asked
     assert all(side[i] in of_shard[shard] for shard, i in asked)
     assert len(asked) < 100 * len(of_shard) / 2
+
+
+def test_shards_of_long_vectors_are_sized_by_bytes_and_read_from_files(spark, monkeypatch):
+    """1,536 components: shards of few rows; what is sent to them holds queries only."""
+    monkeypatch.setattr(topk, "SHARD_BYTES", 8 * 1536 * 20)
+    monkeypatch.setattr(topk, "BLOCK_QUERIES", 4)
+    rng, shards, sent = random.Random(3), [], []
+    rows = [(i, [rng.randrange(-64, 64) / 64 for _ in range(1536)]) for i in range(90)]
+
+    def keep(self, df, name, by=None, real=topk.Scratch.keep):
+        kept = real(self, df, name, by)
+        if name == "shards":
+            shards.extend(len(r.ids) for r in kept.collect())
+        if name == "asked":
+            sent.extend(i for r in kept.collect() for i in r.ids)
+        return kept
+
+    monkeypatch.setattr(topk.Scratch, "keep", keep)
+    found = topk.top_k(table(spark, rows), F.col("vec_id") % 4 == 0, 5)
+    assert sorted(map(tuple, found.collect())) == brute(rows, lambda i: i % 4 == 0, 5)
+    assert sum(shards) == 90 and len(shards) >= 5 and max(shards) <= 40 and all(i % 4 == 0 for i in sent)
