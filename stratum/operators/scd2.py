@@ -93,7 +93,7 @@ def dense_numbers(df: DataFrame, *order: str) -> DataFrame:
     rows = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("__id", F.monotonically_increasing_id())
     path = f"{shared_folder(spark)}/numbers-{uuid.uuid4().hex}"
     delete_on_exit(spark, path)
-    rows.write.option("compression", "zstd").parquet(path)
+    rows.write.mode("append").option("compression", "zstd").parquet(path)
     kept = spark.read.schema(rows.schema).parquet(path).withColumn("__range", F.shiftright("__id", 33))
     sizes = kept.groupBy("__range").agg(F.count("*").alias("__n"))
     before = sizes.select("__range", F.coalesce(F.sum("__n").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
