@@ -63,3 +63,20 @@ def test_searches_at_the_end_of_the_text(spark, docs, rows):
 def test_quality(spark, docs):
     labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
     assert classify(docs, labels, F.lit(True)).where("score IS NOT NULL").count() == 6
+
+
+def test_phrases_and_terms_of_a_text_larger_than_a_batch(spark):
+    from stratum.llm.queries import divergence_rows
+    from stratum.llm.source_divergence import audit_sources
+
+    from . import test_collocations as phrases
+    from . import test_source_divergence as terms
+
+    rng = random.Random(12)
+    long = " ".join(rng.choice(("alpha beta", "gamma", "delta epsilon,", "zeta.", "eta theta iota")) for _ in range(700_000))
+    assert len(long) > 6 << 20
+    rows = [(long, "en"), ("alpha beta gamma", "en"), (long[:2000], "de")]
+    phrases.compare(spark, rows, 10)
+    sourced = [(t, lang, s) for (t, lang), s in zip(rows, "aba", strict=True)]
+    got = {tuple(r) for r in divergence_rows(audit_sources(terms.frame(spark, sourced), 1, 50)).collect()}
+    assert got == terms.plain(sourced, 1, 50)
