@@ -42,7 +42,7 @@ def test_reads_equal_plain_upserts_through_folds_and_splits(spark, tmp_path):
     for step in range(12):
         rows = {i: (f"s{step}-{i}", rng.choice([None, step])) for i in rng.sample(range(500), rng.choice([3, 10, 60, 120]))}
         t.upsert(spark.createDataFrame([(i, *v) for i, v in rows.items()], KV))
-        plain |= rows
+        earlier, plain = plain, plain | rows
         assert content(t.read()) == plain
         folded |= any(r["folder"].endswith("f") for runs in t.runs().values() for r in runs)
         longest = max(longest, *(len(r) for r in t.runs().values()))
@@ -50,7 +50,7 @@ def test_reads_equal_plain_upserts_through_folds_and_splits(spark, tmp_path):
             t.delete_where("id < 50")
             plain = {i: v for i, v in plain.items() if i >= 50}
     assert folded and longest > 1 and len(t.runs()) > 4
-    assert len(content(t.read(t.version() - 1))) > 300  # the backup
+    assert content(t.read(t.version() - 1)) == earlier  # the backup
     some = [(i,) for i in list(plain)[:5]] + [(10_000,)]
     assert content(t.lookup(*some)) == {i: v for i, v in plain.items() if (i,) in some}
 
