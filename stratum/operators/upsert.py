@@ -26,5 +26,10 @@ def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def progress(won: DataFrame, datasets: DataFrame) -> DataFrame:
     """(source_dataset, post_count): rows that each of the datasets has won, 0 for those without."""
-    counts = won.groupBy("source_dataset").agg(F.count("*").cast("int").alias("post_count"))
-    return datasets.select("source_dataset").distinct().join(counts, "source_dataset", "left").select("source_dataset", F.coalesce("post_count", F.lit(0)).alias("post_count"))
+    return progress_of(won.groupBy("source_dataset").agg(F.count("*").alias("n_rows")), datasets)
+
+
+def progress_of(counts: DataFrame, datasets: DataFrame) -> DataFrame:
+    """The same of rows that are counted already, as (source_dataset, n_rows)."""
+    known = counts.select("source_dataset", F.col("n_rows").cast("int").alias("post_count"))
+    return datasets.select("source_dataset").distinct().join(known, "source_dataset", "left").select("source_dataset", F.coalesce("post_count", F.lit(0)).alias("post_count"))

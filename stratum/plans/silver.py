@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..config import Lake
 from ..operators.dedup import diagonal_union, latest_posts
 from ..operators.normalize import normalize_all, stamp
-from ..operators.upsert import progress
+from ..operators.upsert import progress_of
 from ..schemas import SILVER
 from ..sources.bronze import FILE, scan_files
 from ..sources.catalog import QUARANTINE, keep_back, pending_files, refresh, short_datasets
@@ -31,8 +31,8 @@ def merge_posts(state: State, rows: DataFrame, run_ts: dt.datetime) -> None:
 
 
 def record_progress(state: State, datasets: DataFrame, run_ts: dt.datetime) -> None:
-    """Set the progress of the datasets (source_dataset) to the posts that they have won."""
-    done = progress(state.table("silver_ig_posts").read(), datasets).withColumn("completed_at", F.lit(run_ts).cast("timestamp_ntz"))
+    """Set the progress of the datasets (source_dataset) to the posts that they have won, by the counts of the last commit."""
+    done = progress_of(state.table("silver_ig_posts").counts(), datasets).withColumn("completed_at", F.lit(run_ts).cast("timestamp_ntz"))
     state.table("silver_ig_progress").upsert(done)
 
 

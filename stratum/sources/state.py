@@ -14,6 +14,12 @@ hold, one bucket after the other is split in two, and the others stay.
 
 A version is a small manifest of runs with their rows and the range of the
 first key column, by which a merge leaves out runs that hold none of its keys.
+It notes which runs had their keys checked, and, for a table that is counted by
+a column, the rows of the table and the folder of its counts by that column.
+A commit that knows which stored rows it replaces brings the counts up to date
+by the difference; one that doesn't leaves them out, and they are made anew when
+they are next asked for in a merge.
+
 A writer takes the table's lock, writes folders and the manifest, and then makes
 the version the current one; readers see one version or the next.  The version
 before stays as a backup.  There is one writer of a table at a time.
@@ -44,6 +50,8 @@ from ..schemas import INTERNAL_TABLES, OLD_TABLES, TABLES
 from .files import create_new, delete, listing, publish_new, read_text, require_atomic_rename, write_text
 
 BUCKET = "__bucket"
+#: Columns by whose values the rows of a table are counted at each commit.
+COUNTED = {"silver_ig_posts": "source_dataset"}
 #: Tables that grow with the data; the others are small and have one bucket.
 LARGE_TABLES = frozenset(("silver_ig_posts", "gold_ig_analyses", "dead_letter", "dim_profile", "silver_posts", "gold_analyses"))
 
@@ -183,11 +191,12 @@ class StateTable:
 
     `buckets` is the number of the first version.  With `bucket_rows` it grows,
     so that a bucket has about so many rows at most; without, it stays.
+    `counted` is a column by whose values rows are counted at each commit.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: tuple[str, ...], buckets: int = 1, keep_versions: int = 2, bucket_rows: int | None = None, pointer: _Pointer | None = None):
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: tuple[str, ...], buckets: int = 1, keep_versions: int = 2, bucket_rows: int | None = None, pointer: _Pointer | None = None, counted: str | None = None):
         require_atomic_rename(path)
-        self.pointer = pointer or _Pointer(spark, path.rstrip("/"))
+        self.pointer, self.counted = pointer or _Pointer(spark, path.rstrip("/")), counted
         self.spark, self.path, self.schema, self.keys, self.buckets, self.keep_versions, self.bucket_rows = spark, path.rstrip("/"), schema, keys, buckets, keep_versions, bucket_rows
 
     def version(self) -> int:
@@ -251,6 +260,45 @@ class StateTable:
         rows = self._rows({b: r for b, r in manifest["runs"].items() if b in found})
         return rows.join(F.broadcast(wanted), list(self.keys), "left_semi")
 
+    def counts(self, version: int | None = None) -> DataFrame:
+        """(counted column, n_rows) of a version: as its commit noted them, else by a scan of that column."""
+        version = self.version() if version is None else version
+        noted = self._manifest(version).get("counts")
+        if noted is None:
+            return self.read(version).groupBy(self.counted).agg(F.count("*").alias("n_rows"))
+        return self.spark.read.schema(self._counts_schema()).parquet(f"{self.path}/_counts-{noted}")
+
+    def n_rows(self) -> int:
+        """Rows of the current version: as its commit noted them, else by a scan."""
+        version = self.version()
+        noted = self._manifest(version).get("total")
+        return self.read(version).count() if noted is None else noted
+
+    def keys_checked(self) -> bool:
+        """Whether the keys of all runs of the current version were checked when these were committed."""
+        return all(r.get("checked") for own in self.runs().values() for r in own)
+
+    def _counts_schema(self) -> T.StructType:
+        return T.StructType([self.schema[self.counted], T.StructField("n_rows", T.LongType())])
+
+    def _note_counts(self, version: int, before: DataFrame, added: DataFrame, gone: DataFrame | None = None) -> dict:
+        """Write the counts of a version: those before, and the rows that come, less those that go."""
+        if not self.counted:
+            return {}
+        parts = [before, *(df.groupBy(self.counted).agg((F.count("*") * sign).alias("n_rows")) for df, sign in ((added, 1), (gone, -1)) if df is not None)]
+        sums = reduce(DataFrame.unionByName, parts).groupBy(self.counted).agg(F.sum("n_rows").alias("n_rows")).where("n_rows > 0")
+        folder = f"{self.path}/_counts-{version}"
+        sums.write.mode("overwrite").parquet(folder)
+        total = self.spark.read.schema(self._counts_schema()).parquet(folder).agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0]
+        return {"counts": version, "total": total}
+
+    def _no_counts(self) -> DataFrame:
+        return self.spark.createDataFrame([], self._counts_schema())
+
+    def _run_rows(self, version: int, written: dict[str, dict]) -> DataFrame:
+        """Rows of the run that a version has just written."""
+        return self._load([self._folder(str(version), b) for b in sorted(written)])
+
     @contextmanager
     def lock(self) -> Iterator[None]:
         path = f"{self.path}/_LOCK"
@@ -289,10 +337,10 @@ class StateTable:
         except KeyViolation:
             delete(self.spark, folder)
             raise
-        return {b: {"folder": str(version), **s} for b, s in written.items()}
+        return {b: {"folder": str(version), "checked": True, **s} for b, s in written.items()}
 
-    def _commit(self, version: int, manifest: dict, written: dict[str, dict]) -> int:
-        """Make runs the last ones of their buckets; fold and split buckets where it is time."""
+    def _commit(self, version: int, manifest: dict, written: dict[str, dict], counts: dict | None = None) -> int:
+        """Make runs the last ones of their buckets, with the counts of the version; fold and split buckets where it is time."""
         runs = {b: list(r) for b, r in manifest["runs"].items()}
         for b, run in written.items():
             runs.setdefault(b, []).append(run)
@@ -301,14 +349,14 @@ class StateTable:
             buckets = max(old, -(-sum(r["rows"] for own in runs.values() for r in own) // self.bucket_rows))
         starts = {b: start for b in written if (start := first_to_fold([r["rows"] for r in runs[b]])) is not None}
         starts |= {str(b): 0 for b in split_buckets(manifest["first"], old, buckets) if str(b) in runs}
-        made = {"first": manifest["first"], "buckets": buckets, "runs": runs}
+        made = {"first": manifest["first"], "buckets": buckets, "runs": runs, **(counts or {})}
         if starts:
-            name = f"{version}f"
+            name, checked = f"{version}f", all(r.get("checked") for b, start in starts.items() for r in runs[b][start:])
             folded = self._write(self._rows({b: runs[b][start:] for b, start in starts.items()}), self._folder(name), made)
             for b, start in starts.items():
                 del runs[b][start:]
             for b, s in folded.items():
-                runs.setdefault(b, []).append({"folder": name, **s})
+                runs.setdefault(b, []).append({"folder": name, "checked": checked, **s})
         made["runs"] = {b: r for b, r in runs.items() if r}
         write_text(self.spark, f"{self.path}/_manifest-{version}", json.dumps(made))
         self.pointer.set(version, lambda: self._clean(version))
@@ -317,6 +365,7 @@ class StateTable:
     def _clean(self, version: int) -> None:
         """Delete older versions than are kept, and the folders that only they name."""
         live: set[str] = set()
+        counts: set[str] = set()
         found = listing(self.spark, self.path)
         for f in found:
             if f.name.startswith("_manifest-"):
@@ -324,8 +373,12 @@ class StateTable:
                 if number <= version - self.keep_versions:
                     delete(self.spark, f.path)
                 else:
-                    live.update(f"{r['folder']}/{b}" for b, own in self._manifest(number)["runs"].items() for r in own)
+                    manifest = self._manifest(number)
+                    live.update(f"{r['folder']}/{b}" for b, own in manifest["runs"].items() for r in own)
+                    counts.add(f"_counts-{manifest.get('counts')}")
         for f in found:
+            if f.name.startswith("_counts-") and f.name not in counts:
+                delete(self.spark, f.path)
             if f.name.startswith("_v="):
                 parts = [b for b in listing(self.spark, f.path) if b.name.startswith(f"{BUCKET}=")]
                 gone = [b for b in parts if f"{f.name[3:]}/{b.name[len(BUCKET) + 1 :]}" not in live]
@@ -337,17 +390,21 @@ class StateTable:
         with self.lock():
             version = self.version()
             manifest = self._manifest(version) | {"runs": {}}
-            return self._commit(version + 1, manifest, self._write_run(fit_schema(df, self.schema), version + 1, manifest))
+            written = self._write_run(fit_schema(df, self.schema), version + 1, manifest)
+            counts = self._note_counts(version + 1, self._no_counts(), self._run_rows(version + 1, written)) if self.counted else {}
+            return self._commit(version + 1, manifest, written, counts)
 
     def upsert(self, source: DataFrame) -> int:
         """Replace rows by key, add those with new keys; columns are bound by name.
 
-        Stored rows aren't read, but where runs are folded.
+        Stored rows aren't read, but where runs are folded; so the first version only has its rows counted.
         """
         with self.lock():
             version = self.version()
             manifest = self._manifest(version)
-            return self._commit(version + 1, manifest, self._write_run(fit_schema(source, self.schema), version + 1, manifest))
+            written = self._write_run(fit_schema(source, self.schema), version + 1, manifest)
+            counts = self._note_counts(version + 1, self._no_counts(), self._run_rows(version + 1, written)) if self.counted and not manifest["runs"] else {}
+            return self._commit(version + 1, manifest, written, counts)
 
     def merge(self, source: DataFrame, combine: Callable[[DataFrame, DataFrame], DataFrame], unique: bool = False) -> int:
         """Upsert combine(stored rows with a key of the source, source rows), which gives a row for each of these keys.
@@ -371,7 +428,12 @@ class StateTable:
                 old = self._load([f"{staging}/stored"])
                 unchanged = reduce(Column.__and__, (F.col(f"a.`{c}`").eqNullSafe(F.col(f"b.`{c}`")) for c in self.schema.names))
                 changed = fit_schema(combine(old, new), self.schema).alias("a").join(old.alias("b"), unchanged, "left_anti")
-                return self._commit(version + 1, manifest, self._write_run(changed, version + 1, manifest))
+                written = self._write_run(changed, version + 1, manifest)
+                counts = {}
+                if self.counted:
+                    now = self._run_rows(version + 1, written)
+                    counts = self._note_counts(version + 1, self.counts(version), now, old.join(now.select(*self.keys), list(self.keys), "left_semi"))
+                return self._commit(version + 1, manifest, written, counts)
             finally:
                 delete(self.spark, staging)
 
@@ -384,8 +446,9 @@ class StateTable:
             bucket = bucket_of(self.keys, manifest["first"], manifest["buckets"])
             touched = {str(r[0]) for r in self._rows(manifest["runs"]).where(hit).select(bucket).distinct().collect()}  # numbers of buckets
             kept = {b: r for b, r in manifest["runs"].items() if b not in touched}
-            rows = self._rows({b: r for b, r in manifest["runs"].items() if b in touched}).where(~hit)
-            return self._commit(version + 1, manifest | {"runs": kept}, self._write_run(rows, version + 1, manifest))
+            rows = self._rows({b: r for b, r in manifest["runs"].items() if b in touched})
+            counts = self._note_counts(version + 1, self.counts(version), self._load([]), rows.where(hit)) if self.counted else {}
+            return self._commit(version + 1, manifest | {"runs": kept}, self._write_run(rows.where(~hit), version + 1, manifest), counts)
 
     def delete_keys(self, keys: DataFrame) -> int:
         """Drop the rows with these keys; their buckets are written anew."""
@@ -398,8 +461,9 @@ class StateTable:
                 gone = self.spark.read.schema(T.StructType([self.schema[k] for k in self.keys])).parquet(staging)
                 touched = {str(r[0]) for r in gone.select(bucket_of(self.keys, manifest["first"], manifest["buckets"])).distinct().collect()}  # numbers of buckets
                 kept = {b: r for b, r in manifest["runs"].items() if b not in touched}
-                rows = self._rows({b: r for b, r in manifest["runs"].items() if b in touched}).join(gone, list(self.keys), "left_anti")
-                return self._commit(version + 1, manifest | {"runs": kept}, self._write_run(rows, version + 1, manifest))
+                rows = self._rows({b: r for b, r in manifest["runs"].items() if b in touched})
+                counts = self._note_counts(version + 1, self.counts(version), self._load([]), rows.join(gone, list(self.keys), "left_semi")) if self.counted else {}
+                return self._commit(version + 1, manifest | {"runs": kept}, self._write_run(rows.join(gone, list(self.keys), "left_anti").select(*self.schema.names), version + 1, manifest), counts)
             finally:
                 delete(self.spark, staging)
 
@@ -444,7 +508,7 @@ class State:
 
     def table(self, name: str) -> StateTable:
         schema, keys = (TABLES | OLD_TABLES | INTERNAL_TABLES)[name]
-        return StateTable(self.spark, f"{self.root}/{name}", schema, keys, self.buckets if name in LARGE_TABLES else 1, bucket_rows=self.bucket_rows, pointer=_InState(self, name))
+        return StateTable(self.spark, f"{self.root}/{name}", schema, keys, self.buckets if name in LARGE_TABLES else 1, bucket_rows=self.bucket_rows, pointer=_InState(self, name), counted=COUNTED.get(name))
 
     def exists(self, name: str) -> bool:
         return _InState(self, name).get() > 0
