@@ -44,6 +44,10 @@ class EnrichConfig:
     else it moves to the last row of the batch.  `post_ids` restricts a run to
     some posts and leaves the mark alone.  `parallelism` bounds the external
     calls at one time.
+
+    When the service's quota ends, a run pauses at most `quota_pauses` times,
+    for as long as the service says (`quota_wait` seconds if it doesn't, and
+    `quota_wait_max` at most); what hasn't been tried then stays pending.
     """
 
     batch_limit: int | None = 10
@@ -52,3 +56,6 @@ class EnrichConfig:
     attempts: int = 3
     parallelism: int = 4
     backoff_seconds: float = 2.0
+    quota_pauses: int = 3
+    quota_wait: float = 30.0
+    quota_wait_max: float = 300.0

@@ -22,11 +22,19 @@ PROMPT = (
     "domain, subdomain, topic, subtopic, content_type, style and format; educational_json with summary, workflow, concepts, principles and techniques "
     "if the post teaches something; actionable_json with summary, resources, tools, guides and downloads if one can act on it.\n\nPost:\n"
 )
-_ANALYZED = "post_id string, ok boolean, result_json string, error string, attempts int"
+_ANALYZED = "post_id string, ok boolean, result_json string, error string, attempts int, retry_after double"
+
+
+class QuotaExceeded(RuntimeError):
+    """Raised by an analyzer whose service takes no more calls for now, with the seconds to wait if the service tells them."""
+
+    def __init__(self, message: str = "quota exceeded", retry_after: float | None = None):
+        super().__init__(message)
+        self.retry_after = retry_after
 
 
 class Analyzer(Protocol):
-    """Answers a prompt with JSON text, or raises."""
+    """Answers a prompt with JSON text, or raises: QuotaExceeded if it may be asked again later."""
 
     def analyze(self, prompt: str) -> str: ...
 
@@ -67,13 +75,18 @@ def skipped_letters(posts: DataFrame, run_ts: Column) -> DataFrame:
 
 
 def analyze_once(analyzer: Analyzer, caption: str, attempts: int, backoff: float, sleep: Callable[[float], None] = time.sleep) -> tuple[bool, str | None, str | None, int]:
-    """(ok, JSON text, error, attempts): tries until an answer is JSON, waiting backoff ** attempt seconds between."""
+    """(ok, JSON text, error, attempts): tries until an answer is JSON, waiting backoff ** attempt seconds between.
+
+    A quota is no failure of the row, and is raised on.
+    """
     error = None
     for attempt in range(1, attempts + 1):
         try:
             text = analyzer.analyze(PROMPT + caption)
             json.loads(text)
             return True, text, None, attempt
+        except QuotaExceeded:
+            raise
         except Exception as problem:  # noqa: BLE001  whatever the service raises counts as a failed attempt
             error = str(problem) or type(problem).__name__
         if attempt < attempts:
@@ -82,18 +95,28 @@ def analyze_once(analyzer: Analyzer, caption: str, attempts: int, backoff: float
 
 
 def analyze(posts: DataFrame, make_analyzer: Callable[[], Analyzer], attempts: int = 3, backoff: float = 2.0, parallelism: int = 4) -> DataFrame:
-    """(post_id, ok, result_json, error, attempts) of posts with a caption.
+    """(post_id, ok, result_json, error, attempts, retry_after) of posts with a caption.
 
     At most `parallelism` rows are with the service at a time, and a task
-    builds one analyzer.  Write the result before it is read twice: each
-    evaluation calls the service again.
+    builds one analyzer.  After a quota answer a task calls no more: its
+    other rows come back untried, with no `ok`, no attempts, and what the
+    quota said.  Write the result before it is read twice: each evaluation
+    calls the service again.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        analyzer = make_analyzer()
+        analyzer, quota = make_analyzer(), None
         for frame in frames:
-            rows = [(p, *analyze_once(analyzer, c, attempts, backoff)) for p, c in zip(frame["post_id"], frame["caption"], strict=True)]
-            yield pd.DataFrame(rows, columns=["post_id", "ok", "result_json", "error", "attempts"])
+            rows = []
+            for post_id, caption in zip(frame["post_id"], frame["caption"], strict=True):
+                if quota is None:
+                    try:
+                        rows.append((post_id, *analyze_once(analyzer, caption, attempts, backoff), None))
+                        continue
+                    except QuotaExceeded as problem:
+                        quota = problem
+                rows.append((post_id, None, None, str(quota), 0, quota.retry_after))
+            yield pd.DataFrame(rows, columns=["post_id", "ok", "result_json", "error", "attempts", "retry_after"])
 
     captions = posts.where(~is_blank(F.col("caption"))).select("post_id", "caption")
     return captions.repartition(parallelism).mapInPandas(run, _ANALYZED)

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import time
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,12 +45,36 @@ def _completed(state: State, config: EnrichConfig) -> dt.datetime | None:
     return done.agg(F.max("processed_on")).first()[0]
 
 
-def run_gold(state: State, make_analyzer: Callable[[], enrich.Analyzer], run_ts: dt.datetime, config: EnrichConfig | None = None, model: str = "default") -> DataFrame:
+def _analyze(todo: DataFrame, make_analyzer: Callable[[], enrich.Analyzer], config: EnrichConfig, folder: str, sleep: Callable[[float], None]) -> tuple[DataFrame, bool]:
+    """Answers of the rows that were tried, and whether rows were left untried.
+
+    Rows go to the service in rounds.  A round ends early where the quota does:
+    each task stops at the first answer that says so, so a quota costs a call of
+    each task.  The driver then waits once for all, and the next round tries the
+    rows that the ones before left.  After the last pause, or a round in which
+    no row was tried, the others are left.
+    """
+    rest, rounds = todo, []
+    while True:
+        rounds.append(f"{folder}/round-{len(rounds)}")
+        enrich.analyze(rest, make_analyzer, config.attempts, config.backoff_seconds, config.parallelism).write.parquet(rounds[-1])
+        got = todo.sparkSession.read.parquet(rounds[-1])
+        told = got.agg(F.count_if(F.col("ok").isNull()).alias("untried"), F.count("ok").alias("tried"), F.max("retry_after").alias("wait")).first()
+        if not told.untried or not told.tried or len(rounds) > config.quota_pauses:
+            return todo.sparkSession.read.parquet(*rounds).where("ok IS NOT NULL"), told.untried > 0
+        sleep(min(config.quota_wait if told.wait is None else told.wait, config.quota_wait_max))
+        rest = todo.join(got.where("ok IS NULL").select("post_id"), "post_id", "left_semi")
+
+
+def run_gold(
+    state: State, make_analyzer: Callable[[], enrich.Analyzer], run_ts: dt.datetime, config: EnrichConfig | None = None, model: str = "default", sleep: Callable[[float], None] = time.sleep
+) -> DataFrame:
     """Analyze pending posts, and return all analyses.
 
     The answers are written once before they are routed, so no row is sent
     twice.  Analyses, dead letters and the mark are one transaction: after a
-    crash none of them has changed.
+    crash none of them has changed.  Posts that a quota kept from being tried
+    get neither, and the mark stays before them, with `compat`, too.
     """
     config = config or EnrichConfig()
     spark = state.spark
@@ -58,15 +84,14 @@ def run_gold(state: State, make_analyzer: Callable[[], enrich.Analyzer], run_ts:
     todo = spark.read.parquet(f"{staging}/todo")
     if not todo.isEmpty():
         stamp = F.lit(run_ts)
-        enrich.analyze(todo, make_analyzer, config.attempts, config.backoff_seconds, config.parallelism).write.parquet(f"{staging}/analyzed")
-        analyzed = spark.read.parquet(f"{staging}/analyzed")
+        analyzed, untried = _analyze(todo, make_analyzer, config, f"{staging}/analyzed", sleep)
         with state.transaction():
             state.table("gold_ig_analyses").upsert(enrich.analyses(analyzed, stamp))
             letters = state.table("dead_letter")
             new = enrich.skipped_letters(todo, stamp).unionByName(enrich.failed_letters(analyzed, stamp))
             letters.upsert(enrich.add_attempts(new, letters.read()))
             if not config.post_ids:
-                mark = run_ts if config.compat else _completed(state, config)
+                mark = run_ts if config.compat and not untried else _completed(state, replace(config, compat=False))
                 if mark is not None:
                     state.advance(MARK, mark, config_hash(model))
     delete(spark, staging)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import schemas
-from .config import Lake
+from .config import EnrichConfig, Lake
 from .functions import is_blank, json_valid, lenient_timestamp, list_to_json, post_url
 from .operators import checks, enrich
 from .operators.dedup import diagonal_union, latest_per_key
@@ -27,6 +27,7 @@ from .operators.normalize import add_defaults, normalize, rename_columns, stamp
 from .operators.scd2 import apply_names, changed_rows, max_key, observed_names
 from .operators.upsert import progress, upsert
 from .operators.views import analytics_view
+from .plans.gold import run_gold
 from .plans.migrate import migrated_posts, seed_mark
 from .plans.serving import run_dim_time
 from .plans.silver import newest_first, run_silver
@@ -283,6 +284,17 @@ def state_increments(spark, sf_dir):
     return table.read(required=True)
 
 
+@_register(f"{_POSTS} SELECT source_dataset, count(*) AS n_rows FROM posts WHERE NOT coalesce(likes_count % 3 = 0, false) GROUP BY 1")
+def state_statistics(spark, sf_dir):
+    """Rows by dataset as the commits noted them: three merges, of which the later ones move posts to other datasets, and a deletion."""
+    table, posts = State(spark, _lake(spark).state, buckets=4).table("silver_ig_posts"), _posts(spark, sf_dir)
+    table.merge(posts.where("event_id % 10 < 9").withColumn("source_dataset", F.lit("before")), lambda old, new: new)
+    table.merge(posts.where("event_id % 10 <> 0"), lambda old, new: new)
+    table.merge(posts.where("event_id % 10 = 0"), lambda old, new: new)
+    table.delete_where("likes_count % 3 = 0")
+    return table.counts()
+
+
 @_register(f"{_POSTS} SELECT post_id, shortcode, url, caption, owner_id, owner_username, likes_count, timestamp, source_dataset FROM posts")
 def state_source(spark, sf_dir):
     """Stored posts, upserted in two steps, through the Spark source of state tables."""
@@ -330,7 +342,29 @@ class _Echo:
     event_type_failed AS error, cast(CASE WHEN event_type_failed IS NULL THEN 1 ELSE 3 END AS int) AS attempts
     FROM (SELECT *, CASE WHEN caption LIKE '%error' THEN 'no answer' END AS event_type_failed FROM posts) WHERE regexp_replace(caption, '\\s', '', 'g') <> ''""")
 def enrich_posts(spark, sf_dir):
-    return enrich.analyze(_posts(spark, sf_dir), _Echo, backoff=0.0)
+    return enrich.analyze(_posts(spark, sf_dir), _Echo, backoff=0.0).drop("retry_after")
+
+
+class _Metered(_Echo):
+    """Takes 200 calls, and then says that its quota is used up."""
+
+    calls = 0
+
+    def analyze(self, prompt):
+        self.calls += 1
+        if self.calls > 200:
+            raise enrich.QuotaExceeded(retry_after=0.0)
+        return super().analyze(prompt)
+
+
+@_register(f"""{_POSTS} SELECT post_id, caption LIKE '%error' AS buried FROM posts WHERE regexp_replace(caption, '\\s', '', 'g') <> ''
+    UNION ALL SELECT post_id, true FROM posts WHERE regexp_replace(coalesce(caption, ''), '\\s', '', 'g') = ''""")
+def gold_quota(spark, sf_dir):
+    """Posts through an analyzer whose quota ends: all are answered or buried in the end, none because of the quota."""
+    state = State(spark, _lake(spark).state, buckets=4)
+    state.table("silver_ig_posts").replace(_posts(spark, sf_dir).withColumn("processed_on", _ts(RUN_TS)))
+    gold = run_gold(state, _Metered, dt.datetime(2024, 7, 2), EnrichConfig(batch_limit=None, backoff_seconds=0.0, quota_pauses=10**6))
+    return gold.select("post_id", F.lit(False).alias("buried")).unionByName(state.table("dead_letter").read().select("post_id", F.lit(True).alias("buried")))
 
 
 @_register(f"SELECT coalesce(max(ts), timestamp '{RUN_TS}') AS mark FROM events")
