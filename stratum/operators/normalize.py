@@ -57,11 +57,13 @@ def stamp(df: DataFrame, run_ts: Column, column: str = "processed_on") -> DataFr
 def normalize_all(df: DataFrame, dataset: Column, carry: tuple[str, ...] = ()) -> DataFrame:
     """Bronze rows in the silver schema, also those without a post id, and further columns as they are.
 
-    `dataset` names the dataset a row is from, where the row itself doesn't.
+    `dataset` names the dataset a row is from, where the row itself doesn't or has null.
     """
     df = rename_columns(df)
     if "source_dataset" not in df.columns:
         df = df.withColumn("source_dataset", dataset)
+    elif isinstance(df.schema["source_dataset"].dataType, T.StringType):
+        df = df.withColumn("source_dataset", F.coalesce("source_dataset", dataset))
     df = add_defaults(df)
     df = df.select(*(fit_column(df, f) for f in SILVER.fields), *carry)
     return df.withColumns({"url": post_url(F.col("url"), F.col("shortcode")), "hashtags": F.coalesce("hashtags", F.lit("[]"))})

@@ -86,8 +86,8 @@ def run_gold(
         stamp = F.lit(run_ts)
         analyzed, untried = _analyze(todo, make_analyzer, config, f"{staging}/analyzed", sleep)
         with state.transaction():
-            state.table("gold_ig_analyses").upsert(enrich.analyses(analyzed, stamp))
-            letters = state.table("dead_letter")
+            state.guarded("gold_ig_analyses").upsert(enrich.analyses(analyzed, stamp))
+            letters = state.guarded("dead_letter")
             new = enrich.skipped_letters(todo, stamp).unionByName(enrich.failed_letters(analyzed, stamp))
             letters.upsert(enrich.add_attempts(new, letters.read()))
             if not config.post_ids:

@@ -18,7 +18,7 @@ VIEW = "analytics_views"
 
 def run_dim_profile(state: State, run_ts: dt.datetime) -> DataFrame:
     """Bring the profile dimension up to the names in the posts."""
-    dim = state.table("dim_profile")
+    dim = state.guarded("dim_profile")
     observed = observed_names(state.table("silver_ig_posts").read())
     dim.upsert(changed_rows(dim.read(), observed, F.lit(run_ts)))
     return dim.read()

@@ -11,7 +11,7 @@ from ..config import Lake
 from ..operators.dedup import diagonal_union, latest_posts
 from ..operators.normalize import normalize_all, stamp
 from ..operators.upsert import progress_of
-from ..schemas import SILVER
+from ..schemas import DEFAULTS, SILVER
 from ..sources.bronze import FILE, scan_files
 from ..sources.catalog import QUARANTINE, keep_back, pending_files, refresh, short_datasets
 from ..sources.files import delete
@@ -26,8 +26,9 @@ def newest_first(posts: DataFrame) -> DataFrame:
 
 
 def merge_posts(state: State, rows: DataFrame, run_ts: dt.datetime) -> None:
-    """Merge rows of the silver schema into the posts; new ones are stamped."""
-    state.table("silver_ig_posts").merge(rows, lambda old, new: stamp(latest_posts(diagonal_union([old, new], SILVER)), F.lit(run_ts)))
+    """Merge rows of the silver schema into the posts; new ones are stamped, and nulls where there must be none get the default."""
+    rows = rows.withColumns({c: F.coalesce(c, F.lit(default)) for c, default in DEFAULTS["silver_ig_posts"].items()})
+    state.guarded("silver_ig_posts").merge(rows, lambda old, new: stamp(latest_posts(diagonal_union([old, new], SILVER)), F.lit(run_ts)))
 
 
 def record_progress(state: State, datasets: DataFrame, run_ts: dt.datetime) -> None:

@@ -37,7 +37,7 @@ from .sources.files import file_system, listing
 from .sources.ndjson import scan_ndjson as read_ndjson
 from .sources.reader import FORMAT as STATE_FORMAT
 from .sources.reader import PUSHDOWN, StateSource
-from .sources.state import BUCKET, State, StateTable
+from .sources.state import BUCKET, Constraints, MissingParent, State, StateTable
 
 RUN_TS = "2024-07-01 00:00:00"
 MARK = "2024-01-16 00:00:00"
@@ -284,6 +284,27 @@ def state_increments(spark, sf_dir):
     return table.read(required=True)
 
 
+@_register("""WITH known AS (SELECT c_custkey FROM customer WHERE c_custkey % 5 <> 0) SELECT o_orderkey AS id, o_custkey AS parent, cast(0 AS int) AS state FROM orders WHERE o_custkey IN (SELECT c_custkey FROM known)
+    UNION ALL SELECT NULL, o_custkey, NULL FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM known) GROUP BY o_custkey""")
+def state_constraints(spark, sf_dir):
+    """Orders with a customer as a foreign key and a default, and the customers that are missing: a commit that names one is refused whole."""
+    root = _lake(spark).state
+    customer = _table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))
+    orders = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("parent"))
+    parents = StateTable(spark, f"{root}/customer", customer.schema, ("id",), buckets=4)
+    parents.replace(customer.where("id % 5 <> 0"))
+    schema = orders.withColumn("state", F.lit(None).cast("int")).schema
+    children = StateTable(spark, f"{root}/orders", schema, ("id",), buckets=4, constraints=Constraints(("parent", "state"), {"state": 0}, ("parent", parents)))
+    try:
+        children.upsert(orders)
+    except MissingParent:
+        wanted = orders.select(F.col("parent").alias("id")).distinct()
+        missing = parents.missing_keys(wanted, wanted.count()).select(F.col("id").alias("parent"))
+        children.upsert(orders.join(missing, "parent", "left_anti"))
+        return children.read().unionByName(missing, allowMissingColumns=True)
+    return children.read()
+
+
 @_register(f"{_POSTS} SELECT source_dataset, count(*) AS n_rows FROM posts WHERE NOT coalesce(likes_count % 3 = 0, false) GROUP BY 1")
 def state_statistics(spark, sf_dir):
     """Rows by dataset as the commits noted them: three merges, of which the later ones move posts to other datasets, and a deletion."""

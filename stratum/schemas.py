@@ -98,6 +98,24 @@ TABLES: dict[str, tuple[T.StructType, tuple[str, ...]]] = {
     "dim_time": (DIM_TIME, ("date_key",)),
 }
 
+#: Columns that must not be null, beside the keys.
+REQUIRED: dict[str, tuple[str, ...]] = {
+    "silver_ig_posts": ("hashtags", "has_engagement_bait", "media_files", "media_count", "source_dataset"),
+    "watermarks": ("timestamp",),
+    "dim_profile": ("owner_id", "effective_from"),
+}
+
+#: What a column gets that a row's source doesn't have.
+DEFAULTS: dict[str, dict[str, object]] = {
+    "silver_ig_posts": {"hashtags": "[]", "has_engagement_bait": False, "media_files": "[]", "media_count": 0},
+    "gold_ig_analyses": {"schema_version": ANALYSIS_VERSION},
+    "dead_letter": {"domain": "instagram", "status": "pending"},
+    "dim_profile": {"channel": "instagram"},
+}
+
+#: Foreign keys: table -> (column, the table of whose key it is one).
+PARENTS: dict[str, tuple[str, str]] = {"gold_ig_analyses": ("post_id", "silver_ig_posts")}
+
 #: Tables that the pipeline keeps for itself, beside the contract.
 INTERNAL_TABLES: dict[str, tuple[T.StructType, tuple[str, ...]]] = {
     "bronze_catalog": (

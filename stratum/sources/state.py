@@ -37,6 +37,7 @@ import json
 import time
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,9 +45,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.dedup import latest_per_key
-from ..operators.normalize import fit_schema
+from ..operators.normalize import add_defaults, fit_schema
 from ..operators.upsert import repeated_keys
-from ..schemas import INTERNAL_TABLES, OLD_TABLES, TABLES
+from ..schemas import DEFAULTS, INTERNAL_TABLES, OLD_TABLES, PARENTS, REQUIRED, TABLES
 from .files import create_new, delete, listing, publish_new, read_text, require_atomic_rename, write_text
 
 BUCKET = "__bucket"
@@ -56,10 +57,22 @@ COUNTED = {"silver_ig_posts": "source_dataset"}
 LARGE_TABLES = frozenset(("silver_ig_posts", "gold_ig_analyses", "dead_letter", "dim_profile", "silver_posts", "gold_analyses"))
 
 
-class KeyViolation(ValueError):
+class ConstraintViolation(ValueError):
+    """Rows that a table refuses; nothing of their commit remains."""
+
+
+class KeyViolation(ConstraintViolation):
     """A key is null or held more than once."""
 
 
+class MissingValue(ConstraintViolation):
+    """A required column is null."""
+
+
+class MissingParent(ConstraintViolation):
+    """A foreign key names a row that isn't there."""
+
+
 class Locked(RuntimeError):
     """Another writer is at work."""
 
@@ -186,6 +199,19 @@ class _InState(_Pointer):
             self.state.afterwards.append(clean)
 
 
+@dataclass(frozen=True)
+class Constraints:
+    """What a table asks of the rows that are committed to it, beside its keys.
+
+    `parent` is (column, the table of whose key it is one).  Only the rows of a
+    commit are held against it; the parent doesn't refuse to lose rows.
+    """
+
+    required: tuple[str, ...] = ()
+    defaults: dict[str, object] = field(default_factory=dict)
+    parent: tuple[str, StateTable] | None = None
+
+
 class StateTable:
     """A table of one schema and key.
 
@@ -194,9 +220,9 @@ class StateTable:
     `counted` is a column by whose values rows are counted at each commit.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: tuple[str, ...], buckets: int = 1, keep_versions: int = 2, bucket_rows: int | None = None, pointer: _Pointer | None = None, counted: str | None = None):
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: tuple[str, ...], buckets: int = 1, keep_versions: int = 2, bucket_rows: int | None = None, pointer: _Pointer | None = None, counted: str | None = None, constraints: Constraints | None = None):
         require_atomic_rename(path)
-        self.pointer, self.counted = pointer or _Pointer(spark, path.rstrip("/")), counted
+        self.pointer, self.counted, self.constraints = pointer or _Pointer(spark, path.rstrip("/")), counted, constraints or Constraints()
         self.spark, self.path, self.schema, self.keys, self.buckets, self.keep_versions, self.bucket_rows = spark, path.rstrip("/"), schema, keys, buckets, keep_versions, bucket_rows
 
     def version(self) -> int:
@@ -328,13 +354,49 @@ class StateTable:
         if broken := repeated_keys(self._load([f"{folder}/{BUCKET}={b}" for b in sorted(written)], keys), self.keys).limit(5).collect():
             raise KeyViolation(f"{self.path}: {[r.asDict() for r in broken]}")
 
+    def missing_keys(self, keys: DataFrame, n_keys: int) -> DataFrame:
+        """Those of `n_keys` distinct keys (the key columns) that the table doesn't hold.
+
+        Of the table it reads the key columns, in the buckets of these keys and
+        there in the runs whose range they meet.  Up to BROADCAST_KEYS keys go to
+        that scan; more are joined by a shuffle.
+        """
+        manifest, keys = self._manifest(self.version()), keys.select(*self.keys)
+        ends = [f(self.keys[0]).alias(n) for f, n in ((F.min, "low"), (F.max, "high"))]
+        asked = keys.select("*", bucket_of(self.keys, manifest["first"], manifest["buckets"]).alias(BUCKET)).groupBy(BUCKET).agg(*ends).collect()  # a row for each bucket
+        ranges = {str(r[BUCKET]): {"low": r.low, "high": r.high} for r in asked}
+        folders = [self._folder(r["folder"], b) for b, own in sorted(manifest["runs"].items()) if b in ranges for r in own if _meet(r, ranges[b])]
+        held = self._load(folders, T.StructType([self.schema[k] for k in self.keys]))
+        if n_keys <= BROADCAST_KEYS:
+            held = F.broadcast(held.join(F.broadcast(keys), list(self.keys), "left_semi").distinct())  # as many rows as keys at most
+        return keys.join(held, list(self.keys), "left_anti")
+
+    def _check_constraints(self, folder: str, written: dict[str, dict]) -> None:
+        """Raise for rows of a run that lack a required value or a parent; reads these columns only."""
+        required, parent = self.constraints.required, self.constraints.parent
+        paths = [f"{folder}/{BUCKET}={b}" for b in sorted(written)]
+        if required:
+            nulls = self._load(paths, T.StructType([self.schema[c] for c in required])).agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in required)).first().asDict()
+            if found := {c: n for c, n in nulls.items() if n}:
+                raise MissingValue(f"{self.path}: nulls in {found}")
+        if parent:
+            column, table = parent
+            keys = self._load(paths, T.StructType([self.schema[column]])).where(F.col(column).isNotNull()).distinct().withColumnRenamed(column, table.keys[0])
+            if lost := table.missing_keys(keys, sum(s["rows"] for s in written.values())).limit(5).collect():
+                raise MissingParent(f"{self.path}: no row of {table.path} for {[r[0] for r in lost]}")
+
+    def _fit(self, df: DataFrame) -> DataFrame:
+        """Rows in the table's schema, with defaults for the columns that they lack."""
+        return fit_schema(add_defaults(df, self.constraints.defaults, self.schema), self.schema)
+
     def _write_run(self, df: DataFrame, version: int, manifest: dict) -> dict[str, dict]:
         """Write and check the run of a version."""
         folder = self._folder(str(version))
         written = self._write(df, folder, manifest)
         try:
             self._check(folder, written)
-        except KeyViolation:
+            self._check_constraints(folder, written)
+        except ConstraintViolation:
             delete(self.spark, folder)
             raise
         return {b: {"folder": str(version), "checked": True, **s} for b, s in written.items()}
@@ -390,7 +452,7 @@ class StateTable:
         with self.lock():
             version = self.version()
             manifest = self._manifest(version) | {"runs": {}}
-            written = self._write_run(fit_schema(df, self.schema), version + 1, manifest)
+            written = self._write_run(self._fit(df), version + 1, manifest)
             counts = self._note_counts(version + 1, self._no_counts(), self._run_rows(version + 1, written)) if self.counted else {}
             return self._commit(version + 1, manifest, written, counts)
 
@@ -402,7 +464,7 @@ class StateTable:
         with self.lock():
             version = self.version()
             manifest = self._manifest(version)
-            written = self._write_run(fit_schema(source, self.schema), version + 1, manifest)
+            written = self._write_run(self._fit(source), version + 1, manifest)
             counts = self._note_counts(version + 1, self._no_counts(), self._run_rows(version + 1, written)) if self.counted and not manifest["runs"] else {}
             return self._commit(version + 1, manifest, written, counts)
 
@@ -419,7 +481,7 @@ class StateTable:
             manifest = self._manifest(version)
             staging = f"{self.path}/_staging"
             try:
-                staged = self._write(fit_schema(source, self.schema), f"{staging}/source", manifest)
+                staged = self._write(self._fit(source), f"{staging}/source", manifest)
                 if unique:
                     self._check(f"{staging}/source", staged)
                 new = self._load([f"{staging}/source/{BUCKET}={b}" for b in sorted(staged)])
@@ -510,6 +572,12 @@ class State:
         schema, keys = (TABLES | OLD_TABLES | INTERNAL_TABLES)[name]
         return StateTable(self.spark, f"{self.root}/{name}", schema, keys, self.buckets if name in LARGE_TABLES else 1, bucket_rows=self.bucket_rows, pointer=_InState(self, name), counted=COUNTED.get(name))
 
+    def guarded(self, name: str) -> StateTable:
+        """The table with its required columns, defaults and foreign key, as the steps write to it."""
+        table, link = self.table(name), PARENTS.get(name)
+        table.constraints = Constraints(REQUIRED.get(name, ()), DEFAULTS.get(name, {}), link and (link[0], self.table(link[1])))
+        return table
+
     def exists(self, name: str) -> bool:
         return _InState(self, name).get() > 0
 
@@ -524,7 +592,7 @@ class State:
 
     def advance(self, name: str, timestamp: object, config_hash: str | None = None) -> None:
         """Set a named mark; without a hash the old one stays."""
-        marks = self.table("watermarks")
+        marks = self.guarded("watermarks")
         new = self.spark.createDataFrame([(name,)], "name string").select("name", F.lit(timestamp).cast("timestamp_ntz").alias("timestamp"), F.lit(config_hash).cast("string").alias("config_hash"))
         old = marks.read().select("name", F.col("config_hash").alias("old_hash"))
         marks.upsert(new.join(old, "name", "left").select("name", "timestamp", F.coalesce("config_hash", "old_hash").alias("config_hash")))
