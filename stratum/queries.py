@@ -219,17 +219,20 @@ def union_diagonal(spark, sf_dir):
         NULL, cast(o_orderkey % 4 AS double), cast(o_orderkey % 4 AS double) / 4 FROM orders
     UNION ALL SELECT cast(c_custkey AS varchar), NULL, NULL, NULL, NULL, cast(c_custkey AS bigint), c_name, cast(c_nationkey AS double), NULL FROM customer""")
 def union_drift(spark, sf_dir):
-    """Three frames whose types drift: numbers and text, integers, decimals and doubles, dates and timestamps, arrays, structs, and missing columns."""
+    """Three frames whose types drift: numbers and text, integers, decimals and doubles, dates and timestamps, arrays, structs, and missing columns.
+
+    Keys keep the types of their tables, since larger tables have keys that narrower types don't hold.
+    """
     events = _table(spark, sf_dir, "events").select(
         F.col("event_id").alias("id"), (F.col("event_id") % 7).cast("int").alias("amount"), F.col("ts").cast("date").alias("day"), (F.col("event_id") % 2 == 1).alias("flag"),
-        F.array((F.col("event_id") % 3).cast("int")).alias("tags"), F.struct(F.col("user_id").cast("int").alias("owner"), F.col("event_type").alias("note_a")).alias("more"), (F.col("event_id") % 5).alias("price"),
+        F.array((F.col("event_id") % 3).cast("int")).alias("tags"), F.struct(F.col("user_id").alias("owner"), F.col("event_type").alias("note_a")).alias("more"), (F.col("event_id") % 5).alias("price"),
     )
     orders = _table(spark, sf_dir, "orders").select(
         F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("id"), F.col("o_totalprice").cast("double").alias("amount"), F.col("o_orderdate").cast("timestamp_ntz").alias("day"), (F.col("o_orderkey") % 9).cast("int").alias("flag"),
         F.array(F.col("o_orderkey").cast("double") / 2).alias("tags"), F.struct(F.col("o_custkey").cast("long").alias("owner"), (F.col("o_orderkey") % 4).cast("double").alias("note_b")).alias("more"),
         ((F.col("o_orderkey") % 4).cast("decimal(5,2)") / 4).cast("decimal(5,2)").alias("price"),
     )
-    customer = _table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("int").alias("id"), F.struct(F.col("c_nationkey").cast("short").alias("note_b"), F.col("c_custkey").cast("short").alias("owner"), F.col("c_name").alias("note_a")).alias("more"), F.lit(None).alias("flag"))
+    customer = _table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.struct(F.col("c_nationkey").alias("note_b"), F.col("c_custkey").alias("owner"), F.col("c_name").alias("note_a")).alias("more"), F.lit(None).alias("flag"))
     rows = diagonal_union([events, orders, customer])
     return rows.select("id", "amount", "day", "flag", F.get("tags", F.lit(0)).alias("tag"), "more.owner", "more.note_a", "more.note_b", F.col("price").cast("double").alias("price"))
 
