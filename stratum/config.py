@@ -47,7 +47,9 @@ class EnrichConfig:
 
     When the service's quota ends, a run pauses at most `quota_pauses` times,
     for as long as the service says (`quota_wait` seconds if it doesn't, and
-    `quota_wait_max` at most); what hasn't been tried then stays pending.
+    `quota_wait_max` at most); what hasn't been tried then stays pending.  A
+    pause of `quota_task_wait` seconds at most, less than a round costs, is made
+    by the task that is told so, of which several may pause at the same time.
     """
 
     batch_limit: int | None = 10
@@ -59,3 +61,4 @@ class EnrichConfig:
     quota_pauses: int = 3
     quota_wait: float = 30.0
     quota_wait_max: float = 300.0
+    quota_task_wait: float = 1.0

@@ -22,7 +22,7 @@ PROMPT = (
     "domain, subdomain, topic, subtopic, content_type, style and format; educational_json with summary, workflow, concepts, principles and techniques "
     "if the post teaches something; actionable_json with summary, resources, tools, guides and downloads if one can act on it.\n\nPost:\n"
 )
-_ANALYZED = "post_id string, ok boolean, result_json string, error string, attempts int, retry_after double"
+ANALYZED = "post_id string, ok boolean, result_json string, error string, attempts int, retry_after double, pauses int"
 
 
 class QuotaExceeded(RuntimeError):
@@ -94,32 +94,42 @@ def analyze_once(analyzer: Analyzer, caption: str, attempts: int, backoff: float
     return False, None, error, attempts
 
 
-def analyze(posts: DataFrame, make_analyzer: Callable[[], Analyzer], attempts: int = 3, backoff: float = 2.0, parallelism: int = 4) -> DataFrame:
-    """(post_id, ok, result_json, error, attempts, retry_after) of posts with a caption.
+def analyze(posts: DataFrame, make_analyzer: Callable[[], Analyzer], attempts: int = 3, backoff: float = 2.0, parallelism: int = 4, pauses: int = 0, task_wait: float = 0.0) -> DataFrame:
+    """(post_id, ok, result_json, error, attempts, retry_after, pauses) of posts with a caption.
 
     At most `parallelism` rows are with the service at a time, and a task
-    builds one analyzer.  After a quota answer a task calls no more: its
-    other rows come back untried, with no `ok`, no attempts, and what the
-    quota said.  Write the result before it is read twice: each evaluation
-    calls the service again.
+    builds one analyzer.  Where a quota answer asks for `task_wait` seconds at
+    most, the task waits and goes on with a new analyzer, up to `pauses` times
+    and as long as each pause brings an answer; `pauses` of a row are those of
+    its task before it.  After another quota answer it calls no more: its other
+    rows come back untried, with no `ok`, no attempts, and what the quota said.
+    Write the result before it is read twice: each evaluation calls the service
+    again.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        analyzer, quota = make_analyzer(), None
+        analyzer, quota, paused, answered = make_analyzer(), None, 0, False
         for frame in frames:
             rows = []
             for post_id, caption in zip(frame["post_id"], frame["caption"], strict=True):
-                if quota is None:
+                while quota is None:
                     try:
-                        rows.append((post_id, *analyze_once(analyzer, caption, attempts, backoff), None))
-                        continue
+                        rows.append((post_id, *analyze_once(analyzer, caption, attempts, backoff), None, paused))
+                        answered = True
+                        break
                     except QuotaExceeded as problem:
-                        quota = problem
-                rows.append((post_id, None, None, str(quota), 0, quota.retry_after))
-            yield pd.DataFrame(rows, columns=["post_id", "ok", "result_json", "error", "attempts", "retry_after"])
+                        wait = problem.retry_after
+                        if not answered or paused >= pauses or wait is None or wait > task_wait:
+                            quota = problem
+                        else:
+                            time.sleep(max(wait, 0.0))
+                            analyzer, paused, answered = make_analyzer(), paused + 1, False
+                else:
+                    rows.append((post_id, None, None, str(quota), 0, quota.retry_after, paused))
+            yield pd.DataFrame(rows, columns=["post_id", "ok", "result_json", "error", "attempts", "retry_after", "pauses"])
 
     captions = posts.where(~is_blank(F.col("caption"))).select("post_id", "caption")
-    return captions.repartition(parallelism).mapInPandas(run, _ANALYZED)
+    return captions.repartition(parallelism).mapInPandas(run, ANALYZED)
 
 
 def analyses(analyzed: DataFrame, run_ts: Column) -> DataFrame:

@@ -366,7 +366,7 @@ class _Echo:
     event_type_failed AS error, cast(CASE WHEN event_type_failed IS NULL THEN 1 ELSE 3 END AS int) AS attempts
     FROM (SELECT *, CASE WHEN caption LIKE '%error' THEN 'no answer' END AS event_type_failed FROM posts) WHERE regexp_replace(caption, '\\s', '', 'g') <> ''""")
 def enrich_posts(spark, sf_dir):
-    return enrich.analyze(_posts(spark, sf_dir), _Echo, backoff=0.0).drop("retry_after")
+    return enrich.analyze(_posts(spark, sf_dir), _Echo, backoff=0.0).drop("retry_after", "pauses")
 
 
 class _Metered(_Echo):

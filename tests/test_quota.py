@@ -69,3 +69,29 @@ def test_a_round_without_an_answer_ends_the_run(spark, tmp_path):
     waits: list[float] = []
     assert run_gold(state, partial(Metered, log, 0), T1, EnrichConfig(quota_pauses=9, **ALL), sleep=waits.append).isEmpty()
     assert not waits and state.table("dead_letter").read().isEmpty() and state.mark("gold_ig") is None
+
+
+def test_short_waits_are_passed_by_the_task_within_the_allowed_pauses(spark, tmp_path):
+    for pauses, answered in ((1000, 60), (3, None)):
+        folder = tmp_path / str(pauses)
+        folder.mkdir()
+        state, log = start(spark, folder, [f"c{i}" for i in range(60)])
+        waits: list[float] = []
+        gold = run_gold(state, partial(Metered, log, 2, 0.0), T1, EnrichConfig(quota_pauses=pauses, **ALL), sleep=waits.append)
+        n = len(by_id(gold))
+        assert not waits and set(sent(log).values()) == {1} and sum(sent(log).values()) == n
+        assert n == answered if answered else 8 <= n <= 16
+        assert state.mark("gold_ig") == (T0 if answered else None)
+
+
+def test_what_rounds_read_grows_with_the_rows_and_not_with_the_rounds(spark, tmp_path, monkeypatch):
+    from stratum.operators import enrich
+    from stratum.plans import gold
+
+    monkeypatch.setattr(gold, "ROUND_ROWS", 3)
+    state, log = start(spark, tmp_path, [f"c{i:02d}" for i in range(40)])
+    read, analyze = [], enrich.analyze
+    monkeypatch.setattr(enrich, "analyze", lambda posts, *a, **k: (read.append(posts.count()), analyze(posts, *a, **k))[1])
+    waits: list[float] = []
+    assert len(by_id(run_gold(state, partial(Metered, log, 2, 7.0), T1, EnrichConfig(quota_pauses=100, **ALL), sleep=waits.append))) == 40
+    assert set(sent(log).values()) == {1} and len(read) >= 10 and max(read) <= 8 and sum(read) <= 2 * 40 + 6
