@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -82,6 +84,20 @@ def listing(spark: SparkSession, folder: str) -> list[File]:
     return sorted(found, key=lambda f: f.name)
 
 
+_LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
+@contextmanager
+def few_listing_tasks(spark: SparkSession) -> Iterator[None]:
+    """Reads that begin inside list their folders by a few tasks for each core; else each of many folders gets a task."""
+    before = spark.conf.get(_LISTING)
+    spark.conf.set(_LISTING, str(4 * spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(_LISTING, before)
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     """Text of a small file; None if it isn't there."""
     fs, p = file_system(spark, path)

@@ -20,8 +20,11 @@ A commit that knows which stored rows it replaces brings the counts up to date
 by the difference; one that doesn't leaves them out, and they are made anew when
 they are next asked for in a merge.
 
-A writer takes the table's lock, writes folders and the manifest, and then makes
-the version the current one; readers see one version or the next.  The version
+A writer takes the table's lock, writes its rows once to a staging folder, where
+they are counted by bucket and checked, and then each of them to the one bucket
+folder in which it stays: that of its own run, or of the run into which its
+bucket is folded.  Then it writes the manifest and makes the version the current
+one; readers see one version or the next.  The version
 before stays as a backup.  There is one writer of a table at a time.
 
 Which versions are current stands in the state's log: each entry names those of
@@ -48,7 +51,7 @@ from ..operators.dedup import latest_per_key
 from ..operators.normalize import add_defaults, fit_schema
 from ..operators.upsert import repeated_keys
 from ..schemas import DEFAULTS, INTERNAL_TABLES, OLD_TABLES, PARENTS, REQUIRED, TABLES
-from .files import create_new, delete, listing, publish_new, read_text, require_atomic_rename, write_text
+from .files import create_new, delete, few_listing_tasks, listing, publish_new, read_text, require_atomic_rename, write_text
 
 BUCKET = "__bucket"
 #: Columns by whose values the rows of a table are counted at each commit.
@@ -247,7 +250,10 @@ class StateTable:
 
     def _load(self, folders: list[str], schema: T.StructType | None = None) -> DataFrame:
         schema = schema or self.schema
-        return self.spark.read.schema(schema).parquet(*folders) if folders else self.spark.createDataFrame([], schema)
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        with few_listing_tasks(self.spark):
+            return self.spark.read.schema(schema).parquet(*folders)
 
     def _rows(self, runs: dict[str, list[dict]]) -> DataFrame:
         """The latest row of each key in these runs.
@@ -261,8 +267,9 @@ class StateTable:
         if not deltas:
             return single
         order = F.regexp_extract("_metadata.file_path", r"/_v=(\d+)f?/", 1).cast("long").alias(_VERSION)
-        later = latest_per_key(self._load(deltas).select("*", order), self.keys, [F.desc(_VERSION)]).drop(_VERSION)
-        keys = self._load(deltas, T.StructType([self.schema[k] for k in self.keys]))
+        stored = self._load(deltas)
+        later = latest_per_key(stored.select("*", order), self.keys, [F.desc(_VERSION)]).drop(_VERSION)
+        keys = stored.select(*self.keys)
         if sum(r["rows"] for own in runs.values() for r in own[1:]) <= BROADCAST_KEYS:
             keys = F.broadcast(keys)
         rest = self._load(bases).join(keys, list(self.keys), "left_anti").select(*self.schema.names)
@@ -321,10 +328,6 @@ class StateTable:
     def _no_counts(self) -> DataFrame:
         return self.spark.createDataFrame([], self._counts_schema())
 
-    def _run_rows(self, version: int, written: dict[str, dict]) -> DataFrame:
-        """Rows of the run that a version has just written."""
-        return self._load([self._folder(str(version), b) for b in sorted(written)])
-
     @contextmanager
     def lock(self) -> Iterator[None]:
         path = f"{self.path}/_LOCK"
@@ -333,25 +336,45 @@ class StateTable:
         try:
             yield
         finally:
+            delete(self.spark, self._staging(""))
             delete(self.spark, path)
 
-    def _write(self, df: DataFrame, folder: str, manifest: dict) -> dict[str, dict]:
-        """Write rows by bucket in place of what a writer that died left there; rows and range of keys of the buckets that have some."""
-        buckets, first_key = manifest["buckets"], self.keys[0]
+    def _staging(self, name: str) -> str:
+        """A folder for what a writer needs until its lock goes."""
+        return f"{self.path}/_staging/{name}".rstrip("/")
+
+    def _sizes(self, df: DataFrame, bucket: Column) -> dict[str, dict]:
+        """Rows and range of keys of the buckets that have some."""
+        first_key = self.keys[0]
+        ordered = isinstance(self.schema[first_key].dataType, T.StringType | T.IntegerType | T.LongType)
+        ends = [(f(first_key) if ordered else F.lit(None)).alias(n) for f, n in ((F.min, "low"), (F.max, "high"))]
+        found = df.groupBy(bucket.alias(BUCKET)).agg(F.count("*").alias("rows"), *ends)
+        return {str(r[BUCKET]): {"rows": r.rows, "low": r.low, "high": r.high} for r in found.collect()}  # a row for each bucket
+
+    def _stage(self, df: DataFrame, name: str, manifest: dict) -> tuple[DataFrame, dict[str, dict]]:
+        """Write rows as they come, in place of what a writer that died left there; the rows, and the sizes of their buckets."""
+        df.write.mode("overwrite").parquet(self._staging(name))
+        rows = self._load([self._staging(name)])
+        return rows, self._sizes(rows, bucket_of(self.keys, manifest["first"], manifest["buckets"]))
+
+    def _write(self, df: DataFrame, folder: str, manifest: dict) -> None:
+        """Write rows by bucket in place of what a writer that died left there."""
+        buckets = manifest["buckets"]
         rows = df.select("*", bucket_of(self.keys, manifest["first"], buckets).alias(BUCKET))
         (rows.repartition(BUCKET) if buckets > 1 else rows).write.mode("overwrite").partitionBy(BUCKET).parquet(folder)
+
+    def _written(self, folder: str) -> dict[str, dict]:
+        """The sizes of the buckets in a folder."""
         if not any(f.name.startswith(f"{BUCKET}=") for f in listing(self.spark, folder)):
             return {}
-        ordered = isinstance(self.schema[first_key].dataType, T.StringType | T.IntegerType | T.LongType)
-        keys = T.StructType([self.schema[first_key], T.StructField(BUCKET, T.IntegerType())])
-        ends = [(f(first_key) if ordered else F.lit(None)).alias(n) for f, n in ((F.min, "low"), (F.max, "high"))]
-        found = self.spark.read.schema(keys).option("basePath", folder).parquet(folder).groupBy(BUCKET).agg(F.count("*").alias("rows"), *ends)
-        return {str(r[BUCKET]): {"rows": r.rows, "low": r.low, "high": r.high} for r in found.collect()}  # a row for each bucket
+        keys = T.StructType([self.schema[self.keys[0]], T.StructField(BUCKET, T.IntegerType())])
+        with few_listing_tasks(self.spark):
+            rows = self.spark.read.schema(keys).option("basePath", folder).parquet(folder)
+        return self._sizes(rows, F.col(BUCKET))
 
-    def _check(self, folder: str, written: dict[str, dict]) -> None:
+    def _check(self, rows: DataFrame) -> None:
         """Raise for keys that are null or repeated; reads the keys only."""
-        keys = T.StructType([self.schema[k] for k in self.keys])
-        if broken := repeated_keys(self._load([f"{folder}/{BUCKET}={b}" for b in sorted(written)], keys), self.keys).limit(5).collect():
+        if broken := repeated_keys(rows.select(*self.keys), self.keys).limit(5).collect():
             raise KeyViolation(f"{self.path}: {[r.asDict() for r in broken]}")
 
     def missing_keys(self, keys: DataFrame, n_keys: int) -> DataFrame:
@@ -371,53 +394,69 @@ class StateTable:
             held = F.broadcast(held.join(F.broadcast(keys), list(self.keys), "left_semi").distinct())  # as many rows as keys at most
         return keys.join(held, list(self.keys), "left_anti")
 
-    def _check_constraints(self, folder: str, written: dict[str, dict]) -> None:
+    def _check_constraints(self, rows: DataFrame, sizes: dict[str, dict]) -> None:
         """Raise for rows of a run that lack a required value or a parent; reads these columns only."""
         required, parent = self.constraints.required, self.constraints.parent
-        paths = [f"{folder}/{BUCKET}={b}" for b in sorted(written)]
         if required:
-            nulls = self._load(paths, T.StructType([self.schema[c] for c in required])).agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in required)).first().asDict()
+            nulls = rows.agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in required)).first().asDict()
             if found := {c: n for c, n in nulls.items() if n}:
                 raise MissingValue(f"{self.path}: nulls in {found}")
         if parent:
             column, table = parent
-            keys = self._load(paths, T.StructType([self.schema[column]])).where(F.col(column).isNotNull()).distinct().withColumnRenamed(column, table.keys[0])
-            if lost := table.missing_keys(keys, sum(s["rows"] for s in written.values())).limit(5).collect():
+            keys = rows.select(F.col(column).alias(table.keys[0])).where(F.col(table.keys[0]).isNotNull()).distinct()
+            if lost := table.missing_keys(keys, sum(s["rows"] for s in sizes.values())).limit(5).collect():
                 raise MissingParent(f"{self.path}: no row of {table.path} for {[r[0] for r in lost]}")
 
     def _fit(self, df: DataFrame) -> DataFrame:
         """Rows in the table's schema, with defaults for the columns that they lack."""
         return fit_schema(add_defaults(df, self.constraints.defaults, self.schema), self.schema)
 
-    def _write_run(self, df: DataFrame, version: int, manifest: dict) -> dict[str, dict]:
-        """Write and check the run of a version."""
-        folder = self._folder(str(version))
-        written = self._write(df, folder, manifest)
-        try:
-            self._check(folder, written)
-            self._check_constraints(folder, written)
-        except ConstraintViolation:
-            delete(self.spark, folder)
-            raise
-        return {b: {"folder": str(version), "checked": True, **s} for b, s in written.items()}
-
-    def _commit(self, version: int, manifest: dict, written: dict[str, dict], counts: dict | None = None) -> int:
-        """Make runs the last ones of their buckets, with the counts of the version; fold and split buckets where it is time."""
+    def _stage_run(self, df: DataFrame, manifest: dict) -> tuple[DataFrame, dict[str, dict]]:
+        """Stage and check the rows of a version."""
+        rows, sizes = self._stage(df, "run", manifest)
+        self._check(rows)
+        self._check_constraints(rows, sizes)
+        return rows, sizes
+
+    def _folded(self, past: dict[str, list[dict]], fresh: DataFrame, n_fresh: int) -> DataFrame:
+        """The latest row of each key in runs and in `n_fresh` rows after them."""
+        if not any(past.values()):
+            return fresh
+        keys = fresh.select(*self.keys)
+        rest = self._rows(past).join(F.broadcast(keys) if n_fresh <= BROADCAST_KEYS else keys, list(self.keys), "left_anti")
+        return rest.select(*self.schema.names).unionAll(fresh)
+
+    def _commit(self, version: int, manifest: dict, rows: DataFrame, sizes: dict[str, dict], counts: dict | None = None) -> int:
+        """Make staged rows the last runs of their buckets, with the counts of the version; fold and split buckets where it is time.
+
+        Rows of buckets that are folded go to the folded run at once, the others to one of their own.
+        """
         runs = {b: list(r) for b, r in manifest["runs"].items()}
-        for b, run in written.items():
-            runs.setdefault(b, []).append(run)
+        for b, s in sizes.items():
+            runs.setdefault(b, []).append({"folder": str(version), "checked": True, **s})
         old = buckets = manifest["buckets"]
         if self.bucket_rows:
             buckets = max(old, -(-sum(r["rows"] for own in runs.values() for r in own) // self.bucket_rows))
-        starts = {b: start for b in written if (start := first_to_fold([r["rows"] for r in runs[b]])) is not None}
+        starts = {b: start for b in sizes if (start := first_to_fold([r["rows"] for r in runs[b]])) is not None}
         starts |= {str(b): 0 for b in split_buckets(manifest["first"], old, buckets) if str(b) in runs}
         made = {"first": manifest["first"], "buckets": buckets, "runs": runs, **(counts or {})}
+        own, fresh = [b for b in sizes if b not in starts], [b for b in sizes if b in starts]
+
+        def among(names: list[str]) -> DataFrame:
+            if len(names) == len(sizes):
+                return rows
+            bucket = bucket_of(self.keys, manifest["first"], old).alias(BUCKET)
+            return rows.select("*", bucket).where(f"{BUCKET} IN ({', '.join(names or ['-1'])})").drop(BUCKET)
+
+        if own:
+            self._write(among(own), self._folder(str(version)), manifest)
         if starts:
             name, checked = f"{version}f", all(r.get("checked") for b, start in starts.items() for r in runs[b][start:])
-            folded = self._write(self._rows({b: runs[b][start:] for b, start in starts.items()}), self._folder(name), made)
+            past = {b: [r for r in runs[b][start:] if r["folder"] != str(version)] for b, start in starts.items()}
+            self._write(self._folded(past, among(fresh), sum(sizes[b]["rows"] for b in fresh)), self._folder(name), made)
             for b, start in starts.items():
                 del runs[b][start:]
-            for b, s in folded.items():
+            for b, s in self._written(self._folder(name)).items():
                 runs.setdefault(b, []).append({"folder": name, "checked": checked, **s})
         made["runs"] = {b: r for b, r in runs.items() if r}
         write_text(self.spark, f"{self.path}/_manifest-{version}", json.dumps(made))
@@ -426,35 +465,40 @@ class StateTable:
 
     def _clean(self, version: int) -> None:
         """Delete older versions than are kept, and the folders that only they name."""
-        live: set[str] = set()
+        live: set[tuple[str, str]] = set()
+        gone: set[tuple[str, str]] = set()
         counts: set[str] = set()
+        old = []
         found = listing(self.spark, self.path)
         for f in found:
             if f.name.startswith("_manifest-"):
                 number = int(f.name[len("_manifest-") :])
+                manifest = self._manifest(number)
+                parts = {(r["folder"], b) for b, own in manifest["runs"].items() for r in own}
                 if number <= version - self.keep_versions:
-                    delete(self.spark, f.path)
+                    old.append(f.path)
+                    gone |= parts
                 else:
-                    manifest = self._manifest(number)
-                    live.update(f"{r['folder']}/{b}" for b, own in manifest["runs"].items() for r in own)
+                    live |= parts
                     counts.add(f"_counts-{manifest.get('counts')}")
+        kept = {folder for folder, _ in live}
         for f in found:
-            if f.name.startswith("_counts-") and f.name not in counts:
+            if (f.name.startswith("_counts-") and f.name not in counts) or (f.name.startswith("_v=") and f.name[len("_v=") :] not in kept):
                 delete(self.spark, f.path)
-            if f.name.startswith("_v="):
-                parts = [b for b in listing(self.spark, f.path) if b.name.startswith(f"{BUCKET}=")]
-                gone = [b for b in parts if f"{f.name[3:]}/{b.name[len(BUCKET) + 1 :]}" not in live]
-                for b in [f] if len(gone) == len(parts) else gone:
-                    delete(self.spark, b.path)
+        for folder, b in gone - live:
+            if folder in kept:
+                delete(self.spark, self._folder(folder, b))
+        for path in old:
+            delete(self.spark, path)
 
     def replace(self, df: DataFrame) -> int:
         """Make these rows the next version."""
         with self.lock():
             version = self.version()
             manifest = self._manifest(version) | {"runs": {}}
-            written = self._write_run(self._fit(df), version + 1, manifest)
-            counts = self._note_counts(version + 1, self._no_counts(), self._run_rows(version + 1, written)) if self.counted else {}
-            return self._commit(version + 1, manifest, written, counts)
+            rows, sizes = self._stage_run(self._fit(df), manifest)
+            counts = self._note_counts(version + 1, self._no_counts(), rows) if self.counted else {}
+            return self._commit(version + 1, manifest, rows, sizes, counts)
 
     def upsert(self, source: DataFrame) -> int:
         """Replace rows by key, add those with new keys; columns are bound by name.
@@ -464,9 +508,9 @@ class StateTable:
         with self.lock():
             version = self.version()
             manifest = self._manifest(version)
-            written = self._write_run(self._fit(source), version + 1, manifest)
-            counts = self._note_counts(version + 1, self._no_counts(), self._run_rows(version + 1, written)) if self.counted and not manifest["runs"] else {}
-            return self._commit(version + 1, manifest, written, counts)
+            rows, sizes = self._stage_run(self._fit(source), manifest)
+            counts = self._note_counts(version + 1, self._no_counts(), rows) if self.counted and not manifest["runs"] else {}
+            return self._commit(version + 1, manifest, rows, sizes, counts)
 
     def merge(self, source: DataFrame, combine: Callable[[DataFrame, DataFrame], DataFrame], unique: bool = False) -> int:
         """Upsert combine(stored rows with a key of the source, source rows), which gives a row for each of these keys.
@@ -479,25 +523,22 @@ class StateTable:
         with self.lock():
             version = self.version()
             manifest = self._manifest(version)
-            staging = f"{self.path}/_staging"
-            try:
-                staged = self._write(self._fit(source), f"{staging}/source", manifest)
-                if unique:
-                    self._check(f"{staging}/source", staged)
-                new = self._load([f"{staging}/source/{BUCKET}={b}" for b in sorted(staged)])
-                touched = {b: [r for r in own if _meet(r, staged[b])] for b, own in manifest["runs"].items() if b in staged}
-                self._rows(touched).join(new.select(*self.keys).distinct(), list(self.keys), "left_semi").select(*self.schema.names).write.mode("overwrite").parquet(f"{staging}/stored")
-                old = self._load([f"{staging}/stored"])
+            new, asked = self._stage(self._fit(source), "source", manifest)
+            if unique:
+                self._check(new)
+            touched = {b: met for b, own in manifest["runs"].items() if b in asked and (met := [r for r in own if _meet(r, asked[b])])}
+            old, changed = self._load([]), fit_schema(combine(self._load([]), new), self.schema)
+            if touched:
+                keys = new.select(*self.keys) if unique else new.select(*self.keys).distinct()
+                self._rows(touched).join(keys, list(self.keys), "left_semi").select(*self.schema.names).write.mode("overwrite").parquet(self._staging("stored"))
+                old = self._load([self._staging("stored")])
                 unchanged = reduce(Column.__and__, (F.col(f"a.`{c}`").eqNullSafe(F.col(f"b.`{c}`")) for c in self.schema.names))
                 changed = fit_schema(combine(old, new), self.schema).alias("a").join(old.alias("b"), unchanged, "left_anti")
-                written = self._write_run(changed, version + 1, manifest)
-                counts = {}
-                if self.counted:
-                    now = self._run_rows(version + 1, written)
-                    counts = self._note_counts(version + 1, self.counts(version), now, old.join(now.select(*self.keys), list(self.keys), "left_semi"))
-                return self._commit(version + 1, manifest, written, counts)
-            finally:
-                delete(self.spark, staging)
+            rows, sizes = self._stage_run(changed, manifest)
+            counts = {}
+            if self.counted:
+                counts = self._note_counts(version + 1, self.counts(version), rows, old.join(rows.select(*self.keys), list(self.keys), "left_semi"))
+            return self._commit(version + 1, manifest, rows, sizes, counts)
 
     def delete_where(self, condition: str) -> int:
         """Drop the rows that fulfil a condition; the buckets that hold some are written anew."""
@@ -510,24 +551,20 @@ class StateTable:
             kept = {b: r for b, r in manifest["runs"].items() if b not in touched}
             rows = self._rows({b: r for b, r in manifest["runs"].items() if b in touched})
             counts = self._note_counts(version + 1, self.counts(version), self._load([]), rows.where(hit)) if self.counted else {}
-            return self._commit(version + 1, manifest | {"runs": kept}, self._write_run(rows.where(~hit), version + 1, manifest), counts)
+            return self._commit(version + 1, manifest | {"runs": kept}, *self._stage_run(rows.where(~hit), manifest), counts)
 
     def delete_keys(self, keys: DataFrame) -> int:
         """Drop the rows with these keys; their buckets are written anew."""
         with self.lock():
             version = self.version()
             manifest = self._manifest(version)
-            staging = f"{self.path}/_staging"
-            try:
-                keys.select(*self.keys).distinct().write.mode("overwrite").parquet(staging)
-                gone = self.spark.read.schema(T.StructType([self.schema[k] for k in self.keys])).parquet(staging)
-                touched = {str(r[0]) for r in gone.select(bucket_of(self.keys, manifest["first"], manifest["buckets"])).distinct().collect()}  # numbers of buckets
-                kept = {b: r for b, r in manifest["runs"].items() if b not in touched}
-                rows = self._rows({b: r for b, r in manifest["runs"].items() if b in touched})
-                counts = self._note_counts(version + 1, self.counts(version), self._load([]), rows.join(gone, list(self.keys), "left_semi")) if self.counted else {}
-                return self._commit(version + 1, manifest | {"runs": kept}, self._write_run(rows.join(gone, list(self.keys), "left_anti").select(*self.schema.names), version + 1, manifest), counts)
-            finally:
-                delete(self.spark, staging)
+            keys.select(*self.keys).distinct().write.mode("overwrite").parquet(self._staging("keys"))
+            gone = self.spark.read.schema(T.StructType([self.schema[k] for k in self.keys])).parquet(self._staging("keys"))
+            touched = {str(r[0]) for r in gone.select(bucket_of(self.keys, manifest["first"], manifest["buckets"])).distinct().collect()}  # numbers of buckets
+            kept = {b: r for b, r in manifest["runs"].items() if b not in touched}
+            rows = self._rows({b: r for b, r in manifest["runs"].items() if b in touched})
+            counts = self._note_counts(version + 1, self.counts(version), self._load([]), rows.join(gone, list(self.keys), "left_semi")) if self.counted else {}
+            return self._commit(version + 1, manifest | {"runs": kept}, *self._stage_run(rows.join(gone, list(self.keys), "left_anti").select(*self.schema.names), manifest), counts)
 
     def drop(self) -> None:
         self.pointer.set(0, lambda: delete(self.spark, self.path))
