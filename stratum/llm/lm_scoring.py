@@ -41,13 +41,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .support import GROUP_BATCH_BYTES, Scratch, bound_batches, shuffle_partitions
+from .support import Scratch, bound_batches, shuffle_partitions
 from .textarrays import SPACES, mix, text_blocks, token_hashes, token_ranges
 
 #: Bytes of text in a block.
 BLOCK_BYTES = 3_000_000
 #: Distinct hashes that one reduce group holds, about.
 ENTRIES_PER_BUCKET = 1_000_000
+#: Bytes of the Arrow batches of bigrams by bucket: more than the entries of a bucket.
+BUCKET_BATCH_BYTES = 16 << 20
 #: Counts are quantised to thresholds that grow by this factor.
 LOG_BASE = 1.25
 LEVELS = 120
@@ -197,6 +199,13 @@ def _block_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["block", "at", "word", "n"])
 
 
+def _in_places(table: pa.Table) -> pa.Table:
+    """The totals of the words of one block, by their places."""
+    counted = np.zeros(len(table), dtype=np.int64)
+    counted[np.asarray(table.column("at"))] = np.asarray(table.column("total"))
+    return pa.table({"block": table.column("block").slice(0, 1).combine_chunks(), "counted": _one_list(pa.array(counted))})
+
+
 # --- the filter -----------------------------------------------------------
 
 
@@ -387,7 +396,7 @@ def score_texts(docs: DataFrame, may_learn: Column, id_col: str = "doc_id", text
     """
     spark = docs.sparkSession
     bound_batches(spark)
-    scratch = Scratch(spark, "lmscoring")
+    scratch = Scratch(spark, "lmscoring", wide=("blocks", "counted", "filter", "asked", "levels"))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.coalesce(may_learn, F.lit(False)).alias("train"))
     blocks = scratch.keep(rows.mapInArrow(_blocks, _BLOCK), "blocks")
     sums = blocks.agg(F.count("*").alias("blocks"), F.sum(F.size("codes") + F.size("ids")).alias("tokens"), F.sum(F.size(F.filter("train", lambda x: x))).alias("texts")).first()
@@ -397,12 +406,12 @@ def score_texts(docs: DataFrame, may_learn: Column, id_col: str = "doc_id", text
     counts = scratch.keep(of_blocks.groupBy("word").agg(F.sum("n").alias("total")).where("total > 0"), "counts")
     total = counts.agg(F.sum("total").alias("n"), F.count("*").alias("v")).first()
     n, v = (total.n or 0) + texts, total.v + (texts > 0)
-    counted = of_blocks.select("block", "at", "word").join(counts, "word", "left").select("block", F.struct("at", F.coalesce("total", F.lit(0)).alias("total")).alias("each"))
-    counted = counted.groupBy("block").agg(F.sort_array(F.collect_list("each")).alias("all")).select("block", F.transform("all", lambda x: x["total"]).alias("counted"))
-    counted = scratch.keep(counted, "counted")
+    counted = of_blocks.select("block", "at", "word").join(counts, "word", "left").select("block", "at", F.coalesce("total", F.lit(0)).alias("total"))
+    # Sorted and streamed by block: lists that Spark collects are objects, of all blocks of a task at once.
+    counted = scratch.keep(counted.groupBy("block").applyInArrow(_in_places, "block long, counted array<long>"), "counted")
     scratch.drop(counts)
 
-    bound_batches(spark, GROUP_BATCH_BYTES)
+    bound_batches(spark, BUCKET_BATCH_BYTES)
     buckets = max(shuffle_partitions(spark), (sums.tokens or 0) // ENTRIES_PER_BUCKET)
     pairs = blocks.mapInArrow(_bigrams(buckets), "bucket int, entries array<long>")
     parts = scratch.keep(pairs.groupBy("bucket").applyInArrow(_build, "bucket int, size long, n_set long, bits binary"), "filter")

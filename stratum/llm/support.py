@@ -24,6 +24,8 @@ def small(df: DataFrame) -> DataFrame:
 BATCH_BYTES = 6 << 20
 #: The same where rows are packed and grouped before: small batches take Spark more memory there.
 GROUP_BATCH_BYTES = 64 << 20
+#: Bytes of a Parquet row group of wide rows.  Spark decodes 4,096 rows of a row group at once, whatever their size.
+WIDE_GROUP_BYTES = 8 << 20
 
 
 def bound_batches(spark: SparkSession, limit: int = BATCH_BYTES) -> None:
@@ -36,11 +38,13 @@ class Scratch:
 
     They cut lineage in a way that a lost executor can't undo.  `drop` frees
     the disk of a table that no later step reads; results are lazy, so what
-    they read stays until the application ends, and goes then.
+    they read stays until the application ends, and goes then.  `wide` names
+    the tables whose rows have many kilobytes: what a task holds to write or
+    read these is bounded by bytes.
     """
 
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark = spark
+    def __init__(self, spark: SparkSession, name: str, wide: tuple[str, ...] = ()):
+        self.spark, self.wide = spark, wide
         self.root = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
         self._n = 0
         fs, path = file_system(spark, self.root)
@@ -57,6 +61,8 @@ class Scratch:
         self.spark.conf.set(_CLEANUP, "true")
         try:
             writer = df.write.mode("append").option("compression", "zstd")
+            if path.rpartition("/")[2].partition("-")[2] in self.wide:  # sizes are looked at after each row, not first after a hundred
+                writer = writer.option("parquet.block.size", WIDE_GROUP_BYTES).option("parquet.page.size.row.check.min", 1)
             (writer.partitionBy(by) if by else writer).parquet(path)
         finally:
             self.spark.conf.set(_CLEANUP, before)
