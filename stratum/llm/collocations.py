@@ -142,13 +142,12 @@ def _block_keys(numbers: np.ndarray, at: np.ndarray, ids: np.ndarray) -> tuple[n
     return of_rank[ranks.astype(np.int64)], counts
 
 
-def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        pairs = batch.column("ids")
-        for i in range(len(batch)):
-            own = pairs[i].values
-            keys, counts = _block_keys(np.frombuffer(batch.column("numbers")[i].as_py(), dtype="<u4"), np.asarray(own.field("at")), np.asarray(own.field("id")))
-            yield pa.RecordBatch.from_arrays([_binary(keys), pa.array(counts, pa.int64())], names=["key", "f"])
+def _keys(block: pa.Table, ids: pa.Table) -> pa.Table:
+    """Keys and counts of one block, from its numbers and the ids of its frequent words."""
+    if not len(ids):
+        return pa.table({"key": pa.array([], pa.binary()), "f": pa.array([], pa.int64())})
+    keys, counts = _block_keys(np.frombuffer(block.column("numbers")[0].as_py(), dtype="<u4"), np.asarray(ids.column("at")), np.asarray(ids.column("id")))
+    return pa.table({"key": _binary(keys), "f": pa.array(counts, pa.int64())})
 
 
 def _run_lengths(least: int):
@@ -230,7 +229,7 @@ def mine_phrases(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP) ->
     """
     spark = docs.sparkSession
     bound_batches(spark)
-    scratch = Scratch(spark, "collocations")
+    scratch = Scratch(spark, "collocations", wide=("blocks",))
     rows = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANG)).alias("lang"))
     blocks = scratch.keep(rows.mapInArrow(_blocks, "block long, numbers binary, words array<struct<lang: string, word: string, n: long>>"), "blocks")
     listed = blocks.select("block", F.posexplode("words").alias("at", "w")).select("block", "at", "w.lang", "w.word", "w.n")
@@ -239,8 +238,9 @@ def mine_phrases(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP) ->
     frequent = listed.groupBy("lang", "word").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
     words = scratch.keep(_with_ids(frequent, scratch), "words")
 
-    ids = listed.select("block", "at", "lang", "word").join(words.select("lang", "word", "id"), ["lang", "word"]).groupBy("block").agg(F.collect_list(F.struct("at", "id")).alias("ids"))
-    keys = scratch.keep(blocks.select("block", "numbers").join(ids, "block").select("numbers", "ids").mapInArrow(_keys, "key binary, f long"), "keys")
+    ids = listed.select("block", "at", "lang", "word").join(words.select("lang", "word", "id"), ["lang", "word"]).select(F.col("block").alias("of"), "at", "id")
+    # Sorted and streamed by block: lists that Spark collects are objects, of all blocks of a task at once.
+    keys = scratch.keep(blocks.select("block", "numbers").groupBy("block").cogroup(ids.groupBy("of")).applyInArrow(_keys, "key binary, f long"), "keys")
     scratch.drop(blocks)
     runs = keys.repartitionByRange("key").sortWithinPartitions("key").mapInArrow(_run_lengths(min_count), "key binary, f long")
     grams = scratch.keep(runs.groupBy("key").agg(F.sum("f").alias("f")).where(F.col("f") >= min_count), "grams")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stratum.llm import lm_scoring as lm
 from stratum.llm import support
+from stratum.llm.collocations import mine_phrases
 
 from .common import documents, prose
 
@@ -44,3 +45,9 @@ def test_lm_scoring_holds_few_blocks_at_once(spark, kept):
     assert kept["blocks"][1] == [1] * 8
     assert all(n == 1 for name in ("counted", "asked", "levels") for n in kept[name][1])
     assert "collect_list" not in kept["counted"][0]
+
+
+def test_collocations_hold_few_blocks_at_once(spark, kept):
+    assert mine_phrases(one_file(spark), min_count=5).top.count() > 0
+    assert kept["blocks"][1] == [1] * 8
+    assert "collect_list" not in kept["keys"][0]
